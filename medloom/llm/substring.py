@@ -17,6 +17,8 @@ from .words import Words, _table, mix, runs, signed, slices, strings, whole_runs
 WINDOW, ANCHOR = 50, 8
 #: Words of segments that are trimmed at once.
 CHUNK = 400_000
+#: A segment with at least 1/HOT of all rows is joined by broadcast: HOT rows at most.
+HOT = 1_000
 
 
 class Automaton:
@@ -268,7 +270,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
        of ``anchor`` words); equal windows have equal anchors, so an anchor's segments
        are a shard. About one row per 20 words; words stay where they are.
     2. Equal segments are merged by a partial minimum, so copies cost no more than one:
-       those of documents after the first are covered whole.
+       those of documents after the first are covered whole. The segments that hold a
+       large share of all rows go back to their documents without a shuffle.
     3. In a shard with several different segments, in the order of doc_id, each is
        streamed through a suffix automaton of the earlier ones; where the matching
        statistic reaches ``window``, words are covered. Then it joins the reference.
@@ -282,15 +285,18 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     anchor = min(anchor, window)
     d = docs.select("doc_id", "text").withColumn("tag", (F.xxhash64(F.coalesce("text", F.lit(""))) % (1 << 30)).cast("int"))
     seg = stage(segments(d, window, anchor), "segments")
-    only = seg.groupBy("m", "c").agg(F.min(F.struct("doc_id", "tag", "pos", "n")).alias("f"), F.max("doc_id").alias("last"))
-    only = only.select("m", "c", "f.*", "last")
-    shared = only.where("last > doc_id").select("m", "c", F.col("doc_id").alias("owner"), F.lit(None).cast("array<int>").alias("begins"), F.lit(None).cast("array<int>").alias("ends"))
+    only = seg.groupBy("m", "c").agg(F.min(F.struct("doc_id", "tag", "pos", "n")).alias("f"), F.max("doc_id").alias("last"), F.count("*").alias("rows"))
+    only = only.select("m", "c", "f.*", "last", "rows")
+    shared = only.where("last > doc_id").select("m", "c", "rows", F.col("doc_id").alias("owner"), F.lit(None).cast("array<int>").alias("begins"), F.lit(None).cast("array<int>").alias("ends"))
     varied = only.withColumn("n_in", F.count("*").over(W.partitionBy("m"))).where("n_in > 1")
     wanted = varied.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("m", "c", "pos", "n")).alias("wanted"))
     texts = d.join(wanted, ["doc_id", "tag"], "left").select("doc_id", "text", "wanted").mapInArrow(_texts, "m long, c long, doc_id long, words string")
     found = texts.repartition("m").sortWithinPartitions("m", "doc_id", "c").mapInArrow(_match(window, anchor), "m long, c long, begins array<int>, ends array<int>")
-    spans = shared.unionByName(found.withColumn("owner", F.lit(None).cast("long"))).groupBy("m", "c").agg(F.max("owner").alias("owner"), F.max("begins").alias("begins"), F.max("ends").alias("ends"))
-    hit = seg.join(spans, ["m", "c"])
+    spans = shared.unionByName(found.withColumn("owner", F.lit(None).cast("long")).withColumn("rows", F.lit(0).cast("long"))).groupBy("m", "c").agg(F.max("rows").alias("rows"), F.max("owner").alias("owner"), F.max("begins").alias("begins"), F.max("ends").alias("ends"))
+    hot = F.col("rows") * HOT >= seg.count()
+    marked = seg.join(F.broadcast(spans.where(hot).withColumnRenamed("rows", "hot")), ["m", "c"], "left")
+    cold = marked.where("hot is null").select(*seg.columns).join(spans.where(~hot).withColumn("hot", F.lit(0)), ["m", "c"])
+    hit = marked.where("hot is not null").unionByName(cold.select(*marked.columns))
     whole = F.array(F.struct(F.lit(0).alias("begin"), F.col("n").alias("end")))
     part = F.arrays_zip(F.col("begins").alias("begin"), F.col("ends").alias("end"))
     # a document after the first that holds the segment loses it whole; the first one what the automaton has found
