@@ -195,8 +195,10 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
         if held:
             yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], ["value"])
 
-    left, right = pages.select("page_id", "url", "html").repartition(n, "page_id"), roles.withColumnRenamed("page_id", "page").repartition(n, "page")
-    rows = left.join(right, F.col("page_id").eqNullSafe(F.col("page"))).select("page_id", "url", "html", "payload_digest", "record_type", "refers_to")
+    key = F.coalesce(F.col("page_id").cast("string"), F.lit(""))  # never null, so both sides keep this partitioning for the join
+    left = pages.select(key.alias("key"), "page_id", "url", "html").repartition(n, "key")
+    right = roles.select(key.alias("key"), "payload_digest", "record_type", "refers_to").repartition(n, "key")
+    rows = left.join(right, "key").select("page_id", "url", "html", "payload_digest", "record_type", "refers_to")
     rows.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value")).write.text(path)
 
 
