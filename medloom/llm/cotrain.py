@@ -89,15 +89,16 @@ def metadata(source: list, lang: list, n_chars: list, texts: pa.Array) -> np.nda
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, start: np.ndarray | None = None, steps: int = 200, rate: float = 0.1, l2: float = 1e-4) -> np.ndarray:
-    """Weights (bias last) of a logistic regression, by Adam on all rows."""
+    """Weights (bias last) of a logistic regression, by Adam on the rows of positive weight.
+    Rows stay where they are, so no copy of x is made."""
     w = np.zeros(x.shape[1] + 1, np.float32) if start is None else start.copy()
     a, b = np.zeros_like(w), np.zeros_like(w)
-    if not len(x):
+    if not weight.sum():
         return w
-    weight = (weight / weight.sum()).astype(np.float32)
+    weight, y = (weight / weight.sum()).astype(np.float32), y.astype(np.float32)
     for t in range(1, steps + 1):
         error = (1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30))) - y) * weight
-        g = np.append(x.T @ error, error.sum()) + l2 * w
+        g = np.append(error @ x, error.sum()) + l2 * w
         a, b = 0.9 * a + 0.1 * g, 0.999 * b + 0.001 * g * g
         w -= (rate * (a / (1 - 0.9**t)) / (np.sqrt(b / (1 - 0.999**t)) + 1e-8)).astype(np.float32)
     return w
@@ -114,32 +115,38 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(both @ self.join[:-1] + self.join[-1], -30, 30)))
 
 
-def train(a: np.ndarray, b: np.ndarray, y: np.ndarray, pool_a: np.ndarray, pool_b: np.ndarray, rounds: int = ROUNDS) -> Model:
-    """Co-training. In each round either view's classifier names the pool rows of which it
-    is surest, EXCHANGED of the pool in the classes' shares, and the other one learns
-    them as labels. A fifth of the labelled rows is held back to calibrate and to weigh
-    the views' margins (Platt scaling of both together)."""
-    held = np.arange(len(y)) % 5 == 4
-    fit, share = ~held, float(y[~held].mean()) if (~held).any() else 0.5
-    extra = {0: (np.zeros(0, int), np.zeros(0)), 1: (np.zeros(0, int), np.zeros(0))}
-    views, pools, model = (a, b), (pool_a, pool_b), [None, None]
+def train(a: np.ndarray, b: np.ndarray, y: np.ndarray, rounds: int = ROUNDS) -> Model:
+    """Co-training on the rows' two views; y is -1 for the rows of the pool.
+
+    In each round either view's classifier names the pool rows of which it is surest,
+    EXCHANGED of the pool in the classes' shares, and the other one learns them as labels,
+    at half the weight. A fifth of the labelled rows is held back to calibrate and to
+    weigh the views' margins (Platt scaling of both together)."""
+    known = np.flatnonzero(y >= 0)
+    pool = np.flatnonzero(y < 0)
+    held, fit = known[4::5], np.delete(known, np.s_[4::5])
+    share = float(y[fit].mean()) if len(fit) else 0.5
+    views, model = (a, b), [None, None]
+    label, weight = [np.maximum(y, 0), np.maximum(y, 0)], [np.zeros(len(y)), np.zeros(len(y))]
+    for w in weight:
+        w[fit] = 1
     for turn in range(rounds + 1):
         for v in (0, 1):
-            at, named = extra[v]
-            x = np.concatenate([views[v][fit], pools[v][at]])
-            model[v] = _logistic(x, np.concatenate([y[fit], named]), np.append(np.ones(int(fit.sum())), np.full(len(at), 0.5)), model[v], steps=200 if not turn else 60)
-        if turn == rounds or not len(pool_a):
+            model[v] = _logistic(views[v], label[v], weight[v], model[v], steps=200 if not turn else 60)
+        if turn == rounds or not len(pool):
             break
         for v in (0, 1):
-            margin = pools[v] @ model[v][:-1] + model[v][-1]
+            margin = (views[v] @ model[v][:-1] + model[v][-1])[pool]
             order = np.argsort(margin, kind="stable")
             n = int(len(order) * EXCHANGED * (turn + 1) / rounds)
             low, high = order[: int(round(n * (1 - share)))], order[len(order) - int(round(n * share)) :]
-            low, high = low[margin[low] < 0], high[margin[high] > 0]
-            extra[1 - v] = (np.concatenate([low, high]), np.append(np.zeros(len(low)), np.ones(len(high))))
-    use = held if held.sum() >= 50 and 0 < y[held].sum() < held.sum() else np.ones(len(y), bool)
-    both = np.stack([a[use] @ model[0][:-1] + model[0][-1], b[use] @ model[1][:-1] + model[1][-1]], axis=1)
-    return Model(model[0], model[1], _logistic(both, y[use], np.ones(int(use.sum())), np.array([0.5, 0.5, 0], np.float32), steps=300, l2=1e-3))
+            low, high = pool[low[margin[low] < 0]], pool[high[margin[high] > 0]]
+            weight[1 - v][pool] = 0
+            weight[1 - v][low], weight[1 - v][high] = 0.5, 0.5
+            label[1 - v][low], label[1 - v][high] = 0, 1
+    use = held if len(held) >= 50 and 0 < y[held].sum() < len(held) else known
+    both = np.stack([x @ m[:-1] + m[-1] for x, m in zip(views, model, strict=True)], axis=1)[use]
+    return Model(model[0], model[1], _logistic(both, y[use], np.ones(len(use)), np.array([0.5, 0.5, 0], np.float32), steps=300, l2=1e-3))
 
 
 def _views(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -161,14 +168,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("quality"), pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary()), pa.array([r.astype(bool).tobytes() for r in y], pa.binary())], ["doc_id", "quality", "a", "b"])
 
     chosen = docs.select("doc_id", "text", "lang", "source", "n_chars").join(F.broadcast(picked), "doc_id")  # bounded by the two limits
-    t = chosen.mapInArrow(run, "doc_id long, quality int, a binary, b binary").toArrow().sort_by([("doc_id", "ascending"), ("a", "ascending")])
-    n = t.num_rows
-    a = np.frombuffer(b"".join(t.column("a").to_pylist()), np.float16).astype(np.float32).reshape(n, BUCKETS + DENSE)
-    b = np.frombuffer(b"".join(t.column("b").to_pylist()), bool).astype(np.float32).reshape(n, 7 * FIELD)
-    order = np.random.default_rng(5).permutation(n)
-    y = np.array([-1 if v is None else v for v in t.column("quality").to_pylist()], float)[order]
-    a, b, known = a[order], b[order], y >= 0
-    return train(a[known], b[known], y[known], a[~known], b[~known])
+    t = chosen.mapInArrow(run, "doc_id long, quality int, a binary, b binary").toArrow().combine_chunks()
+    n, doc = t.num_rows, t.column("doc_id").to_numpy()
+    y = np.array([-1 if v is None else v for v in t.column("quality").to_pylist()], float)
+    raw = {c: t.column(c).chunk(0).buffers()[2] if n else b"" for c in ("a", "b")}
+    # rows by doc_id, then in an order drawn once: the same whatever order the tasks ended in
+    order = np.argsort(doc, kind="stable")[np.random.default_rng(5).permutation(n)]
+    a = np.frombuffer(raw["a"], np.float16, n * (BUCKETS + DENSE)).reshape(n, -1)[order].astype(np.float32)
+    b = np.frombuffer(raw["b"], bool, n * 7 * FIELD).reshape(n, -1)[order].astype(np.float32)
+    del t, raw
+    return train(a, b, y[order])
 
 
 def _scored(docs: DataFrame, labels: DataFrame, columns: list[str], keep: bool, least: float) -> DataFrame:
