@@ -1,0 +1 @@
+"""Declarative populations and outputs."""
