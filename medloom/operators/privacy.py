@@ -49,8 +49,7 @@ def noise(secret: bytes, identity: dict, scale: float) -> int:
     """Discrete Laplace noise, the same for the same secret and identity."""
     digest = hmac.new(secret, json.dumps(identity, sort_keys=True).encode(), hashlib.sha256).digest()
     draws = [(int.from_bytes(digest[i : i + 8], "big") + 1) / (2**64 + 1) for i in (0, 8)]
-    p = 1 - math.exp(-1 / scale)
-    return math.floor(math.log(draws[0]) / math.log(1 - p)) - math.floor(math.log(draws[1]) / math.log(1 - p))
+    return math.floor(-scale * math.log(draws[0])) - math.floor(-scale * math.log(draws[1]))
 
 
 def release(cells: dict[str, int], secret: bytes, identity: dict, sensitivity: float, epsilon: float) -> dict[str, int]:
