@@ -84,15 +84,14 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5,
     the names added here are replaced. narrow: of docs, only doc_id is returned, and
     texts are read once.
     """
-    made = ("size", "source_size", "target", "copies", "taken", "bucket", "base", "cut")
-    docs = docs.drop(*made)
-    sized = docs.withColumn("size", word_count("text")).withColumn("bucket", bucket("doc_id"))
-    rows = stage(sized.select("doc_id", "source", "size", "bucket"), "sizes")
-    cuts = thresholds(rows, weights, share, most)
-    right = cuts.withColumnRenamed("source", "mix_source")  # a small file, which Spark broadcasts if it is below its threshold
-    out = (rows if narrow else sized).join(right, F.col("source").eqNullSafe(F.col("mix_source")))
-    copies = F.col("base") + (F.col("bucket") < F.col("cut")).cast("long")
-    out = out.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
+    docs = docs.drop("size", "source_size", "target", "copies", "taken")
+    sized = docs.withColumn("size", word_count("text")).withColumn("__bucket", bucket("doc_id"))
+    rows = stage(sized.select("doc_id", "source", "size", "__bucket"), "sizes")
+    cuts = thresholds(rows.withColumnRenamed("__bucket", "bucket"), weights, share, most)
+    right = cuts.select(F.col("source").alias("__source"), "source_size", "target", F.col("base").alias("__base"), F.col("cut").alias("__cut"))
+    # cuts is a small file, which Spark broadcasts if it is below its threshold
+    out = (rows if narrow else sized).join(right, F.col("source").eqNullSafe(F.col("__source")))
+    out = out.withColumn("copies", F.col("__base") + (F.col("__bucket") < F.col("__cut")).cast("long")).withColumn("taken", F.col("copies") * F.col("size"))
     return out.select(*(["doc_id"] if narrow else docs.columns), "size", "source_size", "target", "copies", "taken")
 
 

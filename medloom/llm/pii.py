@@ -86,7 +86,7 @@ def _entities(*kinds: str) -> Column:
     """Protected entities of a text: kind and value, without the ways to write it."""
     def each(k: str) -> Column:
         value = F.lower if k in ("email", "ip") else _digits
-        return F.transform(F.col(f"m_{k}"), lambda x: F.concat(F.lit(f"{k}:"), value(x["m"])))
+        return F.transform(F.col(f"__m_{k}"), lambda x: F.concat(F.lit(f"{k}:"), value(x["m"])))
 
     return F.array_distinct(F.concat(*map(each, kinds)))
 
@@ -100,7 +100,7 @@ def _terms(text: Column) -> Column:
 
 
 def disclosing(docs: DataFrame, alpha: float, least_texts: int) -> DataFrame:
-    """Terms that disclose an entity of their text: (k, terms), k the MD5 of a text.
+    """Terms that disclose an entity of their text: (k, terms), k the MD5 of a text; docs as in _found.
 
     A term's disclosure of an entity is their pointwise mutual information over the
     documents, log2(P(e|t) / P(e)); at most it is the information content of the entity,
@@ -111,7 +111,7 @@ def disclosing(docs: DataFrame, alpha: float, least_texts: int) -> DataFrame:
     terms cover the whole corpus, by partial sums before the shuffle.
     """
     all_docs = docs.count()
-    held = docs.where(F.size("entities") > 0).select("k", "text", "entities")
+    held = docs.where(F.size("__entities") > 0).select(F.col("__k").alias("k"), F.col("__text").alias("text"), F.col("__entities").alias("entities"))
     common = held.select("k", F.explode("entities").alias("e")).groupBy("e").agg(F.count("*").alias("n_e"), F.count_distinct("k").alias("texts")).where(F.col("texts") >= least_texts)
     common = stage(common.select("e", "n_e"), "entities")
     protected = held.select("k", "text", F.explode("entities").alias("e")).join(common, "e")
@@ -121,7 +121,7 @@ def disclosing(docs: DataFrame, alpha: float, least_texts: int) -> DataFrame:
     close = stage(close, "close")
     if close.isEmpty():
         return close.select(F.lit("").alias("k"), F.array(F.lit("")).alias("terms")).limit(0)
-    spread = docs.select(F.explode(_terms(F.col("text"))).alias("t")).where("t <> ''").groupBy("t").agg(F.count("*").alias("n_t"))
+    spread = docs.select(F.explode(_terms(F.col("__text"))).alias("t")).where("t <> ''").groupBy("t").agg(F.count("*").alias("n_t"))
     close = close.join(spread, "t")
     reveals = F.log2(F.col("n_te") * F.lit(float(all_docs)) / (F.col("n_t") * F.col("n_e")))
     content = F.log2(F.lit(float(all_docs)) / F.col("n_e"))
@@ -129,6 +129,19 @@ def disclosing(docs: DataFrame, alpha: float, least_texts: int) -> DataFrame:
     return pairs.join(close, ["e", "t"]).groupBy("k").agg(F.sort_array(F.collect_set("t")).alias("terms"))
 
 
+def _found(docs: DataFrame, alpha: float, least_texts: int) -> DataFrame:
+    """docs with __text, __base and __spans, and __m_ columns of the base kinds' matches."""
+    d = docs.withColumn("__text", F.coalesce("text", F.lit("")))
+    d = d.withColumns({f"__m_{k}": base_spans(F.col("__text"), k) for k in PATTERNS}).withColumn("__entities", _entities(*PATTERNS)).withColumn("__k", F.md5("__text"))
+    terms = stage(disclosing(d, alpha, least_texts), "terms").toDF("__k", "__terms")
+    size = terms.agg(F.coalesce(F.sum(64 + F.aggregate("__terms", F.lit(0), lambda n, t: n + 32 + F.length(t))), F.lit(0))).first()[0]
+    d = d.join(F.broadcast(terms) if size <= BROADCAST_BYTES else terms, "__k", "left")
+    quoted = F.transform("__terms", lambda t: F.concat(F.lit("\\Q"), F.replace(t, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E")))
+    pattern = F.concat(F.lit(f"(?<!{_TOKEN})(?:"), F.array_join(quoted, "|"), F.lit(f")(?!{_TOKEN})"))
+    added = F.when(F.col("__terms").isNotNull(), _listed(_matches(F.col("__text"), pattern), "term")).otherwise(F.array().cast(_SPAN))
+    return d.withColumn("__base", F.array_sort(F.concat(*[_listed(F.col(f"__m_{k}"), k) for k in PATTERNS]))).withColumn("__spans", F.array_sort(F.concat("__base", added)))
+
+
 def find(docs: DataFrame, alpha: float = 0.95, least_texts: int = 3) -> DataFrame:
     """Personal data of each text: docs with n_email, n_ip, n_card, n_phone, base, spans.
 
@@ -138,35 +151,27 @@ def find(docs: DataFrame, alpha: float = 0.95, least_texts: int = 3) -> DataFram
     get equal spans; rows are never merged. Columns of docs with the names added here
     are replaced.
     """
-    docs = docs.drop("base", "spans", "k", "terms", "entities", "n_terms", *(f"{x}_{k}" for k in PATTERNS for x in "nm"))
-    own = docs.columns
-    d = docs.withColumn("text", F.coalesce("text", F.lit("")))
-    d = d.withColumns({f"m_{k}": base_spans(F.col("text"), k) for k in PATTERNS}).withColumn("entities", _entities(*PATTERNS)).withColumn("k", F.md5("text"))
-    terms = stage(disclosing(d, alpha, least_texts), "terms")
-    size = terms.agg(F.coalesce(F.sum(64 + F.aggregate("terms", F.lit(0), lambda n, t: n + 32 + F.length(t))), F.lit(0))).first()[0]
-    d = d.join(F.broadcast(terms) if size <= BROADCAST_BYTES else terms, "k", "left")
-    quoted = F.transform("terms", lambda t: F.concat(F.lit("\\Q"), F.replace(t, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E")))
-    pattern = F.concat(F.lit(f"(?<!{_TOKEN})(?:"), F.array_join(quoted, "|"), F.lit(f")(?!{_TOKEN})"))
-    added = F.when(F.col("terms").isNotNull(), _listed(_matches(F.col("text"), pattern), "term")).otherwise(F.array().cast(_SPAN))
-    d = d.withColumn("base", F.array_sort(F.concat(*[_listed(F.col(f"m_{k}"), k) for k in PATTERNS]))).withColumn("spans", F.array_sort(F.concat("base", added)))
-    counts = [F.size(f"m_{k}").cast("long").alias(f"n_{k}") for k in PATTERNS]
-    return d.select(*own, *counts, "base", "spans")
+    docs = docs.drop("base", "spans", *(f"n_{k}" for k in PATTERNS))
+    d = _found(docs, alpha, least_texts)
+    counts = [F.size(f"__m_{k}").cast("long").alias(f"n_{k}") for k in PATTERNS]
+    return d.select(*docs.columns, *counts, F.col("__base").alias("base"), F.col("__spans").alias("spans"))
 
 
-def sanitise(docs: DataFrame, **options) -> DataFrame:
+def sanitise(docs: DataFrame, alpha: float = 0.95, least_texts: int = 3) -> DataFrame:
     """docs with each span of personal data replaced by its kind, such as [EMAIL]; spans
     that overlap become one, named after the first. A disclosing term is generalised to
     [TERM]. Null texts stay null. The columns stay as they are.
     """
-    found = find(docs, **options)
+    found = _found(docs, alpha, least_texts)
     state = "struct<at:int,out:string>"
+    text = F.col("__text")
     tag = lambda x: F.element_at(F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS]), x["kind"] + 1)
 
     def step(s: Column, x: Column) -> Column:
         at, begin = s["at"], x["start"]
-        out = F.when(begin >= at, F.concat(s["out"], F.substring(F.col("text"), at + 1, begin - at), tag(x))).otherwise(s["out"])
+        out = F.when(begin >= at, F.concat(s["out"], F.substring(text, at + 1, begin - at), tag(x))).otherwise(s["out"])
         return F.struct(F.greatest(at, x["end"]).alias("at"), out.alias("out")).cast(state)
 
-    whole = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")).cast(state), step, lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text"))))
-    found = found.withColumn("text", F.when(F.size("spans") > 0, whole).otherwise(F.col("text")))
-    return found.select(*docs.columns)
+    whole = F.aggregate("__spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")).cast(state), step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+    new = F.when(F.size("__spans") > 0, whole).otherwise(F.col("text"))
+    return found.select(*[new.alias("text") if c == "text" else F.col(c) for c in docs.columns])
