@@ -5,7 +5,10 @@ Each view is one SELECT that Spark and other SQL engines read alike.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _LINES = """SELECT o_custkey AS person_id, l_orderkey AS visit_id, l_partkey, l_returnflag, CAST(l_shipdate AS DATE) AS d, CAST(l_quantity AS INT) AS q,
   ((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey % 100000) * 64 + CAST(l_quantity AS INT) % 64 AS id FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
@@ -37,11 +40,20 @@ VIEWS = {
   UNION ALL SELECT DISTINCT CAST(2000 + p_partkey % 40 AS INT), CAST(2000 + p_partkey % 40 AS INT), 0 FROM part""",
 }
 _TABLES = ("customer", "nation", "orders", "lineitem", "events", "part")
+_schemas: dict[str, StructType] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the sales schema; its columns are looked up once a session."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    tables = ", ".join(f"{t} AS (SELECT * FROM parquet.`{sf_dir}/{t}.parquet`)" for t in _TABLES)
-    return spark.sql(f"WITH {tables} {VIEWS[name]}")
+    used = {t: table(spark, sf_dir, t) for t in _TABLES if re.search(rf"\b{t}\b", VIEWS[name])}
+    return spark.sql(f"WITH {', '.join(f'{t} AS (SELECT * FROM {{{t}}})' for t in used)} {VIEWS[name]}", **used)
 
 
 def sql(query: str) -> str:
