@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import catalog_people, catalog_results, catalog_vocabulary  # noqa: F401  (they add their queries)
 from .cdm.fixture import sql, view
 from .functions.dates import age_at, age_band, complete_months, week
 from .operators import cohort as C
@@ -17,40 +16,7 @@ from .operators import privacy as D
 from .operators import survival as S
 from .operators import temporal as T
 from .operators import verbs as V
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(text: str | None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if text:
-            SQL[f.__name__] = sql(text)
-        return f
-
-    return add
-
-
-def _r(*names: str) -> list:
-    return [F.round(F.col(n).cast("double"), 6).alias(n) for n in names]
-
-
-def _index(spark, d, limit="first", offset=None) -> DataFrame:
-    visits = view(spark, d, "visit_occurrence").where("visit_concept_id = 9201")
-    return C.index_events(visits, view(spark, d, "observation_period"), "visit_start_date", "visit_occurrence_id", limit, offset)
-
-
-def _index_sql(limit: str = "first", offset: int | None = None) -> str:
-    pick = {"first": "WHERE rn = 1", "last": "WHERE rl = 1", "all": ""}[limit]
-    end = "obs_end" if offset is None else f"least(obs_end, d + {offset})"
-    return f"""WITH v0 AS (SELECT person_id, visit_start_date AS d, visit_occurrence_id AS k, row_number() OVER (PARTITION BY person_id ORDER BY visit_start_date, visit_occurrence_id) AS rn,
-      row_number() OVER (PARTITION BY person_id ORDER BY visit_start_date DESC, visit_occurrence_id DESC) AS rl FROM visit_occurrence WHERE visit_concept_id = 9201),
-    v1 AS (SELECT v.person_id, v.d, v.k, min(observation_period_start_date) AS obs_start, max(observation_period_end_date) AS obs_end FROM (SELECT * FROM v0 {pick}) v JOIN observation_period o ON v.person_id = o.person_id
-      AND v.d BETWEEN observation_period_start_date AND observation_period_end_date GROUP BY v.person_id, v.d, v.k HAVING count(*) = 1),
-    idx AS (SELECT person_id AS subject_id, CAST(row_number() OVER (PARTITION BY person_id ORDER BY d, k) AS INT) AS episode_id, d AS cohort_start_date, {end} AS cohort_end_date, obs_start, obs_end FROM v1)
-    """
-
+from .registry import QUERIES, SQL, index, index_sql, query, rounded
 
 @query("SELECT count(*) AS n_rows, count(DISTINCT person_id) AS n_persons FROM measurement")
 def table_stats(spark, d):
@@ -60,7 +26,7 @@ def table_stats(spark, d):
 @query("""WITH p AS (SELECT person_id, count(*) AS n, count(value_as_number) AS s, avg(value_as_number) AS m FROM measurement GROUP BY person_id)
 SELECT CAST(sum(n) AS BIGINT) AS n, count(*) AS n_persons, CAST(sum(n) - sum(s) AS BIGINT) AS n_missing, (SELECT count(DISTINCT value_as_number) FROM measurement) AS n_distinct, round(avg(m), 6) AS mean, round(stddev_samp(m), 6) AS sd FROM p""")
 def column_stats(spark, d):
-    return E.column_stats(view(spark, d, "measurement"), "value_as_number").select("n", "n_persons", "n_missing", "n_distinct", *_r("mean", "sd"))
+    return E.column_stats(view(spark, d, "measurement"), "value_as_number").select("n", "n_persons", "n_missing", "n_distinct", *rounded("mean", "sd"))
 
 
 _TABLES = ("visit_occurrence", "condition_occurrence", "procedure_occurrence", "drug_exposure", "measurement", "death")
@@ -76,7 +42,7 @@ _PERSON = ("gender_concept_id", "month_of_birth", "day_of_birth", "ethnicity_con
 
 @query(" UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) AS n_total, count(*) - count({c}) AS n_missing, round((count(*) - count({c})) / CAST(count(*) AS DOUBLE), 6) AS missing_rate FROM person" for c in _PERSON))
 def missingness(spark, d):
-    return E.missingness(view(spark, d, "person"), _PERSON).select("column_name", "n_total", "n_missing", *_r("missing_rate"))
+    return E.missingness(view(spark, d, "person"), _PERSON).select("column_name", "n_total", "n_missing", *rounded("missing_rate"))
 
 
 @query("""SELECT value_as_concept_id AS value, CAST(floor(count(*) / 5) * 5 AS BIGINT) AS n, CAST(floor(count(DISTINCT person_id) / 5) * 5 AS BIGINT) AS n_persons
@@ -108,7 +74,7 @@ SELECT s.bin, round(lo + s.bin * w, 6) AS bin_start, round(lo + (s.bin + 1) * w,
 
 @query(_HIST.replace("{n}", "20"))
 def value_histogram(spark, d):
-    return E.histogram(view(spark, d, "measurement"), "value_as_number").select("bin", *_r("bin_start", "bin_end"), "n")
+    return E.histogram(view(spark, d, "measurement"), "value_as_number").select("bin", *rounded("bin_start", "bin_end"), "n")
 
 
 @query(" UNION ALL ".join(f"SELECT CAST({p} AS DOUBLE) AS prob, round(quantile_cont(value_as_number, {p}), 2) AS value FROM measurement" for p in (0.05, 0.25, 0.5, 0.75, 0.95)))
@@ -131,38 +97,38 @@ def concept_locate(spark, d):
 c AS (SELECT CAST(greatest(0, least(3, floor((v - lo) / w))) AS INT) AS bin, count(*) AS n FROM m, e GROUP BY 1), s AS (SELECT CAST(i AS INT) AS bin FROM range(4) t(i)), h AS (SELECT s.bin, coalesce(n, 0) AS n FROM s LEFT JOIN c ON s.bin = c.bin)
 SELECT h.bin, round(lo + h.bin * w, 6) AS bin_start, round(lo + (h.bin + 1) * w, 6) AS bin_end FROM h, e WHERE (SELECT min(n) FROM h) >= 3""")
 def safe_cutpoints(spark, d):
-    return E.safe_cutpoints(view(spark, d, "measurement"), "value_as_number", 4).select("bin", *_r("bin_start", "bin_end"))
+    return E.safe_cutpoints(view(spark, d, "measurement"), "value_as_number", 4).select("bin", *rounded("bin_start", "bin_end"))
 
 
-@query(_index_sql() + "SELECT subject_id, episode_id, cohort_start_date, cohort_end_date FROM idx")
+@query(index_sql() + "SELECT subject_id, episode_id, cohort_start_date, cohort_end_date FROM idx")
 def cohort_index_first(spark, d):
-    return _index(spark, d).select("subject_id", "episode_id", "cohort_start_date", "cohort_end_date")
+    return index(spark, d).select("subject_id", "episode_id", "cohort_start_date", "cohort_end_date")
 
 
-@query(_index_sql("last", 90) + "SELECT subject_id, episode_id, cohort_start_date, cohort_end_date FROM idx")
+@query(index_sql("last", 90) + "SELECT subject_id, episode_id, cohort_start_date, cohort_end_date FROM idx")
 def cohort_index_last_offset(spark, d):
-    return _index(spark, d, "last", 90).select("subject_id", "episode_id", "cohort_start_date", "cohort_end_date")
+    return index(spark, d, "last", 90).select("subject_id", "episode_id", "cohort_start_date", "cohort_end_date")
 
 
-@query(_index_sql("all") + "SELECT subject_id, episode_id, cohort_start_date, cohort_end_date FROM idx")
+@query(index_sql("all") + "SELECT subject_id, episode_id, cohort_start_date, cohort_end_date FROM idx")
 def cohort_index_all(spark, d):
-    return _index(spark, d, "all").select("subject_id", "episode_id", "cohort_start_date", "cohort_end_date")
+    return index(spark, d, "all").select("subject_id", "episode_id", "cohort_start_date", "cohort_end_date")
 
 
 def _setop(how: str, word: str):
     def f(spark, d):
         other = view(spark, d, "condition_occurrence").where("condition_concept_id = 2003").select(F.col("person_id").alias("subject_id"))
-        return C.combine(_index(spark, d), other, how)
+        return C.combine(index(spark, d), other, how)
 
     f.__name__ = f"cohort_{how}"
-    query(_index_sql() + f"SELECT subject_id FROM idx {word} SELECT person_id FROM condition_occurrence WHERE condition_concept_id = 2003")(f)
+    query(index_sql() + f"SELECT subject_id FROM idx {word} SELECT person_id FROM condition_occurrence WHERE condition_concept_id = 2003")(f)
 
 
 _setop("union", "UNION")
 _setop("intersect", "INTERSECT")
 _setop("setdiff", "EXCEPT")
 
-_HAS = _index_sql() + "SELECT subject_id, episode_id FROM idx i WHERE {test} (SELECT count(*) FROM condition_occurrence c WHERE c.person_id = i.subject_id AND c.condition_concept_id IN (2001, 2002, 2003) AND date_diff('day', i.cohort_start_date, c.condition_start_date) BETWEEN -365 AND 365) {op}"
+_HAS = index_sql() + "SELECT subject_id, episode_id FROM idx i WHERE {test} (SELECT count(*) FROM condition_occurrence c WHERE c.person_id = i.subject_id AND c.condition_concept_id IN (2001, 2002, 2003) AND date_diff('day', i.cohort_start_date, c.condition_start_date) BETWEEN -365 AND 365) {op}"
 
 
 def _three(spark, d) -> DataFrame:
@@ -171,22 +137,22 @@ def _three(spark, d) -> DataFrame:
 
 @query(_HAS.replace("{test}", "").replace("{op}", ">= 1"))
 def filter_has_concept(spark, d):
-    return C.with_count(_index(spark, d), _three(spark, d), "condition_start_date", (-365, 365)).select("subject_id", "episode_id")
+    return C.with_count(index(spark, d), _three(spark, d), "condition_start_date", (-365, 365)).select("subject_id", "episode_id")
 
 
 @query(_HAS.replace("{test}", "").replace("{op}", ">= 2"))
 def filter_concept_count(spark, d):
-    return C.with_count(_index(spark, d), _three(spark, d), "condition_start_date", (-365, 365), 2).select("subject_id", "episode_id")
+    return C.with_count(index(spark, d), _three(spark, d), "condition_start_date", (-365, 365), 2).select("subject_id", "episode_id")
 
 
 @query(_HAS.replace("{test}", "").replace("{op}", "= 0"))
 def filter_not_has_concept(spark, d):
-    return C.with_count(_index(spark, d), _three(spark, d), "condition_start_date", (-365, 365), 0).select("subject_id", "episode_id")
+    return C.with_count(index(spark, d), _three(spark, d), "condition_start_date", (-365, 365), 0).select("subject_id", "episode_id")
 
 
-@query(_index_sql() + "SELECT subject_id, episode_id FROM idx i JOIN person p ON i.subject_id = p.person_id WHERE gender_concept_id = 8532 AND year(cohort_start_date) - year_of_birth BETWEEN 20 AND 50 AND date_diff('day', obs_start, cohort_start_date) >= 100 AND date_diff('day', cohort_start_date, obs_end) >= 365")
+@query(index_sql() + "SELECT subject_id, episode_id FROM idx i JOIN person p ON i.subject_id = p.person_id WHERE gender_concept_id = 8532 AND year(cohort_start_date) - year_of_birth BETWEEN 20 AND 50 AND date_diff('day', obs_start, cohort_start_date) >= 100 AND date_diff('day', cohort_start_date, obs_end) >= 365")
 def filter_population(spark, d):
-    return C.eligible(_index(spark, d), view(spark, d, "person"), 8532, (20, 50), 100, 365).select("subject_id", "episode_id")
+    return C.eligible(index(spark, d), view(spark, d, "person"), 8532, (20, 50), 100, 365).select("subject_id", "episode_id")
 
 
 @query("""SELECT measurement_id, person_id FROM measurement WHERE (measurement_concept_id IN (4001, 4003) AND value_as_number >= 100 AND value_as_number < 300) OR (measurement_concept_id NOT IN (4001, 4003) AND value_as_number IS NULL)""")
@@ -225,26 +191,26 @@ def feature_reducers(spark, d):
     m = view(spark, d, "measurement")
     specs = R.reducers("value_as_number", "measurement_date", "measurement_id", "measurement_concept_id", "range_low", "range_high")
     out = R.features(m, ["person_id"], specs)
-    return out.select("person_id", "boolean", "count", *_r(*_FEATURES), "n_distinct", "abnormal_high", "abnormal_low")
+    return out.select("person_id", "boolean", "count", *rounded(*_FEATURES), "n_distinct", "abnormal_high", "abnormal_low")
 
 
 @query("""SELECT p.person_id, count(m.measurement_id) > 0 AS boolean, count(m.measurement_id) AS count, round(avg(value_as_number), 6) AS mean_value FROM person p LEFT JOIN measurement m ON p.person_id = m.person_id AND measurement_concept_id = 4003 GROUP BY p.person_id""")
 def feature_roster(spark, d):
     specs = R.reducers("value_as_number", "measurement_date", "measurement_id", "measurement_concept_id", when=F.col("measurement_concept_id") == 4003)
     found = R.features(view(spark, d, "measurement"), ["person_id"], {k: specs[k] for k in ("boolean", "count", "mean_value")})
-    return R.on_roster(view(spark, d, "person").select("person_id"), found, ["person_id"]).select("person_id", "boolean", "count", *_r("mean_value"))
+    return R.on_roster(view(spark, d, "person").select("person_id"), found, ["person_id"]).select("person_id", "boolean", "count", *rounded("mean_value"))
 
 
 @query("""WITH g AS (SELECT person_id, date_diff('day', lag(measurement_date) OVER (PARTITION BY person_id ORDER BY measurement_date, measurement_id), measurement_date) AS g FROM measurement)
 SELECT person_id, CAST(max(g) AS INT) AS gap_max_days, round(avg(g), 6) AS gap_mean_days FROM g GROUP BY person_id""")
 def feature_gaps(spark, d):
-    return R.gaps(view(spark, d, "measurement"), ["person_id"], "measurement_date", "measurement_id").select("person_id", "gap_max_days", *_r("gap_mean_days"))
+    return R.gaps(view(spark, d, "measurement"), ["person_id"], "measurement_date", "measurement_id").select("person_id", "gap_max_days", *rounded("gap_mean_days"))
 
 
 @query("""SELECT person_id, round(avg(date_diff('day', s, e)), 6) AS duration_mean, CAST(sum(date_diff('day', s, e)) AS BIGINT) AS duration_sum, CAST(max(date_diff('day', s, e)) AS INT) AS duration_max
 FROM (SELECT person_id, condition_start_date AS s, coalesce(condition_end_date, condition_start_date) AS e FROM condition_occurrence) x GROUP BY person_id""")
 def feature_durations(spark, d):
-    return R.durations(view(spark, d, "condition_occurrence"), ["person_id"], "condition_start_date", "condition_end_date").select("person_id", *_r("duration_mean"), "duration_sum", "duration_max")
+    return R.durations(view(spark, d, "condition_occurrence"), ["person_id"], "condition_start_date", "condition_end_date").select("person_id", *rounded("duration_mean"), "duration_sum", "duration_max")
 
 
 @query("""SELECT person_id, CAST(date_diff('day', m, DATE '2002-01-15') AS INT) AS days_since, CAST((2002 * 12 + 1) - (year(m) * 12 + month(m)) - CASE WHEN 15 < day(m) THEN 1 ELSE 0 END AS INT) AS months_since FROM (SELECT person_id, max(condition_start_date) AS m FROM condition_occurrence GROUP BY person_id) x""")
@@ -254,19 +220,19 @@ def feature_time_since(spark, d):
     return last.select("person_id", F.datediff(ref, "m").alias("days_since"), complete_months(F.col("m"), ref).alias("months_since"))
 
 
-@query(_index_sql() + """SELECT subject_id, episode_id, cohort_start_date, concat(CAST(CAST(floor((year(cohort_start_date) - year_of_birth) / 10.0) * 10 AS BIGINT) AS VARCHAR), '-', CAST(CAST(floor((year(cohort_start_date) - year_of_birth) / 10.0) * 10 AS BIGINT) + 9 AS VARCHAR)) AS age_group,
+@query(index_sql() + """SELECT subject_id, episode_id, cohort_start_date, concat(CAST(CAST(floor((year(cohort_start_date) - year_of_birth) / 10.0) * 10 AS BIGINT) AS VARCHAR), '-', CAST(CAST(floor((year(cohort_start_date) - year_of_birth) / 10.0) * 10 AS BIGINT) + 9 AS VARCHAR)) AS age_group,
 CAST(date_diff('day', obs_start, cohort_start_date) AS INT) AS prior_observation, CAST(date_diff('day', cohort_start_date, obs_end) AS INT) AS future_observation FROM idx JOIN person ON subject_id = person_id""")
 def output_baseline(spark, d):
     p = view(spark, d, "person").select(F.col("person_id").alias("subject_id"), "year_of_birth")
-    j = _index(spark, d).join(p, "subject_id")
+    j = index(spark, d).join(p, "subject_id")
     return j.select("subject_id", "episode_id", "cohort_start_date", age_band(age_at(F.col("cohort_start_date"), F.col("year_of_birth"))).alias("age_group"), F.datediff("cohort_start_date", "obs_start").alias("prior_observation"), F.datediff("obs_end", "cohort_start_date").alias("future_observation"))
 
 
-_AROUND = _index_sql() + ", ev AS (SELECT i.subject_id, i.episode_id, c.condition_occurrence_id, c.condition_concept_id, c.condition_start_date, CAST(date_diff('day', i.cohort_start_date, c.condition_start_date) AS INT) AS day FROM idx i JOIN condition_occurrence c ON i.subject_id = c.person_id WHERE date_diff('day', i.cohort_start_date, c.condition_start_date) BETWEEN -180 AND 180) "
+_AROUND = index_sql() + ", ev AS (SELECT i.subject_id, i.episode_id, c.condition_occurrence_id, c.condition_concept_id, c.condition_start_date, CAST(date_diff('day', i.cohort_start_date, c.condition_start_date) AS INT) AS day FROM idx i JOIN condition_occurrence c ON i.subject_id = c.person_id WHERE date_diff('day', i.cohort_start_date, c.condition_start_date) BETWEEN -180 AND 180) "
 
 
 def _around(spark, d) -> DataFrame:
-    return T.around(_index(spark, d), view(spark, d, "condition_occurrence"), "condition_start_date", -180, 180)
+    return T.around(index(spark, d), view(spark, d, "condition_occurrence"), "condition_start_date", -180, 180)
 
 
 @query(_AROUND + "SELECT subject_id, episode_id, condition_occurrence_id, day, CAST(date_trunc('week', condition_start_date) AS DATE) AS week FROM ev")
@@ -293,22 +259,22 @@ def event_min_gap(spark, d):
 
 @query(_AROUND + "SELECT subject_id, episode_id, CAST(floor((day + 180) / 30.0) AS INT) AS time_id, condition_concept_id AS covariate_id, count(*) AS covariate_value FROM ev GROUP BY ALL")
 def temporal_covariates(spark, d):
-    return T.temporal_covariates(_index(spark, d), view(spark, d, "condition_occurrence"), "condition_start_date", "condition_concept_id", -180, 180, 30)
+    return T.temporal_covariates(index(spark, d), view(spark, d, "condition_occurrence"), "condition_start_date", "condition_concept_id", -180, 180, 30)
 
 
-@query(_index_sql() + """, b AS (SELECT CAST(i AS INT) AS time_id, CAST(-180 + i * 50 AS INT) AS start_day, CAST(least(180, -180 + i * 50 + 49) AS INT) AS end_day FROM range(8) t(i)),
+@query(index_sql() + """, b AS (SELECT CAST(i AS INT) AS time_id, CAST(-180 + i * 50 AS INT) AS start_day, CAST(least(180, -180 + i * 50 + 49) AS INT) AS end_day FROM range(8) t(i)),
 r AS (SELECT subject_id, episode_id, b.*, CAST(greatest(start_day, date_diff('day', cohort_start_date, obs_start)) AS INT) AS obs_start_day, CAST(least(end_day, date_diff('day', cohort_start_date, obs_end)) AS INT) AS obs_end_day FROM idx, b)
 SELECT *, CAST(obs_end_day - obs_start_day + 1 AS INT) AS days_observed FROM r WHERE obs_start_day <= obs_end_day""")
 def person_period(spark, d):
-    return T.person_periods(_index(spark, d), -180, 180, 50)
+    return T.person_periods(index(spark, d), -180, 180, 50)
 
 
 def _interval(match: str, test: str, **how):
     def f(spark, d):
-        return T.intervals(_index(spark, d), view(spark, d, "condition_occurrence"), "condition_start_date", "condition_end_date", "condition_concept_id", match, **how)
+        return T.intervals(index(spark, d), view(spark, d, "condition_occurrence"), "condition_start_date", "condition_end_date", "condition_concept_id", match, **how)
 
     f.__name__ = f"intervals_{match}"
-    query(_index_sql() + f""", j AS (SELECT subject_id, episode_id, condition_concept_id AS concept_id, CAST(date_diff('day', cohort_start_date, condition_start_date) AS INT) AS start_days_from_index,
+    query(index_sql() + f""", j AS (SELECT subject_id, episode_id, condition_concept_id AS concept_id, CAST(date_diff('day', cohort_start_date, condition_start_date) AS INT) AS start_days_from_index,
       CAST(date_diff('day', cohort_start_date, coalesce(condition_end_date, condition_start_date)) AS INT) AS end_days_from_index FROM idx JOIN condition_occurrence ON subject_id = person_id) SELECT * FROM j WHERE {test}""")(f)
 
 
@@ -328,13 +294,13 @@ def output_sparse(spark, d):
     return T.sparse(view(spark, d, "drug_exposure"), ["person_id"], "drug_concept_id")
 
 
-_RISK = _index_sql() + """, risk AS (SELECT subject_id, episode_id, cohort_start_date, 0 AS entry_day, CAST(date_diff('day', cohort_start_date, least(cohort_end_date, coalesce(death_date, cohort_end_date), cohort_start_date + 730)) AS INT) AS exit_day FROM idx LEFT JOIN death ON subject_id = person_id),
+_RISK = index_sql() + """, risk AS (SELECT subject_id, episode_id, cohort_start_date, 0 AS entry_day, CAST(date_diff('day', cohort_start_date, least(cohort_end_date, coalesce(death_date, cohort_end_date), cohort_start_date + 730)) AS INT) AS exit_day FROM idx LEFT JOIN death ON subject_id = person_id),
 o AS (SELECT person_id, condition_start_date AS d, 'x' AS outcome_name FROM condition_occurrence WHERE condition_concept_id = 2001 UNION ALL SELECT person_id, condition_start_date, 'y' FROM condition_occurrence WHERE condition_concept_id = 2002),
 e AS (SELECT r.subject_id, r.episode_id, outcome_name, CAST(date_diff('day', cohort_start_date, d) AS INT) AS day FROM risk r JOIN o ON subject_id = person_id WHERE exit_day >= 0 AND date_diff('day', cohort_start_date, d) BETWEEN entry_day AND exit_day) """
 
 
 def _risk(spark, d) -> DataFrame:
-    return S.censored(_index(spark, d), 0, 730, view(spark, d, "death"))
+    return S.censored(index(spark, d), 0, 730, view(spark, d, "death"))
 
 
 def _outcomes(spark, d) -> dict:
@@ -371,7 +337,7 @@ t AS (SELECT coalesce(day, exit_day) AS time, count(*) AS n, count(day) AS event
 SELECT CAST(time AS INT) AS time, at_risk, events, round(product(1 - events / CAST(at_risk AS DOUBLE)) OVER (ORDER BY time ROWS UNBOUNDED PRECEDING), 6) AS survival FROM k WHERE events > 0""")
 def kaplan_meier(spark, d):
     times = S.time_to_event(_risk(spark, d), {"x": _outcomes(spark, d)["x"]})
-    return S.kaplan_meier(times, "time_to_event_days", "event").select("time", "at_risk", "events", *_r("survival"))
+    return S.kaplan_meier(times, "time_to_event_days", "event").select("time", "at_risk", "events", *rounded("survival"))
 
 
 @query(_RISK + """, x AS (SELECT subject_id, episode_id, min(day) AS dx FROM e WHERE outcome_name = 'x' AND day > 0 GROUP BY ALL),
@@ -409,13 +375,13 @@ def pool_top_k(spark, d):
 def pool_moments(spark, d):
     g = _by_site(spark, d, "measurement").groupBy("site_id", "measurement_concept_id").agg(F.count("value_as_number").alias("n"), F.avg("value_as_number").alias("mean"), F.var_samp("value_as_number").alias("variance"))
     out = P.moments(g, ["measurement_concept_id"])
-    return out.select("measurement_concept_id", "n", *_r("mean"), F.round("variance", 4).alias("variance"))
+    return out.select("measurement_concept_id", "n", *rounded("mean"), F.round("variance", 4).alias("variance"))
 
 
 @query("SELECT visit_concept_id, CAST(count(DISTINCT CASE WHEN visit_end_date > visit_start_date THEN visit_occurrence_id END) AS BIGINT) AS numerator, count(*) AS denominator, round(count(CASE WHEN visit_end_date > visit_start_date THEN 1 END) * 100.0 / count(*), 6) AS ratio FROM visit_occurrence GROUP BY 1")
 def pool_ratio(spark, d):
     g = _by_site(spark, d, "visit_occurrence").groupBy("site_id", "visit_concept_id").agg(F.count_if(F.col("visit_end_date") > F.col("visit_start_date")).alias("num"), F.count("*").alias("den"))
-    return P.ratio(g, ["visit_concept_id"], "num", "den", 100).select("visit_concept_id", "numerator", "denominator", *_r("ratio"))
+    return P.ratio(g, ["visit_concept_id"], "num", "den", 100).select("visit_concept_id", "numerator", "denominator", *rounded("ratio"))
 
 
 @query("""WITH g AS (SELECT site_id, drug_concept_id % 5 AS stratum, ln(avg(days_supply)) AS y, stddev_samp(days_supply) / sqrt(count(*)) / avg(days_supply) AS se FROM drug_exposure d JOIN person p ON d.person_id = p.person_id GROUP BY ALL),
@@ -426,7 +392,7 @@ SELECT t.stratum, k, round(swy / sw, 6) AS fixed, round(sqrt(1 / sw), 6) AS fixe
 def pool_effects(spark, d):
     g = _by_site(spark, d, "drug_exposure").groupBy("site_id", (F.col("drug_concept_id") % 5).alias("stratum"))
     g = g.agg(F.log(F.avg("days_supply")).alias("log_estimate"), (F.stddev_samp("days_supply") / F.sqrt(F.count("*")) / F.avg("days_supply")).alias("se"))
-    return P.effects(g, ["stratum"]).select("stratum", "k", *_r("fixed", "fixed_se", "random", "random_se", "lower", "upper"))
+    return P.effects(g, ["stratum"]).select("stratum", "k", *rounded("fixed", "fixed_se", "random", "random_se", "lower", "upper"))
 
 
 @query("SELECT CAST(sum(least(n, 5)) AS BIGINT) AS value FROM (SELECT count(*) AS n FROM condition_occurrence GROUP BY person_id) x")
@@ -448,15 +414,15 @@ def privacy_distinct(spark, d):
 @query("""WITH o AS (SELECT avg(days_supply) AS v FROM drug_exposure WHERE days_supply IS NOT NULL GROUP BY person_id), g AS (SELECT count(*) AS n, CAST(sum(floor((greatest(10.0, least(40.0, v)) - 10.0) / 30.0 * 1000 + 0.5)) AS BIGINT) AS sum_grid FROM o)
 SELECT n, sum_grid, round(10 + 30.0 * sum_grid / (n * 1000), 6) AS value FROM g""")
 def privacy_mean(spark, d):
-    return D.mean(view(spark, d, "drug_exposure"), "days_supply", 10.0, 40.0).select("n", "sum_grid", *_r("value"))
+    return D.mean(view(spark, d, "drug_exposure"), "days_supply", 10.0, 40.0).select("n", "sum_grid", *rounded("value"))
 
 
 @query("SELECT count(CASE WHEN v THEN 1 END) AS num, count(*) AS den, round(count(CASE WHEN v THEN 1 END) / CAST(count(*) AS DOUBLE), 6) AS value FROM (SELECT bool_or(days_supply > 45) AS v FROM drug_exposure GROUP BY person_id) x")
 def privacy_rate(spark, d):
-    return D.rate(view(spark, d, "drug_exposure"), F.col("days_supply") > 45).select("num", "den", *_r("value"))
+    return D.rate(view(spark, d, "drug_exposure"), F.col("days_supply") > 45).select("num", "den", *rounded("value"))
 
 
-@query(None)
+@query("SELECT * FROM person")
 def staged_round_trip(spark, d):
     import os
     import tempfile
@@ -465,10 +431,3 @@ def staged_round_trip(spark, d):
 
     root = spark.conf.get("spark.checkpoint.dir", None) or os.environ.setdefault("MEDLOOM_LOCAL_STAGED", tempfile.mkdtemp(prefix="spark-"))
     return read_staged(spark, write_staged({"person": view(spark, d, "person")}, f"{root}/medloom/staged"))["person"]
-
-
-def _register_rest() -> None:
-    SQL["staged_round_trip"] = sql("SELECT * FROM person")
-
-
-_register_rest()

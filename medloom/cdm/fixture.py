@@ -34,10 +34,24 @@ VIEWS = {
   DATE '1998-01-01' + CAST((event_id * 37) % 180 AS INT) AS measurement_date, CASE WHEN event_id % 17 <> 0 THEN value END AS value_as_number, CAST(45884084 + event_id % 3 AS INT) AS value_as_concept_id,
   CAST(8840 + event_id % 2 AS INT) AS unit_concept_id, CAST(50 AS DOUBLE) AS range_low, CAST(400 AS DOUBLE) AS range_high FROM events""",
     "death": """SELECT c_custkey AS person_id, DATE '2000-06-30' + CAST(c_custkey % 300 AS INT) AS death_date, CAST(7000 + c_custkey % 3 AS INT) AS cause_concept_id FROM customer WHERE c_custkey % 13 = 0""",
-    "concept": """SELECT DISTINCT CAST(2000 + p_partkey % 40 AS INT) AS concept_id, concat('Condition ', CAST(p_partkey % 40 AS VARCHAR(20))) AS concept_name, 'Condition' AS domain_id FROM part
-  UNION ALL SELECT DISTINCT CAST(1900 + p_partkey % 8 AS INT), concat('Group ', CAST(p_partkey % 8 AS VARCHAR(20))), 'Condition' FROM part""",
+    "concept": """SELECT DISTINCT CAST(2000 + p_partkey % 40 AS INT) AS concept_id, concat('Condition ', CAST(p_partkey % 40 AS VARCHAR(20))) AS concept_name, 'Condition' AS domain_id, 'SNOMED' AS vocabulary_id, 'Disorder' AS concept_class_id, 'S' AS standard_concept, concat('C', CAST(p_partkey % 40 AS VARCHAR(20))) AS concept_code, CASE WHEN p_partkey % 40 = 39 THEN 'D' END AS invalid_reason FROM part
+  UNION ALL SELECT DISTINCT CAST(1900 + p_partkey % 8 AS INT), concat('Group ', CAST(p_partkey % 8 AS VARCHAR(20))), 'Condition', 'Local', 'Group', 'C', concat('G', CAST(p_partkey % 8 AS VARCHAR(20))), CAST(NULL AS VARCHAR(20)) FROM part
+  UNION ALL SELECT DISTINCT CAST(3000 + p_partkey % 30 AS INT), concat('Drug ', CAST(p_partkey % 30 AS VARCHAR(20))), 'Drug', 'RxNorm', 'Ingredient', 'S', concat('D', CAST(p_partkey % 30 AS VARCHAR(20))), CAST(NULL AS VARCHAR(20)) FROM part
+  UNION ALL SELECT DISTINCT CAST(9000 + p_partkey % 40 AS INT), concat('Source ', CAST(p_partkey % 40 AS VARCHAR(20))), 'Condition', 'ICD10', 'Code', CAST(NULL AS VARCHAR(20)), concat('S', CAST(p_partkey % 40 AS VARCHAR(20))), CAST(NULL AS VARCHAR(20)) FROM part""",
     "concept_ancestor": """SELECT DISTINCT CAST(1900 + p_partkey % 8 AS INT) AS ancestor_concept_id, CAST(2000 + p_partkey % 40 AS INT) AS descendant_concept_id, 1 AS min_levels_of_separation FROM part
   UNION ALL SELECT DISTINCT CAST(2000 + p_partkey % 40 AS INT), CAST(2000 + p_partkey % 40 AS INT), 0 FROM part""",
+    "concept_relationship": """SELECT DISTINCT CAST(9000 + p_partkey % 40 AS INT) AS concept_id_1, CAST(2000 + p_partkey % 40 AS INT) AS concept_id_2, 'Maps to' AS relationship_id FROM part
+  UNION ALL SELECT DISTINCT CAST(2000 + p_partkey % 40 AS INT), CAST(9000 + p_partkey % 40 AS INT), 'Mapped from' FROM part""",
+    "concept_synonym": """SELECT DISTINCT CAST(2000 + p_partkey % 40 AS INT) AS concept_id, concat('Also condition ', CAST(p_partkey % 40 AS VARCHAR(20))) AS concept_synonym_name FROM part""",
+    "cdm_source": """SELECT 'Sales fixture' AS cdm_source_name, 'v5.4' AS cdm_version FROM nation WHERE n_nationkey = 0""",
+    "codeset": """SELECT DISTINCT CAST(p_partkey % 40 AS INT) % 8 AS category, CAST(2000 + p_partkey % 40 AS INT) AS concept_id, CAST(1 + p_partkey % 40 % 3 AS INT) AS weight FROM part WHERE p_partkey % 40 < 24""",
+    "cohort": """SELECT CAST(1 + o_orderkey % 3 AS INT) AS cohort_definition_id, o_custkey AS subject_id, CAST(o_orderdate AS DATE) AS cohort_start_date, CAST(o_orderdate AS DATE) + 30 AS cohort_end_date FROM orders WHERE o_orderkey % 5 = 0
+  UNION ALL SELECT 9, o_custkey, CAST(o_orderdate AS DATE), CAST(o_orderdate AS DATE) FROM orders WHERE o_orderkey = 1""",
+    "cohort_definition": """SELECT CAST(n_nationkey AS INT) AS cohort_definition_id, concat('Cohort ', CAST(n_nationkey AS VARCHAR(20))) AS cohort_definition_name FROM nation WHERE n_nationkey < 10""",
+    "achilles_results": """SELECT CAST(n_regionkey % 3 AS INT) AS site_id, CAST(200 AS INT) AS analysis_id, o_orderstatus AS stratum_1, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS stratum_2, CASE WHEN o_orderpriority <> '1-URGENT' OR n_regionkey % 3 < 2 THEN count(*) END AS count_value
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_regionkey % 3, o_orderstatus, o_orderpriority""",
+    "achilles_results_dist": """SELECT CAST(n_regionkey % 3 AS INT) AS site_id, CAST(203 AS INT) AS analysis_id, o_orderstatus AS stratum_1, count(*) AS count_value, avg(CAST(o_totalprice AS DOUBLE)) AS avg_value, stddev_samp(CAST(o_totalprice AS DOUBLE)) AS stdev_value, min(CAST(o_totalprice AS DOUBLE)) AS min_value, max(CAST(o_totalprice AS DOUBLE)) AS max_value
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_regionkey % 3, o_orderstatus""",
 }
 _TABLES = ("customer", "nation", "orders", "lineitem", "events", "part")
 _schemas: dict[str, StructType] = {}
@@ -58,7 +72,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sql(query: str) -> str:
     """query with the views that it names as common table expressions before it."""
-    used = [f"{n} AS ({v})" for n, v in VIEWS.items() if n in query]
+    used = [f"{n} AS ({v})" for n, v in VIEWS.items() if re.search(rf"\b{n}\b", query)]
     body = query.strip()
     if body.upper().startswith("WITH "):
         return f"WITH {', '.join(used)}, {body[5:]}"

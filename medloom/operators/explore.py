@@ -101,3 +101,19 @@ def safe_cutpoints(df: DataFrame, value: str, bins: int = 10, least_persons: int
     h = histogram(means, "v", bins)
     ok = h.agg((F.min("n") >= least_persons).alias("ok"))
     return h.crossJoin(F.broadcast(ok)).where("ok").select("bin", "bin_start", "bin_end")  # one row
+
+
+def drilldown(df: DataFrame, concept: str, concept_id: int, value: str, date: str, category: str) -> dict[str, DataFrame]:
+    """A profile of one concept: summary, histogram and quantiles of its values, its
+    categories, and rows without a value."""
+    own = df.where(F.col(concept) == concept_id)
+    summary = own.agg(F.count("*").alias("n_records"), F.count_distinct("person_id").alias("n_persons"), F.min(date).alias("first_date"), F.max(date).alias("last_date"))
+    return {"summary": summary, "histogram": histogram(own, value), "quantiles": quantiles(own, value), "categories": value_counts(own, category), "missingness": missingness(own, [value, category])}
+
+
+def summary(df: DataFrame, column: str) -> DataFrame:
+    """Value counts of a concept column, else counts, mean, deviation and quantiles of the column."""
+    if column.endswith("concept_id"):
+        return value_counts(df, column)
+    q = quantiles(df, column).agg(F.map_from_entries(F.collect_list(F.struct("prob", "value"))).alias("quantiles"))
+    return column_stats(df, column).crossJoin(F.broadcast(q))  # one row each

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 Z = 1.959963984540054
 
@@ -56,3 +57,50 @@ def histogram(rows: DataFrame, sites: int) -> DataFrame:
     """Sum of bins (bin, bin_start, bin_end, n); null where a site's bin is missing or suppressed."""
     g = rows.groupBy("bin").agg(F.min("bin_start").alias("bin_start"), F.min("bin_end").alias("bin_end"), F.count("n").alias("held"), F.sum("n").alias("total"))
     return g.select("bin", "bin_start", "bin_end", F.when(F.col("held") == sites, F.col("total")).alias("n"))
+
+
+def tabular(rows: DataFrame, keys: Sequence[str], roles: dict[str, tuple], sites: int, strict: bool = True) -> DataFrame:
+    """Site results pooled by the role of each column, in one grouped pass.
+
+    roles: {new column: (role, source columns...)} with the roles sum, min, max; ratio
+    (numerator, denominator, scale), of the pooled sums; weighted_mean (value, weight);
+    pooled_sd (n, mean, sd), Cochrane's; and label, null when sites differ. Strict keeps
+    only the keys of all sites.
+    """
+    c = F.col
+
+    def pooled(role: str, *x) -> Column:
+        if role in ("sum", "min", "max"):
+            return getattr(F, role)(x[0])
+        if role == "label":
+            return F.when(F.count_distinct(x[0]) == 1, F.min(x[0]))
+        if role == "ratio":
+            whole = c(x[0]).isNotNull() & c(x[1]).isNotNull()
+            num, den = F.sum(F.when(whole, c(x[0]))), F.sum(F.when(whole, c(x[1])))
+            return F.when((num >= 0) & (den > 0), num / den * (x[2] if len(x) > 2 else 1.0))
+        if role == "weighted_mean":
+            ok = (c(x[1]) > 0) & c(x[0]).isNotNull()
+            return F.try_divide(F.sum(F.when(ok, c(x[0]) * c(x[1]))), F.sum(F.when(ok, c(x[1]))))
+        if role == "pooled_sd":
+            n, m, sd = map(c, x)
+            ok = (n >= 1) & m.isNotNull()
+            total, first = F.sum(F.when(ok, n)), F.sum(F.when(ok, n * m))
+            within = F.sum(F.when(ok, (n - 1) * F.coalesce(sd, F.lit(0.0)) * F.coalesce(sd, F.lit(0.0))))
+            between = F.sum(F.when(ok, n * m * m)) - F.try_divide(first * first, total)
+            return F.when(total > 1, F.sqrt(F.greatest(F.lit(0.0), F.try_divide(within + between, total - 1))))
+        raise ValueError(f"no such role: {role}")
+
+    g = rows.groupBy(*keys).agg(F.count("*").alias("_sites"), *[pooled(*how).alias(name) for name, how in roles.items()])
+    return (g.where(c("_sites") == sites) if strict else g).drop("_sites")
+
+
+def survival_curves(rows: DataFrame, keys: Sequence[str], sites: int) -> DataFrame:
+    """Kaplan-Meier curves of sites (keys, time, at_risk, events) pooled on their common grid.
+
+    A curve ends before the first time at which a site is missing or suppressed.
+    """
+    g = rows.groupBy(*keys, "time").agg(F.sum("at_risk").alias("at_risk"), F.sum("events").alias("events"), ((F.count("at_risk") == sites) & (F.count("events") == sites)).alias("ok"))
+    w = W.partitionBy(*keys).orderBy("time").rowsBetween(W.unboundedPreceding, 0)
+    g = g.withColumn("ok", F.bool_and("ok").over(w)).where("ok")
+    factor = F.when(F.col("at_risk") > 0, 1 - F.col("events") / F.col("at_risk")).otherwise(1.0)
+    return g.select(*keys, "time", "at_risk", "events", F.product(factor).over(w).alias("survival"))

@@ -38,6 +38,18 @@ def mean(df: DataFrame, column: str, lower: float, upper: float, grid: int = 100
     return g.withColumn("value", lower + (upper - lower) * F.try_divide(F.col("sum_grid"), F.col("n") * grid))
 
 
+def numeric(df: DataFrame, column: str, breaks: list[float]) -> DataFrame:
+    """Persons by the bin of their mean: [a, b), the last one closed; all bins are listed."""
+    one = df.where(F.col(column).isNotNull()).groupBy("person_id").agg(F.avg(column).alias("v"))
+    last = len(breaks) - 2
+    bin_ = F.when(F.col("v") == breaks[-1], last)
+    for i in range(last + 1):
+        bin_ = bin_.when((F.col("v") >= breaks[i]) & (F.col("v") < breaks[i + 1]), i)
+    spine = df.sparkSession.createDataFrame([(i, float(breaks[i]), float(breaks[i + 1])) for i in range(last + 1)], "bin int, bin_start double, bin_end double")
+    n = one.withColumn("bin", bin_).where("bin is not null").groupBy("bin").agg(F.count("*").alias("n"))
+    return spine.join(n, "bin", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+
+
 def rate(df: DataFrame, test, any_of: bool = True) -> DataFrame:
     """Share of persons with a row (or only rows) for which the test holds."""
     one = df.groupBy("person_id").agg((F.bool_or(test) if any_of else F.bool_and(test)).alias("v"))
