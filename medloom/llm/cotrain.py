@@ -174,8 +174,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     raw = {c: t.column(c).chunk(0).buffers()[2] if n else b"" for c in ("a", "b")}
     # rows by doc_id, then in an order drawn once: the same whatever order the tasks ended in
     order = np.argsort(doc, kind="stable")[np.random.default_rng(5).permutation(n)]
-    a = np.frombuffer(raw["a"], np.float16, n * (BUCKETS + DENSE)).reshape(n, -1)[order].astype(np.float32)
-    b = np.frombuffer(raw["b"], bool, n * 7 * FIELD).reshape(n, -1)[order].astype(np.float32)
+    a = np.frombuffer(raw["a"], np.float16, n * (BUCKETS + DENSE)).reshape(n, BUCKETS + DENSE)[order].astype(np.float32)
+    b = np.frombuffer(raw["b"], bool, n * 7 * FIELD).reshape(n, 7 * FIELD)[order].astype(np.float32)
     del t, raw
     return train(a, b, y[order])
 
