@@ -17,6 +17,8 @@ from .words import _SPACE, mix, slices, strings, words
 LABELLED_ROWS, POOL_ROWS = 10_000, 5_000
 #: Hash buckets of the words of the content view, and of each field of the metadata view.
 BUCKETS, FIELD = 1_024, 32
+#: Rows whose views a task holds at once.
+PART = 1_024
 ROUNDS, EXCHANGED = 3, 0.1
 _SIGN = np.zeros(256, bool)
 _SIGN[list(b"#*$%&|<>!{}~^=_\\")] = True
@@ -149,6 +151,13 @@ def train(a: np.ndarray, b: np.ndarray, y: np.ndarray, rounds: int = ROUNDS) ->
     return Model(model[0], model[1], _logistic(both, y[use], np.ones(len(use)), np.array([0.5, 0.5, 0], np.float32), steps=300, l2=1e-3))
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """At most PART rows at a time: a row's views are some thousand numbers."""
+    for b in batches:
+        for i in range(0, b.num_rows, PART):
+            yield b.slice(i, PART)
+
+
 def _views(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     texts = strings(b.column("text"))
     return content(texts), metadata(b.column("source").to_pylist(), b.column("lang").to_pylist(), b.column("n_chars").to_pylist(), texts)
@@ -163,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     picked = stage(first(ids.where("quality is not null"), LABELLED_ROWS).unionByName(first(ids.where("quality is null"), POOL_ROWS)), "picked")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _parts(batches):
             x, y = _views(b)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("quality"), pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary()), pa.array([r.astype(bool).tobytes() for r in y], pa.binary())], ["doc_id", "quality", "a", "b"])
 
@@ -184,7 +193,7 @@ def _scored(docs: DataFrame, labels: DataFrame, columns: list[str], keep: bool,
     model = fit(docs, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _parts(batches):
             score = model.score(*_views(b))
             out = b.select(columns)
             yield out.filter(pa.array(score >= least)) if keep else pa.RecordBatch.from_arrays([*out.columns, pa.array(score.astype(float))], [*columns, "score"])
