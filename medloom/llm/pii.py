@@ -175,3 +175,37 @@ def sanitise(docs: DataFrame, alpha: float = 0.95, least_texts: int = 3) -> Data
     whole = F.aggregate("__spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")).cast(state), step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
     new = F.when(F.size("__spans") > 0, whole).otherwise(F.col("text"))
     return found.select(*[new.alias("text") if c == "text" else F.col(c) for c in docs.columns])
+
+
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, md5(coalesce(text, '')) AS k FROM documents),
+kinds(kind, name, pattern) AS (VALUES (0, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+'), (1, 'ip', '[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)'),
+  (2, 'card', '[0-9](?:[\x20-]?[0-9])+'), (3, 'phone', '\+[0-9][\x20().0-9-]+[0-9]')),
+raw AS (SELECT r, kind, name, regexp_extract_all(t, pattern) AS m, string_split_regex(t, pattern) AS gap FROM d, kinds),
+one AS (SELECT r, kind, name, i, m[i] AS m, length(m[i]) AS n, length(gap[i]) AS g FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM raw)),
+posn AS (SELECT r, kind, name, m, regexp_replace(m, '[^0-9]', '', 'g') AS digits, (sum(g + n) OVER (PARTITION BY r, kind ORDER BY i))::BIGINT AS fin, n FROM one),
+base AS (SELECT r, kind, name, fin - n AS start, fin, CASE WHEN kind < 2 THEN name || ':' || lower(m) ELSE name || ':' || digits END AS e FROM posn WHERE CASE kind WHEN 0 THEN TRUE
+  WHEN 1 THEN list_min(list_transform(string_split(m, '.'), lambda x: CASE WHEN length(ltrim(x, '0')) < 3 OR (length(ltrim(x, '0')) = 3 AND ltrim(x, '0') <= '255') THEN 1 ELSE 0 END)) = 1
+  WHEN 2 THEN length(digits) BETWEEN 14 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1), lambda i: CASE WHEN i % 2 = 1 THEN substr(reverse(digits), i, 1)::INT
+    ELSE 2 * substr(reverse(digits), i, 1)::INT - CASE WHEN substr(reverse(digits), i, 1)::INT > 4 THEN 9 ELSE 0 END END)) % 10 = 0
+  ELSE length(digits) BETWEEN 10 AND 15 END),
+held AS (SELECT DISTINCT r, e FROM base),
+ent AS (SELECT e, count(*) AS n_e FROM held JOIN d USING (r) GROUP BY e HAVING count(DISTINCT k) >= 3),
+s1 AS (SELECT r, k, CASE WHEN contains(t, '@') THEN regexp_replace(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+', ' ', 'g') ELSE t END AS t FROM d),
+s2 AS (SELECT r, k, CASE WHEN regexp_matches(t, '[0-9]\.[0-9]') THEN regexp_replace(t, '[0-9]+(?:\.[0-9]+){3}', ' ', 'g') ELSE t END AS t FROM s1),
+s3 AS (SELECT r, k, CASE WHEN regexp_matches(t, '[0-9](?:[\x20-]?[0-9]){13}') THEN regexp_replace(t, '[0-9](?:[\x20-]?[0-9])+', ' ', 'g') ELSE t END AS t FROM s2),
+s4 AS (SELECT r, k, CASE WHEN regexp_matches(t, '\+[0-9]') THEN regexp_replace(t, '\+[0-9][\x20().0-9-]+[0-9]', ' ', 'g') ELSE t END AS t FROM s3),
+terms AS (SELECT r, k, unnest(list_distinct(regexp_extract_all(t, '[^\x20\x09-\x0D]+'))) AS term FROM s4),
+spread AS (SELECT term, count(*) AS n_t FROM terms GROUP BY term),
+pair AS (SELECT e, n_e, term, k FROM held JOIN ent USING (e) JOIN terms USING (r)),
+close AS (SELECT e, term FROM (SELECT e, n_e, term, count(*) AS n_te FROM pair GROUP BY ALL HAVING count(DISTINCT k) >= 3) JOIN spread USING (term), (SELECT count(*)::DOUBLE AS n FROM d)
+  WHERE log2(n / n_e) > 0 AND log2(n_te * n / (n_t * n_e)) >= 0.95::DOUBLE * log2(n / n_e)),
+told AS (SELECT DISTINCT k, term FROM pair JOIN close USING (e, term)),
+w AS (SELECT r, k, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS m, string_split_regex(t, '[^\x20\x09-\x0D]+') AS gap FROM d WHERE k IN (SELECT k FROM told)),
+tok AS (SELECT r, k, m[i] AS term, length(m[i]) AS n, (sum(length(gap[i]) + length(m[i])) OVER (PARTITION BY r ORDER BY i))::BIGINT AS fin FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM w)),
+span AS (SELECT r, kind, name, start, fin FROM base UNION ALL SELECT r, 4, 'term', fin - n, fin FROM tok JOIN told USING (k, term)),
+out AS (SELECT r, count(*) FILTER (kind = 0) AS n_email, count(*) FILTER (kind = 1) AS n_ip, count(*) FILTER (kind = 2) AS n_card, count(*) FILTER (kind = 3) AS n_phone,
+  string_agg(name || ':' || start || ':' || fin, ',' ORDER BY start, kind, fin) FILTER (kind < 4) AS base, string_agg(name || ':' || start || ':' || fin, ',' ORDER BY start, kind, fin) AS spans FROM span GROUP BY r)
+SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGINT AS n_ip, coalesce(n_card, 0)::BIGINT AS n_card, coalesce(n_phone, 0)::BIGINT AS n_phone,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN out USING (r)
+"""

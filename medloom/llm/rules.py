@@ -139,3 +139,26 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float
         over = over | F.coalesce(v > F.col(f"cut_{r}"), F.lit(False))
     out = stats.join(cuts, F.col(stratum).eqNullSafe(F.col("own_stratum")), "left").withColumn("base_failed", failed).withColumn("kept", ~failed & ~over)
     return out.select("doc_id", *_FIELDS, "base_failed", "kept")
+
+
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT r, unnest(range(1, len(w) - 1)) AS i, w FROM d),
+a AS (SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS n FROM g),
+e AS (SELECT r, count(DISTINCT j)::BIGINT AS n_repeat_words FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM a WHERE n > 1) GROUP BY r),
+l AS (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+s AS (SELECT r, doc_id, lang, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars, (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+        len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words FROM l LEFT JOIN e USING (r)),
+v AS (SELECT *, coalesce(n_symbols / nullif(word_chars, 0), 0)::DOUBLE AS symbols, coalesce(n_dup_lines / nullif(n_lines, 0), 0)::DOUBLE AS dup_lines, coalesce(n_repeat_words / nullif(n_words, 0), 0)::DOUBLE AS repeats,
+        coalesce(word_chars / nullif(n_words, 0), 0)::DOUBLE AS long_words FROM s),
+u AS (SELECT r, doc_id, lang, unnest([{'rule': 1, 'x': symbols}, {'rule': 2, 'x': dup_lines}, {'rule': 3, 'x': repeats}, {'rule': 4, 'x': long_words}, {'rule': 5, 'x': -long_words}], recursive := true) FROM v),
+c AS (SELECT rule, CASE rule WHEN 1 THEN (i + 1) / 100.0::DOUBLE WHEN 2 THEN (i + 1) / 32.0::DOUBLE WHEN 3 THEN (i + 1) / 32.0::DOUBLE WHEN 4 THEN 5 + i / 4.0::DOUBLE ELSE -5 + i / 8.0::DOUBLE END AS cut FROM range(1, 6) a(rule), range(32) b(i)),
+good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
+n AS (SELECT lang, rule, cut, count(*)::BIGINT AS n, count(*) FILTER (x > cut)::BIGINT AS k FROM u JOIN good USING (doc_id) JOIN c USING (rule) GROUP BY lang, rule, cut),
+b AS (SELECT lang, rule, min(cut) AS cut FROM n WHERE k < n
+        AND list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.02::DOUBLE / 5) + (n - i) * ln(1 - 0.02::DOUBLE / 5))))
+        <= 0.05::DOUBLE / (5 * 32 * (SELECT count(*) FROM (SELECT DISTINCT lang FROM documents))) GROUP BY lang, rule),
+o AS (SELECT DISTINCT u.r FROM u JOIN b ON u.lang IS NOT DISTINCT FROM b.lang AND u.rule = b.rule AND u.x > b.cut)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND o.r IS NULL AS kept FROM s LEFT JOIN o USING (r)
+"""

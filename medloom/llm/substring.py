@@ -304,3 +304,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     hit = hit.select("doc_id", "tag", F.transform(each, lambda x: F.struct((x["begin"] + F.col("pos")).alias("begin"), (x["end"] + F.col("pos")).alias("end"))).alias("spans")).where("spans is not null")
     hit = hit.groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     return d.join(hit, ["doc_id", "tag"], "left").select("doc_id", "text", "spans").mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept_text string")
+
+
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT r, doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+x AS (SELECT r, doc_id, i, w[i] AS word, CASE WHEN i + 49 <= len(w) THEN md5(array_to_string(w[i:i + 49], ' ')) END AS h FROM p),
+f AS (SELECT h, min(doc_id) AS least FROM x WHERE h IS NOT NULL GROUP BY h),
+y AS (SELECT r, i, word, coalesce(max(CASE WHEN f.least < doc_id THEN i END) OVER (PARTITION BY r ORDER BY i) > i - 50, FALSE) AS gone FROM x LEFT JOIN f USING (h)),
+k AS (SELECT r, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM y GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (r)
+"""

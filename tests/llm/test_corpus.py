@@ -10,6 +10,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from compare import differences
+
 import corpus_pipeline
 from medloom.llm import chat, cotrain, decontam, mixing, pii, registry, rules, simhash, substring, toxicity, warc
 from medloom.llm.components import components
@@ -58,6 +60,11 @@ def plain_pii(text):
     return sorted(found)
 
 
+@pytest.mark.parametrize("name", ["op2_pii", "op8_substring", "op10_rules"])
+def test_query_equals_sql(spark, name):
+    assert differences(registry.queries()[name](spark, SF), registry.oracle_sql()[name], SF) == ""
+
+
 def test_mixing_equals_sql(spark):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
