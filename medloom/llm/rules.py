@@ -95,12 +95,15 @@ def cutoffs(stats: DataFrame, labels: DataFrame, stratum: str, risk: float, erro
     labels: (doc_id, quality). On the labelled good documents of a stratum, a cutoff is
     safe if the exact (Clopper-Pearson) upper bound of its share of rejected ones is at
     most risk / number of rules; the lowest safe one is taken. Bounds hold together at
-    level 1 - error: each is taken at error / (rules x cutoffs x strata), after
-    Bonferroni. What is collected by stratum is a histogram of fixed size.
+    level 1 - error: those of a rule in a stratum are at error / (rules x strata), after
+    Bonferroni. A rule's cutoffs are tested from the highest down to the first that
+    fails, a fixed sequence, which needs no further correction; as a lower cutoff rejects
+    no fewer documents, this is the lowest one that passes. What is collected by stratum
+    is a histogram of fixed size.
     """
     good = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id")
     strata = max(1, stats.select(stratum).distinct().count())
-    each = error / (len(RULES) * max(map(len, RULES.values())) * strata)
+    each = error / (len(RULES) * strata)
     bins = [F.struct(F.lit(r).alias("rule"), sum((v > F.lit(t)).cast("int") for t in RULES[r]).alias("above")) for r, v in values().items()]
     held = stats.join(good, "doc_id").select(stratum, F.explode(F.array(*bins)).alias("x")).groupBy(stratum, "x.rule", "x.above").agg(F.count("*").alias("n"))
     grid, rules = {r: sorted(t) for r, t in RULES.items()}, list(RULES)
@@ -157,7 +160,7 @@ good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVI
 n AS (SELECT lang, rule, cut, count(*)::BIGINT AS n, count(*) FILTER (x > cut)::BIGINT AS k FROM u JOIN good USING (doc_id) JOIN c USING (rule) GROUP BY lang, rule, cut),
 b AS (SELECT lang, rule, min(cut) AS cut FROM n WHERE k < n
         AND list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.02::DOUBLE / 5) + (n - i) * ln(1 - 0.02::DOUBLE / 5))))
-        <= 0.05::DOUBLE / (5 * 32 * (SELECT count(*) FROM (SELECT DISTINCT lang FROM documents))) GROUP BY lang, rule),
+        <= 0.05::DOUBLE / (5 * (SELECT count(*) FROM (SELECT DISTINCT lang FROM documents))) GROUP BY lang, rule),
 o AS (SELECT DISTINCT u.r FROM u JOIN b ON u.lang IS NOT DISTINCT FROM b.lang AND u.rule = b.rule AND u.x > b.cut)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND o.r IS NULL AS kept FROM s LEFT JOIN o USING (r)
