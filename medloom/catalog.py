@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import catalog_people, catalog_results, catalog_vocabulary  # noqa: F401  (they add their queries)
+from . import catalog_people, catalog_results, catalog_sites, catalog_vocabulary  # noqa: F401  (they add their queries)
 from .cdm.fixture import sql, view
 from .functions.dates import age_at, age_band, complete_months, week
 from .operators import cohort as C

@@ -83,3 +83,21 @@ def concept_set(concepts: Sequence[int], ancestors: DataFrame, descendants: bool
         gone = spark.createDataFrame([(int(c),) for c in exclude], "concept_id int")
         out = out.join(gone.union(below(exclude)) if descendants else gone, "concept_id", "left_anti")
     return out.distinct()
+
+
+def from_table(rows: DataFrame) -> DataFrame:
+    """The persons of any result as a cohort."""
+    return rows.where("person_id is not null").select(F.col("person_id").alias("subject_id")).distinct()
+
+
+def scope(cohorts: Sequence[DataFrame], how: str = "union") -> DataFrame:
+    """The persons of several cohorts: those in any (union) or in all (intersect)."""
+    persons = cohorts[0].select("subject_id").distinct()
+    for c in cohorts[1:]:
+        persons = combine(persons, c, how)
+    return persons
+
+
+def within(rows: DataFrame, persons: DataFrame) -> DataFrame:
+    """Rows of the persons in scope."""
+    return rows.join(persons, rows["person_id"] == persons["subject_id"], "left_semi")

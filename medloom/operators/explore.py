@@ -117,3 +117,19 @@ def summary(df: DataFrame, column: str) -> DataFrame:
         return value_counts(df, column)
     q = quantiles(df, column).agg(F.map_from_entries(F.collect_list(F.struct("prob", "value"))).alias("quantiles"))
     return column_stats(df, column).crossJoin(F.broadcast(q))  # one row each
+
+
+def prevalence_of_all(tables: dict[str, tuple[DataFrame, str]], metric: str = "persons", top: int = 50, offset: int = 0, least_persons: int = 3) -> DataFrame:
+    """Prevalence over several tables as one; tables maps a name to (rows, concept column)."""
+    parts = [df.select("person_id", F.col(column).alias("concept_id")) for df, column in tables.values()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return prevalence(out, "concept_id", metric, top, offset, least_persons)
+
+
+def crosstab_slices(df: DataFrame, row: str, col: str, stratum: str, by: str = "persons", least_persons: int = 3) -> DataFrame:
+    """A crosstab for each value of a third column; small cells of each go."""
+    g = df.groupBy(F.col(stratum).alias("stratum"), F.col(row).alias("row_value"), F.col(col).alias("col_value"))
+    g = g.agg(F.count_distinct("person_id").alias("n_persons"), F.count("*").alias("n_records")).where(F.col("n_persons") >= least_persons)
+    return g.select("stratum", "row_value", "col_value", F.col(f"n_{by}").alias("n"))

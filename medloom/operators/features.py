@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,3 +59,10 @@ def durations(events: DataFrame, by: Sequence[str], start: str, end: str) -> Dat
     """Days from start to end, a missing end being the start."""
     days = F.datediff(F.coalesce(end, start), start)
     return events.groupBy(*by).agg(F.avg(days).alias("duration_mean"), F.sum(days).alias("duration_sum"), F.max(days).alias("duration_max"))
+
+
+def block(events: DataFrame, by: Sequence[str], concept: str, concepts: Sequence[int], make: Callable[[Column], dict[str, Column]]) -> DataFrame:
+    """The same features for each of several concepts, in one pass: ``make`` gives the
+    features of the rows for which its argument holds; columns are name_concept."""
+    specs = {f"{name}_{c}": column for c in concepts for name, column in make(F.col(concept) == c).items()}
+    return features(events.where(F.col(concept).isin(*concepts)), by, specs)

@@ -104,3 +104,23 @@ def survival_curves(rows: DataFrame, keys: Sequence[str], sites: int) -> DataFra
     g = g.withColumn("ok", F.bool_and("ok").over(w)).where("ok")
     factor = F.when(F.col("at_risk") > 0, 1 - F.col("events") / F.col("at_risk")).otherwise(1.0)
     return g.select(*keys, "time", "at_risk", "events", F.product(factor).over(w).alias("survival"))
+
+
+def site_histograms(rows: DataFrame, site: str, value: str, bins: int = 20, low: float = 0.05, high: float = 0.95) -> DataFrame:
+    """(site, bin, bin_start, bin_end, n) on edges that all sites share: from the least lower
+    to the greatest upper quantile of a site. Values beyond go to the outer bins."""
+    v = rows.where(F.col(value).isNotNull()).select(F.col(site).alias("site"), F.col(value).cast("double").alias("v"))
+    own = v.groupBy("site").agg(F.percentile("v", F.lit(low)).alias("lo"), F.percentile("v", F.lit(high)).alias("hi"))
+    edge = own.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).select("lo", ((F.col("hi") - F.col("lo")) / bins).alias("w"))
+    put = F.greatest(F.lit(0), F.least(F.lit(bins - 1), F.coalesce(F.floor(F.try_divide(F.col("v") - F.col("lo"), F.col("w"))), F.lit(0)))).cast("int")
+    found = v.crossJoin(F.broadcast(edge)).groupBy("site", put.alias("bin")).agg(F.count("*").alias("n"))  # one row of edges
+    spine = own.select("site", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")).crossJoin(F.broadcast(edge))
+    start = F.col("lo") + F.col("bin") * F.col("w")
+    return spine.join(found, ["site", "bin"], "left").select("site", "bin", start.alias("bin_start"), (start + F.col("w")).alias("bin_end"), F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def released_mean(rows: DataFrame, lower: float, upper: float, grid: int = 1000) -> DataFrame:
+    """The mean that the sites' released counts and grid sums (n, sum_grid) give together, kept within its bounds."""
+    g = rows.agg(F.sum("n").alias("n"), F.sum("sum_grid").alias("sum_grid"))
+    value = lower + (upper - lower) * F.try_divide(F.col("sum_grid"), F.col("n") * grid)
+    return g.withColumn("value", F.when(value.isNotNull(), F.greatest(F.lit(lower), F.least(F.lit(upper), value))))

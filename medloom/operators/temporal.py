@@ -71,3 +71,12 @@ def wide(events: DataFrame, by: Sequence[str], concept: str, concepts: Sequence[
 
 def sparse(events: DataFrame, by: Sequence[str], concept: str) -> DataFrame:
     return events.groupBy(*by, F.col(concept).alias("covariate_id")).agg(F.count("*").alias("covariate_value"))
+
+
+def select_intervals(found: DataFrame, order: str = "first", n: int = 1, anchor: int = 0, by_concept: bool = False) -> DataFrame:
+    """First, last or nearest (to day ``anchor``) n intervals of an episode, or of each
+    concept in it; ties by end, then concept."""
+    key = F.col("start_days_from_index")
+    first = {"first": key.asc(), "last": key.desc(), "nearest": F.abs(key - anchor).asc()}[order]
+    w = W.partitionBy("subject_id", "episode_id", *(["concept_id"] if by_concept else [])).orderBy(first, "end_days_from_index", "concept_id", "start_days_from_index")
+    return found.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")

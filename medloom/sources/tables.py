@@ -30,3 +30,15 @@ def write_staged(outputs: dict[str, DataFrame], path: str) -> str:
 def read_staged(spark: SparkSession, run: str) -> dict[str, DataFrame]:
     rows = spark.read.schema("name string, path string, fields string").json(f"{run}/manifest").collect()  # a row per output
     return {r.name: spark.read.parquet(r.path) for r in rows}
+
+
+def write_cohort(cohort: DataFrame, path: str) -> None:
+    """Keep cohorts in parquet, a folder for each cohort_definition_id; those that are
+    written again are replaced, the others stay."""
+    cohort.repartition("cohort_definition_id", "subject_id").write.partitionBy("cohort_definition_id").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+
+
+def read_cohort(spark: SparkSession, path: str, definition: int | None = None) -> DataFrame:
+    """Kept cohorts; of one definition only its folder is read."""
+    df = spark.read.parquet(path)
+    return df if definition is None else df.where(df["cohort_definition_id"] == definition)
