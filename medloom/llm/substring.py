@@ -58,11 +58,10 @@ class Automaton:
             self.extend(t)
         self.extend(object())  # nothing matches across the end
 
-    def spans(self, tokens: Iterable, least: int) -> list[tuple[int, int]]:
-        """Maximal spans of tokens that are covered by matches of at least ``least``: the
-        matching statistic at i is the longest match that ends there."""
+    def ends(self, tokens: Iterable, least: int) -> Iterator[int]:
+        """Where matches of at least ``least`` tokens end: the matching statistic at i is the
+        longest match that ends there."""
         state = size = 0
-        out: list[list[int]] = []
         nxt, link, length = self.next, self.link, self.length
         for i, t in enumerate(tokens, 1):
             while t not in nxt[state] and state:
@@ -71,12 +70,22 @@ class Automaton:
             if t in nxt[state]:
                 state, size = nxt[state][t], size + 1
             if size >= least:
-                begin = i - least
-                if out and begin <= out[-1][1]:
-                    out[-1][1] = i
-                else:
-                    out.append([begin, i])
-        return [(a, b) for a, b in out]
+                yield i
+
+    def spans(self, tokens: Iterable, least: int) -> list[tuple[int, int]]:
+        """Maximal spans of tokens that are covered by matches of at least ``least``."""
+        return merged(self.ends(tokens, least), least)
+
+
+def merged(ends: Iterable[int], size: int) -> list[tuple[int, int]]:
+    """Maximal spans of the words of windows of ``size`` words with these ends, which rise."""
+    out: list[list[int]] = []
+    for i in ends:
+        if out and i - size <= out[-1][1]:
+            out[-1][1] = i
+        else:
+            out.append([i - size, i])
+    return [(a, b) for a, b in out]
 
 
 def _ranges(h: np.ndarray) -> np.ndarray:
@@ -195,10 +204,11 @@ def _match(window: int, anchor: int):
             later = []
             for k in range(i, j):
                 part = texts[k].encode().split()[begin[k] : end[k]]
-                found = shard.spans(part, window) if len(shard.next) > 1 else []
-                if found:
+                ends = list(shard.ends(part, window)) if len(shard.next) > 1 else []
+                if ends:
+                    found = merged(ends, window)
                     yield k, cs[k], [a + begin[k] for a, _ in found], [b + begin[k] for _, b in found]
-                if found != [(0, len(part))]:
+                if len(ends) < len(part) - window + 1:  # all words may be covered, and a window still be new
                     later.append(part)
             for part in later:
                 shard.add(part)

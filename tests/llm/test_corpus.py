@@ -6,6 +6,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from compare import differences
 import corpus_pipeline
 from medloom.llm import chat, cotrain, decontam, mixing, pii, registry, rules, simhash, substring, toxicity, warc
 from medloom.llm.components import components
+from medloom.llm.words import words
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, terms string, size string, m string, fp string, kept string, score string, bucket string"
@@ -294,6 +296,24 @@ def test_substring_equals_plain(spark, window):
     assert got == plain_cut([(x.doc_id, x.text) for x in df.collect()], window)
 
 
+@pytest.mark.parametrize("window", [10, 50])
+def test_substring_knows_windows_across_covered_words(spark, window):
+    # all words of document 3 are covered by the windows of 1 and 2, but not its middle window
+    anchor, rows = 8, None
+    for seed in range(300):
+        c = [f"c{seed}x{i}" for i in range(window + 2)]
+        texts = [c[:window] + ["junk1"], ["junk2", *c[2:]], c, ["junk3", *c[1 : window + 1], "junk4"]]
+        docs = pa.array([" ".join(t) for t in texts])
+        s = substring._segments(words(docs), window, anchor)
+        whole = [m for m, t, n in zip(s["m"], s["text"], s["n"], strict=True) if t == 2 and n == window + 2]
+        if whole and all(whole[0] in s["m"][s["text"] == t] for t in (0, 1, 3)):
+            rows = list(enumerate(docs.to_pylist(), 1))
+            break
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, substring.remove_repeats(df, window).collect()), key=repr)
+    assert got == plain_cut(rows, window) and got[3][2] == window
+
+
 def test_substring_odd_rows(odd):
     got = sorted(map(tuple, substring.remove_repeats(odd).collect()), key=repr)
     assert got == plain_cut([(x.doc_id, x.text) for x in odd.collect()], 50)
