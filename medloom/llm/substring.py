@@ -19,6 +19,8 @@ WINDOW, ANCHOR = 50, 8
 CHUNK = 400_000
 #: A segment with at least 1/HOT of all rows is joined by broadcast: HOT rows at most.
 HOT = 1_000
+#: Segments of a shard that a task holds; a larger shard is dealt by its windows.
+SHARD = 4_096
 
 
 class Automaton:
@@ -161,6 +163,41 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(rows["m"], pa.int64()), pa.array(rows["c"], pa.int64()), pa.array(rows["doc_id"], pa.int64()), pa.array(rows["words"], pa.string())], ["m", "c", "doc_id", "words"])
 
 
+def _windows(window: int):
+    """Of documents with lists of segments, the hashes of each segment's windows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, lists = strings(b.column("text")), b.column("wanted").to_pylist()
+            docs = b.column("doc_id").to_pylist()
+            for i, j in slices(texts):
+                w = words(texts[i:j])
+                g = signed(runs(w.hashes(), window))
+                rows = [(x["m"], x["c"], docs[k], w.first[k - i] + x["pos"], x["n"] - window + 1) for k in range(i, j) for x in lists[k]]
+                m, c, doc, at, n = zip(*rows, strict=True) if rows else [()] * 5
+                ends = np.append(0, np.cumsum(n)).astype(np.int32)
+                held = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([g[a : a + k] for a, k in zip(at, n, strict=True)]) if rows else g[:0]))
+                yield pa.RecordBatch.from_arrays([pa.array(m, pa.int64()), pa.array(c, pa.int64()), pa.array(doc, pa.int64()), held], ["m", "c", "doc_id", "windows"])
+
+    return run
+
+
+def _dealt(rows: DataFrame, window: int) -> DataFrame:
+    """(m, c, begins, ends) of segments with a window that a smaller doc_id has, by the
+    hashes of the windows; rows: (m, c, doc_id, windows). Equal windows are merged by a
+    partial minimum, and those that make a large share of all are joined by broadcast."""
+    rows = stage(rows, "windows")
+    total = rows.agg(F.coalesce(F.sum(F.size("windows")), F.lit(0))).first()[0]
+    each = rows.select("m", "c", "doc_id", F.posexplode("windows").alias("at", "w"))
+    first = each.groupBy("m", "w").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("last > first").select("m", "w", "first", "n")
+    hot = F.col("n") * HOT >= total
+    marked = each.join(F.broadcast(first.where(hot).drop("n")), ["m", "w"], "left")
+    cold = marked.where("first is null").select("m", "w", "c", "doc_id", "at").join(first.where(~hot).drop("n"), ["m", "w"])
+    known = marked.where("doc_id > first").select("m", "c", "at").unionByName(cold.where("doc_id > first").select("m", "c", "at"))
+    known = known.groupBy("m", "c").agg(F.sort_array(F.collect_list("at")).alias("begins"))
+    return known.select("m", "c", "begins", F.transform("begins", lambda x: x + window).alias("ends"))
+
+
 def _trim(m: np.ndarray, texts: pa.Array, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
     """Of each segment, the range of words that windows of another segment of its shard
     may hold. Segments of a shard stand aligned at their least anchor; what reaches from
@@ -286,6 +323,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
        streamed through a suffix automaton of the earlier ones; where the matching
        statistic reaches ``window``, words are covered. Then it joins the reference.
        Before, each loses the words that no other segment of the shard can share.
+       A shard of more than SHARD segments, that of a very common passage, is dealt by
+       the hashes of its windows instead, at most window - anchor + 1 of each different
+       segment: known are those that a smaller doc_id has. The result is the same.
     4. Covered spans go back to all documents that hold the segment.
 
     Windows are judged on the input. Null texts have no words. A null doc_id is neither
@@ -298,10 +338,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     only = seg.groupBy("m", "c").agg(F.min(F.struct("doc_id", "tag", "pos", "n")).alias("f"), F.max("doc_id").alias("last"), F.count("*").alias("rows"))
     only = only.select("m", "c", "f.*", "last", "rows")
     shared = only.where("last > doc_id").select("m", "c", "rows", F.col("doc_id").alias("owner"), F.lit(None).cast("array<int>").alias("begins"), F.lit(None).cast("array<int>").alias("ends"))
-    varied = only.withColumn("n_in", F.count("*").over(W.partitionBy("m"))).where("n_in > 1")
-    wanted = varied.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("m", "c", "pos", "n")).alias("wanted"))
-    texts = d.join(wanted, ["doc_id", "tag"], "left").select("doc_id", "text", "wanted").mapInArrow(_texts, "m long, c long, doc_id long, words string")
+    large = F.broadcast(seg.groupBy("m").count().where(F.col("count") > SHARD).select("m"))
+    varied = only.join(large, "m", "left_anti").withColumn("n_in", F.count("*").over(W.partitionBy("m"))).where("n_in > 1")
+
+    def holding(some: DataFrame, how: str) -> DataFrame:
+        wanted = some.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("m", "c", "pos", "n")).alias("wanted"))
+        return d.join(wanted, ["doc_id", "tag"], how).select("doc_id", "text", "wanted")
+
+    texts = holding(varied, "left").mapInArrow(_texts, "m long, c long, doc_id long, words string")
     found = texts.repartition("m").sortWithinPartitions("m", "doc_id", "c").mapInArrow(_match(window, anchor), "m long, c long, begins array<int>, ends array<int>")
+    dealt = holding(only.join(large, "m", "left_semi"), "inner").mapInArrow(_windows(window), "m long, c long, doc_id long, windows array<long>")
+    found = found.unionByName(_dealt(dealt, window))
     spans = shared.unionByName(found.withColumn("owner", F.lit(None).cast("long")).withColumn("rows", F.lit(0).cast("long"))).groupBy("m", "c").agg(F.max("rows").alias("rows"), F.max("owner").alias("owner"), F.max("begins").alias("begins"), F.max("ends").alias("ends"))
     hot = F.col("rows") * HOT >= seg.count()
     marked = seg.join(F.broadcast(spans.where(hot).withColumnRenamed("rows", "hot")), ["m", "c"], "left")

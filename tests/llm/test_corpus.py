@@ -314,6 +314,43 @@ def test_substring_knows_windows_across_covered_words(spark, window):
     assert got == plain_cut(rows, window) and got[3][2] == window
 
 
+@pytest.mark.parametrize("shard", [0, 40])
+def test_substring_deals_large_shards(spark, monkeypatch, shard):
+    # a passage with an edit of its own in most documents: no task gets all of a shard's segments
+    passage = prose(60, 77).split()
+    rows = []
+    for i in range(240):
+        r = np.random.default_rng(i)
+        p = list(passage)
+        if i % 3:
+            p[r.integers(60)] = str(r.choice(VOCAB[:5]))
+        rows.append((int(i * 7 % 200), prose(int(r.integers(0, 30)), 500 + i % 90) + " " + " ".join(p) + " " + prose(int(r.integers(0, 30)), 700 + i % 90)))
+    rows += [(None, rows[0][1]), (7, None), (8, "")]
+    monkeypatch.setattr(substring, "SHARD", shard, raising=False)
+    match = substring._match
+
+    def checked(window, anchor):
+        run = match(window, anchor)
+
+        def counted(batches):
+            def seen():
+                held = Counter()
+                for b in batches:
+                    held.update(b.column("m").to_pylist())
+                    if max(held.values(), default=0) > shard:
+                        raise ValueError(f"{max(held.values())} segments of a shard in one task")
+                    yield b
+
+            yield from run(seen())
+
+        return counted
+
+    monkeypatch.setattr(substring, "_match", checked)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, substring.remove_repeats(df, 20).collect()), key=repr)
+    assert got == plain_cut(rows, 20)
+
+
 def test_substring_odd_rows(odd):
     got = sorted(map(tuple, substring.remove_repeats(odd).collect()), key=repr)
     assert got == plain_cut([(x.doc_id, x.text) for x in odd.collect()], 50)
