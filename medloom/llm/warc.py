@@ -59,16 +59,22 @@ class Gap:
     reason: str
 
 
-def _plain(data: bytes, at: int) -> tuple[Record, int] | str:
-    """The record whose version line is at ``at`` and where it ends; else what is wrong."""
-    end = data.find(b"\r\n\r\n", at, at + (1 << 16))
-    if end < 0:
-        return "header without an end"
-    lines = data[at:end].split(b"\r\n")
-    if not re.fullmatch(rb"WARC/1\.[01]", lines[0]):
+def _lines(data: bytes, at: int, end: int) -> Iterator[bytes]:
+    while at <= end:
+        stop = data.find(b"\r\n", at, end)
+        stop = end if stop < 0 else stop
+        yield data[at:stop]
+        at = stop + 2
+
+
+def _plain(data: bytes, at: int, end: int) -> tuple[Record, int] | str:
+    """The record whose version line is at ``at``, and its header's end at ``end``, and where
+    it ends; else what is wrong."""
+    lines = _lines(data, at, end)
+    if not re.fullmatch(rb"WARC/1\.[01]", next(lines)):
         return "no version line"
     headers = {}
-    for line in lines[1:]:
+    for line in lines:
         name, colon, value = line.partition(b":")
         if not colon:
             return "header line without a colon"
@@ -107,6 +113,7 @@ def read_archive(data: bytes) -> tuple[list[Record], list[Gap]]:
     gaps: list[Gap] = []
     at, n = 0, len(data)
     lost: tuple[int, str] | None = None
+    head = -1  # the next end of a header, however far; n if there is none
     while at < n:
         if data[at : at + 3] == GZIP:
             got = _member(data, at)
@@ -123,7 +130,10 @@ def read_archive(data: bytes) -> tuple[list[Record], list[Gap]]:
                     at = got[1]
                     continue
         elif data[at : at + 7] == VERSION:
-            got = _plain(data, at)
+            if head < at:
+                head = data.find(b"\r\n\r\n", at)
+                head = n if head < 0 else head
+            got = _plain(data, at, head) if head < n else "header without an end"
             if not isinstance(got, str):
                 if lost:
                     gaps.append(Gap(lost[0], at, lost[1]))

@@ -380,6 +380,12 @@ def test_warc_round_trip_equals_sql(spark):
     assert twice.count() == 15 and warc.round_trip(df.limit(0)).count() == 0
 
 
+def test_warc_reads_long_urls(spark):
+    rows = [(1, "http://a/" + "x" * (1 << 20), "one"), (2, "http://b/" + "é" * (1 << 19), "two"), (3, "u", "three")]
+    out = warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id, bytes(r.payload).decode()) for r in out) == [(i, html) for i, _, html in rows]
+
+
 def test_salvage_goes_on_after_damage():
     records = [warc.record(i, "u", f"page {i} ".encode() * 50, warc.digest(f"page {i} ".encode() * 50)) for i in range(6)]
     whole = b"".join(records)
