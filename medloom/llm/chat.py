@@ -59,25 +59,10 @@ def _shared(a: str, b: str) -> int:
     return low
 
 
-def render(template: Template, turns: list[Turn], context: int = CONTEXT) -> Rendered:
-    """Render successive prefixes of the turns and compare consecutive results.
-
-    What the longer one adds is the turn's span; if the shorter one isn't its beginning,
-    the template rewrites history: such a turn has no content span, and counts in
-    rewrites. Prefixes are whole up to 2 * context turns; from there on they begin
-    ``context`` turns before, as long as the turn at the change adds the same text to the
-    short prefix as to the long one. So the work grows with the turns for templates that
-    look back a little; for others prefixes stay whole.
-
-    Where a turn's text stands in its span is found by rendering the turn again with two
-    other texts: what doesn't change is the frame, kept by role and place.
-    """
-    frames: dict[tuple[str, bool], tuple[int, int]] = {}
-    out, parts, at, first = Rendered(""), [], 0, 0
+def _render(template: Template, turns: list[Turn], context: int) -> Rendered | None:
+    """None: prefixes began later than the conversation when a turn rewrote history."""
     before = template([])
-    head = before
-    parts.append(head)
-    at = len(head)
+    out, parts, at, first = Rendered(""), [before], len(before), 0
     for i, turn in enumerate(turns):
         now = template(turns[first : i + 1])
         if i - first + 1 > 2 * context and not out.rewrites:
@@ -87,31 +72,61 @@ def render(template: Template, turns: list[Turn], context: int = CONTEXT) -> Ren
                 first, before, now = i - context, lead, short
         if now.startswith(before):
             added = now[len(before) :]
-            key = (turn["role"], i == first)
-            if key not in frames:
-                lead = turns[max(first, i - 1) : i]
-                base = template(lead)
-                a, b = (template([*lead, {"role": turn["role"], "text": x}])[len(base) :] for x in ("aXa", "ZyyZ"))
+            a, b = (template([*turns[first:i], {"role": turn["role"], "text": x}]) for x in ("aXa", "ZyyZ"))
+            content = None
+            if a.startswith(before) and b.startswith(before):
+                a, b = a[len(before) :], b[len(before) :]
                 front = _shared(a, b)
-                frames[key] = front, _shared(a[front:][::-1], b[front:][::-1])
-            front, back = frames[key]
+                back = _shared(a[front:][::-1], b[front:][::-1])
+                if len(added) >= front + back and added[:front] == a[:front] and added[len(added) - back :] == a[len(a) - back :]:
+                    content = (at + front, at + len(added) - back)
             out.spans.append((at, at + len(added)))
-            out.contents.append((at + front, at + len(added) - back) if len(added) >= front + back else None)
+            out.contents.append(content)
             parts.append(added)
             at += len(added)
+        elif first:
+            return None
         else:
+            same = _shared(before, now)
+            for k in reversed(range(i)):
+                if out.spans[k][1] <= same:
+                    break
+                out.spans[k] = min(out.spans[k][0], same), same
+                if out.contents[k] and out.contents[k][1] > same:
+                    out.contents[k] = None
             out.rewrites += 1
+            parts, at = [now], len(now)
             out.spans.append((at, at))
             out.contents.append(None)
         before = now
-    out.text = template(turns) if out.rewrites else "".join(parts)
+    out.text = "".join(parts)
+    return out
+
+
+def render(template: Template, turns: list[Turn], context: int = CONTEXT) -> Rendered:
+    """Render successive prefixes of the turns and compare consecutive results.
+
+    What the longer one adds is the turn's span; if the shorter one isn't its beginning,
+    the template rewrites history: such a turn has no content span, nor have earlier turns
+    whose text changes, and it counts in rewrites. Prefixes are whole up to 2 * context
+    turns; from there on they begin ``context`` turns before, as long as the turn at the
+    change adds the same text to the short prefix as to the long one. So the work grows
+    with the turns for templates that look back a little. If that doesn't give the text of
+    the whole conversation, all is rendered again with whole prefixes.
+
+    Where a turn's text stands in its span is found by rendering the turn, after the same
+    turns, with two other texts: what doesn't change is the frame.
+    """
+    out = _render(template, turns, context)
+    if out is None or out.text != template(turns):
+        out = _render(template, turns, len(turns))
     return out
 
 
 def rewrites_history(template: Template, roles: tuple[str, ...] = ("system", "user", "assistant")) -> bool:
     """Whether the template changes earlier turns when one comes, on a conversation made
-    to show it: all roles, twice, with white space and reasoning marks."""
-    turns = [{"role": r, "text": f" <think>{i}</think> text {i} "} for i, r in enumerate(roles * 2)]
+    to show it: all roles, fifty times, with white space and reasoning marks."""
+    turns = [{"role": r, "text": f" <think>{i}</think> text {i} "} for i, r in enumerate(roles * 50)]
     return render(template, turns).rewrites > 0
 
 

@@ -207,6 +207,21 @@ def test_templates_that_rewrite_history_are_seen():
     assert r.text == chat.chatml(turns) and [r.text[a:b] for a, b in r.contents] == [t["text"] for t in turns]
 
 
+def test_late_rewrites_and_changing_frames():
+    last = lambda turns: "".join(f"[{t['text']}]" for t in turns[-100:])
+    head = lambda turns: "".join(f"<{t['text']}>" for t in sorted(turns, key=lambda t: t["role"] != "tool"))
+    numbered = lambda turns: "".join(f"{i}: {t['text']};" for i, t in enumerate(turns))
+    follows = lambda turns: "".join(("" if i and turns[i - 1]["role"] == t["role"] else f"{t['role']}:") + t["text"] + "\n" for i, t in enumerate(turns))
+    turns = [{"role": "tool" if i == 80 else "user" if i % 5 < 2 else "assistant", "text": f"text {i}"} for i in range(150)]
+    for template, rewrites in ((last, 50), (head, 1), (numbered, 0), (follows, 0)):
+        r = chat.render(template, turns)
+        assert r.text == template(turns) and r.rewrites == rewrites
+        assert all(c is None or r.text[c[0] : c[1]] == t["text"] for t, c in zip(turns, r.contents, strict=True))
+        assert rewrites or None not in r.contents
+    assert [c is not None for c in chat.render(head, turns).contents] == [i > 80 for i in range(150)]
+    assert chat.rewrites_history(last)
+
+
 def plain_fingerprint(text):
     words = (text or "").encode().lower().split()
     h = [xxhash.xxh64_intdigest(b" ".join(words[i : i + 3]), 42) for i in range(max(1, len(words) - 2))] if words else []
