@@ -11,11 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import stage
 from .words import runs, slices, strings, whole_runs, words
 
 SHINGLE, LEAST, RADIUS = 5, 0.8, 24
-#: Bytes of benchmark texts that are indexed and sent to the executors at once; a larger
-#: benchmark goes in parts, each over all documents.
+#: Bytes of different benchmark texts, and their ids, that are indexed and sent to the
+#: executors at once; a larger benchmark goes in parts, each over all documents.
 PART_BYTES = 8 << 20
 
 
@@ -43,21 +44,41 @@ class Size:
         return w[near], i[near], bits[near]
 
 
+@dataclass
+class Weights:
+    """Weights of shingles: log(1 + items / items that hold it). A shingle of one item
+    weighs as much as one of no item."""
+
+    hashes: np.ndarray  #: sorted: the shingles of more than one item
+    values: np.ndarray
+    other: float
+
+    @classmethod
+    def of_counts(cls, hashes: np.ndarray, counts: np.ndarray, items: int) -> Weights:
+        order = np.argsort(hashes)
+        return cls(hashes[order], np.log1p(items / counts[order]), float(np.log1p(items)))
+
+    def of(self, shingles: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.full(len(shingles), self.other)
+        place = np.minimum(np.searchsorted(self.hashes, shingles), len(self.hashes) - 1)
+        return np.where(self.hashes[place] == shingles, self.values[place], self.other)
+
+
 @dataclass
 class Index:
     ids: list
     shingles: list[Counter]
-    weights: dict[int, float]
-    other: float  #: weight of a shingle of no item
     sizes: dict[int, Size]
     keys: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  #: by shingle length: sorted hashes, where their lists begin, sizes in words of their items
     bitmap: dict[int, np.ndarray]
 
-    def similarity(self, window: Counter, item: int) -> float:
+    def similarity(self, window: Counter, item: int, weights: Weights) -> float:
         """Weighted Jaccard similarity of two bags of shingles."""
         own = self.shingles[item]
-        both = sum(min(n, window.get(s, 0)) * self.weights[s] for s, n in own.items())
-        total = sum(n * self.weights[s] for s, n in own.items()) + sum(n * self.weights.get(s, self.other) for s, n in window.items())
+        of = {s: w for x in (own, window) for s, w in zip(x, weights.of(np.array(list(x), np.uint64)).tolist(), strict=True)}
+        both = sum(min(n, window.get(s, 0)) * of[s] for s, n in own.items())
+        total = sum(n * of[s] for s, n in own.items()) + sum(n * of[s] for s, n in window.items())
         return both / (total - both) if total > both else 1.0
 
 
@@ -73,22 +94,38 @@ def _running(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return out
 
 
-def index(items: list[tuple]) -> Index:
-    """Of (item_id, text); items without words are left out. The weight of a shingle is
-    log(1 + items / items that hold it)."""
-    texts = pa.array([t or "" for _, t in items], pa.string())
+def _shingles(texts: pa.Array) -> list[np.ndarray]:
     w = words(texts, lower=True)
     h = w.hashes()
+    lists = [h[a:b] for a, b in zip(w.first, w.first[1:], strict=False)]
+    return [runs(x, min(SHINGLE, len(x))) if len(x) else x for x in lists]
+
+
+def count(items: list[tuple]) -> Weights:
+    """The weights of the shingles of items (times, text)."""
+    held: Counter = Counter()
+    total = 0
+    for (n, _), x in zip(items, _shingles(pa.array([t or "" for _, t in items], pa.string())), strict=True):
+        total += n if len(x) else 0
+        for s in set(x.tolist()):
+            held[s] += n
+    held = {s: n for s, n in held.items() if n > 1}
+    return Weights.of_counts(np.array(list(held), np.uint64), np.array(list(held.values()), np.int64), total)
+
+
+def index(items: list[tuple], weights: Weights | None = None) -> Index:
+    """Of (item_id, text); items without words are left out. The weights are those of the
+    whole benchmark; without them, the items are taken to be all of it."""
+    weights = weights or count([(1, t) for _, t in items])
+    texts = pa.array([t or "" for _, t in items], pa.string())
+    counts = words(texts).counts().tolist()
     ids, lists, sizes = [], [], []
-    for i, (name, _) in enumerate(items):
-        own = h[w.first[i] : w.first[i + 1]]
-        if len(own):
+    for (name, _), n, x in zip(items, counts, _shingles(texts), strict=True):
+        if n:
             ids.append(name)
-            sizes.append(len(own))
-            lists.append(runs(own, min(SHINGLE, len(own))))
-    held = Counter(s for x in lists for s in set(x.tolist()))
-    weights = {s: float(np.log1p(len(ids) / n)) for s, n in held.items()}
-    prints = np.array([_prints(_running(x, np.array([weights[s] for s in x.tolist()])), np.array([0]), np.array([len(x)]))[0] for x in lists], np.uint64)
+            sizes.append(n)
+            lists.append(x)
+    prints = np.array([_prints(_running(x, weights.of(x)), np.array([0]), np.array([len(x)]))[0] for x in lists], np.uint64)
     edge = np.linspace(0, 64, RADIUS + 2).astype(int)
     cuts = [(int(a), int(b - a)) for a, b in zip(edge, edge[1:], strict=False)]
     by_size: dict[int, Size] = {}
@@ -107,10 +144,10 @@ def index(items: list[tuple]) -> Index:
         keys[k] = (unique, np.append(start, len(pairs)), np.array([n for _, n in pairs]))
         bitmap[k] = np.zeros(1 << 20, bool)
         bitmap[k][(unique & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-    return Index(ids, [Counter(x.tolist()) for x in lists], weights, float(np.log1p(len(ids))), by_size, keys, bitmap)
+    return Index(ids, [Counter(x.tolist()) for x in lists], by_size, keys, bitmap)
 
 
-def search(ix: Index, texts: pa.Array) -> Iterator[tuple[int, int, int, int, int, float]]:
+def search(ix: Index, weights: Weights, texts: pa.Array) -> Iterator[tuple[int, int, int, int, int, float]]:
     """(text, item, first word, end, bits, similarity) of windows that are as long as an
     item and similar to it; of windows of an item that overlap, the nearest. A window
     similar to an item shares a shingle with it, so windows without are not looked at."""
@@ -138,25 +175,60 @@ def search(ix: Index, texts: pa.Array) -> Iterator[tuple[int, int, int, int, int
                 continue
             first, last = int(begin[0]), int(begin[-1]) + n - k + 1
             own = grams[k][first:last]
-            sums = _running(own, np.array([ix.weights.get(s, ix.other) for s in own.tolist()]))
+            sums = _running(own, weights.of(own))
             win, item, bits = ix.sizes[n].candidates(_prints(sums, begin - first, begin - first + n - k + 1), RADIUS)
             taken: dict[int, list[int]] = {}
             for x in np.lexsort((win, bits)).tolist():
                 a, name = int(begin[win[x]]), int(ix.sizes[n].items[item[x]])
                 if any(abs(a - b) < n for b in taken.get(name, ())):
                     continue
-                s = ix.similarity(Counter(own[a - first : a - first + n - k + 1].tolist()), name)
+                s = ix.similarity(Counter(own[a - first : a - first + n - k + 1].tolist()), name, weights)
                 if s >= LEAST:
                     taken.setdefault(name, []).append(a)
                     yield i + text, name, a - low, a - low + n, int(bits[x]), s
 
 
-def _parts(benchmark: DataFrame) -> Iterator[Index]:
-    size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+def _counted(texts: DataFrame) -> Weights:
+    """The weights of the shingles of texts (text, n), counted where the rows are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, times = strings(b.column("text")), b.column("n").to_numpy()
+            for i, j in slices(texts):
+                lists = [np.unique(x) for x in _shingles(texts[i:j])]
+                sizes = [len(x) for x in lists]
+                s = np.concatenate(lists).astype(np.uint64)
+                # the row without a shingle counts items
+                yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(np.repeat(times[i:j], sizes))], ["s", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([int(times[i:j][np.array(sizes) > 0].sum())], pa.int64())], ["s", "n"])
+
+    held = texts.select("text", "n").mapInArrow(run, "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).where("n > 1 or s is null").toArrow()
+    s, n = held.column("s"), held.column("n").to_numpy()
+    items = s.is_null().to_numpy()
+    return Weights.of_counts(s.fill_null(0).to_numpy()[~items].astype(np.int64).view(np.uint64), n[~items], int(n[items].sum()))
+
+
+def _parts(benchmark: DataFrame) -> tuple[Weights, Iterator[Index]]:
+    """The weights over the whole benchmark and the indexes of its parts: of different
+    texts, each with the ids of its items and how often each comes."""
+    rows = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text")).groupBy("text", "item_id").agg(F.count("*").alias("n"))
+    texts = rows.groupBy("text").agg(F.sum("n").alias("n"), F.sort_array(F.collect_list(F.struct("item_id", "n"))).alias("ids"))
+    texts = stage(texts, "benchmark")
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text") + 16 * F.size("ids")), F.lit(0))).first()[0]
     parts = max(1, -(-size // PART_BYTES))
-    for part in range(parts):
-        own = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
-        yield index([(r.item_id, r.text) for r in own.select("item_id", "text").orderBy("item_id", "text").collect()])
+
+    def held(part: int) -> list:
+        return texts.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == part).orderBy("text").collect()
+
+    def item(r) -> tuple:
+        return [tuple(x) for x in r.ids], r.text
+
+    if parts == 1:
+        all_ = held(0)
+        weights = count([(r.n, r.text) for r in all_])
+        return weights, iter([index([item(r) for r in all_], weights)])
+    weights = _counted(texts)
+    return weights, (index([item(r) for r in held(part)], weights) for part in range(parts))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -165,23 +237,27 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     5-word shingles of the window and the item.
 
     Words are those between ASCII white space, A-Z in lower case. A part of the benchmark
-    of at most PART_BYTES is indexed and sent along with the tasks; documents are read
-    once a part and nothing is shuffled. An item of fewer than 5 words is one shingle;
+    of about PART_BYTES is indexed and sent along with the tasks; documents are read once
+    a part and not shuffled. Weights count the items of the whole benchmark, whatever its
+    parts; those of shingles of more than one item go to all tasks. An item of fewer than 5 words is one shingle;
     items and documents without words (null texts too) match nothing. Repeated rows give
     repeated matches. Equal items each match.
     """
     out = None
     kind = docs.schema["doc_id"].dataType.simpleString()
     item = benchmark.schema["item_id"].dataType
-    for ix in _parts(benchmark):
+    weights, parts = _parts(benchmark)
+    weights = docs.sparkSession.sparkContext.broadcast(weights)
+    for ix in parts:
         shared = docs.sparkSession.sparkContext.broadcast(ix)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                found = list(search(shared.value, strings(b.column("text"))))
+                found = search(shared.value, weights.value, strings(b.column("text")))
+                found = [(text, name, *rest) for text, x, *rest in found for name, n in shared.value.ids[x] for _ in range(n)]
                 rows = list(zip(*found, strict=True)) or [()] * 6
                 own = b.column("doc_id").take(pa.array(rows[0], pa.int64()))
-                yield pa.RecordBatch.from_arrays([own, pa.array([shared.value.ids[x] for x in rows[1]], pa.int64()), *(pa.array(x, pa.int64()) for x in rows[2:5]), pa.array(rows[5], pa.float64())], ["doc_id", "item_id", "first_word", "end_word", "bits", "similarity"])
+                yield pa.RecordBatch.from_arrays([own, pa.array(rows[1], pa.int64()), *(pa.array(x, pa.int64()) for x in rows[2:5]), pa.array(rows[5], pa.float64())], ["doc_id", "item_id", "first_word", "end_word", "bits", "similarity"])
 
         part = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, item_id long, first_word long, end_word long, bits long, similarity double")
         out = part if out is None else out.unionByName(part)
@@ -190,13 +266,15 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs whose text holds no benchmark passage, with their columns."""
-    for ix in _parts(benchmark):
+    weights, parts = _parts(benchmark)
+    weights = docs.sparkSession.sparkContext.broadcast(weights)
+    for ix in parts:
         shared = docs.sparkSession.sparkContext.broadcast(ix)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 clean = np.ones(b.num_rows, bool)
-                clean[[x[0] for x in search(shared.value, strings(b.column("text")))]] = False
+                clean[[x[0] for x in search(shared.value, weights.value, strings(b.column("text")))]] = False
                 yield b.filter(pa.array(clean))
 
         docs = docs.mapInArrow(run, docs.schema)

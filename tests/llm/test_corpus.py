@@ -135,6 +135,29 @@ def test_decontamination_equals_plain_similarity(spark, benchmark, odd):
     assert decontam.matches(df, benchmark.limit(0)).count() == 0 and decontam.matches(df.limit(0), benchmark).count() == 0
 
 
+def test_decontamination_does_not_depend_on_parts(spark, monkeypatch):
+    # items share passages, so a part alone would weigh shingles otherwise
+    r = np.random.default_rng(5)
+    shared = [prose(20, 900 + i) for i in range(4)]
+    items = [(i, f"{prose(20, i)} {shared[i % 4]}" if i % 2 else f"{shared[i % 4]} {prose(20, i)}") for i in range(40)]
+    items += [items[3]] * 3 + [(50, items[3][1]), (None, items[3][1]), (51, None), (52, "two words")]
+    texts = []
+    for i in range(120):
+        text = items[i % 40][1].split()
+        for at in r.integers(0, 40, i % 3):
+            text[at] = "changed"
+        texts.append(f"{prose(9, i)} {' '.join(text)} {prose(9, i + 1)}")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(tuple, decontam.matches(df, benchmark).collect()), key=repr)
+    clean = {x.doc_id for x in decontam.keep_clean(df, benchmark).collect()}
+    assert 40 < len({x[0] for x in whole}) < 120 and len(clean) == 120 - len({x[0] for x in whole})
+    assert Counter(x[1] for x in whole if x[0] == 3) == {3: 4, 50: 1, None: 1}
+    monkeypatch.setattr(decontam, "PART_BYTES", 2000)
+    assert sorted(map(tuple, decontam.matches(df, benchmark).collect()), key=repr) == whole
+    assert {x.doc_id for x in decontam.keep_clean(df, benchmark).collect()} == clean
+
+
 def test_blocks_guarantee_all_within_the_radius():
     ix = decontam.index([(i, prose(20, i)) for i in range(50)])
     size = ix.sizes[20]
