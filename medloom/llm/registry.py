@@ -65,4 +65,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": mixing.ORACLE, "op2_pii": pii.ORACLE, "op8_substring": substring.ORACLE, "op9_warc": warc.ORACLE, "op10_rules": rules.ORACLE}
+    return {"op1_mixing": mixing.ORACLE, "op2_pii": pii.ORACLE, "op6_chat": chat.ORACLE, "op8_substring": substring.ORACLE, "op9_warc": warc.ORACLE, "op10_rules": rules.ORACLE}

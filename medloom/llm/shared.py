@@ -3,19 +3,24 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Most bytes that an operator may broadcast; beyond it a shuffle join is used.
 BROADCAST_BYTES = 8 << 20
 
 
 def shared_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; only where it is unset (tests), a local folder."""
+    """``spark.checkpoint.dir`` of the session. Where it is unset, a local folder if all of
+    Spark runs in this process (tests), else an error: other machines wouldn't see it."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = os.environ.setdefault("MEDLOOM_LOCAL_SHARED", tempfile.mkdtemp(prefix="spark-"))
     return root.rstrip("/")
 
@@ -32,3 +37,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small(df: DataFrame, row_bytes: int) -> DataFrame:
+    """df, a staged table, marked for a broadcast if its rows of about row_bytes come to
+    BROADCAST_BYTES at most; else as it is, for a shuffle join."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df

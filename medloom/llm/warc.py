@@ -19,6 +19,10 @@ from .shared import new_path, stage
 GZIP, VERSION = b"\x1f\x8b\x08", b"WARC/1."
 #: Payload bytes of an archive file, and bytes that the writer hands on at once.
 ARCHIVE_BYTES, CHUNK_BYTES = 64 << 20, 4 << 20
+#: Compressed bytes that the reader unpacks at once, to begin with.
+SLICE_BYTES = 4 << 10
+#: A payload with at least 1/HOT of all rows is looked up by broadcast: HOT payloads at most.
+HOT = 1_000
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -93,12 +97,18 @@ def _plain(data: bytes, at: int, end: int) -> tuple[Record, int] | str:
 
 
 def _member(data: bytes, at: int) -> tuple[bytes, int] | str:
-    z = zlib.decompressobj(31)
+    """The member that begins at ``at``, unpacked, and where it ends. It is fed in slices, so
+    that its cost doesn't depend on what follows it."""
+    z, view, parts, size = zlib.decompressobj(31), memoryview(data), [], SLICE_BYTES
     try:
-        raw = z.decompress(memoryview(data)[at:])
+        while not z.eof and at < len(data):
+            piece = view[at : at + size]
+            parts.append(z.decompress(piece))
+            at += len(piece)
+            size = min(2 * size, 16 * SLICE_BYTES)
     except zlib.error as e:
         return f"member: {e}"
-    return (raw, len(data) - len(z.unused_data)) if z.eof else "member without an end"
+    return (b"".join(parts), at - len(z.unused_data)) if z.eof else "member without an end"
 
 
 def read_archive(data: bytes) -> tuple[list[Record], list[Gap]]:
@@ -114,6 +124,14 @@ def read_archive(data: bytes) -> tuple[list[Record], list[Gap]]:
     at, n = 0, len(data)
     lost: tuple[int, str] | None = None
     head = -1  # the next end of a header, however far; n if there is none
+    marks = {GZIP: -1, VERSION: -1}  # the next place of each, sought once
+
+    def ahead(mark: bytes) -> int:
+        if marks[mark] <= at:
+            found = data.find(mark, at + 1)
+            marks[mark] = n if found < 0 else found
+        return marks[mark]
+
     while at < n:
         if data[at : at + 3] == GZIP:
             got = _member(data, at)
@@ -147,8 +165,7 @@ def read_archive(data: bytes) -> tuple[list[Record], list[Gap]]:
         else:
             got = "neither a member nor a version line"
         lost = lost or (at, got)
-        nexts = [p for p in (data.find(GZIP, at + 1), data.find(VERSION, at + 1)) if p >= 0]
-        at = min(nexts, default=n)
+        at = min(ahead(GZIP), ahead(VERSION))
     if lost:
         gaps.append(Gap(lost[0], n, lost[1]))
     return records, gaps
@@ -158,46 +175,46 @@ def _bytes(html: pa.Array) -> list[bytes]:
     return [x or b"" for x in html.cast(pa.binary()).to_pylist()]
 
 
-def assign(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of each page.
+def _payload():
+    return F.coalesce(F.col("html").cast("binary"), F.lit(b""))
 
-    Of equal payloads of at least least_bytes, that of the smallest page_id is the
-    response and others revisit it; rows that repeat its page_id are responses too. A
-    null html is the empty payload; a null page_id is larger than any other.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            payloads = _bytes(b.column("html"))
-            yield pa.RecordBatch.from_arrays([b.column("page_id"), pa.array([len(p) for p in payloads], pa.int64()), pa.array([digest(p) for p in payloads], pa.string())], ["page_id", "payload_bytes", "payload_digest"])
+def repeated(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
+    """(sha1, first, n) of the payloads of at least least_bytes that several rows have: the
+    hex digest, the smallest page_id, and the number of rows.
 
-    facts = stage(pages.select("page_id", "html").mapInArrow(run, "page_id long, payload_bytes long, payload_digest string"), "payloads")
-    first = facts.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("payload_digest", "first")
-    out = facts.join(first, "payload_digest", "left")
-    again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return out.select("page_id", "payload_bytes", "payload_digest", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("first")).alias("refers_to"))
+    A null html is the empty payload; a null page_id is larger than any other. Rows are
+    counted before the shuffle, so copies cost no more than one.
+    """
+    facts = pages.where(F.octet_length(_payload()) >= least_bytes).select("page_id", F.sha1(_payload()).alias("sha1"))
+    return facts.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
 
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     """Write the records of pages (page_id, url, html) as .warc.gz parts under path.
 
-    Spark's text writer carries the members, so path can be in any file system of Spark's
-    and a task that is run again leaves one file; the line break that it adds after each
-    few megabytes stands between members. Pages are dealt by page_id, whatever their
-    payloads, into files of about ARCHIVE_BYTES.
+    Of equal payloads of at least least_bytes, that of the smallest page_id is the
+    response and others revisit it; rows that repeat its page_id are responses too, and so
+    is a payload of rows without a page_id. Spark's text writer carries the members, so
+    path can be in any file system of Spark's and a task that is run again leaves one
+    file; the line break that it adds after each few megabytes stands between members.
+
+    Pages are shuffled once, into files of about ARCHIVE_BYTES, by payload, which puts
+    them beside the repeated payloads. Pages whose payload makes a large share of all rows
+    learn their role by broadcast before, and are dealt evenly instead, whatever their
+    page_id, which may be null or the same.
     """
     spark = pages.sparkSession
-    roles = stage(assign(pages, least_bytes), "roles").select("page_id", "payload_digest", "record_type", "refers_to").distinct()
-    total = pages.agg(F.coalesce(F.sum(F.octet_length("html")), F.lit(0))).first()[0]
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // ARCHIVE_BYTES))
+    firsts = stage(repeated(pages, least_bytes), "repeated")
+    size = pages.agg(F.coalesce(F.sum(F.octet_length("html")), F.lit(0)).alias("bytes"), F.count("*").alias("rows")).first()
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size["bytes"] // ARCHIVE_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for b in batches:
-            for page, url, payload, sum_, kind, refers in zip(b.column("page_id").to_pylist(), b.column("url").to_pylist(), _bytes(b.column("html")), b.column("payload_digest").to_pylist(), b.column("record_type").to_pylist(), b.column("refers_to").to_pylist(), strict=True):
-                if digest(payload) != sum_:
-                    continue  # another row of this page_id
-                held.append(record(page, url, payload, sum_, refers, kind == "revisit"))
+            for page, url, payload, first in zip(b.column("page_id").to_pylist(), b.column("url").to_pylist(), _bytes(b.column("html")), b.column("first").to_pylist(), strict=True):
+                again = first is not None and page != first
+                held.append(record(page, url, payload, digest(payload), first if again else None, again))
                 size += len(held[-1])
                 if size >= CHUNK_BYTES:
                     yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], ["value"])
@@ -205,10 +222,13 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
         if held:
             yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], ["value"])
 
-    key = F.coalesce(F.col("page_id").cast("string"), F.lit(""))  # never null, so both sides keep this partitioning for the join
-    left = pages.select(key.alias("key"), "page_id", "url", "html").repartition(n, "key")
-    right = roles.select(key.alias("key"), "payload_digest", "record_type", "refers_to").repartition(n, "key")
-    rows = left.join(right, "key").select("page_id", "url", "html", "payload_digest", "record_type", "refers_to")
+    hot = F.col("n") * HOT >= size["rows"]
+    known = F.broadcast(firsts.where(hot).select("sha1", F.col("first").alias("hot"), "n"))  # at most HOT rows
+    rows = pages.select("page_id", "url", "html", F.sha1(_payload()).alias("sha1")).join(known, "sha1", "left")
+    spread = F.concat(F.lit("-"), F.xxhash64(F.monotonically_increasing_id()).cast("string"))  # never a digest
+    rows = rows.withColumn("key", F.when(F.col("n").isNull(), F.col("sha1")).otherwise(spread)).select("key", "page_id", "url", "html", "hot").repartition(n, "key")
+    cold = firsts.where(~hot).select(F.col("sha1").alias("key"), F.col("first").alias("cold")).repartition(n, "key")
+    rows = rows.join(cold, "key", "left").select("page_id", "url", "html", F.coalesce("hot", "cold").alias("first"))
     rows.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value")).write.text(path)
 
 

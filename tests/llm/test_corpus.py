@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 from collections import Counter
 
 import duckdb
@@ -62,7 +63,7 @@ def plain_pii(text):
     return sorted(found)
 
 
-@pytest.mark.parametrize("name", ["op2_pii", "op8_substring", "op10_rules"])
+@pytest.mark.parametrize("name", ["op2_pii", "op6_chat", "op8_substring", "op9_warc", "op10_rules"])
 def test_query_equals_sql(spark, name):
     assert differences(registry.queries()[name](spark, SF), registry.oracle_sql()[name], SF) == ""
 
@@ -448,6 +449,31 @@ def test_salvage_goes_on_after_damage():
     assert warc.read_archive(b"") == ([], []) and warc.read_archive(b"xx")[1][0].end == 2
 
 
+def test_reader_is_linear_in_the_archive():
+    payload = np.random.default_rng(0).bytes(1500)
+    one = warc.record(1, "u", payload, warc.digest(payload))
+
+    def took(data):
+        begin = time.process_time()
+        warc.read_archive(data)
+        return time.process_time() - begin
+
+    took(one * 100)
+    assert min(took(one * 12_000) for _ in range(2)) < 2.5 * max(took(one * 6_000) for _ in range(2))
+    junk = b"".join(one[:20] + b"x" + one[21:] for _ in range(3_000))  # every member is broken
+    assert took(junk * 2) < 3 * max(0.05, took(junk))
+
+
+def test_pages_without_ids_are_spread_over_files(spark, tmp_path):
+    rows = [(None, None, "the same") for _ in range(400)] + [(None, "u", f"page {i}") for i in range(400)] + [(7, "u", "seven")] * 300
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(8)
+    warc.write_archives(df, str(tmp_path / "w"))
+    sizes = sorted(f.stat().st_size for f in (tmp_path / "w").glob("part-*"))
+    assert len(sizes) >= 8 and sizes[-1] < 3 * sizes[0]
+    out = warc.read_archives(spark, str(tmp_path / "w")).collect()
+    assert len(out) == len(rows) and {r.record_type for r in out} == {"response"}
+
+
 def test_quarantine_log(spark, tmp_path):
     (tmp_path / "a.warc.gz").write_bytes(b"noise" + warc.record(1, "u", b"x", warc.digest(b"x")))
     log = warc.quarantined(spark, str(tmp_path)).collect()
