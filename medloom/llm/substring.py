@@ -6,11 +6,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .shared import stage
+from .shared import small, stage
 from .words import Words, _table, mix, runs, signed, slices, strings, whole_runs, words
 
 #: Words of a window, and of the runs whose least hash names a window's shard.
@@ -19,8 +20,9 @@ WINDOW, ANCHOR = 50, 8
 CHUNK = 400_000
 #: A segment with at least 1/HOT of all rows is joined by broadcast: HOT rows at most.
 HOT = 1_000
-#: Segments of a shard that a task holds; a larger shard is dealt by its windows.
+#: Segments of a shard that a task holds; those of a larger one are trimmed and merged before.
 SHARD = 4_096
+_SIDE = "m long, c long, doc_id long, tag int, pos int, at int, side int"
 
 
 class Automaton:
@@ -114,14 +116,14 @@ def _segments(w: Words, window: int, anchor: int) -> dict[str, np.ndarray]:
     if not len(at):
         return {k: np.zeros(0, np.int64) for k in ("m", "c", "text", "pos", "n")}
     g = runs(h, anchor)
-    low = np.uint64((1 << 26) - 1)
-    key = (g & ~low) | np.arange(len(g), dtype=np.uint64)
+    least, spot = g, np.arange(len(g))
     need, have = window - anchor + 1, 1
     while have < need:
         step = min(have, need - have)
-        key = np.minimum(key[:-step], key[step:])
+        later = least[step:] < least[:-step]
+        least, spot = np.where(later, least[step:], least[:-step]), np.where(later, spot[step:], spot[:-step])
         have += step
-    place = (key & low).astype(np.int64)[at]
+    place = spot[at]
     new = np.ones(len(at), bool)
     new[1:] = (place[1:] != place[:-1]) | (at[1:] != at[:-1] + 1)
     head = np.flatnonzero(new)
@@ -182,6 +184,114 @@ def _windows(window: int):
     return run
 
 
+def _chain(sums: np.ndarray, begin: np.ndarray, end: np.ndarray, m: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """A hash of what reaches from a shard's anchor m to a word on its left or right."""
+    return mix(_range_hash(sums, begin, end) + mix(m) + left.astype(np.uint64))
+
+
+def _sides(window: int, anchor: int):
+    """Of documents with lists of segments, two rows a segment: the hashes of what reaches
+    from its anchor to each word on the left (side 0) and on the right (side 1)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, lists = strings(b.column("text")), b.column("wanted").to_pylist()
+            for i, j in slices(texts):
+                w = words(texts[i:j])
+                h = w.hashes()
+                g, sums = signed(runs(h, anchor)), _ranges(h)
+                pick, rows, rests = [], [], []
+                for k in range(i, j):
+                    for x in lists[k]:
+                        first = int(w.first[k - i]) + x["pos"]
+                        last = first + x["n"]
+                        mid = first + int(np.argmax(g[first : first + window - anchor + 1] == x["m"]))
+                        m = np.array([x["m"]], np.int64).view(np.uint64)
+                        lefts, rights = np.arange(mid - 1, first - 1, -1), np.arange(mid + anchor + 1, last + 1)
+                        rests.append(signed(_chain(sums, lefts, np.full(len(lefts), mid), m, np.ones(1))))
+                        rests.append(signed(_chain(sums, np.full(len(rights), mid), rights, m, np.zeros(1))))
+                        for side in (0, 1):
+                            pick.append(k)
+                            rows.append((x["m"], x["c"], x["pos"], mid - first, side))
+                m, c, pos, at, side = zip(*rows, strict=True) if rows else [()] * 5
+                ends = np.append(0, np.cumsum([len(x) for x in rests])).astype(np.int32)
+                held = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rests) if rests else np.zeros(0, np.int64)))
+                ints = [pa.array(x, pa.int32()) for x in (pos, at, side)]
+                pick = pa.array(pick, pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(m, pa.int64()), pa.array(c, pa.int64()), b.column("doc_id").take(pick), b.column("tag").take(pick), *ints, held], ["m", "c", "doc_id", "tag", "pos", "at", "side", "rest"])
+
+    return run
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of sides that come sorted by ``rest``: far, how many entries of rest a neighbour
+    shares at least, and key, the last of them. The first and the last row of a partition
+    keep their rest, as a neighbour of theirs is elsewhere."""
+    names = ["m", "c", "doc_id", "tag", "pos", "at", "side"]
+    part = TaskContext.get().partitionId()
+    held, before = None, 0
+
+    def out(b: pa.RecordBatch, lists: list, shared: np.ndarray, first: bool, last: bool) -> pa.RecordBatch:
+        n = b.num_rows
+        far = np.maximum(shared[:-1], shared[1:])
+        key = [int(x[k - 1]) if k else 0 for x, k in zip(lists, far.tolist(), strict=True)]
+        edge = [[], []]
+        for i, flag in ((0, first), (1, last)):
+            edge[i] = np.zeros(n, bool)
+            edge[i][-i] = flag
+        rest = [x.tolist() if e else None for x, e in zip(lists, (edge[0] | edge[1]).tolist(), strict=True)]
+        own = [b.column(c) for c in names]
+        return pa.RecordBatch.from_arrays([*own, pa.array(far, pa.int32()), pa.array(key, pa.int64()), pa.array(np.full(n, part, np.int32)), pa.array(edge[0]), pa.array(edge[1]), pa.array(rest, pa.list_(pa.int64()))], [*names, "far", "key", "part", "first", "last", "rest"])
+
+    def same(lists: list) -> np.ndarray:
+        """Entries that each list and the next one share; as each is a hash of all before it, as many as are equal."""
+        return np.array([int((a[: len(b)] == b[: len(a)]).sum()) for a, b in zip(lists, lists[1:], strict=False)], np.int64)
+
+    def arrays(b: pa.RecordBatch) -> list:
+        rest = b.column("rest")
+        flat, at = rest.flatten().to_numpy(), np.append(0, np.cumsum(rest.value_lengths().to_numpy()))
+        return [flat[x:y] for x, y in zip(at, at[1:], strict=False)]
+
+    opened = True
+    for b in batches:
+        if not b.num_rows:
+            continue
+        if held is not None:  # its last row's neighbour has come
+            lists = arrays(held)
+            shared = np.concatenate([[before], same(lists), same([lists[-1], arrays(b.slice(0, 1))[0]])])
+            yield out(held, lists, shared, opened, False)
+            before, opened = shared[-1], False
+        held = b
+    if held is not None:
+        lists = arrays(held)
+        yield out(held, lists, np.concatenate([[before], same(lists), [0]]), opened, True)
+
+
+def _trimmed(sides: DataFrame, window: int, anchor: int) -> DataFrame:
+    """(m, c, doc_id, tag, pos, begin, end, c2) of the segments of which at least a window's
+    words may stand in another segment of the shard: those words begin:end, and a hash c2
+    of them; sides: as _sides makes them, a segment once.
+
+    Sorted by what reaches from the anchor to either side, the segment that shares most
+    with another is its neighbour. So a shard of any size is spread over the tasks of a
+    sort, with two rows a segment; the rows at the edges of partitions, two of each, meet
+    once more.
+    """
+    near = stage(sides.repartitionByRange("rest", "c").sortWithinPartitions("rest", "c").mapInArrow(_neighbours, f"{_SIDE}, far int, key long, part int, first boolean, last boolean, rest array<long>"), "sides")
+    along = W.orderBy("part", "last")
+    common = lambda x: F.size(F.filter(F.zip_with("rest", x, lambda a, b: a == b), lambda e: e))
+    edges = near.where("first or last").withColumns({"up": F.lag("rest").over(along), "down": F.lead("rest").over(along)})
+    far = F.greatest("far", F.when(F.col("first") & F.col("up").isNotNull(), common("up")), F.when(F.col("last") & F.col("down").isNotNull(), common("down")))
+    columns = ["m", "c", "doc_id", "tag", "pos", "at", "side", "far", "key"]
+    edges = edges.withColumn("far", far).withColumn("key", F.when(F.col("far") > 0, F.try_element_at("rest", F.col("far"))).otherwise(F.lit(0)))
+    state = near.where("not (first or last)").select(columns).unionByName(edges.select(columns))
+    of = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
+    both = state.groupBy("m", "c", "doc_id", "tag", "pos", "at").agg(of(0, "far").alias("left"), of(1, "far").alias("right"), of(0, "key").alias("a"), of(1, "key").alias("b"))
+    both = both.where(F.col("left") + F.col("right") + anchor >= window)
+    begin, end = F.col("at") - F.col("left"), F.col("at") + F.col("right") + anchor
+    return both.select("m", "c", "doc_id", "tag", "pos", begin.alias("begin"), end.alias("end"), F.xxhash64("a", "b", "left", "right").alias("c2"))
+
+
 def _dealt(rows: DataFrame, window: int) -> DataFrame:
     """(m, c, begins, ends) of segments with a window that a smaller doc_id has, by the
     hashes of the windows; rows: (m, c, doc_id, windows). Equal windows are merged by a
@@ -218,8 +328,7 @@ def _trim(m: np.ndarray, texts: pa.Array, window: int, anchor: int) -> tuple[np.
     q = np.arange(len(h))
     mid = place[owner]
     left = q < mid
-    chain = np.where(left, _range_hash(sums, np.minimum(q, mid), mid), _range_hash(sums, np.minimum(mid, q), q + 1))
-    chain = mix(chain + mix(m.view(np.uint64))[owner] + left.astype(np.uint64))
+    chain = _chain(sums, np.minimum(q, mid), np.where(left, mid, q + 1), m.view(np.uint64)[owner], left)
     _, back, count = np.unique(chain, return_inverse=True, return_counts=True)
     common = count[back] > 1
     begin = np.minimum.reduceat(np.where(left & common, q, mid), w.first[:-1])
@@ -323,9 +432,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
        streamed through a suffix automaton of the earlier ones; where the matching
        statistic reaches ``window``, words are covered. Then it joins the reference.
        Before, each loses the words that no other segment of the shard can share.
-       A shard of more than SHARD segments, that of a very common passage, is dealt by
-       the hashes of its windows instead, at most window - anchor + 1 of each different
-       segment: known are those that a smaller doc_id has. The result is the same.
+       The segments of a shard of more than SHARD, that of a very common passage, are
+       trimmed like that before, in the table, and what is then equal is merged. If still
+       more than SHARD differ, they are dealt by the hashes of their windows instead of
+       streamed, at most window - anchor + 1 of each: known are those that a smaller
+       doc_id has. The result is the same.
     4. Covered spans go back to all documents that hold the segment.
 
     Windows are judged on the input. Null texts have no words. A null doc_id is neither
@@ -338,17 +449,34 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     only = seg.groupBy("m", "c").agg(F.min(F.struct("doc_id", "tag", "pos", "n")).alias("f"), F.max("doc_id").alias("last"), F.count("*").alias("rows"))
     only = only.select("m", "c", "f.*", "last", "rows")
     shared = only.where("last > doc_id").select("m", "c", "rows", F.col("doc_id").alias("owner"), F.lit(None).cast("array<int>").alias("begins"), F.lit(None).cast("array<int>").alias("ends"))
-    large = F.broadcast(seg.groupBy("m").count().where(F.col("count") > SHARD).select("m"))
-    varied = only.join(large, "m", "left_anti").withColumn("n_in", F.count("*").over(W.partitionBy("m"))).where("n_in > 1")
+    large = stage(seg.groupBy("m").count().where(F.col("count") > SHARD).select("m"), "large")
+    varied = only.join(small(large, 16), "m", "left_anti").withColumn("n_in", F.count("*").over(W.partitionBy("m"))).where("n_in > 1")
+    columns = ["m", "c", "doc_id", "tag", "pos", "n"]
 
     def holding(some: DataFrame, how: str) -> DataFrame:
         wanted = some.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("m", "c", "pos", "n")).alias("wanted"))
-        return d.join(wanted, ["doc_id", "tag"], how).select("doc_id", "text", "wanted")
-
-    texts = holding(varied, "left").mapInArrow(_texts, "m long, c long, doc_id long, words string")
-    found = texts.repartition("m").sortWithinPartitions("m", "doc_id", "c").mapInArrow(_match(window, anchor), "m long, c long, begins array<int>, ends array<int>")
-    dealt = holding(only.join(large, "m", "left_semi"), "inner").mapInArrow(_windows(window), "m long, c long, doc_id long, windows array<long>")
-    found = found.unionByName(_dealt(dealt, window))
+        return d.join(wanted, ["doc_id", "tag"], how).select("doc_id", "tag", "text", "wanted")
+
+    def matched(some: DataFrame) -> DataFrame:
+        texts = holding(some, "left").mapInArrow(_texts, "m long, c long, doc_id long, words string")
+        return texts.repartition("m").sortWithinPartitions("m", "doc_id", "c").mapInArrow(_match(window, anchor), "m long, c long, begins array<int>, ends array<int>")
+
+    if large.isEmpty():
+        found = matched(varied.select(columns))
+    else:
+        sides = holding(only.join(small(large, 16), "m", "left_semi"), "inner").mapInArrow(_sides(window, anchor), f"{_SIDE}, rest array<long>")
+        members = stage(_trimmed(sides, window, anchor), "members")
+        first = members.groupBy("m", "c2").agg(F.min(F.struct("doc_id", "tag", (F.col("pos") + F.col("begin")).alias("pos"), (F.col("end") - F.col("begin")).alias("n"))).alias("f"))
+        first = stage(first.select("m", F.col("c2").alias("c"), "f.*"), "first")
+        sizes = stage(first.groupBy("m").agg(F.count("*").alias("n_in")).where("n_in > 1"), "sizes")
+        some = first.join(small(sizes, 24), "m")
+        dealt = holding(some.where(F.col("n_in") > SHARD), "inner").mapInArrow(_windows(window), "m long, c long, doc_id long, windows array<long>")
+        found = stage(matched(varied.select(columns).unionByName(some.where(F.col("n_in") <= SHARD).select(columns))).unionByName(_dealt(dealt, window)), "found")
+        of = stage(first.select("m", "c", F.col("doc_id").alias("owner")).join(found, ["m", "c"], "left").withColumnRenamed("c", "c2"), "owners")
+        moved = lambda c: F.transform(c, lambda x: x + F.col("begin"))
+        whole = F.col("doc_id") > F.col("owner")
+        again = members.join(small(of, 512), ["m", "c2"]).select("m", "c", F.when(whole, F.array("begin")).otherwise(moved("begins")).alias("begins"), F.when(whole, F.array("end")).otherwise(moved("ends")).alias("ends"))
+        found = found.join(small(large, 16), "m", "left_anti").unionByName(again.where("begins is not null"))
     spans = shared.unionByName(found.withColumn("owner", F.lit(None).cast("long")).withColumn("rows", F.lit(0).cast("long"))).groupBy("m", "c").agg(F.max("rows").alias("rows"), F.max("owner").alias("owner"), F.max("begins").alias("begins"), F.max("ends").alias("ends"))
     hot = F.col("rows") * HOT >= seg.count()
     marked = seg.join(F.broadcast(spans.where(hot).withColumnRenamed("rows", "hot")), ["m", "c"], "left")
