@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Most bytes that an operator may broadcast; beyond it a shuffle join is used.
@@ -43,3 +43,16 @@ def small(df: DataFrame, row_bytes: int) -> DataFrame:
     """df, a staged table, marked for a broadcast if its rows of about row_bytes come to
     BROADCAST_BYTES at most; else as it is, for a shuffle join."""
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of a whole row, to tell rows with the same doc_id apart. Maps have no hash."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()])
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """name, or the first of name_, name__ ... that df has no column of."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

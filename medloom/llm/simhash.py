@@ -7,18 +7,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import stage
+from .shared import fresh, row_hash, small, stage
 from .words import mix, slices, strings
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
-#: Fingerprints sampled to build the tree that shards them, and fingerprints aimed at in a shard.
-SAMPLE, SHARD = 16_384, 4_096
+#: Parts of a fingerprint's bits, each with a tree of its own that shards the fingerprints.
+BLOCKS = 4
+#: Fingerprints sampled to build these trees, and fingerprints aimed at in a shard.
+SAMPLE, SHARD = 65_536, 8_192
 #: Points of a leaf that are compared with all queries that reach it, and pairs compared at once.
-LEAF, BLOCK = 128, 1 << 21
+LEAF, BLOCK = 256, 1 << 21
 #: Fingerprints of one role that a task compares; larger shards are cut into tiles.
 TILE = 60_000
 
@@ -48,8 +50,8 @@ def _fingerprints(texts: pa.Array, shingle: int, seed: int) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp): the SimHash of each document, as a signed long.
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, *also: str) -> DataFrame:
+    """(doc_id, also, fp): the SimHash of each document, as a signed long.
 
     Words are those between ASCII white space, A-Z in lower case; shingles are
     ``shingle`` words joined by a space, repeats counted; fewer words make one shingle,
@@ -59,10 +61,11 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = _fingerprints(strings(b.column("text")), shingle, seed).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(fp)], [*kept, "fp"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long")
+    kept = ["doc_id", *also]
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
+    return docs.select(*kept, "text").mapInArrow(run, f"{kinds}, fp long")
 
 
 def _far(points: np.ndarray, x: np.uint64) -> np.ndarray:
@@ -90,23 +93,31 @@ def build(sample: np.ndarray, depth: int, at: int = 1) -> dict[int, tuple[int, i
     return {at: (int(x), r)} | build(sample[d <= r], depth - 1, 2 * at) | build(sample[d > r], depth - 1, 2 * at + 1)
 
 
-def route(tree: dict[int, tuple[int, int]], points: np.ndarray, home: np.ndarray, radius: int, at: int = 1) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def route(tree: dict[int, tuple[int, int]], points: np.ndarray, radius: int, at: int = 1, own: np.ndarray | None = None, home: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """The leaf in which each point lives, and further leaves that hold points within the
-    radius: (leaf, points, whether they live there). By the triangle inequality a point
-    within radius of x lies at a distance from the vantage point that differs by at most
-    radius. Of two near points in different halves only the inner one crosses over, so a
-    pair meets once.
+    radius: (leaf, numbers of points, whether they live there). By the triangle inequality
+    a point within radius of x lies at a distance from the vantage point that differs by at
+    most radius. Of two near points in different halves only the inner one crosses over,
+    so a pair meets once.
     """
-    if at not in tree or not len(points):
-        if len(points):
-            yield at, points, home
+    if own is None:
+        own, home = np.arange(len(points)), np.ones(len(points), bool)
+    if at not in tree or not len(own):
+        if len(own):
+            yield at, own, home
         return
     x, r = tree[at]
-    d = _far(points, np.uint64(x))
+    d = _far(points[own], np.uint64(x))
     inner = np.where(home, d <= r, d <= r + radius)
-    yield from route(tree, points[inner], home[inner], radius, 2 * at)
+    yield from route(tree, points, radius, 2 * at, own[inner], home[inner])
     outer = d > r - radius
-    yield from route(tree, points[outer], home[outer] & (d[outer] > r), radius, 2 * at + 1)
+    yield from route(tree, points, radius, 2 * at + 1, own[outer], home[outer] & (d[outer] > r))
+
+
+def parts(points: np.ndarray) -> list[np.ndarray]:
+    """The BLOCKS parts of each point's bits, as points of their own."""
+    width = 64 // BLOCKS
+    return [(points >> np.uint64(width * i)) & np.uint64((1 << width) - 1) for i in range(BLOCKS)]
 
 
 class Links:
@@ -152,30 +163,35 @@ def near(points: np.ndarray, living: np.ndarray, asking: np.ndarray, radius: int
 def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Edges (src, dst) that connect what the links within ``radius`` bits connect.
 
-    fps: (fp), distinct. A bounded sample (SAMPLE fingerprints, lowest hash first) gives
-    the top of a vantage-point tree of about SHARD fingerprints a leaf; every fingerprint
-    goes to its leaf, and to those its ball overlaps. A leaf above TILE is cut into tiles
-    of living by asking points. Each tile finds its pairs exactly, by a tree of its own,
-    and returns a star for each group of linked points, never the pairs.
+    fps: (fp), distinct. Points within ``radius`` bits differ by at most radius // BLOCKS
+    in one of the BLOCKS parts of their bits. A bounded sample (SAMPLE fingerprints, lowest
+    hash first) gives, for each part, the top of a vantage-point tree of about SHARD
+    fingerprints a leaf; every fingerprint goes to its leaf in each tree, and to those that
+    its ball of that smaller radius overlaps: none for the radius 3. (A ball of radius 3 in
+    all 64 bits overlaps most leaves: one tree gave each fingerprint 37 places at depth
+    10, half as many again at each further level.) A leaf above TILE is cut into tiles of living by
+    asking points. Each tile finds its pairs within ``radius`` exactly, by a tree of its
+    own over all bits, and returns a star for each group of linked points, never the pairs.
     """
     total = fps.count()
-    depth = max(0, min(14, int(np.ceil(np.log2(max(1, total) / SHARD)))))
-    tree: dict[int, tuple[int, int]] = {}
+    depth = max(0, int(np.ceil(np.log2(max(1, total) / SHARD))))
+    trees: list[dict[int, tuple[int, int]]] = [{}]
     if depth:
         rows = fps.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()
-        tree = build(np.array([r.fp for r in rows], np.int64).view(np.uint64), depth)
+        trees = [build(x, depth) for x in parts(np.array([r.fp for r in rows], np.int64).view(np.uint64))]
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             p = b.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            for leaf, points, home in route(tree, p, np.ones(len(p), bool), radius):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(points), leaf, np.int32)), pa.array(points.view(np.int64)), pa.array(home)], ["leaf", "fp", "home"])
+            for i, (tree, x) in enumerate(zip(trees, parts(p), strict=False)):
+                for leaf, own, home in route(tree, x, radius // BLOCKS):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), leaf * BLOCKS + i, np.int64)), pa.array(p[own].view(np.int64)), pa.array(home)], ["leaf", "fp", "home"])
 
-    placed = fps.mapInArrow(spread, "leaf int, fp long, home boolean")
+    placed = fps.mapInArrow(spread, "leaf long, fp long, home boolean")
     if total > TILE:
         placed = stage(placed, "placed")
         sizes = placed.groupBy("leaf").agg(F.ceil(F.sum(F.col("home").cast("int")) / TILE).cast("int").alias("rows"), F.ceil(F.count("*") / TILE).cast("int").alias("cols"))
-        placed = placed.join(F.broadcast(sizes), "leaf")  # at most 2**depth rows
+        placed = placed.join(F.broadcast(sizes), "leaf")  # at most as many rows as there are leaves: fewer than BLOCKS * SAMPLE / 4
         own = F.xxhash64("fp")
         as_home = F.when(F.col("home"), F.transform(F.sequence(F.lit(0), F.col("cols") - 1), lambda j: F.struct(F.pmod(own, "rows").cast("int").alias("i"), j.alias("j"), F.lit(True).alias("lives")))).otherwise(F.array())
         as_query = F.transform(F.sequence(F.lit(0), F.col("rows") - 1), lambda i: F.struct(i.alias("i"), F.pmod(own, "cols").cast("int").alias("j"), F.lit(False).alias("lives")))
@@ -196,28 +212,52 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     return placed.groupBy("leaf", "i", "j").applyInArrow(pairs, "src long, dst long").where("src <> dst")
 
 
+def _classed(rows: DataFrame, least: Column, radius: int) -> DataFrame:
+    """(fp, best): of each fingerprint of rows (fp, ...), the smallest ``least`` of its class.
+    Equal fingerprints are one point, so copies cost a partial minimum only."""
+    points = stage(rows.groupBy("fp").agg(F.min(least).alias("least")), "points")
+    label = components(links(points.select("fp"), radius))
+    named = points.join(label.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    best = named.groupBy("label").agg(F.min("least").alias("best"))
+    return stage(named.join(best, "label").select("fp", "best"), "classes")
+
+
 def classes(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, radius: int = RADIUS) -> DataFrame:
     """One row per document: (doc_id, fp, component_id).
 
     Documents whose fingerprints differ in at most ``radius`` bits are linked, and
-    component_id is the smallest doc_id that links reach, itself included. Equal
-    fingerprints are one point, so copies cost a partial minimum only. Documents without
+    component_id is the smallest doc_id that links reach, itself included. Documents without
     words share the fingerprint 0 and are linked like any other. A null doc_id counts as
-    larger than any other; a class that has no other gets null. Repeated rows stay.
+    larger than any other; a class that has no other gets null. Repeated rows stay. The
+    classes come back by a join on the fingerprint, of which Spark splits a hot one.
     """
     fp = stage(fingerprints(docs, shingle, seed), "fingerprints")
-    points = stage(fp.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
-    label = components(links(points.select("fp"), radius))
-    named = points.join(label.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = stage(named.join(least, "label").select("fp", "component_id"), "classes")
+    named = _classed(fp, F.col("doc_id"), radius).withColumnRenamed("best", "component_id")
     return fp.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """One document of each class stays: that with the smallest doc_id. Of repeated rows
-    of that doc_id all stay when their texts differ, else one; so do rows with a null
-    doc_id when the class has no other."""
-    kept = classes(docs, **options).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    by_id = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    return by_id.dropDuplicates(["doc_id", "text"])
+def keep_first(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, radius: int = RADIUS) -> DataFrame:
+    """One row of each class stays, with its columns: that with the smallest doc_id, a null
+    one being larger than any other; of several such rows that with the smallest hash of
+    all columns.
+
+    Rows are judged by their own text, not by that of another row of their doc_id. Up to
+    8 MB of decisions (doc_id and hash) are broadcast and texts stay where they are; beyond,
+    they are shuffled once. Only rows that are equal in all columns are shuffled besides.
+    """
+    marked = docs.withColumn(name := fresh(docs, "hash"), row_hash(docs))
+    rows = stage(fingerprints(marked.select("doc_id", "text", F.col(name).alias("hash")), shingle, seed, "hash"), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")
+    best = _classed(rows, order, radius).select("best.doc_id", "best.hash").distinct()
+    mine = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["hash"] == b["hash"])
+    kept = stage(rows.join(best, mine(rows, best)).groupBy(best["doc_id"], best["hash"]).agg(F.count("*").alias("n")), "kept")
+
+    def only(some: DataFrame) -> DataFrame:
+        some = small(stage(some, "some"), 32)
+        return marked.join(some, marked["doc_id"].eqNullSafe(some["doc_id"]) & (marked[name] == some["hash"]), "left_semi")
+
+    once, again = kept.where("n = 1"), kept.where("n > 1")
+    out = only(once)
+    if not again.isEmpty():
+        out = out.unionByName(only(again).dropDuplicates(["doc_id", name]))
+    return out.select(docs.columns)

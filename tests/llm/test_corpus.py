@@ -270,10 +270,34 @@ def test_simhash_equals_plain(spark, odd):
     label = plain_classes([plain_fingerprint(texts[i]) for i in ids])
     assert {r.doc_id: r.component_id for r in rows if r.doc_id is not None} == {i: ids[x] for i, x in zip(ids, label, strict=True)}
     assert simhash.classes(odd.limit(0)).count() == 0
-    assert simhash.keep_first(odd).columns == odd.columns
-
-
-def test_vantage_tree_finds_all_links(spark, monkeypatch):
+    kept = simhash.keep_first(odd)
+    assert kept.columns == odd.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted({ids[x] for x in label}, key=repr)
+
+
+def test_keep_first_judges_rows(spark):
+    a, b, c = prose(60, 1), prose(60, 2), prose(60, 3)
+    rows = [(2, a, "en", 1), (5, a, "en", 1), (5, b, "de", 1), (5, b, "en", 1), (7, b, "en", 1), (8, c, "en", 1), (8, c, "en", 1), (None, c, "en", 1), (None, prose(60, 4), None, 1), (9, None, "en", 1), (3, "", "en", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, hash int")
+    out = sorted(simhash.keep_first(df).collect(), key=repr)
+    assert sorted([(r.doc_id, r.text) for r in out], key=repr) == sorted([(2, a), (5, b), (8, c), (None, prose(60, 4)), (3, "")], key=repr)
+    assert simhash.keep_first(df.limit(0)).count() == 0
+    for _ in range(2):
+        assert sorted(simhash.keep_first(df.repartition(5)).collect(), key=repr) == out
+
+
+def test_places_of_a_fingerprint():
+    points = np.random.default_rng(0).integers(0, 2**63, 65_536, dtype=np.uint64)
+    places = 0
+    for x in simhash.parts(points):
+        tree = simhash.build(x, 10)
+        assert len(tree) > 500
+        places += sum(len(own) for _, own, _ in simhash.route(tree, x, simhash.RADIUS // simhash.BLOCKS))
+    assert places == simhash.BLOCKS * len(points)
+
+
+@pytest.mark.parametrize("radius", [3, 6])
+def test_vantage_tree_finds_all_links(spark, monkeypatch, radius):
     monkeypatch.setattr(simhash, "SHARD", 64)
     monkeypatch.setattr(simhash, "TILE", 50)
     monkeypatch.setattr(simhash, "LEAF", 8)
@@ -281,11 +305,11 @@ def test_vantage_tree_finds_all_links(spark, monkeypatch):
     points = list(r.integers(0, 2**63, 400, dtype=np.uint64))
     for _ in range(600):
         p = points[r.integers(len(points))]
-        points.append(p ^ np.bitwise_or.reduce(np.uint64(1) << r.choice(64, r.integers(1, 7), replace=False).astype(np.uint64)))
+        points.append(p ^ np.bitwise_or.reduce(np.uint64(1) << r.choice(64, r.integers(1, 2 * radius), replace=False).astype(np.uint64)))
     points = sorted({int(p) for p in points})
     df = spark.createDataFrame([(int(np.uint64(p).astype(np.int64)),) for p in points], "fp long")
-    label = {r.node % (1 << 64): r.label for r in components(simhash.links(df)).collect()}
-    want = plain_classes(points)
+    label = {r.node % (1 << 64): r.label for r in components(simhash.links(df, radius)).collect()}
+    want = plain_classes(points, radius)
     seen = {}
     for p, w in zip(points, want, strict=True):
         got = label.get(p, p)
