@@ -2,46 +2,79 @@
 
 from __future__ import annotations
 
+from bisect import bisect
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import stage
 from .words import runs, slices, strings, whole_runs, words
 
-SHINGLE, LEAST, RADIUS = 5, 0.8, 24
-#: Bytes of different benchmark texts, and their ids, that are indexed and sent to the
-#: executors at once; a larger benchmark goes in parts, each over all documents.
+SHINGLE, LEAST, RADIUS = 5, 0.8, 15
+#: Blocks of a fingerprint and their bits. Two fingerprints within RADIUS bits differ by at
+#: most RADIUS // BLOCKS bits in a block at least.
+BLOCKS, WIDTH = 4, 16
+_NEAR = np.flatnonzero(np.bitwise_count(np.arange(1 << WIDTH, dtype=np.uint32)) <= RADIUS // BLOCKS)
+#: Windows that look up their blocks at once, words that are fingerprinted at once, and pairs held at once.
+WINDOWS, SPAN, PAIRS = 512, 1 << 14, 1 << 21
+#: Bytes of different benchmark texts that are indexed and sent to the executors at once;
+#: a larger benchmark goes in parts, each over all documents.
 PART_BYTES = 8 << 20
 
 
+def blocks(prints: np.ndarray) -> list[np.ndarray]:
+    return [((prints >> np.uint64(WIDTH * j)) & np.uint64((1 << WIDTH) - 1)).astype(np.int64) for j in range(BLOCKS)]
+
+
 @dataclass
-class Size:
-    """The items of one size in words: their fingerprints, cut into RADIUS + 1 blocks. Two
-    fingerprints within RADIUS bits agree in a block at least."""
+class Tables:
+    """For each block, which fingerprints have a value in it: those of value v are
+    order[start[v] : start[v + 1]]."""
 
-    items: np.ndarray
     prints: np.ndarray
-    cuts: list[tuple[int, int]]
-    tables: list[dict[int, np.ndarray]]
-
-    def candidates(self, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(window, item, bits that differ) of all pairs within the radius."""
-        met = np.zeros((len(prints), len(self.items)), bool)
-        for (low, width), table in zip(self.cuts, self.tables, strict=True):
-            value = (prints >> np.uint64(low)) & np.uint64((1 << width) - 1)
-            for v in np.unique(value):
-                if (own := table.get(int(v))) is not None:
-                    met[np.ix_(value == v, own)] = True
-        w, i = np.nonzero(met)
-        bits = np.bitwise_count(prints[w] ^ self.prints[i])
-        near = bits <= radius
-        return w[near], i[near], bits[near]
+    start: list[np.ndarray]
+    order: list[np.ndarray]
+
+    @classmethod
+    def of(cls, prints: np.ndarray) -> Tables:
+        start, order = [], []
+        for value in blocks(prints):
+            order.append(np.argsort(value, kind="stable").astype(np.int32))
+            start.append(np.append(0, np.cumsum(np.bincount(value, minlength=1 << WIDTH))).astype(np.int32))
+        return cls(prints, start, order)
+
+    def met(self, prints: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(number of a print asked for, number of a print held) of all pairs that come near in
+        a block, which may come again in another one."""
+        for value, start, order in zip(blocks(prints), self.start, self.order, strict=True):
+            for i in range(0, len(prints), WINDOWS):
+                ask = value[i : i + WINDOWS, None] ^ _NEAR[None, :]
+                low, count = start[ask], start[ask + 1] - start[ask]
+                row, column = np.nonzero(count)
+                low, count = low[row, column], count[row, column].astype(np.int64)
+                upto = np.cumsum(count)
+                for x in range(0, int(upto[-1]) if len(upto) else 0, PAIRS):
+                    at = np.arange(x, min(x + PAIRS, int(upto[-1])))
+                    k = np.searchsorted(upto, at, side="right")
+                    yield i + row[k], order[low[k] + at - (upto[k] - count[k])]
+
+    def candidates(self, prints: np.ndarray, wanted: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(number of a print asked for, number of a print held, bits that differ) of all
+        pairs within the radius, each once; only those held that are wanted."""
+        pairs = []
+        for w, i in self.met(prints):
+            w, i = w[wanted[i]], i[wanted[i]]
+            near = np.bitwise_count(prints[w] ^ self.prints[i]) <= radius
+            pairs.append(np.unique(w[near] * len(self.prints) + i[near]))
+        pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
+        w, i = pairs // max(1, len(self.prints)), pairs % max(1, len(self.prints))
+        return w, i, np.bitwise_count(prints[w] ^ self.prints[i])
 
 
 @dataclass
@@ -69,7 +102,8 @@ class Weights:
 class Index:
     ids: list
     shingles: list[Counter]
-    sizes: dict[int, Size]
+    sizes: np.ndarray  #: of the items, in words
+    tables: Tables
     keys: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  #: by shingle length: sorted hashes, where their lists begin, sizes in words of their items
     bitmap: dict[int, np.ndarray]
 
@@ -126,16 +160,6 @@ def index(items: list[tuple], weights: Weights | None = None) -> Index:
             sizes.append(n)
             lists.append(x)
     prints = np.array([_prints(_running(x, weights.of(x)), np.array([0]), np.array([len(x)]))[0] for x in lists], np.uint64)
-    edge = np.linspace(0, 64, RADIUS + 2).astype(int)
-    cuts = [(int(a), int(b - a)) for a, b in zip(edge, edge[1:], strict=False)]
-    by_size: dict[int, Size] = {}
-    for n in sorted(set(sizes)):
-        own = np.array([i for i, x in enumerate(sizes) if x == n])
-        tables = []
-        for low, width in cuts:
-            value = (prints[own] >> np.uint64(low)) & np.uint64((1 << width) - 1)
-            tables.append({int(v): np.flatnonzero(value == v) for v in np.unique(value)})
-        by_size[n] = Size(own, prints[own], cuts, tables)
     keys, bitmap = {}, {}
     for k in sorted({min(SHINGLE, n) for n in sizes}):
         pairs = sorted({(s, n) for x, n in zip(lists, sizes, strict=True) if min(SHINGLE, n) == k for s in x.tolist()})
@@ -144,13 +168,24 @@ def index(items: list[tuple], weights: Weights | None = None) -> Index:
         keys[k] = (unique, np.append(start, len(pairs)), np.array([n for _, n in pairs]))
         bitmap[k] = np.zeros(1 << 20, bool)
         bitmap[k][(unique & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-    return Index(ids, [Counter(x.tolist()) for x in lists], by_size, keys, bitmap)
+    return Index(ids, [Counter(x.tolist()) for x in lists], np.array(sizes, np.int64), Tables.of(prints), keys, bitmap)
+
+
+def _free(taken: list[int], at: int, size: int) -> int | None:
+    """Where a window at ``at`` stands among those taken, which are sorted; None if it
+    overlaps one."""
+    i = bisect(taken, at)
+    return None if i and at - taken[i - 1] < size or i < len(taken) and taken[i] - at < size else i
 
 
 def search(ix: Index, weights: Weights, texts: pa.Array) -> Iterator[tuple[int, int, int, int, int, float]]:
     """(text, item, first word, end, bits, similarity) of windows that are as long as an
-    item and similar to it; of windows of an item that overlap, the nearest. A window
-    similar to an item shares a shingle with it, so windows without are not looked at."""
+    item and similar to it; of windows of an item that overlap, the nearest.
+
+    A window similar to an item shares a shingle with an item of its size, so only such
+    windows get a fingerprint. The blocks say which items' fingerprints may be within
+    RADIUS bits of it, and those that are get compared shingle by shingle.
+    """
     for i, j in slices(texts):
         w = words(texts[i:j], lower=True)
         h, owner = w.hashes(), w.owner()
@@ -167,24 +202,31 @@ def search(ix: Index, weights: Weights, texts: pa.Array) -> Iterator[tuple[int,
         for (text, n), at in spots.items():
             k = min(SHINGLE, n)
             low, high = int(w.first[text]), int(w.first[text + 1]) - n
-            near = np.zeros(max(0, high - low + 1), bool)
-            for p in at:
-                near[max(0, p - low - (n - k)) : max(0, p - low + 1)] = True
-            begin = np.flatnonzero(near) + low
-            if not len(begin):
+            if high < low:
                 continue
-            first, last = int(begin[0]), int(begin[-1]) + n - k + 1
-            own = grams[k][first:last]
-            sums = _running(own, weights.of(own))
-            win, item, bits = ix.sizes[n].candidates(_prints(sums, begin - first, begin - first + n - k + 1), RADIUS)
+            edge = np.zeros(high - low + 2, np.int64)
+            p = np.array(at) - low
+            np.add.at(edge, np.clip(p - (n - k), 0, high - low + 1), 1)
+            np.add.at(edge, np.clip(p + 1, 0, high - low + 1), -1)
+            begin = np.flatnonzero(np.cumsum(edge[:-1]) > 0) + low
+            found = []
+            for a, b in pairwise([0, *(np.flatnonzero(np.diff(begin // SPAN)) + 1).tolist(), len(begin)]):
+                some = begin[a:b]
+                if len(some):
+                    first = int(some[0])
+                    own = grams[k][first : int(some[-1]) + n - k + 1]
+                    win, item, bits = ix.tables.candidates(_prints(_running(own, weights.of(own)), some - first, some - first + n - k + 1), ix.sizes == n)
+                    found.append((some[win], item, bits))
             taken: dict[int, list[int]] = {}
+            win, item, bits = (np.concatenate(x) for x in zip(*found, strict=True)) if found else [np.zeros(0, np.int64)] * 3
             for x in np.lexsort((win, bits)).tolist():
-                a, name = int(begin[win[x]]), int(ix.sizes[n].items[item[x]])
-                if any(abs(a - b) < n for b in taken.get(name, ())):
+                a, name = int(win[x]), int(item[x])
+                near = taken.setdefault(name, [])
+                if (spot := _free(near, a, n)) is None:
                     continue
-                s = ix.similarity(Counter(own[a - first : a - first + n - k + 1].tolist()), name, weights)
+                s = ix.similarity(Counter(grams[k][a : a + n - k + 1].tolist()), name, weights)
                 if s >= LEAST:
-                    taken.setdefault(name, []).append(a)
+                    near.insert(spot, a)
                     yield i + text, name, a - low, a - low + n, int(bits[x]), s
 
 
@@ -209,26 +251,22 @@ def _counted(texts: DataFrame) -> Weights:
 
 
 def _parts(benchmark: DataFrame) -> tuple[Weights, Iterator[Index]]:
-    """The weights over the whole benchmark and the indexes of its parts: of different
-    texts, each with the ids of its items and how often each comes."""
-    rows = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text")).groupBy("text", "item_id").agg(F.count("*").alias("n"))
-    texts = rows.groupBy("text").agg(F.sum("n").alias("n"), F.sort_array(F.collect_list(F.struct("item_id", "n"))).alias("ids"))
-    texts = stage(texts, "benchmark")
-    size = texts.agg(F.coalesce(F.sum(F.octet_length("text") + 16 * F.size("ids")), F.lit(0))).first()[0]
+    """The weights over the whole benchmark and the indexes of its parts, of different
+    texts, each named by its MD5."""
+    texts = stage(benchmark.select(_text().alias("text")).groupBy("text").agg(F.count("*").alias("n")), "benchmark")
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, -(-size // PART_BYTES))
+    weights = _counted(texts)
 
     def held(part: int) -> list:
-        return texts.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == part).orderBy("text").collect()
+        own = texts.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == part).select(F.md5("text").alias("name"), "text")
+        return [(r.name, r.text) for r in own.orderBy("name").collect()]
 
-    def item(r) -> tuple:
-        return [tuple(x) for x in r.ids], r.text
+    return weights, (index(held(part), weights) for part in range(parts))
 
-    if parts == 1:
-        all_ = held(0)
-        weights = count([(r.n, r.text) for r in all_])
-        return weights, iter([index([item(r) for r in all_], weights)])
-    weights = _counted(texts)
-    return weights, (index([item(r) for r in held(part)], weights) for part in range(parts))
+
+def _text() -> Column:
+    return F.coalesce("text", F.lit(""))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -239,29 +277,28 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Words are those between ASCII white space, A-Z in lower case. A part of the benchmark
     of about PART_BYTES is indexed and sent along with the tasks; documents are read once
     a part and not shuffled. Weights count the items of the whole benchmark, whatever its
-    parts; those of shingles of more than one item go to all tasks. An item of fewer than 5 words is one shingle;
-    items and documents without words (null texts too) match nothing. Repeated rows give
-    repeated matches. Equal items each match.
+    parts; those of shingles of more than one item go to all tasks. An item of fewer than
+    5 words is one shingle; items and documents without words (null texts too) match
+    nothing. Repeated rows give repeated matches, and equal items each match: a match names
+    the item's text, and is then joined with the rows that have it.
     """
     out = None
     kind = docs.schema["doc_id"].dataType.simpleString()
-    item = benchmark.schema["item_id"].dataType
     weights, parts = _parts(benchmark)
     weights = docs.sparkSession.sparkContext.broadcast(weights)
+    names = ["doc_id", "name", "first_word", "end_word", "bits", "similarity"]
     for ix in parts:
         shared = docs.sparkSession.sparkContext.broadcast(ix)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                found = search(shared.value, weights.value, strings(b.column("text")))
-                found = [(text, name, *rest) for text, x, *rest in found for name, n in shared.value.ids[x] for _ in range(n)]
-                rows = list(zip(*found, strict=True)) or [()] * 6
+                rows = list(zip(*search(shared.value, weights.value, strings(b.column("text"))), strict=True)) or [()] * 6
                 own = b.column("doc_id").take(pa.array(rows[0], pa.int64()))
-                yield pa.RecordBatch.from_arrays([own, pa.array(rows[1], pa.int64()), *(pa.array(x, pa.int64()) for x in rows[2:5]), pa.array(rows[5], pa.float64())], ["doc_id", "item_id", "first_word", "end_word", "bits", "similarity"])
+                yield pa.RecordBatch.from_arrays([own, pa.array([shared.value.ids[x] for x in rows[1]], pa.string()), *(pa.array(x, pa.int64()) for x in rows[2:5]), pa.array(rows[5], pa.float64())], names)
 
-        part = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, item_id long, first_word long, end_word long, bits long, similarity double")
+        part = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, name string, first_word long, end_word long, bits long, similarity double")
         out = part if out is None else out.unionByName(part)
-    return out.withColumn("item_id", F.col("item_id").cast(item))
+    return out.join(benchmark.select("item_id", F.md5(_text()).alias("name")), "name").select("doc_id", "item_id", *names[2:])
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

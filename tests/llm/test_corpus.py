@@ -159,14 +159,68 @@ def test_decontamination_does_not_depend_on_parts(spark, monkeypatch):
     assert {x.doc_id for x in decontam.keep_clean(df, benchmark).collect()} == clean
 
 
-def test_blocks_guarantee_all_within_the_radius():
-    ix = decontam.index([(i, prose(20, i)) for i in range(50)])
-    size = ix.sizes[20]
+def test_blocks_guarantee_all_within_the_radius(monkeypatch):
     r = np.random.default_rng(0)
-    prints = np.array([p ^ np.bitwise_or.reduce(np.uint64(1) << r.choice(64, k, replace=False).astype(np.uint64)) for p, k in zip(size.prints, r.integers(1, 40, 50), strict=True)], np.uint64)
-    w, i, _ = size.candidates(prints, decontam.RADIUS)
-    a, b = np.nonzero(np.bitwise_count(prints[:, None] ^ size.prints[None, :]) <= decontam.RADIUS)
-    assert set(zip(w.tolist(), i.tolist(), strict=True)) == set(zip(a.tolist(), b.tolist(), strict=True))
+    held = r.integers(0, 2**63, 400, dtype=np.uint64) * np.uint64(2) + r.integers(0, 2, 400, dtype=np.uint64)
+    asked = np.array([held[i % 400] ^ np.bitwise_or.reduce(np.uint64(1) << r.choice(64, i % 22, replace=False).astype(np.uint64)) if i % 22 else held[i % 400] for i in range(1500)], np.uint64)
+    a, b = np.nonzero(np.bitwise_count(asked[:, None] ^ held[None, :]) <= decontam.RADIUS)
+    tables, everything = decontam.Tables.of(held), np.ones(400, bool)
+    for pairs in (decontam.PAIRS, 100):
+        monkeypatch.setattr(decontam, "PAIRS", pairs)
+        w, i, bits = tables.candidates(asked, everything)
+        assert list(zip(w.tolist(), i.tolist(), strict=True)) == list(zip(a.tolist(), b.tolist(), strict=True)) and len(a) > 900
+        assert (bits == np.bitwise_count(asked[w] ^ held[i])).all()
+    monkeypatch.setattr(decontam, "PAIRS", 1 << 21)
+    strange = r.integers(0, 2**63, 2000, dtype=np.uint64)
+    met = {p for w, i in tables.met(strange) for p in zip(w.tolist(), i.tolist(), strict=True)}
+    assert len(met) < 0.05 * len(strange) * len(held)
+
+
+def plain_matches(text, items, weights):
+    """Items with a window of weighted similarity 0.8, by comparing every window."""
+    h = words(pa.array([text]), lower=True).hashes()
+    found = set()
+    for name, n, bag in items:
+        k = min(decontam.SHINGLE, n)
+        g = decontam.runs(h, k)
+        for a in range(len(h) - n + 1):
+            window = Counter(g[a : a + n - k + 1].tolist())
+            if not window.keys() & bag.keys():
+                continue
+            weight = dict(zip(window.keys() | bag.keys(), weights.of(np.array(list(window.keys() | bag.keys()), np.uint64)).tolist(), strict=True))
+            both, either = (sum(f(window.get(s, 0), bag.get(s, 0)) * x for s, x in weight.items()) for f in (min, max))
+            if both >= 0.8 * either:
+                found.add(name)
+                break
+    return found
+
+
+def test_decontamination_recall_against_every_window(spark):
+    benchmark = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    weights = decontam.count([(1, t) for _, t in benchmark])
+    items = [(name, len(t.split()), Counter(decontam._shingles(pa.array([t]))[0].tolist())) for name, t in benchmark]
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    for i in range(400):  # and items with edits
+        r = np.random.default_rng(i)
+        t = benchmark[i % len(benchmark)][1].split()
+        for at in r.integers(0, len(t), int(r.integers(0, 4))):
+            t[at] = "changed"
+        docs.append((100_000 + i, f"{prose(20, i)} {' '.join(t)} {prose(20, i + 1)}"))
+    want = {(d, name) for d, t in docs for name in plain_matches(t, items, weights)}
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.matches(df, spark.createDataFrame(benchmark, "item_id long, text string")).collect()}
+    planted = {p for p in want if p[0] < 100_000}
+    edited = want - planted
+    print("recall", len(planted), len(got & planted), len(edited), len(got & edited))
+    assert got <= want and len(got & planted) >= 0.9 * len(planted) and len(got & edited) >= 0.9 * len(edited)
+
+
+def test_decontamination_of_a_dump_and_of_any_ids(spark):
+    items = [(f"item {i}", prose(30, i)) for i in range(1000)]
+    df = spark.createDataFrame([("dump", " ".join(t for _, t in items)), (None, items[0][1]), ("x", None)], "doc_id string, text string")
+    benchmark = spark.createDataFrame([*items, (None, items[0][1])], "item_id string, text string")
+    found = Counter((r.doc_id, r.item_id) for r in decontam.matches(df, benchmark).collect())
+    assert found == Counter([("dump", n) for n, _ in items] + [("dump", None), (None, "item 0"), (None, None)])
 
 
 def test_toxicity_held_out_accuracy(spark):
