@@ -81,18 +81,19 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5,
     A null text has no words; null is a source, the last one. Repeated rows share their
     doc_id's hash and are in or out together, as are rows with a null doc_id. A source
     without words has target 0. An empty table gives no rows. Columns of docs that bear
-    the names added here are replaced. narrow: of docs, only doc_id is returned, and
+    the names added here are replaced; all others stay. narrow: of docs, only doc_id is returned, and
     texts are read once.
     """
     docs = docs.drop("size", "source_size", "target", "copies", "taken")
-    sized = docs.withColumn("size", word_count("text")).withColumn("__bucket", bucket("doc_id"))
-    rows = stage(sized.select("doc_id", "source", "size", "__bucket"), "sizes")
-    cuts = thresholds(rows.withColumnRenamed("__bucket", "bucket"), weights, share, most)
-    right = cuts.select(F.col("source").alias("__source"), "source_size", "target", F.col("base").alias("__base"), F.col("cut").alias("__cut"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # so that no column clashes with those of the work
+    sized = docs.select(row.alias("row"), "doc_id", "source", word_count("text").alias("size"), bucket("doc_id").alias("bucket"))
+    rows = stage(sized.drop("row"), "sizes")
+    cuts = thresholds(rows, weights, share, most)
+    right = cuts.select(F.col("source").alias("s"), "source_size", "target", "base", "cut")
     # cuts is a small file, which Spark broadcasts if it is below its threshold
-    out = (rows if narrow else sized).join(right, F.col("source").eqNullSafe(F.col("__source")))
-    out = out.withColumn("copies", F.col("__base") + (F.col("__bucket") < F.col("__cut")).cast("long")).withColumn("taken", F.col("copies") * F.col("size"))
-    return out.select(*(["doc_id"] if narrow else docs.columns), "size", "source_size", "target", "copies", "taken")
+    out = (rows if narrow else sized).join(right, F.col("source").eqNullSafe(F.col("s")))
+    out = out.withColumn("copies", F.col("base") + (F.col("bucket") < F.col("cut")).cast("long")).withColumn("taken", F.col("copies") * F.col("size"))
+    return out.select("doc_id" if narrow else "row.*", "size", "source_size", "target", "copies", "taken")
 
 
 ORACLE = r"""

@@ -6,6 +6,9 @@ a pattern: a match begins after all earlier pieces and matches.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,27 +53,65 @@ def _holds(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, body) -> Column:
+    """body(value), of which value is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _gathered(items: Column, kind: str, open_block, step) -> Column:
+    """An array<kind> of what each of the items adds in turn, with a position that goes along.
+
+    open_block(at, block): what step needs of a block of items that begins at the position
+    at; step(opened, at, x): the position after item x, and the array that x adds. Blocks
+    have about the square root of the number of items, as an array is copied whenever
+    it grows.
+    """
+    state = f"struct<at:int,out:array<{kind}>>"
+    none = F.array().cast(f"array<{kind}>")
+
+    def folded(items: Column) -> Column:
+        size = F.greatest(F.ceil(F.sqrt(F.size(items))), F.lit(1)).cast("int")
+        starts = F.sequence(F.lit(1), F.greatest(F.size(items), F.lit(1)), size)
+        blocks = F.transform(starts, lambda i: F.slice(items, i, size))
+
+        def block_step(s: Column, block: Column) -> Column:
+            def one(opened: Column) -> Column:
+                def item_step(u: Column, x: Column) -> Column:
+                    at, added = step(opened, u["at"], x)
+                    return F.struct(at.alias("at"), F.concat(u["out"], added).alias("out")).cast(state)
+
+                end = lambda u: F.struct(u["at"].alias("at"), F.concat(s["out"], F.array(u["out"])).alias("out"))
+                return F.aggregate(block, F.struct(s["at"].alias("at"), none.alias("out")).cast(state), item_step, end)
+
+            return _let(open_block(s["at"], block), one)
+
+        whole = f"struct<at:int,out:array<array<{kind}>>>"
+        return F.aggregate(blocks, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{kind}>>").alias("out")).cast(whole), block_step, lambda s: F.flatten(s["out"]))
+
+    return _let(items, folded)
+
+
 def _matches(text: Column, pattern: Column) -> Column:
     """All matches as array of (start, end, m), in code points."""
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), F.length)
-    both = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(found)).alias("gap"), found.alias("m"))
-    kind = "struct<at:int,out:array<struct<start:int,end:int,m:string>>>"
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,m:string>>").alias("out")).cast(kind)
+    both = _let(F.regexp_extract_all(text, pattern, F.lit(0)), lambda found: F.arrays_zip(F.slice(gaps, F.lit(1), F.size(found)).alias("gap"), found.alias("m")))
+    kind = "struct<start:int,end:int,m:string>"
+
+    def step(_: Column, at: Column, x: Column) -> tuple[Column, Column]:
+        start, end = at + x["gap"], at + x["gap"] + F.length(x["m"])
+        return end, F.array(F.struct(start.alias("start"), end.alias("end"), x["m"].alias("m")))
+
+    return _gathered(both, kind, lambda at, block: at, step)
 
-    def step(s: Column, x: Column) -> Column:
-        start = s["at"] + x["gap"]
-        end = start + F.length(x["m"])
-        return F.struct(end.alias("at"), F.concat(s["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["m"].alias("m")))).alias("out")).cast(kind)
 
-    return F.aggregate(both, zero, step, lambda s: s["out"])
+def _hint(text: Column, kind: str) -> Column:
+    return F.contains(text, F.lit("@")) if kind == "email" else text.rlike(HINTS[kind])
 
 
 def base_spans(text: Column, kind: str) -> Column:
     """The spans of a base kind, as array of (start, end, m)."""
-    hint = F.contains(text, F.lit("@")) if kind == "email" else text.rlike(HINTS[kind])
     found = F.filter(_matches(text, F.lit(PATTERNS[kind])), lambda x: _holds(kind, x["m"]))
-    return F.when(hint, found).otherwise(F.array().cast("array<struct<start:int,end:int,m:string>>"))
+    return F.when(_hint(text, kind), found).otherwise(F.array().cast("array<struct<start:int,end:int,m:string>>"))
 
 
 def _listed(found: Column, kind: str) -> Column:
@@ -82,64 +123,97 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", name(x), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def _entities(*kinds: str) -> Column:
+def _entities() -> Column:
     """Protected entities of a text: kind and value, without the ways to write it."""
     def each(k: str) -> Column:
         value = F.lower if k in ("email", "ip") else _digits
-        return F.transform(F.col(f"__m_{k}"), lambda x: F.concat(F.lit(f"{k}:"), value(x["m"])))
+        return F.transform(F.col(k), lambda x: F.concat(F.lit(f"{k}:"), value(x["m"])))
 
-    return F.array_distinct(F.concat(*map(each, kinds)))
+    return F.array_distinct(F.concat(*map(each, PATTERNS)))
 
 
-def _terms(text: Column) -> Column:
-    """Distinct words of a text, without what a base pattern matches."""
+def _without(text: Column) -> Column:
+    """text with a space for what a base pattern matches, whether it holds or not."""
     for k, pattern in PATTERNS.items():
-        hint = F.contains(text, F.lit("@")) if k == "email" else text.rlike(HINTS[k])
-        text = F.when(hint, F.regexp_replace(text, F.lit(pattern), F.lit(" "))).otherwise(text)
-    return F.array_distinct(F.split(text, r"[\x20\x09-\x0D]+"))
+        text = F.when(_hint(text, k), F.regexp_replace(text, F.lit(pattern), F.lit(" "))).otherwise(text)
+    return text
+
+
+def _searched(docs: DataFrame) -> DataFrame:
+    """docs as (row, email, ip, card, phone, rest, k), a written table: the row itself, the
+    spans of each base kind, the text without them (null: as it is), and the MD5 of a text
+    that has a span. The patterns run here alone."""
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    d = d.select("row", *[base_spans(text, k).alias(k) for k in PATTERNS], F.when(reduce(or_, [_hint(text, k) for k in PATTERNS]), _without(text)).alias("rest"))
+    return stage(d.withColumn("k", F.when(reduce(or_, [F.size(k) > 0 for k in PATTERNS]), F.md5(text))), "searched")
 
 
-def disclosing(docs: DataFrame, alpha: float, least_texts: int) -> DataFrame:
-    """Terms that disclose an entity of their text: (k, terms), k the MD5 of a text; docs as in _found.
+def _words() -> Column:
+    """Distinct words of a text, without what a base pattern matches."""
+    return F.explode(F.array_distinct(F.split(F.coalesce("rest", "row.text", F.lit("")), r"[\x20\x09-\x0D]+")))
+
+
+def _set_of(k: str, n: str) -> list[Column]:
+    """Sums that are equal for equal bags of texts: of two halves of each text's hash."""
+    h = F.xxhash64(k)
+    return [F.sum(F.col(n) * F.shiftrightunsigned(h, 33)).alias("s1"), F.sum(F.col(n) * h.bitwiseAND(F.lit(0x7FFFFFFF))).alias("s2")]
+
+
+def disclosing(d: DataFrame, alpha: float, least_texts: int) -> DataFrame:
+    """Terms that disclose an entity of their text: (k, terms), k the MD5 of a text; d as
+    _searched makes it.
 
     A term's disclosure of an entity is their pointwise mutual information over the
     documents, log2(P(e|t) / P(e)); at most it is the information content of the entity,
     -log2 P(e). A term discloses if it reaches the share ``alpha`` of that, and stands
-    with the entity in at least ``least_texts`` different texts. So an entity of fewer
-    documents can't be disclosed, and only documents with the others are paired with
-    their terms: a row for each term and such entity of one document. Document counts of
-    terms cover the whole corpus, by partial sums before the shuffle.
+    with the entity in at least ``least_texts`` different texts. So only texts with an
+    entity of as many are looked at, and of their words only those that stand in as many of
+    them, and nowhere else too often: reaching the share means
+    P(e|t) >= P(e) ** (1 - alpha). Entities that stand in the same texts are one, and so are
+    terms; what is paired within a text are these groups. Document counts of terms cover the
+    whole corpus.
     """
-    all_docs = docs.count()
-    held = docs.where(F.size("__entities") > 0).select(F.col("__k").alias("k"), F.col("__text").alias("text"), F.col("__entities").alias("entities"))
-    common = held.select("k", F.explode("entities").alias("e")).groupBy("e").agg(F.count("*").alias("n_e"), F.count_distinct("k").alias("texts")).where(F.col("texts") >= least_texts)
-    common = stage(common.select("e", "n_e"), "entities")
-    protected = held.select("k", "text", F.explode("entities").alias("e")).join(common, "e")
-    pairs = protected.select("k", "e", "n_e", F.explode(_terms(F.col("text"))).alias("t")).where("t <> ''")
-    pairs = stage(pairs.groupBy("e", "t", "k", "n_e").agg(F.count("*").alias("n")), "pairs")
-    close = pairs.groupBy("e", "t", "n_e").agg(F.sum("n").alias("n_te"), F.count("*").alias("texts")).where(F.col("texts") >= least_texts)
-    close = stage(close, "close")
-    if close.isEmpty():
-        return close.select(F.lit("").alias("k"), F.array(F.lit("")).alias("terms")).limit(0)
-    spread = docs.select(F.explode(_terms(F.col("__text"))).alias("t")).where("t <> ''").groupBy("t").agg(F.count("*").alias("n_t"))
-    close = close.join(spread, "t")
+    all_docs = d.count()
+    held = stage(d.where("k is not null").select("k", F.explode(_entities()).alias("e")).groupBy("e", "k").agg(F.count("*").alias("n")), "held")
+    common = held.groupBy("e").agg(F.sum("n").alias("n_e"), F.count("*").alias("texts"), *_set_of("k", "n")).where((F.col("texts") >= least_texts) & (F.col("n_e") < all_docs))
+    common = common.select("e", "n_e", F.xxhash64("n_e", "texts", "s1", "s2").alias("group_e"))
+    protected = stage(held.join(common, "e").select("k", "n", "group_e", "n_e").distinct(), "protected")
+    said = d.where("k is not null").join(protected.select("k").distinct(), "k", "left_semi").select("k", _words().alias("t")).where("t <> ''")
+    said = stage(said.groupBy("k", "t").agg(F.count("*").alias("n")), "said")
+    near = said.groupBy("t").agg(F.sum("n").alias("n_p"), F.count("*").alias("texts"), *_set_of("k", "n")).where(F.col("texts") >= least_texts)
+    near = stage(near, "near")
+    known = near.select("t", F.length("t").alias("size")).agg(F.coalesce(F.sum(F.col("size") + 48), F.lit(0))).first()[0] <= BROADCAST_BYTES
+    spread = d.select(_words().alias("t"))
+    if known:  # else they are counted before the shuffle, and those that aren't near go then
+        spread = spread.join(F.broadcast(near.select("t")), "t", "left_semi")
+    spread = spread.groupBy("t").agg(F.count("*").alias("n_t"))
+    least = (least_texts / max(1, all_docs)) ** (1 - alpha) * (1 - 1e-9)
+    near = near.join(spread, "t").where(F.col("n_p") >= F.lit(least) * F.col("n_t"))
+    near = stage(near.select("t", "n_t", F.xxhash64("n_p", "n_t", "texts", "s1", "s2").alias("group_t")), "near")
+    pairs = stage(protected.join(said.join(near, "t").select("k", "group_t", "n_t").distinct(), "k"), "pairs")
+    close = pairs.groupBy("group_e", "group_t", "n_e", "n_t").agg(F.sum("n").alias("n_te"), F.count("*").alias("texts")).where(F.col("texts") >= least_texts)
     reveals = F.log2(F.col("n_te") * F.lit(float(all_docs)) / (F.col("n_t") * F.col("n_e")))
     content = F.log2(F.lit(float(all_docs)) / F.col("n_e"))
-    close = stage(close.where((content > 0) & (reveals >= F.lit(alpha) * content)).select("e", "t"), "disclosing")
-    return pairs.join(close, ["e", "t"]).groupBy("k").agg(F.sort_array(F.collect_set("t")).alias("terms"))
+    close = stage(close.where((content > 0) & (reveals >= F.lit(alpha) * content)).select("group_e", "group_t"), "disclosing")
+    told = pairs.join(close, ["group_e", "group_t"]).select("k", "group_t").distinct().join(near.select("t", "group_t"), "group_t")
+    return told.groupBy("k").agg(F.sort_array(F.collect_set("t")).alias("terms"))
 
 
 def _found(docs: DataFrame, alpha: float, least_texts: int) -> DataFrame:
-    """docs with __text, __base and __spans, and __m_ columns of the base kinds' matches."""
-    d = docs.withColumn("__text", F.coalesce("text", F.lit("")))
-    d = d.withColumns({f"__m_{k}": base_spans(F.col("__text"), k) for k in PATTERNS}).withColumn("__entities", _entities(*PATTERNS)).withColumn("__k", F.md5("__text"))
-    terms = stage(disclosing(d, alpha, least_texts), "terms").toDF("__k", "__terms")
-    size = terms.agg(F.coalesce(F.sum(64 + F.aggregate("__terms", F.lit(0), lambda n, t: n + 32 + F.length(t))), F.lit(0))).first()[0]
-    d = d.join(F.broadcast(terms) if size <= BROADCAST_BYTES else terms, "__k", "left")
-    quoted = F.transform("__terms", lambda t: F.concat(F.lit("\\Q"), F.replace(t, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E")))
+    """_searched, with the spans of the base kinds as base, and with those of terms as spans."""
+    d = _searched(docs)
+    terms = stage(disclosing(d, alpha, least_texts), "terms")
+    size = terms.agg(F.coalesce(F.sum(64 + F.aggregate("terms", F.lit(0), lambda n, t: n + 32 + F.length(t))), F.lit(0))).first()[0]
+    some = d.where("k is not null").join(F.broadcast(terms) if size <= BROADCAST_BYTES else terms, "k", "left")
+    quoted = F.transform("terms", lambda t: F.concat(F.lit("\\Q"), F.replace(t, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E")))
     pattern = F.concat(F.lit(f"(?<!{_TOKEN})(?:"), F.array_join(quoted, "|"), F.lit(f")(?!{_TOKEN})"))
-    added = F.when(F.col("__terms").isNotNull(), _listed(_matches(F.col("__text"), pattern), "term")).otherwise(F.array().cast(_SPAN))
-    return d.withColumn("__base", F.array_sort(F.concat(*[_listed(F.col(f"__m_{k}"), k) for k in PATTERNS]))).withColumn("__spans", F.array_sort(F.concat("__base", added)))
+    none = F.array().cast(_SPAN)
+    added = F.when(F.col("terms").isNotNull(), _listed(_matches(F.col("row.text"), pattern), "term")).otherwise(none)
+    base = F.array_sort(F.concat(*[_listed(F.col(k), k) for k in PATTERNS]))
+    kept = ["row", *PATTERNS]
+    some = some.select(*kept, base.alias("base"), added.alias("added")).select(*kept, "base", F.array_sort(F.concat("base", "added")).alias("spans"))
+    return some.unionByName(d.where("k is null").select(*kept, none.alias("base"), none.alias("spans")))
 
 
 def find(docs: DataFrame, alpha: float = 0.95, least_texts: int = 3) -> DataFrame:
@@ -149,12 +223,11 @@ def find(docs: DataFrame, alpha: float = 0.95, least_texts: int = 3) -> DataFram
     number in KINDS. spans adds the terms that disclose an entity found in the same text
     (see disclosing), where they stand as whole words. Null texts are empty; equal texts
     get equal spans; rows are never merged. Columns of docs with the names added here
-    are replaced.
+    are replaced, all others stay.
     """
     docs = docs.drop("base", "spans", *(f"n_{k}" for k in PATTERNS))
-    d = _found(docs, alpha, least_texts)
-    counts = [F.size(f"__m_{k}").cast("long").alias(f"n_{k}") for k in PATTERNS]
-    return d.select(*docs.columns, *counts, F.col("__base").alias("base"), F.col("__spans").alias("spans"))
+    counts = [F.size(k).cast("long").alias(f"n_{k}") for k in PATTERNS]
+    return _found(docs, alpha, least_texts).select("row.*", *counts, "base", "spans")
 
 
 def sanitise(docs: DataFrame, alpha: float = 0.95, least_texts: int = 3) -> DataFrame:
@@ -162,19 +235,22 @@ def sanitise(docs: DataFrame, alpha: float = 0.95, least_texts: int = 3) -> Data
     that overlap become one, named after the first. A disclosing term is generalised to
     [TERM]. Null texts stay null. The columns stay as they are.
     """
-    found = _found(docs, alpha, least_texts)
-    state = "struct<at:int,out:string>"
-    text = F.col("__text")
+    text = F.col("row.text")
     tag = lambda x: F.element_at(F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS]), x["kind"] + 1)
 
-    def step(s: Column, x: Column) -> Column:
-        at, begin = s["at"], x["start"]
-        out = F.when(begin >= at, F.concat(s["out"], F.substring(text, at + 1, begin - at), tag(x))).otherwise(s["out"])
-        return F.struct(F.greatest(at, x["end"]).alias("at"), out.alias("out")).cast(state)
+    def open_block(at: Column, block: Column) -> Column:
+        last = F.array_max(F.transform(block, lambda x: x["end"]))
+        return F.struct(at.alias("at"), F.substring(text, at + 1, last - at).alias("text"))
+
+    def step(opened: Column, at: Column, x: Column) -> tuple[Column, Column]:
+        before = F.substring(opened["text"], at - opened["at"] + 1, x["start"] - at)
+        return F.greatest(at, x["end"]), F.when(x["start"] >= at, F.array(before, tag(x))).otherwise(F.array().cast("array<string>"))
 
-    whole = F.aggregate("__spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")).cast(state), step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    new = F.when(F.size("__spans") > 0, whole).otherwise(F.col("text"))
-    return found.select(*[new.alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    pieces = _gathered(F.col("spans"), "string", open_block, step)
+    rest = F.substring(text, F.array_max(F.transform("spans", lambda x: x["end"])) + 1, F.length(text))
+    new = F.when(F.size("spans") > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(text)
+    found = _found(docs, alpha, least_texts).select("row", new.alias("text"))
+    return found.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 ORACLE = r"""

@@ -19,7 +19,7 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii.find(_read(spark, sf_dir, "documents"))
+    found = pii.find(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [f"n_{k}" for k in pii.PATTERNS]
     return found.select("doc_id", *counts, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
 

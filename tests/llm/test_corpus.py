@@ -102,6 +102,39 @@ def test_pii_terms_that_disclose(spark):
     assert f"term:{at}:{at + 11}" in spans.split(",")
 
 
+def test_pii_of_a_text_with_many_matches(spark):
+    n = 50_000
+    text = " ".join(f"u{i}@host.example" for i in range(n))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.monotonic()
+    r = pii.find(df).first()
+    assert r.n_email == n and [tuple(x) for x in r.base] == plain_pii(text)
+    assert pii.sanitise(df).first().text == " ".join(["[EMAIL]"] * n)
+    assert time.monotonic() - began < 120
+
+
+def test_pii_many_entities_and_words_in_one_text(spark):
+    # 600 entities and 600 words that always stand together are paired once, not 360,000 times
+    said = " ".join(f"person{i} u{i}@host.example" for i in range(600))
+    df = spark.createDataFrame([(i, f"{prose(10, i)} {said}") for i in range(4)] + [(9 + i, prose(20, 50 + i)) for i in range(40)], "doc_id long, text string")
+    pairs, stage = [], pii.stage
+    pii.stage, kept = lambda d, name: (pairs.append(out) if name == "pairs" else None, out)[1] if (out := stage(d, name)) is not None else None, pii.stage
+    try:
+        rows = pii.find(df).where("doc_id < 9").collect()
+    finally:
+        pii.stage = kept
+    assert all(sum(x.kind == 4 for x in r.spans) == 600 and r.n_email == 600 for r in rows)
+    assert pairs[0].count() <= 4 * 20
+
+
+def test_columns_with_working_names_stay(spark):
+    names = "row k rest email __text __base __bucket __source __k t base spans hash name leaf fp".split()
+    df = spark.createDataFrame([(i, prose(60, i), "en", "s", 400, *[f"{c}{i}" for c in names]) for i in range(6)], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in names))
+    for out, gone in ((pii.find(df), {"base", "spans"}), (pii.sanitise(df), set()), (mixing.mix(df), set()), (simhash.keep_first(df), set()), (cotrain.keep_good(df, df.select("doc_id", F.lit(1).alias("quality")).limit(0)), set())):
+        rows = {r.doc_id: r for r in out.collect()}
+        assert len(rows) == 6 and all(r[c] == f"{c}{i}" for i, r in rows.items() for c in set(names) - gone)
+
+
 def test_pii_odd_rows(odd):
     out = pii.sanitise(odd)
     assert out.columns == odd.columns and out.count() == odd.count() and out.where("doc_id = 0").first().text is None
