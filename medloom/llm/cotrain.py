@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 from .shared import stage
 from .words import _SPACE, mix, slices, strings, words
 
-#: Most labelled rows and most unlabelled rows that training uses (lowest hash of doc_id first).
-LABELLED_ROWS, POOL_ROWS = 10_000, 5_000
+#: Most labelled rows that training uses (lowest hash of doc_id first), and rows that a
+#: view's classifier hands to the other as labels in the last round, of all unlabelled ones.
+LABELLED_ROWS, EXCHANGED = 10_000, 600
 #: Hash buckets of the words of the content view, and of each field of the metadata view.
 BUCKETS, FIELD = 1_024, 32
 #: Rows whose views a task holds at once.
 PART = 1_024
-ROUNDS, EXCHANGED = 3, 0.1
+ROUNDS = 3
 _SIGN = np.zeros(256, bool)
 _SIGN[list(b"#*$%&|<>!{}~^=_\\")] = True
 _UPPER = np.zeros(256, bool)
@@ -106,49 +107,56 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, start: np.ndarra
     return w
 
 
+def _margin(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return x @ w[:-1] + w[-1]
+
+
 @dataclass
 class Model:
     text: np.ndarray
     meta: np.ndarray
-    join: np.ndarray  #: weights of the two views' margins, and a bias
+    scale: np.ndarray  #: of each view: factor and bias that calibrate its margin to log odds
+    join: np.ndarray  #: weights of the two views' log odds, and a bias
+
+    def margins(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.stack([_margin(a, self.text), _margin(b, self.meta)], axis=1)
 
     def score(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        both = np.stack([a @ self.text[:-1] + self.text[-1], b @ self.meta[:-1] + self.meta[-1]], axis=1)
-        return 1 / (1 + np.exp(-np.clip(both @ self.join[:-1] + self.join[-1], -30, 30)))
-
-
-def train(a: np.ndarray, b: np.ndarray, y: np.ndarray, rounds: int = ROUNDS) -> Model:
-    """Co-training on the rows' two views; y is -1 for the rows of the pool.
-
-    In each round either view's classifier names the pool rows of which it is surest,
-    EXCHANGED of the pool in the classes' shares, and the other one learns them as labels,
-    at half the weight. A fifth of the labelled rows is held back to calibrate and to
-    weigh the views' margins (Platt scaling of both together)."""
-    known = np.flatnonzero(y >= 0)
-    pool = np.flatnonzero(y < 0)
-    held, fit = known[4::5], np.delete(known, np.s_[4::5])
-    share = float(y[fit].mean()) if len(fit) else 0.5
-    views, model = (a, b), [None, None]
-    label, weight = [np.maximum(y, 0), np.maximum(y, 0)], [np.zeros(len(y)), np.zeros(len(y))]
-    for w in weight:
-        w[fit] = 1
-    for turn in range(rounds + 1):
-        for v in (0, 1):
-            model[v] = _logistic(views[v], label[v], weight[v], model[v], steps=200 if not turn else 60)
-        if turn == rounds or not len(pool):
-            break
-        for v in (0, 1):
-            margin = (views[v] @ model[v][:-1] + model[v][-1])[pool]
-            order = np.argsort(margin, kind="stable")
-            n = int(len(order) * EXCHANGED * (turn + 1) / rounds)
-            low, high = order[: int(round(n * (1 - share)))], order[len(order) - int(round(n * share)) :]
-            low, high = pool[low[margin[low] < 0]], pool[high[margin[high] > 0]]
-            weight[1 - v][pool] = 0
-            weight[1 - v][low], weight[1 - v][high] = 0.5, 0.5
-            label[1 - v][low], label[1 - v][high] = 0, 1
-    use = held if len(held) >= 50 and 0 < y[held].sum() < len(held) else known
-    both = np.stack([x @ m[:-1] + m[-1] for x, m in zip(views, model, strict=True)], axis=1)[use]
-    return Model(model[0], model[1], _logistic(both, y[use], np.ones(len(use)), np.array([0.5, 0.5, 0], np.float32), steps=300, l2=1e-3))
+        odds = self.margins(a, b) * self.scale[:, 0] + self.scale[:, 1]
+        return 1 / (1 + np.exp(-np.clip(_margin(odds, self.join), -30, 30)))
+
+
+@dataclass
+class Rows:
+    """The views of some rows, and their labels."""
+
+    a: np.ndarray
+    b: np.ndarray
+    y: np.ndarray
+
+
+def learn(known: Rows, given: tuple[Rows, Rows], before: Model | None) -> Model:
+    """The views' classifiers after a round: of the known rows but each fifth, and, at half
+    the weight, of those given to either by the other."""
+    fit = np.ones(len(known.y), bool)
+    fit[4::5] = False  # held back to calibrate
+    views = []
+    for own, x, start in (("a", given[0], before and before.text), ("b", given[1], before and before.meta)):
+        rows = np.concatenate([getattr(known, own)[fit], getattr(x, own)])
+        weight = np.append(np.ones(int(fit.sum())), np.full(len(x.y), 0.5))
+        views.append(_logistic(rows, np.append(known.y[fit], x.y), weight, start, steps=200 if before is None else 60))
+    return Model(*views, np.tile([1.0, 0.0], (2, 1)), np.array([0.5, 0.5, 0]))
+
+
+def calibrated(model: Model, known: Rows) -> Model:
+    """Platt scaling of each view on the rows held back, then weights of their log odds."""
+    use = np.arange(len(known.y))[4::5]
+    if len(use) < 50 or not 0 < known.y[use].sum() < len(use):
+        use = np.arange(len(known.y))
+    both, y, one = model.margins(known.a[use], known.b[use]).astype(np.float32), known.y[use], np.ones(len(use))
+    scale = np.stack([_logistic(both[:, [v]], y, one, np.array([1, 0], np.float32), steps=300, l2=1e-3) for v in (0, 1)])
+    join = _logistic((both * scale[:, 0] + scale[:, 1]).astype(np.float32), y, one, np.array([0.5, 0.5, 0], np.float32), steps=300, l2=1e-3)
+    return Model(model.text, model.meta, scale, join)
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,30 +171,78 @@ def _views(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return content(texts), metadata(b.column("source").to_pylist(), b.column("lang").to_pylist(), b.column("n_chars").to_pylist(), texts)
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """A model from labels (doc_id, quality) and docs; what comes to the driver is the two
-    views of at most LABELLED_ROWS and POOL_ROWS rows. Conflicting labels: the lowest."""
-    marks = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min(F.col("quality").cast("int")).alias("quality"))
-    ids = docs.where("doc_id is not null").select("doc_id").distinct().join(marks, "doc_id", "left")
-    first = lambda rows, n: rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-    picked = stage(first(ids.where("quality is not null"), LABELLED_ROWS).unionByName(first(ids.where("quality is null"), POOL_ROWS)), "picked")
+def _fetched(chosen: DataFrame) -> Rows:
+    """The views of chosen (doc_id, y, text, lang, source, n_chars), by doc_id and label, then
+    in an order drawn once: the same whatever order the tasks ended in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _parts(batches):
             x, y = _views(b)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("quality"), pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary()), pa.array([r.astype(bool).tobytes() for r in y], pa.binary())], ["doc_id", "quality", "a", "b"])
+            yield pa.RecordBatch.from_arrays([b.column("rank"), b.column("y"), pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary()), pa.array([r.astype(bool).tobytes() for r in y], pa.binary())], ["rank", "y", "a", "b"])
 
-    chosen = docs.select("doc_id", "text", "lang", "source", "n_chars").join(F.broadcast(picked), "doc_id")  # bounded by the two limits
-    t = chosen.mapInArrow(run, "doc_id long, quality int, a binary, b binary").toArrow().combine_chunks()
-    n, doc = t.num_rows, t.column("doc_id").to_numpy()
-    y = np.array([-1 if v is None else v for v in t.column("quality").to_pylist()], float)
+    t = chosen.select(F.xxhash64("doc_id", "mark").alias("rank"), "y", "text", "lang", "source", "n_chars").mapInArrow(run, "rank long, y int, a binary, b binary").toArrow().combine_chunks()
+    n = t.num_rows
+    order = np.lexsort((t.column("y").to_numpy(), t.column("rank").to_numpy()))
     raw = {c: t.column(c).chunk(0).buffers()[2] if n else b"" for c in ("a", "b")}
-    # rows by doc_id, then in an order drawn once: the same whatever order the tasks ended in
-    order = np.argsort(doc, kind="stable")[np.random.default_rng(5).permutation(n)]
     a = np.frombuffer(raw["a"], np.float16, n * (BUCKETS + DENSE)).reshape(n, BUCKETS + DENSE)[order].astype(np.float32)
     b = np.frombuffer(raw["b"], bool, n * 7 * FIELD).reshape(n, 7 * FIELD)[order].astype(np.float32)
-    del t, raw
-    return train(a, b, y[order])
+    return Rows(a, b, t.column("y").to_numpy()[order].astype(float))
+
+
+def _one_each(docs: DataFrame, wanted: DataFrame, *on: str) -> DataFrame:
+    """Of the rows of docs that are wanted (a bounded table), one for each of its rows: that
+    with the smallest mark, the hash of what the views read. So at most as many rows come
+    to the driver, however often a doc_id is repeated."""
+    rows = docs.join(F.broadcast(wanted), list(on))
+    first = rows.groupBy("doc_id", "y").agg(F.min_by(F.struct("mark", "text", "lang", "source", "n_chars"), "mark").alias("r"))
+    return first.select("doc_id", "y", "r.*")
+
+
+def surest(margins: DataFrame, n: int, share: float) -> DataFrame:
+    """(doc_id, mark, y, view): the unlabelled rows of which either view's classifier is
+    surest, n of each in the classes' shares; margins: (doc_id, mark, m0, m1). Rows with
+    the same margin count once, so copies don't fill a class."""
+    out = None
+    for v in ("0", "1"):
+        own = F.col(f"m{v}")
+        for y, low, many in ((0, True, round(n * (1 - share))), (1, False, round(n * share))):
+            some = margins.where(own < 0 if low else own > 0).groupBy(own.alias("m")).agg(F.min(F.struct(F.xxhash64("doc_id").alias("h"), "doc_id", "mark")).alias("r"))
+            some = some.orderBy(F.col("m").asc() if low else F.col("m").desc(), "r").limit(many).select("r.doc_id", "r.mark", F.lit(y).alias("y"), F.lit(int(v)).alias("view"))
+            out = some if out is None else out.unionByName(some)
+    return out
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """A model from labels (doc_id, quality) and docs, by co-training.
+
+    The views' classifiers learn from at most LABELLED_ROWS labelled rows. In each round
+    they score every unlabelled row where it is; the rows of which either is surest, up to
+    EXCHANGED of all of them, become labels of the other one. What comes to the driver is
+    the views of the labelled and of the exchanged rows, one row of a doc_id. Conflicting
+    labels: the lowest. A fifth of the labelled rows calibrates the views and weighs them.
+    """
+    read = [F.col(c) for c in ("text", "lang", "source", "n_chars")]
+    docs = docs.where("doc_id is not null").select("doc_id", *read, F.xxhash64(*read).alias("mark"))
+    marks = stage(labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min(F.col("quality").cast("int")).alias("y")), "marks")
+    picked = stage(marks.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED_ROWS), "picked")
+    known = _fetched(_one_each(docs, picked, "doc_id"))
+    none = Rows(known.a[:0], known.b[:0], known.y[:0])
+    model = learn(known, (none, none), None)
+    share = float(known.y.mean()) if len(known.y) else 0.5
+    for turn in range(ROUNDS if len(known.y) else 0):
+        now = model
+
+        def run(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
+            for b in _parts(batches):
+                m = now.margins(*_views(b)).astype(float).round(4)  # sums differ in their last digits from batch to batch
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("mark"), pa.array(m[:, 0]), pa.array(m[:, 1])], ["doc_id", "mark", "m0", "m1"])
+
+        kind = docs.schema["doc_id"].dataType.simpleString()
+        margins = stage(docs.mapInArrow(run, f"doc_id {kind}, mark long, m0 double, m1 double").join(marks, "doc_id", "left_anti"), "margins")
+        chosen = stage(surest(margins, EXCHANGED * (turn + 1) // ROUNDS, share), "surest")
+        given = [_fetched(_one_each(docs, chosen.where(F.col("view") == v).select("doc_id", "mark", "y"), "doc_id", "mark")) for v in (0, 1)]
+        model = learn(known, (given[1], given[0]), model)
+    return calibrated(model, known)
 
 
 def _scored(docs: DataFrame, labels: DataFrame, columns: list[str], keep: bool, least: float) -> DataFrame:
@@ -207,7 +263,8 @@ def score(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
     """One row per document: (doc_id, score, kept); score: how likely it is good; kept:
     score >= least. Null and empty texts are scored by their metadata and an empty
     content; a null source or language is a value of its own. Without labels all score 0.5
-    and are kept. Equal rows score alike.
+    and are kept. Equal rows score alike. Of rows that repeat a labelled doc_id one is
+    learnt from, all are scored.
     """
     return _scored(docs, labels, ["doc_id"], False, least).withColumn("kept", F.col("score") >= least)
 

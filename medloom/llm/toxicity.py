@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from .shared import stage
 from .words import _table, mix, slices, strings, words
 
-#: Labelled rows fitted at most (those with the lowest hash of doc_id), and terms kept at most.
-TRAIN_ROWS, TERMS = 20_000, 4_096
+#: Labelled rows fitted at most (those with the lowest hash of doc_id).
+TRAIN_ROWS = 20_000
 BITS, FACTORS = 22, 8
 #: Bytes of the beginnings of words that are terms of their own, beside the whole word.
 STEMS = (4, 5, 6)
@@ -116,14 +116,17 @@ def _fit(buckets: np.ndarray, rows: list[np.ndarray], label: np.ndarray, epochs:
 def fit(docs: DataFrame, labels: DataFrame) -> Machine:
     """A machine learnt from labels (doc_id, toxic) and the texts of docs.
 
-    Terms are chosen among those of the labelled texts by chi-square with the label, in
-    Spark; what comes to the driver is at most TERMS buckets, and for at most TRAIN_ROWS
-    rows which of these their texts hold. Conflicting labels of a doc_id: the highest;
-    null labels are none.
+    Terms are those of the labelled texts that stand in at least LEAST_DOCS of them and have
+    a chi-square with the label of at least LEAST_CHI2, however many they are; they are
+    counted in Spark. What comes to the driver are their buckets, and for at most
+    TRAIN_ROWS rows which of these their texts hold. Of rows that repeat a doc_id, that
+    with the smallest hash of its text is learnt from. Conflicting labels of a doc_id: the
+    highest; null labels are none.
     """
     picked = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     picked = stage(picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS), "picked")
-    held = stage(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id"), "labelled")  # at most TRAIN_ROWS ids
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # at most TRAIN_ROWS ids
+    held = stage(rows.groupBy("doc_id", "toxic").agg(F.min_by(F.struct("text"), F.xxhash64("text")).alias("r")).select("doc_id", "toxic", "r.text"), "labelled")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -140,7 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine:
     counts = held.mapInArrow(count, "bucket long, bad long, good long").groupBy("bucket").agg(F.sum("bad").alias("a"), F.sum("good").alias("b"))
     a, b, c, d = F.col("a").cast("double"), F.col("b").cast("double"), F.lit(float(bad)) - F.col("a"), F.lit(float(n - bad)) - F.col("b")
     chi2 = F.coalesce(F.try_divide(n * (a * d - b * c) * (a * d - b * c), (a + b) * (c + d) * (a + c) * (b + d)), F.lit(0.0))
-    best = counts.where(a + b >= LEAST_DOCS).withColumn("chi2", chi2).where(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "bucket").limit(TERMS).collect()
+    best = counts.where(a + b >= LEAST_DOCS).withColumn("chi2", chi2).where(F.col("chi2") >= LEAST_CHI2).select("bucket").collect()  # few beside the rows: each marks LEAST_DOCS of them
     shape = Machine(np.array(sorted(r.bucket for r in best), np.int64), 0.0, np.zeros(len(best)), np.zeros((len(best), FACTORS)))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +152,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine:
             lists = np.split(term, np.cumsum(np.bincount(owner, minlength=x.num_rows))[:-1])
             yield pa.RecordBatch.from_arrays([x.column("doc_id"), x.column("toxic"), pa.array([v.tolist() for v in lists], pa.list_(pa.int32()))], ["doc_id", "toxic", "terms"])
 
-    rows = held.mapInArrow(mark, "doc_id long, toxic int, terms array<int>").orderBy("doc_id", "terms").collect()
+    kind = held.schema["doc_id"].dataType.simpleString()
+    rows = held.mapInArrow(mark, f"doc_id {kind}, toxic int, terms array<int>").orderBy("doc_id", "terms").collect()
     return _fit(shape.buckets, [np.array(r.terms, np.int64) for r in rows], np.array([r.toxic for r in rows], float))
 
 

@@ -153,6 +153,50 @@ def test_quality_learns_and_survives_odd_rows(spark, odd, labels):
     assert cotrain.keep_good(odd, labels).columns == odd.columns and cotrain.score(odd.limit(0), labels).count() == 0
 
 
+def test_quality_held_out_accuracy(spark):
+    d = "/root/testdata/sf0.1"
+    docs, marks = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    out = cotrain.score(docs, marks.where("doc_id % 2 = 0")).join(marks.where("doc_id % 2 = 1"), "doc_id").select("kept", "quality").toPandas()
+    good, bad = out.kept[out.quality == 1], out.kept[out.quality == 0]
+    print("quality", len(good), good.sum(), len(bad), bad.sum())
+    assert good.mean() > 0.99 and bad.mean() < 0.05
+
+
+def test_surest_rows_equal_plain(spark):
+    r = np.random.default_rng(0)
+    rows = [(int(i % 90), int(i), float(a), float(b)) for i, (a, b) in enumerate(r.normal(0, 2, (300, 2)).round(1))]
+    df = spark.createDataFrame(rows, "doc_id long, mark long, m0 double, m1 double")
+    hashed = {x.doc_id: x.h for x in df.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    want = set()
+    for v in (0, 1):
+        for y, sign in ((0, 1), (1, -1)):
+            best = {}
+            for i, mark, *m in rows:
+                if sign * m[v] < 0:
+                    best[m[v]] = min(best.get(m[v], (hashed[i], i, mark)), (hashed[i], i, mark))
+            for m in sorted(best, key=lambda x: sign * x)[: round(40 * (0.25 if y else 0.75))]:
+                want.add((*best[m][1:], y, v))
+    got = [tuple(x) for x in cotrain.surest(df, 40, 0.25).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_classifiers_learn_from_one_row_of_a_document(spark):
+    rows = [(i % 5, f"{prose(30, i)} {'### ' * (i % 5)}", "en", "s", 9) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    marks = spark.createDataFrame([(i, i % 2, i % 2) for i in range(4)], "doc_id long, quality int, toxic int")
+    sizes, fetched, fit = [], cotrain._fetched, toxicity._fit
+    cotrain._fetched = lambda d: (out := fetched(d), sizes.append(len(out.y)))[0]
+    toxicity._fit = lambda b, rows, label, **k: (sizes.append(len(label)), fit(b, rows, label, **k))[1]
+    try:
+        assert cotrain.score(df, marks).count() == toxicity.score(df, marks).count() == 3000
+    finally:
+        cotrain._fetched, toxicity._fit = fetched, fit
+    assert sizes[0] == 4 and sizes[-1] <= 4 and max(sizes) <= cotrain.EXCHANGED
+    text = df.withColumn("doc_id", F.col("doc_id").cast("string"))
+    names = marks.withColumn("doc_id", F.col("doc_id").cast("string"))
+    assert cotrain.score(text, names).count() == toxicity.score(text, names).count() == 3000
+
+
 def test_decontamination_equals_plain_similarity(spark, benchmark, odd):
     item = prose(30, 9).split()
     near = [*item]
@@ -277,6 +321,19 @@ def test_machine_learns_a_pair(spark):
     assert s[0] > 0.5 > max(s[1:])
 
 
+def test_machine_equals_plain_pairs():
+    r = np.random.default_rng(2)
+    texts = [prose(int(r.integers(0, 30)), i) for i in range(20)]
+    buckets = np.unique(toxicity._terms(pa.array(texts))[1])[::3]
+    m = toxicity.Machine(buckets, 0.3, r.normal(0, 1, len(buckets)), r.normal(0, 1, (len(buckets), toxicity.FACTORS)))
+    got = m.score(pa.array(texts))
+    for text, score in zip(texts, got, strict=True):
+        held = sorted(set(toxicity._terms(pa.array([text]))[1].tolist()) & set(buckets.tolist()))
+        at = [buckets.tolist().index(b) for b in held]
+        margin = 0.3 + sum(m.weight[i] for i in at) + sum(float(m.factor[i] @ m.factor[j]) for k, i in enumerate(at) for j in at[:k])
+        assert score == pytest.approx(1 / (1 + np.exp(-np.clip(margin, -30, 30))))
+
+
 def test_toxicity_odd_rows(odd, labels):
     rows = toxicity.score(odd, labels).collect()
     assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
