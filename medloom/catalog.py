@@ -7,16 +7,19 @@ from pyspark.sql import functions as F
 
 from . import catalog_people, catalog_results, catalog_sites, catalog_vocabulary  # noqa: F401  (they add their queries)
 from .cdm.fixture import sql, view
-from .functions.dates import age_at, age_band, complete_months, week
+from .functions.dates import complete_months, week
 from .operators import cohort as C
 from .operators import explore as E
 from .operators import features as R
+from .operators import people as H
 from .operators import pooling as P
 from .operators import privacy as D
 from .operators import survival as S
 from .operators import temporal as T
 from .operators import verbs as V
+from .operators import vocabulary as O
 from .registry import QUERIES, SQL, index, index_sql, query, rounded
+from .sources.tables import read_staged, shared_root, write_staged
 
 @query("SELECT count(*) AS n_rows, count(DISTINCT person_id) AS n_persons FROM measurement")
 def table_stats(spark, d):
@@ -176,7 +179,7 @@ def concept_set(spark, d):
 
 @query("SELECT concept_id, concept_name FROM concept WHERE lower(concept_name) LIKE '%group%' ORDER BY concept_id LIMIT 5")
 def concept_search(spark, d):
-    return view(spark, d, "concept").where(F.lower("concept_name").like("%group%")).select("concept_id", "concept_name").orderBy("concept_id").limit(5)
+    return O.search(view(spark, d, "concept"), "Group", standard_only=False, limit=5).select("concept_id", "concept_name")
 
 
 _FEATURES = ("latest_value", "first_value", "mean_value", "min_value", "max_value", "sum_value", "sd_value", "cv_value", "slope_value")
@@ -223,9 +226,7 @@ def feature_time_since(spark, d):
 @query(index_sql() + """SELECT subject_id, episode_id, cohort_start_date, concat(CAST(CAST(floor((year(cohort_start_date) - year_of_birth) / 10.0) * 10 AS BIGINT) AS VARCHAR), '-', CAST(CAST(floor((year(cohort_start_date) - year_of_birth) / 10.0) * 10 AS BIGINT) + 9 AS VARCHAR)) AS age_group,
 CAST(date_diff('day', obs_start, cohort_start_date) AS INT) AS prior_observation, CAST(date_diff('day', cohort_start_date, obs_end) AS INT) AS future_observation FROM idx JOIN person ON subject_id = person_id""")
 def output_baseline(spark, d):
-    p = view(spark, d, "person").select(F.col("person_id").alias("subject_id"), "year_of_birth")
-    j = index(spark, d).join(p, "subject_id")
-    return j.select("subject_id", "episode_id", "cohort_start_date", age_band(age_at(F.col("cohort_start_date"), F.col("year_of_birth"))).alias("age_group"), F.datediff("cohort_start_date", "obs_start").alias("prior_observation"), F.datediff("obs_end", "cohort_start_date").alias("future_observation"))
+    return H.baseline(index(spark, d), view(spark, d, "person"))
 
 
 _AROUND = index_sql() + ", ev AS (SELECT i.subject_id, i.episode_id, c.condition_occurrence_id, c.condition_concept_id, c.condition_start_date, CAST(date_diff('day', i.cohort_start_date, c.condition_start_date) AS INT) AS day FROM idx i JOIN condition_occurrence c ON i.subject_id = c.person_id WHERE date_diff('day', i.cohort_start_date, c.condition_start_date) BETWEEN -180 AND 180) "
@@ -284,9 +285,10 @@ _interval("ends_in", "end_days_from_index BETWEEN -100 AND 100", window=(-100, 1
 _interval("active_at", "start_days_from_index <= 10 AND end_days_from_index >= 10", at=10)
 
 
-@query("SELECT person_id, " + ", ".join(f"max(CASE WHEN measurement_concept_id = {c} THEN value_as_number END) AS c_{c}" for c in (4001, 4002, 4003)) + " FROM measurement WHERE measurement_concept_id IN (4001, 4002, 4003) GROUP BY person_id")
+@query("WITH f AS (SELECT *, row_number() OVER (PARTITION BY person_id, measurement_concept_id ORDER BY measurement_date, measurement_id) AS rn FROM measurement) SELECT person_id, " + ", ".join(f"max(CASE WHEN measurement_concept_id = {c} THEN value_as_number END) AS c_{c}" for c in (4001, 4002, 4003)) + " FROM f WHERE rn = 1 AND measurement_concept_id IN (4001, 4002, 4003) GROUP BY person_id")
 def output_wide(spark, d):
-    return T.wide(view(spark, d, "measurement"), ["person_id"], "measurement_concept_id", [4001, 4002, 4003], "value_as_number")
+    first = T.select(view(spark, d, "measurement"), ["person_id", "measurement_concept_id"], "measurement_date", "measurement_id")
+    return T.wide(first, ["person_id"], "measurement_concept_id", [4001, 4002, 4003], "value_as_number")
 
 
 @query("SELECT person_id, drug_concept_id AS covariate_id, count(*) AS covariate_value FROM drug_exposure GROUP BY ALL")
@@ -424,10 +426,7 @@ def privacy_rate(spark, d):
 
 @query("SELECT * FROM person")
 def staged_round_trip(spark, d):
-    import os
-    import tempfile
+    return read_staged(spark, write_staged({"person": view(spark, d, "person")}, f"{shared_root(spark)}/medloom/staged"))["person"]
 
-    from .sources.tables import read_staged, write_staged
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or os.environ.setdefault("MEDLOOM_LOCAL_STAGED", tempfile.mkdtemp(prefix="spark-"))
-    return read_staged(spark, write_staged({"person": view(spark, d, "person")}, f"{root}/medloom/staged"))["person"]
+from . import catalog_analyses  # noqa: E402, F401  (it builds on the queries above)

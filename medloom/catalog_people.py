@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -115,14 +113,14 @@ def _(spark, d):
 @query("SELECT measurement_id FROM measurement WHERE value_as_number >= 200 AND value_as_number < 400 AND measurement_date BETWEEN DATE '1998-03-01' AND DATE '1998-04-30' AND value_as_concept_id IN (45884084, 45884085)")
 def filter_value_date_concept(spark, d):
     low, high = H.snap([0.0, 100.0, 200.0, 300.0, 400.0], 250)
-    v = F.col("value_as_number")
-    return view(spark, d, "measurement").where((v >= low) & (v < high) & F.col("measurement_date").between("1998-03-01", "1998-04-30") & F.col("value_as_concept_id").isin(45884084, 45884085)).select("measurement_id")
+    rows = H.value_in(view(spark, d, "measurement"), "value_as_number", low, high, "measurement_date", ("1998-03-01", "1998-04-30"), "value_as_concept_id", [45884084, 45884085])
+    return rows.select("measurement_id")
 
 
 @query("""SELECT condition_occurrence_id FROM condition_occurrence c WHERE EXISTS (SELECT 1 FROM visit_occurrence v WHERE v.visit_occurrence_id = c.visit_occurrence_id AND visit_concept_id IN (9201, 9203))""")
 def filter_visit(spark, d):
     visits = view(spark, d, "visit_occurrence").where("visit_concept_id IN (9201, 9203)")
-    return view(spark, d, "condition_occurrence").join(visits, "visit_occurrence_id", "left_semi").select("condition_occurrence_id")
+    return H.of_visits(view(spark, d, "condition_occurrence"), visits).select("condition_occurrence_id")
 
 
 def _policy_query(policy: str, test: str) -> None:
@@ -141,9 +139,9 @@ for _policy, _test in {"any": "bool_or(ok)", "all": "bool_and(ok)", "first": "ar
 @query("""SELECT person_id FROM person WHERE gender_concept_id = 8532 INTERSECT SELECT subject_id FROM cohort WHERE cohort_definition_id IN (1, 2) EXCEPT SELECT person_id FROM death""")
 def population_tree(spark, d):
     base = view(spark, d, "person").where("gender_concept_id = 8532").select(F.col("person_id").alias("subject_id"))
-    stored = reduce(lambda a, b: C.combine(a, b, "union"), [view(spark, d, "cohort").where(F.col("cohort_definition_id") == i) for i in (1, 2)])
+    stored = [view(spark, d, "cohort").where(F.col("cohort_definition_id") == i) for i in (1, 2)]
     dead = view(spark, d, "death").select(F.col("person_id").alias("subject_id"))
-    return C.combine(C.combine(base, stored, "intersect"), dead, "setdiff").withColumnRenamed("subject_id", "person_id")
+    return C.population({"first_without": [{"all": [base, {"any": stored}]}, dead]}).withColumnRenamed("subject_id", "person_id")
 
 
 @query("""WITH c AS (SELECT DISTINCT person_id AS subject_id, drug_exposure_start_date AS cohort_start_date, drug_exposure_end_date AS cohort_end_date FROM drug_exposure WHERE drug_concept_id IN (3001, 3002)
@@ -161,7 +159,7 @@ def cohort_list(spark, d):
 
 @query("SELECT * FROM cohort_definition WHERE cohort_definition_id = 2")
 def cohort_definition(spark, d):
-    return view(spark, d, "cohort_definition").where("cohort_definition_id = 2")
+    return H.definition(view(spark, d, "cohort_definition"), 2)
 
 
 @query(index_sql() + "SELECT subject_id, episode_id, CAST(date_trunc('month', cohort_start_date) AS DATE) AS cohort_start_date, CAST(date_trunc('month', cohort_end_date) AS DATE) AS cohort_end_date FROM idx")
@@ -179,11 +177,10 @@ def dates_relative(spark, d):
 @query("""WITH m AS (SELECT person_id, count(*) AS n_measurements, avg(value_as_number) AS mean_value FROM measurement GROUP BY person_id), c AS (SELECT person_id, count(*) AS n_conditions FROM condition_occurrence GROUP BY person_id)
 SELECT p.person_id, gender_concept_id, cause_concept_id, coalesce(n_measurements, 0) AS n_measurements, round(mean_value, 6) AS mean_value, coalesce(n_conditions, 0) AS n_conditions FROM person p LEFT JOIN death d ON p.person_id = d.person_id LEFT JOIN m ON p.person_id = m.person_id LEFT JOIN c ON p.person_id = c.person_id""")
 def output_person_level(spark, d):
-    out = view(spark, d, "person").select("person_id", "gender_concept_id").join(view(spark, d, "death").select("person_id", "cause_concept_id"), "person_id", "left")
     m = R.features(view(spark, d, "measurement"), ["person_id"], {"n_measurements": F.count("*"), "mean_value": F.avg("value_as_number")})
     c = R.features(view(spark, d, "condition_occurrence"), ["person_id"], {"n_conditions": F.count("*")})
-    out = out.join(m, "person_id", "left").join(c, "person_id", "left")
-    return out.select("person_id", "gender_concept_id", "cause_concept_id", *[F.coalesce(n, F.lit(0)).alias(n) for n in ("n_measurements", "n_conditions")], *rounded("mean_value"))
+    out = H.person_level(view(spark, d, "person").select("person_id", "gender_concept_id"), [view(spark, d, "death").select("person_id", "cause_concept_id"), m, c], ("n_measurements", "n_conditions"))
+    return out.select("person_id", "gender_concept_id", "cause_concept_id", "n_measurements", "n_conditions", *rounded("mean_value"))
 
 
 @query(index_sql("all") + """SELECT i.subject_id, i.episode_id, count(c.condition_occurrence_id) AS count, count(DISTINCT condition_concept_id) AS n_distinct FROM idx i LEFT JOIN condition_occurrence c ON c.person_id = i.subject_id AND date_diff('day', cohort_start_date, condition_start_date) BETWEEN -365 AND 0 GROUP BY i.subject_id, i.episode_id""")

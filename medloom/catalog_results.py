@@ -87,7 +87,7 @@ def pool_date_counts(spark, d):
 
 @query("""WITH c AS (SELECT site_id, gender_concept_id AS row_value, race_concept_id AS col_value, count(DISTINCT person_id) AS n FROM person GROUP BY 1, 2, 3 HAVING count(DISTINCT person_id) >= 3) SELECT row_value, col_value, CAST(sum(n) AS BIGINT) AS n FROM c GROUP BY 1, 2 HAVING count(*) = 3""")
 def pool_crosstab(spark, d):
-    parts = [E.crosstab(view(spark, d, "person").where(F.col("site_id") == s), "gender_concept_id", "race_concept_id") for s in range(3)]
+    parts = [E.crosstab(view(spark, d, "person").where(F.col("site_id") == s), "gender_concept_id", "race_concept_id").withColumn("site_id", F.lit(s)) for s in range(3)]
     return P.tabular(parts[0].unionByName(parts[1]).unionByName(parts[2]), ["row_value", "col_value"], {"n": ("sum", "n")}, 3)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -32,7 +31,7 @@ c AS (SELECT CAST(greatest(0, least(9, floor((v - lo) / w))) AS INT) AS bin, cou
 SELECT s.bin, round(lo + s.bin * w, 6) AS bin_start, round(lo + (s.bin + 1) * w, 6) AS bin_end, coalesce(n, 0) AS n FROM s CROSS JOIN r LEFT JOIN c ON s.bin = c.bin""")
 def pool_histogram(spark, d):
     each = P.site_histograms(_by_site(spark, d, "measurement"), "site_id", "value_as_number", 10)
-    return P.histogram(each, SITES).select("bin", *rounded("bin_start", "bin_end"), "n")
+    return P.histogram(each, SITES, site="site").select("bin", *rounded("bin_start", "bin_end"), "n")
 
 
 @query("""SELECT 'value_as_number' AS column_name, count(*) - count(value_as_number) AS numerator, count(*) AS denominator, round((count(*) - count(value_as_number)) / CAST(count(*) AS DOUBLE), 6) AS ratio
@@ -124,8 +123,7 @@ def scope_intersect(spark, d):
 
 @query("SELECT cohort_definition_id, subject_id, cohort_start_date, cohort_end_date FROM cohort WHERE cohort_definition_id = 2")
 def cohort_kept(spark, d):
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-")
-    path = f"{root.rstrip('/')}/medloom/cohorts-{uuid.uuid4().hex}"
+    path = f"{S.shared_root(spark)}/medloom/cohorts-{uuid.uuid4().hex}"
     S.write_cohort(view(spark, d, "cohort"), path)
     return S.read_cohort(spark, path, 2)
 

@@ -74,6 +74,9 @@ def sql(query: str) -> str:
     """query with the views that it names as common table expressions before it."""
     used = [f"{n} AS ({v})" for n, v in VIEWS.items() if re.search(rf"\b{n}\b", query)]
     body = query.strip()
-    if body.upper().startswith("WITH "):
-        return f"WITH {', '.join(used)}, {body[5:]}"
+    if not used:
+        return body
+    for word in ("WITH RECURSIVE ", "WITH "):
+        if body.upper().startswith(word):
+            return f"{word}{', '.join(used)}, {body[len(word):]}"
     return f"WITH {', '.join(used)} {body}"

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions.dates import age_at
+from ..functions.sets import among
 
 
 def covered(events: DataFrame, periods: DataFrame, date: str) -> DataFrame:
@@ -72,16 +74,18 @@ def eligible(cohort: DataFrame, person: DataFrame, sex: int | None = None, ages:
     return out.select(*cohort.columns)
 
 
-def concept_set(concepts: Sequence[int], ancestors: DataFrame, descendants: bool = True, exclude: Sequence[int] = ()) -> DataFrame:
-    """Concepts and, if wanted, their descendants, without the excluded ones and theirs: (concept_id)."""
-    below = lambda ids: ancestors.where(F.col("ancestor_concept_id").isin(*ids)).select(F.col("descendant_concept_id").alias("concept_id"))
+def concept_set(concepts: Sequence[int] | DataFrame, ancestors: DataFrame, descendants: bool = True, exclude: Sequence[int] | DataFrame = ()) -> DataFrame:
+    """Concepts and, if wanted, their descendants, without the excluded ones and theirs:
+    (concept_id). Either is a list, or a table of any size whose first column counts."""
     spark = ancestors.sparkSession
-    out = spark.createDataFrame([(int(c),) for c in concepts], "concept_id int")
-    if descendants:
-        out = out.union(below(concepts))
-    if exclude:
-        gone = spark.createDataFrame([(int(c),) for c in exclude], "concept_id int")
-        out = out.join(gone.union(below(exclude)) if descendants else gone, "concept_id", "left_anti")
+
+    def whole(ids: Sequence[int] | DataFrame) -> DataFrame:
+        own = ids.select(F.col(ids.columns[0]).alias("concept_id")) if isinstance(ids, DataFrame) else spark.createDataFrame([(int(c),) for c in ids], "concept_id int")
+        return own.union(among(ancestors, "ancestor_concept_id", ids).select(F.col("descendant_concept_id").alias("concept_id"))) if descendants else own
+
+    out = whole(concepts)
+    if isinstance(exclude, DataFrame) or len(exclude):
+        out = out.join(whole(exclude), "concept_id", "left_anti")
     return out.distinct()
 
 
@@ -98,6 +102,16 @@ def scope(cohorts: Sequence[DataFrame], how: str = "union") -> DataFrame:
     return persons
 
 
+def population(tree: DataFrame | dict) -> DataFrame:
+    """The persons of a tree of cohorts: {"any": [...]}, {"all": [...]}, {"first_without": [...]},
+    whose items are cohorts (subject_id) or trees."""
+    if isinstance(tree, DataFrame):
+        return tree.select("subject_id").distinct()
+    ((how, parts),) = tree.items()
+    word = {"any": "union", "all": "intersect", "first_without": "setdiff"}[how]
+    return reduce(lambda a, b: combine(a, b, word), [population(p) for p in parts])
+
+
 def within(rows: DataFrame, persons: DataFrame) -> DataFrame:
     """Rows of the persons in scope."""
     return rows.join(persons, rows["person_id"] == persons["subject_id"], "left_semi")

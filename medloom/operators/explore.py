@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.quantiles import exact, pick
+from ..functions.sets import among
+
 
 def banded(n: str | Column, width: int = 5) -> Column:
     c = F.col(n) if isinstance(n, str) else n
@@ -18,9 +21,12 @@ def table_stats(df: DataFrame) -> DataFrame:
 
 
 def column_stats(df: DataFrame, column: str) -> DataFrame:
-    """Counts of a column, and mean and deviation of one mean per person."""
-    person = df.groupBy("person_id").agg(F.count("*").alias("n"), F.count(column).alias("some"), F.avg(column).alias("m"))
-    values = df.agg(F.count_distinct(column).alias("n_distinct"))
+    """Counts of a column, and mean and deviation of one mean per person. Rows are grouped by
+    person and value once; both results come from those groups."""
+    pairs = df.groupBy("person_id", F.col(column).alias("v")).agg(F.count("*").alias("n"))
+    some = F.sum(F.when(F.col("v").isNotNull(), F.col("n")))
+    person = pairs.groupBy("person_id").agg(F.sum("n").alias("n"), F.coalesce(some, F.lit(0)).alias("some"), F.try_divide(F.sum(F.col("v") * F.col("n")), some).alias("m"))
+    values = pairs.agg(F.count_distinct("v").alias("n_distinct"))
     return person.agg(F.sum("n").alias("n"), F.count("*").alias("n_persons"), (F.sum("n") - F.sum("some")).alias("n_missing"), F.avg("m").alias("mean"), F.stddev_samp("m").alias("sd")).crossJoin(values)  # one row each
 
 
@@ -51,10 +57,14 @@ def crosstab(df: DataFrame, row: str, col: str, by: str = "persons", least_perso
     return g.where(F.col("n_persons") >= least_persons).select("row_value", "col_value", F.col(f"n_{by}").alias("n"))
 
 
-def comorbidity(df: DataFrame, concept: str, a: int, b: int) -> DataFrame:
-    has = lambda x: F.max(F.when(F.col(concept) == x, 1).otherwise(0))
-    flags = df.groupBy("person_id").agg(has(a).alias("has_a"), has(b).alias("has_b"))
-    return flags.groupBy("has_a", "has_b").agg(F.count("*").alias("n_persons"))
+def comorbidity(df: DataFrame, concept: str, a: int, b: int, other: tuple[DataFrame, str] | None = None, least_persons: int = 1) -> DataFrame:
+    """Persons with and without each of two concepts; the second may be of another table,
+    (rows, concept column). Cells of fewer than least_persons are left out."""
+    rows, column = other or (df, concept)
+    both = df.select("person_id", (F.col(concept) == a).alias("a"), F.lit(False).alias("b")).unionByName(rows.select("person_id", F.lit(False).alias("a"), (F.col(column) == b).alias("b")))
+    has = lambda c: F.max(F.when(F.col(c), 1).otherwise(0))
+    flags = both.groupBy("person_id").agg(has("a").alias("has_a"), has("b").alias("has_b"))
+    return flags.groupBy("has_a", "has_b").agg(F.count("*").alias("n_persons")).where(F.col("n_persons") >= least_persons)
 
 
 def prevalence(df: DataFrame, concept: str, metric: str = "persons", top: int = 50, offset: int = 0, least_persons: int = 3) -> DataFrame:
@@ -65,7 +75,7 @@ def prevalence(df: DataFrame, concept: str, metric: str = "persons", top: int =
 def histogram(df: DataFrame, value: str, bins: int = 20, low: float = 0.05, high: float = 0.95) -> DataFrame:
     """Equal bins between two quantiles; values beyond go to the outer bins; all bins are listed."""
     v = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
-    edge = v.agg(F.percentile("v", F.lit(low)).alias("lo"), F.percentile("v", F.lit(high)).alias("hi")).withColumn("w", (F.col("hi") - F.col("lo")) / bins)
+    edge = exact(v, "v", (low, high)).select(pick(0).alias("lo"), pick(1).alias("hi")).withColumn("w", (F.col("hi") - F.col("lo")) / bins)
     put = F.greatest(F.lit(0), F.least(F.lit(bins - 1), F.coalesce(F.floor(F.try_divide(F.col("v") - F.col("lo"), F.col("w"))), F.lit(0)))).cast("int")
     counts = v.crossJoin(F.broadcast(edge)).groupBy(put.alias("bin")).agg(F.count("*").alias("n"))  # one row of edges
     spine = edge.select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "lo", "w")
@@ -76,7 +86,7 @@ def histogram(df: DataFrame, value: str, bins: int = 20, low: float = 0.05, high
 def quantiles(df: DataFrame, value: str, probs: Sequence[float] = (0.05, 0.25, 0.5, 0.75, 0.95), digits: int = 2) -> DataFrame:
     """Exact quantiles; probabilities are kept within 0.05 and 0.95."""
     ps = sorted({min(0.95, max(0.05, p)) for p in probs})
-    one = df.agg(F.percentile(F.col(value).cast("double"), F.array(*map(F.lit, ps))).alias("q"))
+    one = exact(df, value, ps)
     return one.select(F.explode(F.arrays_zip(F.array(*map(F.lit, ps)).alias("prob"), F.col("q").alias("value"))).alias("x")).select("x.prob", F.round("x.value", digits).alias("value"))
 
 
@@ -85,11 +95,12 @@ def date_counts(df: DataFrame, date: str, granularity: str = "year") -> DataFram
     return df.where(F.col(date).isNotNull()).groupBy(period.alias("period")).agg(F.count("*").alias("n_records"), F.count_distinct("person_id").alias("n_persons"))
 
 
-def locate(tables: dict[str, tuple[DataFrame, str]], concepts: Sequence[int]) -> DataFrame:
-    """Where concepts stand: tables maps a name to (rows, concept column)."""
+def locate(tables: dict[str, tuple[DataFrame, str]], concepts: Sequence[int] | DataFrame) -> DataFrame:
+    """Where concepts stand: tables maps a name to (rows, concept column). Concepts are a list,
+    or a table of one column."""
     out = None
     for name, (df, column) in tables.items():
-        part = df.where(F.col(column).isin(*concepts)).groupBy(F.col(column).alias("concept_id")).agg(F.count("*").alias("n_records"), F.count_distinct("person_id").alias("n_persons"))
+        part = among(df, column, concepts).groupBy(F.col(column).alias("concept_id")).agg(F.count("*").alias("n_records"), F.count_distinct("person_id").alias("n_persons"))
         part = part.select(F.lit(name).alias("table_name"), F.lit(column).alias("concept_column"), "concept_id", "n_records", "n_persons")
         out = part if out is None else out.unionByName(part)
     return out

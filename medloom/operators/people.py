@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..cdm.spec import FEMALE, MALE
+from ..functions.dates import age_at, age_band
+from ..functions.sets import among
 
 _S, _E = "observation_period_start_date", "observation_period_end_date"
 DEMOGRAPHIC = ("gender_concept_id", "year_of_birth", "month_of_birth", "day_of_birth", "race_concept_id", "ethnicity_concept_id")
@@ -115,10 +118,10 @@ def stored(cohort: DataFrame, definition: DataFrame, least_persons: int = 3) ->
     return n.join(definition, "cohort_definition_id", "left")
 
 
-def create(events: DataFrame, concept: str, concepts: Sequence[int], start: str, end: str, criteria: Sequence[DataFrame] = ()) -> DataFrame:
+def create(events: DataFrame, concept: str, concepts: Sequence[int] | DataFrame, start: str, end: str, criteria: Sequence[DataFrame] = ()) -> DataFrame:
     """A cohort from events of some concepts: distinct (subject_id, cohort_start_date,
     cohort_end_date, cohort_row_id) of the persons that are in every criterion's rows."""
-    out = events.where(F.col(concept).isin(*concepts)).select(F.col("person_id").alias("subject_id"), F.col(start).alias("cohort_start_date"), F.coalesce(end, start).alias("cohort_end_date")).distinct()
+    out = among(events, concept, concepts).select(F.col("person_id").alias("subject_id"), F.col(start).alias("cohort_start_date"), F.coalesce(end, start).alias("cohort_end_date")).distinct()
     for c in criteria:
         out = out.join(c.select(F.col("person_id").alias("subject_id")), "subject_id", "left_semi")
     return out.withColumn("cohort_row_id", F.row_number().over(W.partitionBy("subject_id").orderBy("cohort_start_date", "cohort_end_date")))
@@ -132,3 +135,43 @@ def dated(rows: DataFrame, dates: Sequence[str], mode: str = "remove", reference
         return rows.drop(*dates)
     each = {"relative": lambda c: F.datediff(c, reference), "binned": lambda c: F.to_date(F.date_trunc(width, F.col(c)))}[mode]
     return rows.withColumns({c: each(c) for c in dates})
+
+
+def value_in(rows: DataFrame, value: str, low: float | None = None, high: float | None = None, date: str | None = None, dates: tuple[str, str] | None = None, concept: str | None = None, concepts: Sequence[int] | DataFrame | None = None) -> DataFrame:
+    """Rows with a value in [low, high), a date between two, both included, and a concept of a set."""
+    if low is not None:
+        rows = rows.where(F.col(value) >= low)
+    if high is not None:
+        rows = rows.where(F.col(value) < high)
+    if dates:
+        rows = rows.where(F.col(date).between(*dates))
+    return rows if concepts is None else among(rows, concept, concepts)
+
+
+def of_visits(rows: DataFrame, visits: DataFrame) -> DataFrame:
+    """Rows recorded in one of the visits."""
+    return rows.join(visits.select("visit_occurrence_id").distinct(), "visit_occurrence_id", "left_semi")
+
+
+def definition(definitions: DataFrame, cohort_definition_id: int) -> DataFrame:
+    return definitions.where(F.col("cohort_definition_id") == cohort_definition_id)
+
+
+def baseline(cohort: DataFrame, person: DataFrame, width: int = 10) -> DataFrame:
+    """Each episode with the age group of its start, and the days observed before and after."""
+    p = person.select(F.col("person_id").alias("subject_id"), "year_of_birth")
+    group = age_band(age_at(F.col("cohort_start_date"), F.col("year_of_birth")), width)
+    return cohort.join(p, "subject_id").select("subject_id", "episode_id", "cohort_start_date", group.alias("age_group"), F.datediff("cohort_start_date", "obs_start").alias("prior_observation"), F.datediff("obs_end", "cohort_start_date").alias("future_observation"))
+
+
+def person_level(person: DataFrame, parts: Sequence[DataFrame], counts: Sequence[str] = ()) -> DataFrame:
+    """A row per person with the columns of the parts, each of a row per person at most; the
+    count columns are 0 where a person has no row."""
+    out = reduce(lambda a, b: a.join(b, "person_id", "left"), parts, person)
+    return out.withColumns({c: F.coalesce(c, F.lit(0)) for c in counts}) if counts else out
+
+
+def without_sensitive(rows: DataFrame, sensitive: Sequence[str]) -> DataFrame:
+    """The columns that no pattern of ``sensitive`` matches; * stands for any characters."""
+    wrong = [re.compile(".*".join(map(re.escape, p.split("*"))), re.I) for p in sensitive]
+    return rows.select(*[c for c in rows.columns if not any(w.fullmatch(c) for w in wrong)])

@@ -8,23 +8,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..functions.quantiles import exact, pick
+
 Z = 1.959963984540054
 
 
-def counts(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], sites: int, strict: bool = True) -> DataFrame:
-    """Sums over sites; strict: null where a site has no value."""
+SITE = "site_id"
+
+
+def _sites(site: str = SITE) -> Column:
+    """How many sites give a row for a key. A site that gives several is an error, as they
+    would count for another site that gives none."""
+    n = F.count_distinct(site)
+    return F.when(F.count("*") == n, n).otherwise(F.raise_error(F.lit("a site has several rows for a key")).cast("long"))
+
+
+def _total(items: Column, value) -> Column:
+    """Sum of value(x) over an array of one struct a site."""
+    return F.aggregate(items, F.lit(0.0), lambda s, x: s + value(x))
+
+
+def counts(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], sites: int, strict: bool = True, site: str = SITE) -> DataFrame:
+    """Sums over sites of rows (site, keys, columns); strict: null where a site is missing or
+    has no value, else what the other sites have."""
     each = lambda c: F.when(F.count(c) == sites, F.sum(c)) if strict else F.sum(c)
-    return rows.groupBy(*keys).agg(*[each(c).alias(c) for c in columns])
+    g = rows.groupBy(*keys).agg(_sites(site).alias("_sites"), *[each(c).alias(c) for c in columns])
+    return g.where("_sites > 0").drop("_sites")
 
 
 def moments(rows: DataFrame, keys: Sequence[str], n: str = "n", mean: str = "mean", variance: str = "variance") -> DataFrame:
-    """Count, mean and sample variance of all sites together from those of each."""
+    """Count, mean and sample variance of all sites together from those of each. What lies
+    between the sites is summed about the pooled mean."""
     r = rows.where(F.col(n) > 0)
-    total = F.sum(n)
-    m = F.sum(F.col(n) * F.col(mean)) / total
-    within = F.sum((F.col(n) - 1) * F.coalesce(variance, F.lit(0.0)))
-    between = F.sum(F.col(n) * F.col(mean) * F.col(mean)) - total * m * m
-    return r.groupBy(*keys).agg(total.alias("n"), m.alias("mean"), F.try_divide(within + between, total - 1).alias("variance"))
+    own = F.collect_list(F.struct(F.col(n).alias("n"), F.col(mean).cast("double").alias("m"), F.coalesce(variance, F.lit(0.0)).alias("v")))  # one a site
+    g = r.groupBy(*keys).agg(F.sum(n).alias("n"), (F.sum(F.col(n) * F.col(mean)) / F.sum(n)).alias("mean"), own.alias("own"))
+    spread = _total(F.col("own"), lambda x: (x["n"] - 1) * x["v"] + x["n"] * (x["m"] - F.col("mean")) * (x["m"] - F.col("mean")))
+    return g.select(*keys, "n", "mean", F.try_divide(spread, F.col("n") - 1).alias("variance"))
 
 
 def ratio(rows: DataFrame, keys: Sequence[str], numerator: str, denominator: str, scale: float = 1.0) -> DataFrame:
@@ -33,45 +52,56 @@ def ratio(rows: DataFrame, keys: Sequence[str], numerator: str, denominator: str
 
 
 def effects(rows: DataFrame, keys: Sequence[str], estimate: str = "log_estimate", se: str = "se") -> DataFrame:
-    """Inverse-variance meta-analysis with fixed and random effects."""
-    r = rows.where((F.col(se) > 0) & F.col(estimate).isNotNull()).withColumn("w", 1 / (F.col(se) * F.col(se)))
-    y, w = F.col(estimate), F.col("w")
-    g = r.groupBy(*keys).agg(F.count("*").alias("k"), F.sum("w").alias("sw"), F.sum(w * y).alias("swy"), F.sum(w * w).alias("sww"), F.sum(w * y * y).alias("swyy"))
-    g = g.withColumn("fixed", F.col("swy") / F.col("sw")).withColumn("fixed_se", F.sqrt(1 / F.col("sw")))
-    g = g.withColumn("q", F.greatest(F.lit(0.0), F.col("swyy") - F.col("swy") * F.col("swy") / F.col("sw"))).withColumn("c", F.col("sw") - F.col("sww") / F.col("sw"))
-    g = g.withColumn("tau2", F.greatest(F.lit(0.0), F.coalesce(F.try_divide(F.col("q") - (F.col("k") - 1), F.col("c")), F.lit(0.0))))
-    g = g.withColumn("i2", F.greatest(F.lit(0.0), F.coalesce(F.try_divide(F.col("q") - (F.col("k") - 1), F.col("q")), F.lit(0.0)) * 100))
-    j = r.join(g.select(*keys, "tau2"), list(keys)).withColumn("ws", 1 / (F.col(se) * F.col(se) + F.col("tau2")))
-    random = j.groupBy(*keys).agg((F.sum(F.col("ws") * y) / F.sum("ws")).alias("random"), F.sqrt(1 / F.sum("ws")).alias("random_se"))
-    out = g.join(random, list(keys))
-    return out.select(*keys, "k", "fixed", "fixed_se", "q", "i2", "tau2", "random", "random_se", (F.col("random") - Z * F.col("random_se")).alias("lower"), (F.col("random") + Z * F.col("random_se")).alias("upper"))
-
-
-def top(rows: DataFrame, key: str, value: str, sites: int, k: int) -> DataFrame:
-    """Largest sums among keys that every site has."""
-    g = rows.groupBy(key).agg(F.sum(value).alias(value), F.count(value).alias("n_sites")).where(F.col("n_sites") == sites)
+    """Inverse-variance meta-analysis with fixed and random effects. Rows without an estimate
+    or with a standard error of 0 or none are left out."""
+    r = rows.where((F.col(se) > 0) & F.col(estimate).isNotNull())
+    y, w = F.col(estimate), 1 / (F.col(se) * F.col(se))
+    own = F.collect_list(F.struct(y.cast("double").alias("y"), (F.col(se) * F.col(se)).cast("double").alias("v")))  # one a site
+    g = r.groupBy(*keys).agg(F.count("*").alias("k"), F.sum(w).alias("sw"), F.sum(w * w).alias("sww"), (F.sum(w * y) / F.sum(w)).alias("fixed"), own.alias("own"))
+    g = g.withColumn("q", _total(F.col("own"), lambda x: (x["y"] - F.col("fixed")) * (x["y"] - F.col("fixed")) / x["v"]))
+    over = F.col("q") - (F.col("k") - 1)
+    g = g.withColumn("tau2", F.greatest(F.lit(0.0), F.coalesce(F.try_divide(over, F.col("sw") - F.col("sww") / F.col("sw")), F.lit(0.0))))
+    g = g.withColumn("i2", F.greatest(F.lit(0.0), F.coalesce(F.try_divide(over, F.col("q")), F.lit(0.0)) * 100))
+    g = g.withColumn("sws", _total(F.col("own"), lambda x: 1 / (x["v"] + F.col("tau2"))))
+    g = g.withColumn("random", _total(F.col("own"), lambda x: x["y"] / (x["v"] + F.col("tau2"))) / F.col("sws")).withColumn("random_se", F.sqrt(1 / F.col("sws")))
+    return g.select(*keys, "k", "fixed", F.sqrt(1 / F.col("sw")).alias("fixed_se"), "q", "i2", "tau2", "random", "random_se", (F.col("random") - Z * F.col("random_se")).alias("lower"), (F.col("random") + Z * F.col("random_se")).alias("upper"))
+
+
+def top(rows: DataFrame, key: str, value: str, sites: int, k: int, strict: bool = True, site: str = SITE) -> DataFrame:
+    """Largest sums among keys; strict: among those that every site has."""
+    g = rows.where(F.col(value).isNotNull()).groupBy(key).agg(F.sum(value).alias(value), _sites(site).alias("_sites")).where(F.col("_sites") >= (sites if strict else 1))
     return g.select(key, value).orderBy(F.desc(value), key).limit(k)
 
 
-def histogram(rows: DataFrame, sites: int) -> DataFrame:
-    """Sum of bins (bin, bin_start, bin_end, n); null where a site's bin is missing or suppressed."""
-    g = rows.groupBy("bin").agg(F.min("bin_start").alias("bin_start"), F.min("bin_end").alias("bin_end"), F.count("n").alias("held"), F.sum("n").alias("total"))
-    return g.select("bin", "bin_start", "bin_end", F.when(F.col("held") == sites, F.col("total")).alias("n"))
+def histogram(rows: DataFrame, sites: int, strict: bool = True, site: str = SITE) -> DataFrame:
+    """Sum of bins (site, bin, bin_start, bin_end, n). Strict: null where a site's bin is missing
+    or suppressed, and unequal edges are an error; else those sites count whose edges are
+    those of the first site, by name, that has the bin."""
+    first = lambda c: F.min_by(c, site).over(W.partitionBy("bin"))
+    r = rows.withColumns({"_start": first("bin_start"), "_end": first("bin_end")})
+    same = (F.abs(F.col("bin_start") - F.col("_start")) <= 1e-6) & (F.abs(F.col("bin_end") - F.col("_end")) <= 1e-6)
+    wrong = F.raise_error(F.lit("sites have different edges")).cast("boolean")
+    r = r.where(F.when(same, F.lit(True)).otherwise(wrong if strict else F.lit(False)))
+    g = r.groupBy("bin").agg(F.min("_start").alias("bin_start"), F.min("_end").alias("bin_end"), F.count("n").alias("held"), F.sum("n").alias("total"), _sites(site).alias("_sites")).where("_sites > 0")
+    return g.select("bin", "bin_start", "bin_end", F.when(F.col("held") >= (sites if strict else 1), F.col("total")).alias("n"))
 
 
-def tabular(rows: DataFrame, keys: Sequence[str], roles: dict[str, tuple], sites: int, strict: bool = True) -> DataFrame:
+def tabular(rows: DataFrame, keys: Sequence[str], roles: dict[str, tuple], sites: int, strict: bool = True, site: str = SITE) -> DataFrame:
     """Site results pooled by the role of each column, in one grouped pass.
 
     roles: {new column: (role, source columns...)} with the roles sum, min, max; ratio
     (numerator, denominator, scale), of the pooled sums; weighted_mean (value, weight);
-    pooled_sd (n, mean, sd), Cochrane's; and label, null when sites differ. Strict keeps
-    only the keys of all sites.
+    pooled_sd (n, mean, sd), Cochrane's; label, null when sites differ; and nonpoolable
+    (type), always null. Strict keeps only the keys of all sites. A site that gives a key
+    more than once is an error.
     """
     c = F.col
 
     def pooled(role: str, *x) -> Column:
         if role in ("sum", "min", "max"):
             return getattr(F, role)(x[0])
+        if role == "nonpoolable":
+            return F.first(F.lit(None).cast(x[0] if x else "double"))
         if role == "label":
             return F.when(F.count_distinct(x[0]) == 1, F.min(x[0]))
         if role == "ratio":
@@ -84,22 +114,22 @@ def tabular(rows: DataFrame, keys: Sequence[str], roles: dict[str, tuple], sites
         if role == "pooled_sd":
             n, m, sd = map(c, x)
             ok = (n >= 1) & m.isNotNull()
-            total, first = F.sum(F.when(ok, n)), F.sum(F.when(ok, n * m))
-            within = F.sum(F.when(ok, (n - 1) * F.coalesce(sd, F.lit(0.0)) * F.coalesce(sd, F.lit(0.0))))
-            between = F.sum(F.when(ok, n * m * m)) - F.try_divide(first * first, total)
-            return F.when(total > 1, F.sqrt(F.greatest(F.lit(0.0), F.try_divide(within + between, total - 1))))
+            own = F.collect_list(F.when(ok, F.struct(n.cast("double").alias("n"), m.cast("double").alias("m"), F.coalesce(sd, F.lit(0.0)).alias("sd"))))  # one a site
+            total, mean = F.sum(F.when(ok, n)), F.try_divide(F.sum(F.when(ok, n * m)), F.sum(F.when(ok, n)))
+            spread = _total(own, lambda x: (x["n"] - 1) * x["sd"] * x["sd"] + x["n"] * (x["m"] - mean) * (x["m"] - mean))
+            return F.when(total > 1, F.sqrt(F.greatest(F.lit(0.0), F.try_divide(spread, total - 1))))
         raise ValueError(f"no such role: {role}")
 
-    g = rows.groupBy(*keys).agg(F.count("*").alias("_sites"), *[pooled(*how).alias(name) for name, how in roles.items()])
-    return (g.where(c("_sites") == sites) if strict else g).drop("_sites")
+    g = rows.groupBy(*keys).agg(_sites(site).alias("_sites"), *[pooled(*how).alias(name) for name, how in roles.items()])
+    return g.where(c("_sites") >= (sites if strict else 1)).drop("_sites")
 
 
-def survival_curves(rows: DataFrame, keys: Sequence[str], sites: int) -> DataFrame:
+def survival_curves(rows: DataFrame, keys: Sequence[str], sites: int, site: str = SITE) -> DataFrame:
     """Kaplan-Meier curves of sites (keys, time, at_risk, events) pooled on their common grid.
 
     A curve ends before the first time at which a site is missing or suppressed.
     """
-    g = rows.groupBy(*keys, "time").agg(F.sum("at_risk").alias("at_risk"), F.sum("events").alias("events"), ((F.count("at_risk") == sites) & (F.count("events") == sites)).alias("ok"))
+    g = rows.groupBy(*keys, "time").agg(F.sum("at_risk").alias("at_risk"), F.sum("events").alias("events"), ((_sites(site) == sites) & (F.count("at_risk") == sites) & (F.count("events") == sites)).alias("ok"))
     w = W.partitionBy(*keys).orderBy("time").rowsBetween(W.unboundedPreceding, 0)
     g = g.withColumn("ok", F.bool_and("ok").over(w)).where("ok")
     factor = F.when(F.col("at_risk") > 0, 1 - F.col("events") / F.col("at_risk")).otherwise(1.0)
@@ -110,7 +140,7 @@ def site_histograms(rows: DataFrame, site: str, value: str, bins: int = 20, low:
     """(site, bin, bin_start, bin_end, n) on edges that all sites share: from the least lower
     to the greatest upper quantile of a site. Values beyond go to the outer bins."""
     v = rows.where(F.col(value).isNotNull()).select(F.col(site).alias("site"), F.col(value).cast("double").alias("v"))
-    own = v.groupBy("site").agg(F.percentile("v", F.lit(low)).alias("lo"), F.percentile("v", F.lit(high)).alias("hi"))
+    own = exact(v, "v", (low, high), ["site"]).select("site", pick(0).alias("lo"), pick(1).alias("hi"))
     edge = own.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).select("lo", ((F.col("hi") - F.col("lo")) / bins).alias("w"))
     put = F.greatest(F.lit(0), F.least(F.lit(bins - 1), F.coalesce(F.floor(F.try_divide(F.col("v") - F.col("lo"), F.col("w"))), F.lit(0)))).cast("int")
     found = v.crossJoin(F.broadcast(edge)).groupBy("site", put.alias("bin")).agg(F.count("*").alias("n"))  # one row of edges
@@ -124,3 +154,18 @@ def released_mean(rows: DataFrame, lower: float, upper: float, grid: int = 1000)
     g = rows.agg(F.sum("n").alias("n"), F.sum("sum_grid").alias("sum_grid"))
     value = lower + (upper - lower) * F.try_divide(F.col("sum_grid"), F.col("n") * grid)
     return g.withColumn("value", F.when(value.isNotNull(), F.greatest(F.lit(lower), F.least(F.lit(upper), value))))
+
+
+def released(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], sites: int, strict: bool = True, site: str = SITE) -> DataFrame:
+    """Sums of the sites' released counts or histograms. What is released is noisy, so a sum
+    below 0 counts as 0."""
+    g = counts(rows, keys, columns, sites, strict, site)
+    return g.select(*keys, *[F.greatest(F.col(c), F.lit(0)).alias(c) for c in columns]) if columns else g
+
+
+def released_rate(rows: DataFrame) -> DataFrame:
+    """The rate that the sites' released numerators and denominators (num, den) give together,
+    kept between 0 and 1."""
+    g = rows.agg(F.sum("num").alias("num"), F.sum("den").alias("den"))
+    value = F.when(F.col("den") > 0, F.col("num") / F.col("den"))
+    return g.withColumn("value", F.when(value.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), value))))

@@ -42,9 +42,17 @@ def time_to_event(risk: DataFrame, outcomes: dict[str, tuple[DataFrame, str]]) -
     return j.select("subject_id", "episode_id", F.col("f").isNotNull().cast("int").alias("event"), F.col("f.outcome_name").alias("outcome_name"), (F.coalesce("f.day", "exit_day") - F.col("entry_day")).alias("time_to_event_days"))
 
 
-def recurrent(risk: DataFrame, outcomes: dict[str, tuple[DataFrame, str]], washout: int = 0) -> DataFrame:
-    """All events of each episode in order; within ``washout`` days of the last one kept none counts."""
-    days = _at_risk(risk, outcomes).groupBy("subject_id", "episode_id", "outcome_name").agg(F.array_sort(F.collect_set("day")).alias("days"))
+def recurrent(risk: DataFrame, outcomes: dict[str, tuple[DataFrame, str]], washout: int = 0, ties: str = "all") -> DataFrame:
+    """All events of each episode in order; within ``washout`` days of the last one kept of the
+    same outcome none counts. Of outcomes on one day all count, or (ties "priority") the
+    first of the list."""
+    at = _at_risk(risk, outcomes)
+    if ties == "priority":
+        rank = F.array_position(F.array(*map(F.lit, outcomes)), F.col("outcome_name"))
+        at = at.groupBy("subject_id", "episode_id", "day").agg(F.min_by("outcome_name", rank).alias("outcome_name"))
+    elif ties != "all":
+        raise ValueError(f"no such policy: {ties}")
+    days = at.groupBy("subject_id", "episode_id", "outcome_name").agg(F.array_sort(F.collect_set("day")).alias("days"))
     zero = F.array().cast("array<int>")
     kept = F.aggregate("days", zero, lambda s, d: F.when((F.size(s) == 0) | (d - F.try_element_at(s, F.lit(-1)) > washout), F.concat(s, F.array(d))).otherwise(s))
     return days.select("subject_id", "episode_id", "outcome_name", F.posexplode(kept).alias("i", "event_days_from_index")).select("subject_id", "episode_id", "outcome_name", (F.col("i") + 1).alias("event_number"), "event_days_from_index")
@@ -61,30 +69,39 @@ def counting_process(risk: DataFrame, outcome: DataFrame, date: str) -> DataFram
     return out.withColumn("interval_number", F.row_number().over(w)).select("subject_id", "episode_id", "interval_number", "interval_start_days", F.col("day").alias("interval_end_days"), "event")
 
 
-def multi_state(cohort: DataFrame, events: DataFrame, states: Sequence[str], edges: Sequence[tuple[str, str]]) -> DataFrame:
+def multi_state(cohort: DataFrame, events: DataFrame, states: Sequence[str], edges: Sequence[tuple[str, str]], ties: str = "priority", step_days: float = 0.01) -> DataFrame:
     """Risk rows of a state graph: (subject_id, episode_id, from_state, to_state, t_start, t_stop, status).
 
     events: (subject_id, episode_id, day, state, exit_day). Events are walked in the order
     of days (ties by state order); one that the current state doesn't lead to is passed
-    over. Each stay gives a row for each edge out of its state. The walk is a fold over
-    the days of an episode, in the JVM.
+    over. Each stay gives a row for each edge out of its state. With ties "priority" an
+    episode moves once a day; with "sequential" it moves on within the day, each time
+    ``step_days`` later, and times are doubles. The walk is a fold over the days of an
+    episode, in the JVM.
     """
+    if ties not in ("priority", "sequential"):
+        raise ValueError(f"no such policy: {ties}")
+    time = "double" if ties == "sequential" else "int"
     spark = cohort.sparkSession
     code = {s: i for i, s in enumerate(states)}
     number = F.element_at(F.create_map(*[F.lit(x) for s, i in code.items() for x in (s, i)]), F.col("state"))
     to = F.array(*[F.array(*[F.lit(code[b]) for a, b in edges if a == s]).cast("array<int>") for s in states])
     seq = events.groupBy("subject_id", "episode_id").agg(F.array_sort(F.collect_set(F.struct("day", number.alias("state")))).alias("walk"))
     base = cohort.join(seq, ["subject_id", "episode_id"], "left").withColumn("walk", F.coalesce("walk", F.array().cast("array<struct<day:int,state:int>>")))
-    kind = "array<struct<state:int,start:int,stop:int,next:int>>"
-    state = f"struct<cur:int,since:int,out:{kind}>"
+    kind = f"array<struct<state:int,start:{time},stop:{time},next:int>>"
+    state = f"struct<cur:int,since:{time},out:{kind}>"
     zero = F.struct(F.lit(0).alias("cur"), F.col("entry_day").alias("since"), F.array().cast(kind).alias("out")).cast(state)
 
     def step(s, x):
-        go = F.array_contains(F.element_at(to, s["cur"] + 1), x["state"]) & (x["day"] > s["since"]) & (x["day"] <= F.col("exit_day"))
-        stay = F.struct(s["cur"].alias("state"), s["since"].alias("start"), x["day"].alias("stop"), x["state"].alias("next"))
-        return F.when(go, F.struct(x["state"].alias("cur"), x["day"].alias("since"), F.concat(s["out"], F.array(stay)).alias("out")).cast(state)).otherwise(s)
-
-    last = lambda s: F.concat(s["out"], F.array(F.struct(s["cur"].alias("state"), s["since"].alias("start"), F.col("exit_day").alias("stop"), F.lit(None).cast("int").alias("next")))).cast(kind)
+        moved = (F.size(s["out"]) > 0) & (x["day"] == F.floor(s["since"]))  # this day
+        when = F.when(x["day"] > s["since"], x["day"].cast(time))
+        if ties == "sequential":
+            when = when.when(moved, F.round(s["since"] + step_days, 9))
+        go = F.array_contains(F.element_at(to, s["cur"] + 1), x["state"]) & when.isNotNull() & (x["day"] <= F.col("exit_day"))
+        stay = F.struct(s["cur"].alias("state"), s["since"].alias("start"), when.alias("stop"), x["state"].alias("next"))
+        return F.when(go, F.struct(x["state"].alias("cur"), when.alias("since"), F.concat(s["out"], F.array(stay)).alias("out")).cast(state)).otherwise(s)
+
+    last = lambda s: F.concat(s["out"], F.array(F.struct(s["cur"].alias("state"), s["since"].alias("start"), F.col("exit_day").cast(time).alias("stop"), F.lit(None).cast("int").alias("next")))).cast(kind)
     stays = base.select("subject_id", "episode_id", F.explode(F.aggregate("walk", zero, step, last)).alias("x")).where("x.stop > x.start")
     table = spark.createDataFrame([(code[a], code[b], a, b) for a, b in edges], "a int, b int, from_state string, to_state string")
     return stays.join(F.broadcast(table), F.col("x.state") == F.col("a")).select("subject_id", "episode_id", "from_state", "to_state", F.col("x.start").alias("t_start"), F.col("x.stop").alias("t_stop"), F.coalesce(F.col("x.next") == F.col("b"), F.lit(False)).cast("int").alias("status"))

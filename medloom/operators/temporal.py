@@ -20,6 +20,17 @@ def around(cohort: DataFrame, events: DataFrame, date: str, start: int | None =
     return out.drop("cohort_start_date")
 
 
+def calendar(events: DataFrame, date: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Events between two calendar dates, both included; either may be open."""
+    if start is None and end is None:
+        raise ValueError("a calendar window needs a start or an end")
+    if start is not None and end is not None and start > end:
+        raise ValueError("a calendar window starts after its end")
+    if start is not None:
+        events = events.where(F.col(date) >= F.lit(start).cast("date"))
+    return events if end is None else events.where(F.col(date) <= F.lit(end).cast("date"))
+
+
 def select(events: DataFrame, by: Sequence[str], date: str, key: str, order: str = "first", n: int = 1, anchor: str | None = None) -> DataFrame:
     """First, last or nearest (to the column ``anchor``, in days) n events of each group; ties by key."""
     sort = {"first": [F.asc(date), F.asc(key)], "last": [F.desc(date), F.desc(key)], "nearest": [F.abs(F.datediff(date, anchor)).asc() if anchor else F.abs(date).asc(), F.asc(key)]}[order]
@@ -65,8 +76,10 @@ def intervals(cohort: DataFrame, rows: DataFrame, start: str, end: str, concept:
 
 
 def wide(events: DataFrame, by: Sequence[str], concept: str, concepts: Sequence[int], value: str) -> DataFrame:
-    """A column of values for each of a closed list of concepts, as conditional aggregates."""
-    return events.where(F.col(concept).isin(*concepts)).groupBy(*by).agg(*[F.max(F.when(F.col(concept) == c, F.col(value))).alias(f"c_{c}") for c in concepts])
+    """A column of values for each of a closed list of concepts, as conditional aggregates. Two
+    rows of a group and concept are an error; reduce or select them before."""
+    one = lambda c: F.when(F.count_if(F.col(concept) == c) > 1, F.raise_error(F.lit(f"several rows of concept {c} in a group")).cast(events.schema[value].dataType)).otherwise(F.max(F.when(F.col(concept) == c, F.col(value))))
+    return events.where(F.col(concept).isin(*concepts)).groupBy(*by).agg(*[one(c).alias(f"c_{c}") for c in concepts])
 
 
 def sparse(events: DataFrame, by: Sequence[str], concept: str) -> DataFrame:

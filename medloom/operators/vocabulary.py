@@ -8,12 +8,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Most rows of a page.
+from ..functions.sets import among
+
+#: Most rows of a page; a higher limit of the caller counts as this one.
 PAGE = 1000
 
 
-def lookup(concept: DataFrame, ids: Sequence[int]) -> DataFrame:
-    return concept.where(F.col("concept_id").isin(*ids))
+def lookup(concept: DataFrame, ids: Sequence[int] | DataFrame) -> DataFrame:
+    return among(concept, "concept_id", ids)
 
 
 def search(concept: DataFrame, pattern: str | None = None, domain: str | None = None, vocabulary: str | None = None, standard_only: bool = True, valid_only: bool = False, limit: int = 50) -> DataFrame:
@@ -38,29 +40,29 @@ def page(concept: DataFrame, equal: dict[str, str] | None = None, order: str = "
     return fit.orderBy(F.asc_nulls_last(order), "concept_id").offset(offset).limit(min(limit, PAGE)).crossJoin(F.broadcast(total))  # one row
 
 
-def descendants(ancestor: DataFrame, ids: Sequence[int], include_self: bool = True) -> DataFrame:
-    """(ancestor_concept_id, concept_id) below the given concepts."""
-    out = ancestor.where(F.col("ancestor_concept_id").isin(*ids)).select("ancestor_concept_id", F.col("descendant_concept_id").alias("concept_id"))
+def descendants(ancestor: DataFrame, ids: Sequence[int] | DataFrame, include_self: bool = True) -> DataFrame:
+    """(ancestor_concept_id, concept_id) below the given concepts, a list or a table."""
+    out = among(ancestor, "ancestor_concept_id", ids).select("ancestor_concept_id", F.col("descendant_concept_id").alias("concept_id"))
     same = F.col("ancestor_concept_id") == F.col("concept_id")
     if not include_self:
         return out.where(~same)
-    own = ancestor.sparkSession.createDataFrame([(int(c), int(c)) for c in ids], "ancestor_concept_id int, concept_id int")
-    return out.union(own).distinct()
+    own = ids if isinstance(ids, DataFrame) else ancestor.sparkSession.createDataFrame([(int(c),) for c in ids], "concept_id int")
+    return out.union(own.select(*[F.col(own.columns[0]).alias(c) for c in ("ancestor_concept_id", "concept_id")])).distinct()
 
 
-def relatives(ancestor: DataFrame, ids: Sequence[int]) -> DataFrame:
+def relatives(ancestor: DataFrame, ids: Sequence[int] | DataFrame) -> DataFrame:
     """Ancestors and descendants: (seed_concept_id, concept_id, direction, levels_of_separation)."""
     a, d, n = "ancestor_concept_id", "descendant_concept_id", F.col("min_levels_of_separation").alias("levels_of_separation")
     rows = ancestor.where(F.col(a) != F.col(d))
-    up = rows.where(F.col(d).isin(*ids)).select(F.col(d).alias("seed_concept_id"), F.col(a).alias("concept_id"), F.lit("ancestor").alias("direction"), n)
-    down = rows.where(F.col(a).isin(*ids)).select(F.col(a).alias("seed_concept_id"), F.col(d).alias("concept_id"), F.lit("descendant").alias("direction"), n)
+    up = among(rows, d, ids).select(F.col(d).alias("seed_concept_id"), F.col(a).alias("concept_id"), F.lit("ancestor").alias("direction"), n)
+    down = among(rows, a, ids).select(F.col(a).alias("seed_concept_id"), F.col(d).alias("concept_id"), F.lit("descendant").alias("direction"), n)
     return up.unionByName(down)
 
 
-def relationships(relationship: DataFrame, ids: Sequence[int], kind: str | None = None) -> DataFrame:
+def relationships(relationship: DataFrame, ids: Sequence[int] | DataFrame, kind: str | None = None) -> DataFrame:
     """Relationships from and to the given concepts: (seed_concept_id, concept_id, relationship_id, direction)."""
     r = relationship if kind is None else relationship.where(F.col("relationship_id") == kind)
-    one = lambda own, other, way: r.where(F.col(own).isin(*ids)).select(F.col(own).alias("seed_concept_id"), F.col(other).alias("concept_id"), "relationship_id", F.lit(way).alias("direction"))
+    one = lambda own, other, way: among(r, own, ids).select(F.col(own).alias("seed_concept_id"), F.col(other).alias("concept_id"), "relationship_id", F.lit(way).alias("direction"))
     return one("concept_id_1", "concept_id_2", "from").unionByName(one("concept_id_2", "concept_id_1", "to"))
 
 

@@ -55,5 +55,12 @@ def compare(sites: dict[str, dict[str, StructType]]) -> dict[str, object]:
     return {"common": common, "only": {site: sorted(set(s) - tables) for site, s in sites.items()}, "mismatches": wrong}
 
 
+def snapshot(tables: dict[str, DataFrame], spark: SparkSession) -> DataFrame:
+    """(table_name, n_columns, n_joins): each table with its columns and its keys to others."""
+    edges = joins(tables)
+    rows = [(t, len(df.columns), sum(e[0] == t for e in edges)) for t, df in sorted(tables.items())]
+    return spark.createDataFrame(rows, "table_name string, n_columns int, n_joins int")
+
+
 def as_table(spark: SparkSession, rows: list[tuple[str, str, str, str]], names: str) -> DataFrame:
     return spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names.split()))

@@ -3,11 +3,25 @@
 from __future__ import annotations
 
 import json
+import os
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder that all executors share: ``spark.checkpoint.dir``. Where it is unset, a local
+    folder if all of Spark runs in this process (tests), else an error."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = os.environ.setdefault("MEDLOOM_LOCAL_STAGED", tempfile.mkdtemp(prefix="spark-"))
+    return root.rstrip("/")
+
+
 def read(spark: SparkSession, path: str, form: str = "parquet", columns: list[str] | None = None, **options) -> DataFrame:
     """A table in parquet, orc, json or csv form, or over jdbc, with only the columns asked for."""
     reader = spark.read.options(**options)

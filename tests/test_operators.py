@@ -2,12 +2,14 @@
 
 import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from medloom.functions import quantiles
 from medloom.functions.dates import complete_months
 from medloom.operators import pooling, privacy, temporal, verbs
-from medloom.sources.tables import read_staged, write_staged
+from medloom.sources.tables import read_staged, shared_root, write_staged
 from medloom.streaming.events import window_counts
 
 D = datetime.date
@@ -32,8 +34,61 @@ def test_bins_clip_the_last():
 
 def test_strict_counts_are_null_where_a_site_lacks_a_value(spark):
     df = spark.createDataFrame([("a", "x", 1), ("b", "x", 2), ("a", "y", 3), ("b", "y", None)], "site string, key string, n int")
-    assert {r.key: r.n for r in pooling.counts(df, ["key"], ["n"], 2).collect()} == {"x": 3, "y": None}
-    assert {r.key: r.n for r in pooling.counts(df, ["key"], ["n"], 2, strict=False).collect()} == {"x": 3, "y": 3}
+    assert {r.key: r.n for r in pooling.counts(df, ["key"], ["n"], 2, site="site").collect()} == {"x": 3, "y": None}
+    assert {r.key: r.n for r in pooling.counts(df, ["key"], ["n"], 2, strict=False, site="site").collect()} == {"x": 3, "y": 3}
+
+
+def test_a_site_that_repeats_a_key_does_not_stand_for_another(spark):
+    df = spark.createDataFrame([("a", "x", 1, 0.0, 1.0, 0), ("a", "x", 2, 0.0, 1.0, 0)], "site_id string, key string, n int, bin_start double, bin_end double, bin int")
+    for make in (lambda: pooling.counts(df, ["key"], ["n"], 2), lambda: pooling.counts(df, ["key"], ["n"], 2, strict=False), lambda: pooling.top(df, "key", "n", 2, 5), lambda: pooling.tabular(df, ["key"], {"n": ("sum", "n")}, 2), lambda: pooling.histogram(df, 2)):
+        with pytest.raises(Exception, match="several rows"):
+            make().collect()
+    edges = spark.createDataFrame([("a", 0, 0.0, 1.0, 3), ("b", 0, 5.0, 9.0, 4)], "site_id string, bin int, bin_start double, bin_end double, n int")
+    with pytest.raises(Exception, match="different edges"):
+        pooling.histogram(edges, 2).collect()
+    assert [r.n for r in pooling.histogram(edges, 2, strict=False).collect()] == [3]
+
+
+def test_pooled_variance_of_large_means(spark):
+    rows = [("a", 1e9 + i) for i in range(7)] + [("b", 1e9 + i * i) for i in range(5)]
+    df = spark.createDataFrame(rows, "site string, v double")
+    by = df.groupBy("site").agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.var_samp("v").alias("variance"))
+    assert pooling.moments(by, []).first().variance == pytest.approx(df.agg(F.var_samp("v").alias("s")).first().s)
+
+
+def test_wide_refuses_several_values(spark):
+    df = spark.createDataFrame([(1, 7, 1.0), (1, 7, 2.0), (2, 7, 3.0)], "p int, c int, v double")
+    with pytest.raises(Exception, match="several rows"):
+        temporal.wide(df, ["p"], "c", [7], "v").collect()
+    assert temporal.wide(df.where("v > 1"), ["p"], "c", [7], "v").count() == 2
+
+
+def test_quantiles_equal_those_of_numpy(spark, monkeypatch):
+    for n, accuracy in ((4000, 100), (3, 10_000), (500, 10_000)):
+        monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+        x, k = np.random.default_rng(n).normal(0, 1, n).round(2), np.arange(n) % 3
+        df = spark.createDataFrame([(int(a) or None, float(b)) for a, b in zip(k, x, strict=True)] + [(9, None)], "k int, x double")
+        probs = (0, 0.05, 0.333, 0.5, 0.95, 1)
+        assert quantiles.exact(df, "x", probs).first().q == pytest.approx(np.quantile(x, probs).tolist())
+        got = {r.k or 0: r.q for r in quantiles.exact(df, "x", probs, ["k"]).collect()}
+        assert got == {a: pytest.approx(np.quantile(x[k == a], probs).tolist()) for a in range(3)}
+    assert quantiles.exact(df.where("false"), "x", (0.5,)).first().q == [None]
+
+
+def test_shared_folder_is_never_local_on_a_cluster():
+    class Session:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, other=None: other)
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+            getConf = staticmethod(lambda: type("C", (), {"get": staticmethod(lambda key: None)}))
+
+    with pytest.raises(ValueError):
+        shared_root(Session)
+    Session.sparkContext.master = "local-cluster[2,1,1024]"
+    with pytest.raises(ValueError):
+        shared_root(Session)
 
 
 def test_pooled_moments_equal_those_of_all_rows(spark):

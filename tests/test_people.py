@@ -56,16 +56,16 @@ def test_tabular_roles(spark):
     rows = [("a", "x", 2, 10.0, 1.0, "l"), ("b", "x", 3, 20.0, 2.0, "m"), ("a", "y", 1, 5.0, None, "l")]
     df = spark.createDataFrame(rows, "site string, k string, n int, m double, sd double, label string")
     roles = {"mean": ("weighted_mean", "m", "n"), "sd": ("pooled_sd", "n", "m", "sd"), "label": ("label", "label")}
-    (x,) = pooling.tabular(df, ["k"], roles, 2).collect()
+    (x,) = pooling.tabular(df, ["k"], roles, 2, site="site").collect()
     assert x.k == "x" and x.mean == pytest.approx(16) and x.label is None
     assert x.sd == pytest.approx(((1 * 1 + 2 * 4 + 2 * 36 + 3 * 16) / 4) ** 0.5)
-    assert pooling.tabular(df, ["k"], roles, 2, strict=False).count() == 2
+    assert pooling.tabular(df, ["k"], roles, 2, strict=False, site="site").count() == 2
 
 
 def test_pooled_curve_ends_where_a_site_is_missing(spark):
     rows = [("a", 1, 10, 1), ("b", 1, 10, 3), ("a", 2, 9, 1), ("a", 3, 8, 1), ("b", 3, 6, 1)]
     df = spark.createDataFrame(rows, "site string, time int, at_risk int, events int").withColumn("k", F.lit(1))
-    (only,) = pooling.survival_curves(df, ["k"], 2).collect()
+    (only,) = pooling.survival_curves(df, ["k"], 2, site="site").collect()
     assert (only.time, only.survival) == (1, pytest.approx(0.8))
 
 
