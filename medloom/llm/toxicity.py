@@ -113,20 +113,9 @@ def _fit(buckets: np.ndarray, rows: list[np.ndarray], label: np.ndarray, epochs:
     return m
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Machine:
-    """A machine learnt from labels (doc_id, toxic) and the texts of docs.
-
-    Terms are those of the labelled texts that stand in at least LEAST_DOCS of them and have
-    a chi-square with the label of at least LEAST_CHI2, however many they are; they are
-    counted in Spark. What comes to the driver are their buckets, and for at most
-    TRAIN_ROWS rows which of these their texts hold. Of rows that repeat a doc_id, that
-    with the smallest hash of its text is learnt from. Conflicting labels of a doc_id: the
-    highest; null labels are none.
-    """
-    picked = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    picked = stage(picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS), "picked")
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # at most TRAIN_ROWS ids
-    held = stage(rows.groupBy("doc_id", "toxic").agg(F.min_by(F.struct("text"), F.xxhash64("text")).alias("r")).select("doc_id", "toxic", "r.text"), "labelled")
+def _associated(held: DataFrame) -> list[tuple[int, bool]]:
+    """(bucket, whether it speaks for the label) of the terms of held (text, toxic) that stand
+    in at least LEAST_DOCS rows and have a chi-square with the label of at least LEAST_CHI2."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -143,8 +132,40 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine:
     counts = held.mapInArrow(count, "bucket long, bad long, good long").groupBy("bucket").agg(F.sum("bad").alias("a"), F.sum("good").alias("b"))
     a, b, c, d = F.col("a").cast("double"), F.col("b").cast("double"), F.lit(float(bad)) - F.col("a"), F.lit(float(n - bad)) - F.col("b")
     chi2 = F.coalesce(F.try_divide(n * (a * d - b * c) * (a * d - b * c), (a + b) * (c + d) * (a + c) * (b + d)), F.lit(0.0))
-    best = counts.where(a + b >= LEAST_DOCS).withColumn("chi2", chi2).where(F.col("chi2") >= LEAST_CHI2).select("bucket").collect()  # few beside the rows: each marks LEAST_DOCS of them
-    shape = Machine(np.array(sorted(r.bucket for r in best), np.int64), 0.0, np.zeros(len(best)), np.zeros((len(best), FACTORS)))
+    found = counts.where((a + b >= LEAST_DOCS) & (chi2 >= LEAST_CHI2)).select("bucket", (a * d > b * c).alias("speaks"))
+    return [(r.bucket, r.speaks) for r in found.collect()]  # few beside the rows: each stands in LEAST_DOCS of them
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Machine:
+    """A machine learnt from labels (doc_id, toxic) and the texts of docs.
+
+    Terms are those that are associated with the label in the labelled texts, and those that
+    are in the texts that hold a term which speaks for it, however many they are: so a term
+    that is as common in clean texts as in toxic ones is found by what it adds to others.
+    They are counted in Spark. What comes to the driver are their buckets, and for at most
+    TRAIN_ROWS rows which of these their texts hold. Of rows that repeat a doc_id, that
+    with the smallest hash of its text is learnt from. Conflicting labels of a doc_id: the
+    highest; null labels are none.
+    """
+    picked = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    picked = stage(picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS), "picked")
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # at most TRAIN_ROWS ids
+    held = stage(rows.groupBy("doc_id", "toxic").agg(F.min_by(F.struct("text"), F.xxhash64("text")).alias("r")).select("doc_id", "toxic", "r.text"), "labelled")
+
+    def shaped(buckets: list[int]) -> Machine:
+        return Machine(np.array(sorted(buckets), np.int64), 0.0, np.zeros(len(buckets)), np.zeros((len(buckets), FACTORS)))
+
+    first = _associated(held)
+    speaking = shaped([x for x, speaks in first if speaks])
+
+    def holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            some = np.zeros(x.num_rows, bool)
+            some[speaking.rows(strings(x.column("text")))[0]] = True
+            yield x.filter(pa.array(some))
+
+    second = _associated(stage(held.mapInArrow(holding, held.schema), "speaking")) if len(speaking.buckets) else []
+    shape = shaped(list({x for x, _ in first + second}))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:

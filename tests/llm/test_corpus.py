@@ -321,6 +321,21 @@ def test_machine_learns_a_pair(spark):
     assert s[0] > 0.5 > max(s[1:])
 
 
+def test_terms_that_matter_only_beside_others(spark):
+    # a mention is as common in clean texts as in toxic ones, but decides among those with an insult
+    rows = []
+    for i in range(3000):
+        insult, mention = i % 4 == 0, i % 8 < 2 or i % 8 in (5, 6) and i % 3 == 0
+        toxic = insult and (mention or i % 40 == 4)
+        rows.append((i, f"{prose(5, i)} {'insult' if insult else ''} {'mention' if mention else ''}", int(toxic)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    m = toxicity.fit(df, df.select("doc_id", "toxic"))
+    wanted = toxicity._terms(pa.array(["mention"]))[1]
+    assert set(wanted.tolist()) & set(m.buckets.tolist())
+    s = m.score(pa.array(["insult mention", "mention", "insult", ""]))
+    assert s[0] > 0.5 > max(s[1:])
+
+
 def test_machine_equals_plain_pairs():
     r = np.random.default_rng(2)
     texts = [prose(int(r.integers(0, 30)), i) for i in range(20)]
@@ -685,12 +700,41 @@ def test_binomial_tail():
 
 
 def test_pipeline_stages_take_effect(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    steps = dict(corpus_pipeline.STAGES)
+    assert list(steps) == ["quality", "near_duplicates", "decontamination", "personal_data", "mixture"]
+    good = docs.join(spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1"), "doc_id").where("n_chars > 800").orderBy("doc_id").limit(3).collect()
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    row = lambda i, text, like: (i, text, like.lang, like.source, len(text))
+    back = lambda text: " ".join(reversed(text.split()))  # noqa: E731  (another document of the same kind)
+    copy, leak, said = row(900_001, good[0].text, good[0]), row(900_002, f"{back(good[1].text)} {item}", good[1]), row(900_003, f"{back(good[2].text)} write to some.one@mail.example now", good[2])
+    d = docs.unionByName(spark.createDataFrame([copy, leak, said], docs.schema))
+    bad = {r.doc_id for r in docs.join(spark.read.parquet(f"{SF}/labels.parquet").where("quality = 0"), "doc_id").collect()}
+    kept = {}
+    for name in list(steps)[:-1]:
+        out = steps[name](spark, d, SF).cache()
+        assert out.columns == docs.columns
+        kept[name] = {r.doc_id: r.text for r in out.collect()}
+        d = spark.createDataFrame(out.collect(), docs.schema)
+    assert len(bad & kept["quality"].keys()) < 0.2 * len(bad) and 900_002 in kept["quality"]
+    assert 900_001 not in kept["near_duplicates"] and {900_002, 900_003} <= kept["near_duplicates"].keys()
+    assert 900_002 not in kept["decontamination"] and 900_003 in kept["decontamination"]
+    assert "[EMAIL]" in kept["personal_data"][900_003] and "some.one" not in kept["personal_data"][900_003]
+    assert kept["personal_data"].keys() == kept["decontamination"].keys()
+    mixed = steps["mixture"](spark, d, SF).collect()
+    assert all(r.copies > 0 for r in mixed) and len(mixed) < len(kept["personal_data"])
+
+
+def test_pipeline_runs_whole(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = corpus_pipeline.run(spark, SF)
     ids = [r.doc_id for r in out.select("doc_id").collect()]
     assert 0 < len(ids) < docs.count() and len(set(ids)) == len(ids)
     assert out.columns[: len(docs.columns)] == docs.columns
-    d = docs
-    for _, step in corpus_pipeline.STAGES[:-1]:
-        d = step(spark, d, SF)
-        assert d.columns == docs.columns
+
+
+def test_pipeline_stages_on_odd_rows(spark, odd):
+    for name, step in corpus_pipeline.STAGES:
+        out = step(spark, odd, SF)
+        assert out.count() <= odd.count() and step(spark, odd.limit(0), SF).count() == 0
+        assert name == "mixture" or out.columns == odd.columns
