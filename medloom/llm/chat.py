@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 Turn = dict[str, str]
 Template = Callable[[list[Turn]], str]
@@ -152,7 +153,7 @@ def formatted(conversations: DataFrame, template: Template = chatml, trained: st
 
         def batch() -> pa.RecordBatch:
             span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-            made = pa.RecordBatch.from_arrays([pa.array(out["conv_id"], pa.int64()), pa.array(out["formatted"], pa.string()), pa.array(out["loss_spans"], span), pa.array(out["rewrites"], pa.int64())], list(out))
+            made = pa.RecordBatch.from_arrays([pa.array(out["conv_id"], own), pa.array(out["formatted"], pa.string()), pa.array(out["loss_spans"], span), pa.array(out["rewrites"], pa.int64())], list(out))
             for v in out.values():
                 v.clear()
             return made
@@ -172,9 +173,10 @@ def formatted(conversations: DataFrame, template: Template = chatml, trained: st
             close()
         yield batch()
 
-    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text")
-    rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
-    return rows.mapInArrow(run, "conv_id long, formatted string, loss_spans array<struct<begin:long,end:long>>, rewrites long")
+    kind = conversations.schema["conv_id"].dataType
+    own = to_arrow_type(kind)
+    rows = conversations.select("conv_id", "turn", "role", "text").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
+    return rows.mapInArrow(run, f"conv_id {kind.simpleString()}, formatted string, loss_spans array<struct<begin:long,end:long>>, rewrites long")
 
 
 def digests(rendered: DataFrame) -> DataFrame:
@@ -198,7 +200,7 @@ def digests(rendered: DataFrame) -> DataFrame:
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("conv_id"), *(pa.array(x, k) for x, k in zip(c, kinds, strict=True)), b.column("rewrites")], ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "rewrites"])
 
-    return rendered.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, rewrites long")
+    return rendered.mapInArrow(run, f"conv_id {rendered.schema['conv_id'].dataType.simpleString()}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, rewrites long")
 
 
 def with_probe(conversations: DataFrame) -> DataFrame:

@@ -14,6 +14,17 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 8 << 20
 
 
+_written: list[str] = []
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete the tables that stage has written in this session. Results of operators read
+    them, so write those first."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shared_root(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session. Where it is unset, a local folder if all of
     Spark runs in this process (tests), else an error: other machines wouldn't see it."""
@@ -35,6 +46,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     A lost executor can't take it along, and what follows doesn't recompute df.
     """
     path = new_path(df.sparkSession, name)
+    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

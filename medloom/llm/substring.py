@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ CHUNK = 400_000
 HOT = 1_000
 #: Segments of a shard that a task holds; those of a larger one are trimmed and merged before.
 SHARD = 4_096
-_SIDE = "m long, c long, doc_id long, tag int, pos int, at int, side int"
+_SIDE = "m long, c long, doc_id {kind}, tag int, pos int, at int, side int"
 
 
 class Automaton:
@@ -147,22 +148,28 @@ def segments(docs: DataFrame, window: int, anchor: int) -> DataFrame:
                     ["m", "c", "doc_id", "tag", "pos", "n"],
                 )
 
-    return docs.where("doc_id is not null").mapInArrow(run, "m long, c long, doc_id long, tag int, pos int, n int")
+    return docs.where("doc_id is not null").mapInArrow(run, f"m long, c long, doc_id {_kind(docs)}, tag int, pos int, n int")
+
+
+def _kind(docs: DataFrame) -> str:
+    return docs.schema["doc_id"].dataType.simpleString()
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of documents with lists of segments, the segments with their words."""
     for b in batches:
-        rows: dict[str, list] = {"m": [], "c": [], "doc_id": [], "words": []}
-        for doc, text, wanted in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), b.column("wanted").to_pylist(), strict=True):
+        rows: dict[str, list] = {"m": [], "c": [], "words": []}
+        pick = []
+        for i, (text, wanted) in enumerate(zip(b.column("text").to_pylist(), b.column("wanted").to_pylist(), strict=True)):
             if wanted:
                 parts = (text or "").encode().split()
                 for x in wanted:
+                    pick.append(i)
                     rows["m"].append(x["m"])
                     rows["c"].append(x["c"])
-                    rows["doc_id"].append(doc)
                     rows["words"].append(b" ".join(parts[x["pos"] : x["pos"] + x["n"]]).decode())
-        yield pa.RecordBatch.from_arrays([pa.array(rows["m"], pa.int64()), pa.array(rows["c"], pa.int64()), pa.array(rows["doc_id"], pa.int64()), pa.array(rows["words"], pa.string())], ["m", "c", "doc_id", "words"])
+        doc = b.column("doc_id").take(pa.array(pick, pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(rows["m"], pa.int64()), pa.array(rows["c"], pa.int64()), doc, pa.array(rows["words"], pa.string())], ["m", "c", "doc_id", "words"])
 
 
 def _windows(window: int):
@@ -171,15 +178,14 @@ def _windows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, lists = strings(b.column("text")), b.column("wanted").to_pylist()
-            docs = b.column("doc_id").to_pylist()
             for i, j in slices(texts):
                 w = words(texts[i:j])
                 g = signed(runs(w.hashes(), window))
-                rows = [(x["m"], x["c"], docs[k], w.first[k - i] + x["pos"], x["n"] - window + 1) for k in range(i, j) for x in lists[k]]
-                m, c, doc, at, n = zip(*rows, strict=True) if rows else [()] * 5
+                rows = [(x["m"], x["c"], k, w.first[k - i] + x["pos"], x["n"] - window + 1) for k in range(i, j) for x in lists[k]]
+                m, c, pick, at, n = zip(*rows, strict=True) if rows else [()] * 5
                 ends = np.append(0, np.cumsum(n)).astype(np.int32)
                 held = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([g[a : a + k] for a, k in zip(at, n, strict=True)]) if rows else g[:0]))
-                yield pa.RecordBatch.from_arrays([pa.array(m, pa.int64()), pa.array(c, pa.int64()), pa.array(doc, pa.int64()), held], ["m", "c", "doc_id", "windows"])
+                yield pa.RecordBatch.from_arrays([pa.array(m, pa.int64()), pa.array(c, pa.int64()), b.column("doc_id").take(pa.array(pick, pa.int64())), held], ["m", "c", "doc_id", "windows"])
 
     return run
 
@@ -277,7 +283,7 @@ def _trimmed(sides: DataFrame, window: int, anchor: int) -> DataFrame:
     sort, with two rows a segment; the rows at the edges of partitions, two of each, meet
     once more.
     """
-    near = stage(sides.repartitionByRange("rest", "c").sortWithinPartitions("rest", "c").mapInArrow(_neighbours, f"{_SIDE}, far int, key long, part int, first boolean, last boolean, rest array<long>"), "sides")
+    near = stage(sides.repartitionByRange("rest", "c").sortWithinPartitions("rest", "c").mapInArrow(_neighbours, f"{_SIDE.format(kind=_kind(sides))}, far int, key long, part int, first boolean, last boolean, rest array<long>"), "sides")
     along = W.orderBy("part", "last")
     common = lambda x: F.size(F.filter(F.zip_with("rest", x, lambda a, b: a == b), lambda e: e))
     edges = near.where("first or last").withColumns({"up": F.lag("rest").over(along), "down": F.lead("rest").over(along)})
@@ -369,7 +375,7 @@ def _match(window: int, anchor: int):
         docs, cs, texts = t.column("doc_id").take(kept).to_pylist(), t.column("c").take(kept).to_pylist(), texts.take(pa.array(kept)).to_pylist()
         out: dict[str, list] = {"m": [], "c": [], "begins": [], "ends": []}
         edge = np.flatnonzero(np.append(True, m[1:] != m[:-1])).tolist() if len(m) else []
-        for a, b in zip(edge, [*edge[1:], len(m)], strict=True):
+        for a, b in pairwise([*edge, len(m)]):
             if b - a > 1:
                 for _, c, begins, ends in group(docs[a:b], cs[a:b], texts[a:b], begin[a:b], end[a:b]):
                     for key, x in (("m", int(m[a])), ("c", c), ("begins", begins), ("ends", ends)):
@@ -443,7 +449,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     smaller nor larger than another: nothing is removed there and nothing for its sake.
     Repeated rows of a doc_id aren't smaller than each other; all stay.
     """
-    anchor = min(anchor, window)
+    anchor, kind = min(anchor, window), _kind(docs)
     d = docs.select("doc_id", "text").withColumn("tag", (F.xxhash64(F.coalesce("text", F.lit(""))) % (1 << 30)).cast("int"))
     seg = stage(segments(d, window, anchor), "segments")
     only = seg.groupBy("m", "c").agg(F.min(F.struct("doc_id", "tag", "pos", "n")).alias("f"), F.max("doc_id").alias("last"), F.count("*").alias("rows"))
@@ -458,26 +464,26 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
         return d.join(wanted, ["doc_id", "tag"], how).select("doc_id", "tag", "text", "wanted")
 
     def matched(some: DataFrame) -> DataFrame:
-        texts = holding(some, "left").mapInArrow(_texts, "m long, c long, doc_id long, words string")
+        texts = holding(some, "left").mapInArrow(_texts, f"m long, c long, doc_id {kind}, words string")
         return texts.repartition("m").sortWithinPartitions("m", "doc_id", "c").mapInArrow(_match(window, anchor), "m long, c long, begins array<int>, ends array<int>")
 
     if large.isEmpty():
         found = matched(varied.select(columns))
     else:
-        sides = holding(only.join(small(large, 16), "m", "left_semi"), "inner").mapInArrow(_sides(window, anchor), f"{_SIDE}, rest array<long>")
+        sides = holding(only.join(small(large, 16), "m", "left_semi"), "inner").mapInArrow(_sides(window, anchor), f"{_SIDE.format(kind=kind)}, rest array<long>")
         members = stage(_trimmed(sides, window, anchor), "members")
         first = members.groupBy("m", "c2").agg(F.min(F.struct("doc_id", "tag", (F.col("pos") + F.col("begin")).alias("pos"), (F.col("end") - F.col("begin")).alias("n"))).alias("f"))
         first = stage(first.select("m", F.col("c2").alias("c"), "f.*"), "first")
         sizes = stage(first.groupBy("m").agg(F.count("*").alias("n_in")).where("n_in > 1"), "sizes")
         some = first.join(small(sizes, 24), "m")
-        dealt = holding(some.where(F.col("n_in") > SHARD), "inner").mapInArrow(_windows(window), "m long, c long, doc_id long, windows array<long>")
+        dealt = holding(some.where(F.col("n_in") > SHARD), "inner").mapInArrow(_windows(window), f"m long, c long, doc_id {kind}, windows array<long>")
         found = stage(matched(varied.select(columns).unionByName(some.where(F.col("n_in") <= SHARD).select(columns))).unionByName(_dealt(dealt, window)), "found")
         of = stage(first.select("m", "c", F.col("doc_id").alias("owner")).join(found, ["m", "c"], "left").withColumnRenamed("c", "c2"), "owners")
         moved = lambda c: F.transform(c, lambda x: x + F.col("begin"))
         whole = F.col("doc_id") > F.col("owner")
         again = members.join(small(of, 512), ["m", "c2"]).select("m", "c", F.when(whole, F.array("begin")).otherwise(moved("begins")).alias("begins"), F.when(whole, F.array("end")).otherwise(moved("ends")).alias("ends"))
         found = found.join(small(large, 16), "m", "left_anti").unionByName(again.where("begins is not null"))
-    spans = shared.unionByName(found.withColumn("owner", F.lit(None).cast("long")).withColumn("rows", F.lit(0).cast("long"))).groupBy("m", "c").agg(F.max("rows").alias("rows"), F.max("owner").alias("owner"), F.max("begins").alias("begins"), F.max("ends").alias("ends"))
+    spans = shared.unionByName(found.withColumn("owner", F.lit(None).cast(kind)).withColumn("rows", F.lit(0).cast("long"))).groupBy("m", "c").agg(F.max("rows").alias("rows"), F.max("owner").alias("owner"), F.max("begins").alias("begins"), F.max("ends").alias("ends"))
     hot = F.col("rows") * HOT >= seg.count()
     marked = seg.join(F.broadcast(spans.where(hot).withColumnRenamed("rows", "hot")), ["m", "c"], "left")
     cold = marked.where("hot is null").select(*seg.columns).join(spans.where(~hot).withColumn("hot", F.lit(0)), ["m", "c"])
@@ -488,7 +494,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     each = F.when(F.col("doc_id") > F.col("owner"), whole).when(F.col("begins").isNotNull(), part)
     hit = hit.select("doc_id", "tag", F.transform(each, lambda x: F.struct((x["begin"] + F.col("pos")).alias("begin"), (x["end"] + F.col("pos")).alias("end"))).alias("spans")).where("spans is not null")
     hit = hit.groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    return d.join(hit, ["doc_id", "tag"], "left").select("doc_id", "text", "spans").mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept_text string")
+    return d.join(hit, ["doc_id", "tag"], "left").select("doc_id", "text", "spans").mapInArrow(_cut, f"doc_id {kind}, n_words long, n_removed long, kept_text string")
 
 
 ORACLE = r"""

@@ -1,6 +1,7 @@
 """Corpus operators on small tables, against plain versions and corner cases."""
 
 import hashlib
+import os
 import re
 import time
 from collections import Counter
@@ -573,6 +574,24 @@ def test_substring_deals_large_shards(spark, monkeypatch, shard):
     assert got == plain_cut(rows, 20)
 
 
+def test_ids_of_any_type(spark, monkeypatch):
+    rows = [(f"d{i:03}", f"{prose(int(3 * (i % 7)), i)} {prose(70, 5)} {prose(4, 100 + i)}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    for shard in (substring.SHARD, 4, 0):
+        monkeypatch.setattr(substring, "SHARD", shard)
+        assert sorted(map(tuple, substring.remove_repeats(df).collect())) == plain_cut(rows, 50)
+    chats = spark.createDataFrame([("a", 0, "user", "x"), ("a", 1, "assistant", "y"), (None, 0, "user", "z")], "conv_id string, turn int, role string, text string")
+    assert {(r.conv_id, r.n_turns) for r in chat.digests(chat.formatted(chats)).collect()} == {("a", 2), (None, 1)}
+
+
+def test_written_tables_can_be_cleared(spark, tmp_path):
+    from medloom.llm import shared
+
+    path = shared.stage(spark.range(3), "x").inputFiles()[0]
+    shared.clear(spark)
+    assert not shared._written and not os.path.exists(path.removeprefix("file://"))
+
+
 def test_substring_odd_rows(odd):
     got = sorted(map(tuple, substring.remove_repeats(odd).collect()), key=repr)
     assert got == plain_cut([(x.doc_id, x.text) for x in odd.collect()], 50)
