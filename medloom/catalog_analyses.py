@@ -192,9 +192,10 @@ def pool_top_k_relaxed(spark, d):
     return P.top(_part(spark, d), "condition_concept_id", "n", SITES, 10, strict=False)
 
 
-@query(f"WITH s AS ({_PART}) SELECT condition_concept_id, CAST(sum(n) AS BIGINT) AS n, CAST(NULL AS DOUBLE) AS p90 FROM s GROUP BY 1 HAVING count(DISTINCT site_id) = 3")
+@query(f"WITH s AS ({_PART}) SELECT condition_concept_id, CAST(sum(n) AS BIGINT) AS n, TRUE AS no_p90 FROM s GROUP BY 1 HAVING count(DISTINCT site_id) = 3")
 def pool_tabular_missing_site(spark, d):
-    return P.tabular(_part(spark, d), ["condition_concept_id"], {"n": ("sum", "n"), "p90": ("nonpoolable", "double")}, SITES)
+    out = P.tabular(_part(spark, d), ["condition_concept_id"], {"n": ("sum", "n"), "p90": ("nonpoolable", "double")}, SITES)
+    return out.select("condition_concept_id", "n", F.col("p90").isNull().alias("no_p90"))
 
 
 @query(f"WITH s AS ({_PART}) SELECT condition_concept_id, CAST(sum(n) AS BIGINT) AS n, CAST(max(n) AS BIGINT) AS most FROM s GROUP BY 1")
@@ -391,9 +392,10 @@ def columns_without_sensitive(spark, d):
     return H.without_sensitive(view(spark, d, "person"), ["*_concept_id"])
 
 
-@query("SELECT person_id, death_date, CAST(NULL AS DATE) AS visit_start_date FROM death UNION ALL SELECT person_id, NULL, visit_start_date FROM visit_occurrence")
+@query("SELECT person_id, CAST(death_date AS VARCHAR) AS death_date, NULL AS visit_start_date FROM death UNION ALL SELECT person_id, NULL, CAST(visit_start_date AS VARCHAR) FROM visit_occurrence")
 def verbs_bind(spark, d):
-    return V.bind([view(spark, d, "death").select("person_id", "death_date"), view(spark, d, "visit_occurrence").select("person_id", "visit_start_date")])
+    out = V.bind([view(spark, d, "death").select("person_id", "death_date"), view(spark, d, "visit_occurrence").select("person_id", "visit_start_date")])
+    return out.select("person_id", *[F.col(c).cast("string").alias(c) for c in ("death_date", "visit_start_date")])
 
 
 @query("SELECT condition_occurrence_id FROM condition_occurrence WHERE condition_concept_id IN (SELECT descendant_concept_id FROM concept_ancestor WHERE ancestor_concept_id IN (1901, 1902))")
@@ -402,12 +404,16 @@ def events_of_concept_table(spark, d):
     return H.value_in(view(spark, d, "condition_occurrence"), "condition_concept_id", concept="condition_concept_id", concepts=wanted).select("condition_occurrence_id")
 
 
-@query("SELECT date_trunc('day', CAST(ts AS TIMESTAMP)) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def _said(*names):
+    return [F.date_format(n, "yyyy-MM-dd HH:mm:ss").alias(n) for n in names]
+
+
+@query("SELECT strftime(date_trunc('day', CAST(ts AS TIMESTAMP)), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
 def stream_window_counts(spark, d):
-    return Z.window_counts(table(spark, d, "events"), "ts", "event_type")
+    return Z.window_counts(table(spark, d, "events"), "ts", "event_type").select(*_said("window_start"), "event_type", "n")
 
 
 @query("""WITH l AS (SELECT user_id, CAST(ts AS TIMESTAMP) AS t, CASE WHEN CAST(ts AS TIMESTAMP) < lag(CAST(ts AS TIMESTAMP)) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 12 HOURS THEN 0 ELSE 1 END AS new FROM events),
-s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS run FROM l) SELECT min(t) AS session_start, max(t) + INTERVAL 12 HOURS AS session_end, user_id, count(*) AS n FROM s GROUP BY user_id, run""")
+s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS run FROM l) SELECT strftime(min(t), '%Y-%m-%d %H:%M:%S') AS session_start, strftime(max(t) + INTERVAL 12 HOURS, '%Y-%m-%d %H:%M:%S') AS session_end, user_id, count(*) AS n FROM s GROUP BY user_id, run""")
 def stream_sessions(spark, d):
-    return Z.sessions(table(spark, d, "events"), "ts", "user_id", "12 hours")
+    return Z.sessions(table(spark, d, "events"), "ts", "user_id", "12 hours").select(*_said("session_start", "session_end"), "user_id", "n")
