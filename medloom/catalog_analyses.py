@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .catalog import _RISK, _outcomes, _risk
 from .cdm.fixture import table, view
 from .operators import cohort as C
+from .operators import disclosure as G
 from .operators import estimates as X
 from .operators import explore as E
 from .operators import people as H
@@ -417,3 +418,16 @@ def stream_window_counts(spark, d):
 s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS run FROM l) SELECT strftime(min(t), '%Y-%m-%d %H:%M:%S') AS session_start, strftime(max(t) + INTERVAL 12 HOURS, '%Y-%m-%d %H:%M:%S') AS session_end, user_id, count(*) AS n FROM s GROUP BY user_id, run""")
 def stream_sessions(spark, d):
     return Z.sessions(table(spark, d, "events"), "ts", "user_id", "12 hours").select(*_said("session_start", "session_end"), "user_id", "n")
+
+
+@query("SELECT site, setting, CAST(v AS DOUBLE) AS value FROM (VALUES ('a', 'band', 5), ('a', 'least_in_cell', 3), ('a', 'least_persons', 3), ('b', 'band', 5), ('b', 'least_in_cell', 10), ('b', 'least_persons', 3)) t(site, setting, v)")
+def disclosure_settings(spark, d):
+    found = G.described({"a": G.Settings(), "b": G.Settings(least_in_cell=10)}, spark)
+    return found.where(F.col("setting").isin("band", "least_in_cell", "least_persons"))
+
+
+@query("SELECT condition_concept_id AS concept_id, count(DISTINCT person_id) AS n_persons, CAST(floor(count(*) / 5) * 5 AS BIGINT) AS n_records FROM condition_occurrence GROUP BY 1 HAVING count(DISTINCT person_id) >= 20")
+def disclosure_cells(spark, d):
+    rows, limits = view(spark, d, "condition_occurrence"), G.Settings(least_in_cell=20)
+    g = rows.groupBy(F.col("condition_concept_id").alias("concept_id")).agg(F.count_distinct("person_id").alias("n_persons"), F.count("*").alias("n_records"))
+    return G.checked(G.gated(rows, G.without_small_cells(g, "n_persons", limits, ["n_records"]), limits), limits)

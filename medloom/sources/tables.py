@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import json
 import os
 import re
@@ -29,20 +30,34 @@ def read(spark: SparkSession, path: str, form: str = "parquet", columns: list[st
     return df.select(*columns) if columns else df
 
 
-def write_staged(outputs: dict[str, DataFrame], path: str) -> str:
+#: Version of the manifest that is written, and that is read.
+MANIFEST = 2
+_FIELDS = "name string, path string, fields string, version int, expires timestamp"
+
+
+def write_staged(outputs: dict[str, DataFrame], path: str, keep_days: float | None = None, most_outputs: int = 100) -> str:
     """Write results as parquet, and last a manifest that names them: readers go by the
-    manifest, so a run that was broken off leaves nothing that they see."""
+    manifest, so a run that was broken off leaves nothing that they see. After keep_days
+    readers refuse it."""
+    if not 0 < len(outputs) <= most_outputs:
+        raise ValueError(f"{len(outputs)} outputs; from 1 to {most_outputs} can be staged")
     spark = next(iter(outputs.values())).sparkSession
     run = uuid.uuid4().hex
     for name, df in outputs.items():
         df.write.parquet(f"{path}/{run}/{name}")
-    rows = [(name, f"{path}/{run}/{name}", json.dumps([[f.name, f.dataType.simpleString()] for f in df.schema])) for name, df in outputs.items()]
-    spark.createDataFrame(rows, "name string, path string, fields string").coalesce(1).write.json(f"{path}/{run}/manifest")
+    expires = None if keep_days is None else datetime.datetime.now() + datetime.timedelta(days=keep_days)
+    rows = [(name, f"{path}/{run}/{name}", json.dumps([[f.name, f.dataType.simpleString()] for f in df.schema]), MANIFEST, expires) for name, df in outputs.items()]
+    spark.createDataFrame(rows, _FIELDS).coalesce(1).write.json(f"{path}/{run}/manifest")
     return f"{path}/{run}"
 
 
 def read_staged(spark: SparkSession, run: str) -> dict[str, DataFrame]:
-    rows = spark.read.schema("name string, path string, fields string").json(f"{run}/manifest").collect()  # a row per output
+    """The staged results by name. One that has expired, or of another version, is an error."""
+    rows = spark.read.schema(_FIELDS).json(f"{run}/manifest").collect()  # a row per output
+    if any(r.version != MANIFEST for r in rows):
+        raise ValueError(f"the manifest isn't of version {MANIFEST}")
+    if any(r.expires and r.expires < datetime.datetime.now() for r in rows):
+        raise ValueError("the staged results have expired")
     return {r.name: spark.read.parquet(r.path) for r in rows}
 
 

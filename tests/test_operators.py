@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from medloom.functions import quantiles
 from medloom.functions.dates import complete_months
-from medloom.operators import pooling, privacy, temporal, verbs
-from medloom.sources.tables import read_staged, shared_root, write_staged
-from medloom.streaming.events import window_counts
+from medloom.operators import disclosure, pooling, privacy, temporal, verbs
+from medloom.sources.tables import read, read_staged, shared_root, write_staged
+from medloom.streaming.events import sessions, window_counts
 
 D = datetime.date
 
@@ -122,6 +122,42 @@ def test_staged_results_come_back(spark, tmp_path):
     assert read_staged(spark, run)["one"].collect() == df.collect()
 
 
+def test_staged_results_expire_and_have_a_version(spark, tmp_path):
+    df = spark.createDataFrame([(1, "x")], "a int, b string")
+    assert read_staged(spark, write_staged({"one": df}, str(tmp_path), keep_days=1))["one"].count() == 1
+    with pytest.raises(ValueError, match="expired"):
+        read_staged(spark, write_staged({"one": df}, str(tmp_path), keep_days=-1))
+    with pytest.raises(ValueError, match="outputs"):
+        write_staged({str(i): df for i in range(101)}, str(tmp_path))
+    spark.createDataFrame([("one", "x", "", 1)], "name string, path string, fields string, version int").write.json(str(tmp_path / "old" / "manifest"))
+    with pytest.raises(ValueError, match="version"):
+        read_staged(spark, str(tmp_path / "old"))
+
+
+@pytest.mark.parametrize("form", ["csv", "orc", "json", "parquet"])
+def test_sources_of_other_forms(spark, tmp_path, form):
+    df = spark.createDataFrame([(1, "x"), (2, None)], "a int, b string")
+    options = {"header": "true", "inferSchema": "true"} if form == "csv" else {}
+    df.write.format(form).options(**{k: v for k, v in options.items() if k == "header"}).save(str(tmp_path / form))
+    out = read(spark, str(tmp_path / form), form, ["b", "a"], **options)
+    assert out.columns == ["b", "a"] and set(map(tuple, out.collect())) == {("x", 1), (None, 2)}
+
+
+def test_gate_holds_back_results_of_few_persons(spark):
+    rows = spark.createDataFrame([(1, 5), (2, 5)], "person_id int, v int")
+    result = rows.agg(F.count("*").alias("n"))
+    assert disclosure.gated(rows, result, disclosure.Settings()).count() == 0
+    assert disclosure.gated(rows, result, disclosure.Settings(least_persons=2)).count() == 1
+    with pytest.raises(ValueError):
+        disclosure.checked(rows, disclosure.Settings(most_columns=1))
+
+
+def test_sessions_close_after_a_gap(spark):
+    t = lambda h, m: datetime.datetime(2024, 1, 1, h, m)
+    df = spark.createDataFrame([("a", t(1, 0)), ("a", t(1, 20)), ("a", t(1, 55)), ("b", t(1, 0))], "k string, ts timestamp")
+    assert sorted((r.k, r.n) for r in sessions(df, "ts", "k").collect()) == [("a", 1), ("a", 2), ("b", 1)]
+
+
 def test_stream_equals_batch(spark, tmp_path):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     events.write.parquet(str(tmp_path / "in"))
