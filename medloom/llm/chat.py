@@ -61,9 +61,10 @@ def _shared(a: str, b: str) -> int:
 
 
 def _render(template: Template, turns: list[Turn], context: int) -> Rendered | None:
-    """None: prefixes began later than the conversation when a turn rewrote history."""
+    """None: prefixes began later than the conversation, and a turn rewrote history or what
+    they gave differs from the whole prefix. That is rendered too, at growing distances."""
     before = template([])
-    out, parts, at, first = Rendered(""), [before], len(before), 0
+    out, parts, at, first, check = Rendered(""), [before], len(before), 0, 2 * context
     for i, turn in enumerate(turns):
         now = template(turns[first : i + 1])
         if i - first + 1 > 2 * context and not out.rewrites:
@@ -100,6 +101,10 @@ def _render(template: Template, turns: list[Turn], context: int) -> Rendered | N
             out.spans.append((at, at))
             out.contents.append(None)
         before = now
+        if first and i + 1 >= check:
+            check = check * 3 // 2
+            if "".join(parts) != template(turns[: i + 1]):
+                return None
     out.text = "".join(parts)
     return out
 
@@ -113,7 +118,10 @@ def render(template: Template, turns: list[Turn], context: int = CONTEXT) -> Ren
     turns; from there on they begin ``context`` turns before, as long as the turn at the
     change adds the same text to the short prefix as to the long one. So the work grows
     with the turns for templates that look back a little. If that doesn't give the text of
-    the whole conversation, all is rendered again with whole prefixes.
+    the whole conversation, and of prefixes each half as long again as the one before, all
+    is rendered again with whole prefixes. (A template that rewrites history and takes it
+    back between two of these is rendered right, but its rewrites aren't seen; context of
+    at least the number of turns renders whole prefixes.)
 
     Where a turn's text stands in its span is found by rendering the turn, after the same
     turns, with two other texts: what doesn't change is the frame.

@@ -406,6 +406,16 @@ def test_late_rewrites_and_changing_frames():
     assert chat.rewrites_history(last)
 
 
+def test_rendering_equals_that_of_whole_prefixes():
+    turns = [{"role": ("user", "assistant")[i % 2], "text": f"text {i}"} for i in range(150)]
+    templates = [lambda t, n=n: "".join(f"[{x['text']}]" for x in t[-n:]) for n in (70, 80)]
+    templates += [lambda t, n=n: "".join(f"[{x['text'] if i >= len(t) - n else x['text'][:3]}]" for i, x in enumerate(t)) for n in (66, 100)]
+    templates.append(lambda t: ("late " if 96 <= len(t) < 140 else "") + "".join(x["text"] for x in t))
+    for template, rewrites in zip(templates, (80, 70, 84, 50, 2), strict=True):
+        got, want = chat.render(template, turns), chat.render(template, turns, len(turns))
+        assert got == want and got.text == template(turns) and got.rewrites == rewrites
+
+
 def plain_fingerprint(text):
     words = (text or "").encode().lower().split()
     h = [xxhash.xxh64_intdigest(b" ".join(words[i : i + 3]), 42) for i in range(max(1, len(words) - 2))] if words else []
