@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, cotrain, decontam, mixing, pii, rules, simhash, substring, toxicity, warc
+from . import chat, codes, cotrain, decontam, mixing, periodic, pii, rules, simhash, substring, toxicity, urls, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -59,10 +59,22 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.find(periodic.with_loops(_read(spark, sf_dir, "documents"))))
+
+
+def op12_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_read(spark, sf_dir, "pages"), urls.rules_table(spark, urls.HOST_RULES, urls.PATTERNS))
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(_read(spark, sf_dir, "embeddings")).drop("scans")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_mixing, op2_pii, op3_quality, op4_decontam, op5_toxicity, op6_chat, op7_simhash, op8_substring, op9_warc, op10_rules)
+    found = (op1_mixing, op2_pii, op3_quality, op4_decontam, op5_toxicity, op6_chat, op7_simhash, op8_substring, op9_warc, op10_rules, op11_periodic, op12_urls, op13_codes)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": mixing.ORACLE, "op2_pii": pii.ORACLE, "op6_chat": chat.ORACLE, "op8_substring": substring.ORACLE, "op9_warc": warc.ORACLE, "op10_rules": rules.ORACLE}
+    return {"op1_mixing": mixing.ORACLE, "op2_pii": pii.ORACLE, "op6_chat": chat.ORACLE, "op8_substring": substring.ORACLE, "op9_warc": warc.ORACLE, "op10_rules": rules.ORACLE, "op12_urls": urls.ORACLE, "op13_codes": codes.ORACLE}

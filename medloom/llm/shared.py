@@ -14,15 +14,27 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 8 << 20
 
 
-_written: list[str] = []
+_written: dict[str, DataFrame] = {}
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def clear(spark: SparkSession) -> None:
     """Delete the tables that stage has written in this session. Results of operators read
     them, so write those first."""
     while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, _written.popitem()[0])
+
+
+def dropped(table: DataFrame) -> None:
+    """Delete a table that stage has written and that nothing will read again."""
+    for path, df in list(_written.items()):
+        if df is table:
+            del _written[path]
+            _delete(table.sparkSession, path)
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -32,7 +44,9 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = os.environ.setdefault("MEDLOOM_LOCAL_SHARED", tempfile.mkdtemp(prefix="spark-"))
+        root = os.environ.get("MEDLOOM_LOCAL_SHARED")
+        if not root:
+            root = os.environ["MEDLOOM_LOCAL_SHARED"] = tempfile.mkdtemp(prefix="spark-")
     return root.rstrip("/")
 
 
@@ -46,9 +60,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     A lost executor can't take it along, and what follows doesn't recompute df.
     """
     path = new_path(df.sparkSession, name)
-    _written.append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _written[path] = df.sparkSession.read.schema(df.schema).parquet(path)
+    return _written[path]
 
 
 def small(df: DataFrame, row_bytes: int) -> DataFrame:
