@@ -76,7 +76,7 @@ g AS (SELECT count(*) AS n, CAST(sum(floor((greatest(10.0, least(40.0, v)) - 10.
 SELECT n, sum_grid, round(greatest(10, least(40, 10 + 30.0 * sum_grid / (n * 1000))), 6) AS value FROM g""")
 def pool_privacy_mean(spark, d):
     rows = _by_site(spark, d, "drug_exposure")
-    parts = [D.mean(rows.where(F.col("site_id") == s), "days_supply", 10.0, 40.0) for s in range(SITES)]
+    parts = [D.mean(rows.where(F.col("site_id") == s), "days_supply", 10.0, 40.0).withColumn("site_id", F.lit(s)) for s in range(SITES)]
     return P.released_mean(parts[0].unionByName(parts[1]).unionByName(parts[2]), 10.0, 40.0).select("n", "sum_grid", *rounded("value"))
 
 

@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
+
+from .eras import collapse
 
 
 def incidence(risk: DataFrame, outcome: DataFrame, date: str, keys: Sequence[str] = (), least_persons: int = 1) -> DataFrame:
@@ -53,10 +54,8 @@ def self_controlled(periods: DataFrame, exposures: DataFrame, start: str, end: s
     periods: observation periods with the keys. Exposures that overlap or touch are one.
     """
     s, e = "observation_period_start_date", "observation_period_end_date"
-    x = exposures.select("person_id", F.col(start).alias("a"), F.coalesce(end, start).alias("b")).where("b >= a")
-    before = W.partitionBy("person_id").orderBy("a", "b")
-    x = x.withColumn("new", (F.col("a") > F.date_add(F.max("b").over(before.rowsBetween(W.unboundedPreceding, -1)), 1)).cast("int"))
-    x = x.withColumn("run", F.sum(F.coalesce("new", F.lit(0))).over(before.rowsBetween(W.unboundedPreceding, 0))).groupBy("person_id", "run").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    valid = exposures.where(F.coalesce(end, start) >= F.col(start))
+    x = collapse(valid, ["person_id"], start, end).select("person_id", F.col("era_start").alias("a"), F.col("era_end").alias("b"))
     p = periods.select("person_id", *keys, F.col(s).alias("s"), F.col(e).alias("e")).withColumn("days", F.datediff("e", "s") + 1)
     inside = F.datediff(F.least("b", "e"), F.greatest("a", "s")) + 1
     exposed = p.join(x, "person_id").where("a <= e and b >= s").groupBy("person_id", "s").agg(F.sum(inside).alias("on"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,35 +37,57 @@ def counts(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], sites:
     return g.where("_sites > 0").drop("_sites")
 
 
-def moments(rows: DataFrame, keys: Sequence[str], n: str = "n", mean: str = "mean", variance: str = "variance") -> DataFrame:
-    """Count, mean and sample variance of all sites together from those of each. What lies
-    between the sites is summed about the pooled mean."""
+def moments(rows: DataFrame, keys: Sequence[str], n: str = "n", mean: str = "mean", variance: str = "variance", site: str = SITE) -> DataFrame:
+    """Count, mean and sample variance of all sites together from those of each, rows (site,
+    keys, n, mean, variance). What lies between the sites is summed about the pooled mean."""
     r = rows.where(F.col(n) > 0)
     own = F.collect_list(F.struct(F.col(n).alias("n"), F.col(mean).cast("double").alias("m"), F.coalesce(variance, F.lit(0.0)).alias("v")))  # one a site
-    g = r.groupBy(*keys).agg(F.sum(n).alias("n"), (F.sum(F.col(n) * F.col(mean)) / F.sum(n)).alias("mean"), own.alias("own"))
+    g = r.groupBy(*keys).agg(_sites(site).alias("_sites"), F.sum(n).alias("n"), (F.sum(F.col(n) * F.col(mean)) / F.sum(n)).alias("mean"), own.alias("own")).where("_sites > 0")
     spread = _total(F.col("own"), lambda x: (x["n"] - 1) * x["v"] + x["n"] * (x["m"] - F.col("mean")) * (x["m"] - F.col("mean")))
     return g.select(*keys, "n", "mean", F.try_divide(spread, F.col("n") - 1).alias("variance"))
 
 
-def ratio(rows: DataFrame, keys: Sequence[str], numerator: str, denominator: str, scale: float = 1.0) -> DataFrame:
-    g = rows.groupBy(*keys).agg(F.sum(numerator).alias("numerator"), F.sum(denominator).alias("denominator"))
-    return g.withColumn("ratio", F.when((F.col("denominator") > 0) & (F.col("numerator") >= 0), F.col("numerator") / F.col("denominator") * scale))
+def _columns(names: str | Sequence[str]) -> list[Column]:
+    return [F.col(c) for c in ([names] if isinstance(names, str) else names)]
 
 
-def effects(rows: DataFrame, keys: Sequence[str], estimate: str = "log_estimate", se: str = "se") -> DataFrame:
-    """Inverse-variance meta-analysis with fixed and random effects. Rows without an estimate
-    or with a standard error of 0 or none are left out."""
+def _quotient(numerator: str | Sequence[str], denominator: str | Sequence[str], scale: float) -> tuple[Column, Column, Column]:
+    """Aggregates: the sums of the numerator's and the denominator's columns over rows that have
+    a value in all of them, and the quotient, null unless it is of something above 0."""
+    tops, bottoms = _columns(numerator), _columns(denominator)
+    whole = reduce(lambda a, b: a & b, [c.isNotNull() for c in (*tops, *bottoms)])
+    num, den = (F.sum(F.when(whole, reduce(lambda a, b: a + b, cs))) for cs in (tops, bottoms))
+    return num, den, F.when((num >= 0) & (den > 0), num / den * scale)
+
+
+def ratio(rows: DataFrame, keys: Sequence[str], numerator: str | Sequence[str], denominator: str | Sequence[str], scale: float = 1.0, site: str = SITE) -> DataFrame:
+    """The quotient of the sites' sums, each of a column or of several together."""
+    num, den, value = _quotient(numerator, denominator, scale)
+    g = rows.groupBy(*keys).agg(_sites(site).alias("_sites"), num.alias("numerator"), den.alias("denominator"), value.alias("ratio"))
+    return g.where("_sites > 0").drop("_sites")
+
+
+def effects(rows: DataFrame, keys: Sequence[str], estimate: str = "log_estimate", se: str = "se", strict: bool = True, site: str = SITE) -> DataFrame:
+    """Inverse-variance meta-analysis with fixed and random effects of rows (site, keys,
+    estimate, se). Rows without an estimate or with a standard error of 0 or none are left
+    out. A site may repeat its estimate of a key; if it gives different ones, none can stand
+    for it: strict, all of the key's results are null, else the site is left out of it."""
     r = rows.where((F.col(se) > 0) & F.col(estimate).isNotNull())
-    y, w = F.col(estimate), 1 / (F.col(se) * F.col(se))
-    own = F.collect_list(F.struct(y.cast("double").alias("y"), (F.col(se) * F.col(se)).cast("double").alias("v")))  # one a site
-    g = r.groupBy(*keys).agg(F.count("*").alias("k"), F.sum(w).alias("sw"), F.sum(w * w).alias("sww"), (F.sum(w * y) / F.sum(w)).alias("fixed"), own.alias("own"))
+    pair = F.struct(F.col(estimate).cast("double").alias("y"), F.col(se).cast("double").alias("s"))
+    r = r.groupBy(*keys, F.col(site).alias("_site")).agg(F.min(pair).alias("p"), (F.count_distinct(pair) == 1).alias("one"))
+    y, s = F.when(F.col("one"), F.col("p.y")), F.when(F.col("one"), F.col("p.s"))
+    w = 1 / (s * s)
+    own = F.collect_list(F.when(F.col("one"), F.struct(y.alias("y"), (s * s).alias("v"))))  # one a site
+    g = r.groupBy(*keys).agg(F.count_if("one").alias("k"), F.sum(w).alias("sw"), F.sum(w * w).alias("sww"), (F.sum(w * y) / F.sum(w)).alias("fixed"), own.alias("own"), F.bool_and("one").alias("ok"))
     g = g.withColumn("q", _total(F.col("own"), lambda x: (x["y"] - F.col("fixed")) * (x["y"] - F.col("fixed")) / x["v"]))
     over = F.col("q") - (F.col("k") - 1)
     g = g.withColumn("tau2", F.greatest(F.lit(0.0), F.coalesce(F.try_divide(over, F.col("sw") - F.col("sww") / F.col("sw")), F.lit(0.0))))
     g = g.withColumn("i2", F.greatest(F.lit(0.0), F.coalesce(F.try_divide(over, F.col("q")), F.lit(0.0)) * 100))
     g = g.withColumn("sws", _total(F.col("own"), lambda x: 1 / (x["v"] + F.col("tau2"))))
-    g = g.withColumn("random", _total(F.col("own"), lambda x: x["y"] / (x["v"] + F.col("tau2"))) / F.col("sws")).withColumn("random_se", F.sqrt(1 / F.col("sws")))
-    return g.select(*keys, "k", "fixed", F.sqrt(1 / F.col("sw")).alias("fixed_se"), "q", "i2", "tau2", "random", "random_se", (F.col("random") - Z * F.col("random_se")).alias("lower"), (F.col("random") + Z * F.col("random_se")).alias("upper"))
+    g = g.withColumn("random", F.try_divide(_total(F.col("own"), lambda x: x["y"] / (x["v"] + F.col("tau2"))), F.col("sws"))).withColumn("random_se", F.sqrt(F.try_divide(F.lit(1.0), F.col("sws"))))
+    g = g.withColumn("fixed_se", F.sqrt(1 / F.col("sw"))).withColumn("lower", F.col("random") - Z * F.col("random_se")).withColumn("upper", F.col("random") + Z * F.col("random_se"))
+    known = (F.col("ok") if strict else F.lit(True)) & (F.col("k") > 0)
+    return g.select(*keys, *[F.when(known, F.col(c)).alias(c) for c in ("k", "fixed", "fixed_se", "q", "i2", "tau2", "random", "random_se", "lower", "upper")])
 
 
 def top(rows: DataFrame, key: str, value: str, sites: int, k: int, strict: bool = True, site: str = SITE) -> DataFrame:
@@ -90,7 +113,8 @@ def tabular(rows: DataFrame, keys: Sequence[str], roles: dict[str, tuple], sites
     """Site results pooled by the role of each column, in one grouped pass.
 
     roles: {new column: (role, source columns...)} with the roles sum, min, max; ratio
-    (numerator, denominator, scale), of the pooled sums; weighted_mean (value, weight);
+    (numerator, denominator, scale), of the pooled sums, either of a column or of a list of
+    columns taken together; weighted_mean (value, weight);
     pooled_sd (n, mean, sd), Cochrane's; label, null when sites differ; and nonpoolable
     (type), always null. Strict keeps only the keys of all sites. A site that gives a key
     more than once is an error.
@@ -105,9 +129,7 @@ def tabular(rows: DataFrame, keys: Sequence[str], roles: dict[str, tuple], sites
         if role == "label":
             return F.when(F.count_distinct(x[0]) == 1, F.min(x[0]))
         if role == "ratio":
-            whole = c(x[0]).isNotNull() & c(x[1]).isNotNull()
-            num, den = F.sum(F.when(whole, c(x[0]))), F.sum(F.when(whole, c(x[1])))
-            return F.when((num >= 0) & (den > 0), num / den * (x[2] if len(x) > 2 else 1.0))
+            return _quotient(x[0], x[1], x[2] if len(x) > 2 else 1.0)[2]
         if role == "weighted_mean":
             ok = (c(x[1]) > 0) & c(x[0]).isNotNull()
             return F.try_divide(F.sum(F.when(ok, c(x[0]) * c(x[1]))), F.sum(F.when(ok, c(x[1]))))
@@ -149,9 +171,10 @@ def site_histograms(rows: DataFrame, site: str, value: str, bins: int = 20, low:
     return spine.join(found, ["site", "bin"], "left").select("site", "bin", start.alias("bin_start"), (start + F.col("w")).alias("bin_end"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def released_mean(rows: DataFrame, lower: float, upper: float, grid: int = 1000) -> DataFrame:
-    """The mean that the sites' released counts and grid sums (n, sum_grid) give together, kept within its bounds."""
-    g = rows.agg(F.sum("n").alias("n"), F.sum("sum_grid").alias("sum_grid"))
+def released_mean(rows: DataFrame, lower: float, upper: float, grid: int = 1000, site: str = SITE) -> DataFrame:
+    """The mean that the sites' released counts and grid sums (site, n, sum_grid) give together,
+    kept within its bounds."""
+    g = rows.agg(_sites(site).alias("_sites"), F.sum("n").alias("n"), F.sum("sum_grid").alias("sum_grid")).where("_sites >= 0").drop("_sites")
     value = lower + (upper - lower) * F.try_divide(F.col("sum_grid"), F.col("n") * grid)
     return g.withColumn("value", F.when(value.isNotNull(), F.greatest(F.lit(lower), F.least(F.lit(upper), value))))
 
@@ -163,9 +186,9 @@ def released(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], sites
     return g.select(*keys, *[F.greatest(F.col(c), F.lit(0)).alias(c) for c in columns]) if columns else g
 
 
-def released_rate(rows: DataFrame) -> DataFrame:
-    """The rate that the sites' released numerators and denominators (num, den) give together,
-    kept between 0 and 1."""
-    g = rows.agg(F.sum("num").alias("num"), F.sum("den").alias("den"))
+def released_rate(rows: DataFrame, site: str = SITE) -> DataFrame:
+    """The rate that the sites' released numerators and denominators (site, num, den) give
+    together, kept between 0 and 1."""
+    g = rows.agg(_sites(site).alias("_sites"), F.sum("num").alias("num"), F.sum("den").alias("den")).where("_sites >= 0").drop("_sites")
     value = F.when(F.col("den") > 0, F.col("num") / F.col("den"))
     return g.withColumn("value", F.when(value.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), value))))

@@ -53,7 +53,7 @@ def test_pooled_variance_of_large_means(spark):
     rows = [("a", 1e9 + i) for i in range(7)] + [("b", 1e9 + i * i) for i in range(5)]
     df = spark.createDataFrame(rows, "site string, v double")
     by = df.groupBy("site").agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.var_samp("v").alias("variance"))
-    assert pooling.moments(by, []).first().variance == pytest.approx(df.agg(F.var_samp("v").alias("s")).first().s)
+    assert pooling.moments(by, [], site="site").first().variance == pytest.approx(df.agg(F.var_samp("v").alias("s")).first().s)
 
 
 def test_wide_refuses_several_values(spark):
@@ -95,7 +95,7 @@ def test_pooled_moments_equal_those_of_all_rows(spark):
     rows = [("a", float(i)) for i in range(7)] + [("b", float(i * i)) for i in range(5)]
     df = spark.createDataFrame(rows, "site string, v double").withColumn("k", F.lit(1))
     by = df.groupBy("site", "k").agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.var_samp("v").alias("variance"))
-    got, want = pooling.moments(by, ["k"]).first(), df.agg(F.avg("v").alias("m"), F.var_samp("v").alias("s")).first()
+    got, want = pooling.moments(by, ["k"], site="site").first(), df.agg(F.avg("v").alias("m"), F.var_samp("v").alias("s")).first()
     assert got.mean == pytest.approx(want.m) and got.variance == pytest.approx(want.s)
 
 
