@@ -351,7 +351,7 @@ SELECT subject_id, episode_id, from_state, to_state, CAST(t_start AS INT) AS t_s
 def survival_multi_state(spark, d):
     risk = _risk(spark, d)
     e = S._at_risk(risk, _outcomes(spark, d)).withColumnRenamed("outcome_name", "state")
-    return S.multi_state(risk, e, ["start", "x", "y"], [("start", "x"), ("start", "y"), ("x", "y")])
+    return S.multi_state(risk, e, ["start", "x", "y"], [[None, 1, 2], [None, None, 3], [None, None, None]])
 
 
 _SITE = "SELECT site_id, condition_concept_id, count(*) AS n FROM condition_occurrence c JOIN person p ON c.person_id = p.person_id GROUP BY ALL"

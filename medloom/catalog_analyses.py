@@ -166,7 +166,7 @@ SELECT subject_id, episode_id, from_state, to_state, CAST(t_start AS DOUBLE) AS
 def survival_multi_state_sequential(spark, d):
     risk = _risk(spark, d)
     e = S._at_risk(risk, _outcomes(spark, d)).withColumnRenamed("outcome_name", "state")
-    return S.multi_state(risk, e, ["start", "x", "y"], [("start", "x"), ("start", "y"), ("x", "y")], "sequential")
+    return S.multi_state(risk, e, ["start", "x", "y"], {"start": ["x", "y"], "x": ["y"]}, "sequential")
 
 
 _PART = "SELECT site_id, condition_concept_id, count(*) AS n FROM condition_occurrence c JOIN person p ON c.person_id = p.person_id WHERE NOT (site_id = 0 AND condition_concept_id % 2 = 1) GROUP BY ALL"
@@ -253,6 +253,8 @@ def _drill(part: str, text: str, *columns) -> None:
     query(f"WITH m AS (SELECT * FROM measurement WHERE measurement_concept_id = 4003) {text}")(f)
 
 
+_drill("histogram", """, v AS (SELECT value_as_number AS v FROM m WHERE value_as_number IS NOT NULL), e AS (SELECT quantile_cont(v, 0.05) AS lo, (quantile_cont(v, 0.95) - quantile_cont(v, 0.05)) / 20 AS w FROM v),
+c AS (SELECT CAST(greatest(0, least(19, floor((v - lo) / w))) AS INT) AS bin, count(*) AS n FROM v, e GROUP BY 1) SELECT CAST(i AS INT) AS bin, round(lo + i * w, 6) AS bin_start, round(lo + (i + 1) * w, 6) AS bin_end, coalesce(n, 0) AS n FROM range(20) t(i) CROSS JOIN e LEFT JOIN c ON i = bin""", "bin_start", "bin_end")
 _drill("quantiles", " UNION ALL ".join(f"SELECT CAST({p} AS DOUBLE) AS prob, round(quantile_cont(value_as_number, {p}), 2) AS value FROM m" for p in (0.05, 0.25, 0.5, 0.75, 0.95)))
 _drill("categories", "SELECT value_as_concept_id AS value, CAST(floor(count(*) / 5) * 5 AS BIGINT) AS n, CAST(floor(count(DISTINCT person_id) / 5) * 5 AS BIGINT) AS n_persons FROM m GROUP BY 1 HAVING count(DISTINCT person_id) >= 3 ORDER BY 2 DESC, 1 LIMIT 20")
 _drill("missingness", " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) AS n_total, count(*) - count({c}) AS n_missing, round((count(*) - count({c})) / CAST(count(*) AS DOUBLE), 6) AS missing_rate FROM m" for c in ("value_as_number", "value_as_concept_id")), "missing_rate")

@@ -1,4 +1,4 @@
-"""Queries of eras, pathways, attrition, overlap, standardised differences and performance, and their SQL."""
+"""Queries of eras, pathways, attrition, overlap, differences, performance, closure, noise and policies, and their SQL."""
 
 from __future__ import annotations
 
@@ -9,8 +9,12 @@ from .operators import cohort as C
 from .operators import diagnostics as G
 from .operators import eras as E
 from .operators import pathways as Y
+from .operators import people as H
 from .operators import performance as M
+from .operators import policy as N
 from .operators import pooling as P
+from .operators import privacy as D
+from .operators import vocabulary as V
 from .registry import index, index_sql, query, rounded
 
 SITES = 3
@@ -262,3 +266,90 @@ def pool_effects_repeated_site(spark, d):
     g = g.agg(F.log(F.avg("days_supply")).alias("log_estimate"), (F.stddev_samp("days_supply") / F.sqrt(F.count("*")) / F.avg("days_supply")).alias("se"))
     again = g.where("site_id = 0 and stratum in (1, 2)").withColumn("log_estimate", F.col("log_estimate") + F.when(F.col("stratum") == 2, 1.0).otherwise(0.0))
     return P.effects(g.unionByName(again), ["stratum"]).select("stratum", "k", *rounded("fixed"))
+
+
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT concept_id_2 AS a, concept_id_1 AS d FROM concept_hierarchy WHERE relationship_id = 'Is a' AND concept_id_1 <> concept_id_2),
+w AS (SELECT a, d, 1 AS n FROM e UNION SELECT w.a, e.d, w.n + 1 FROM w JOIN e ON e.a = w.d WHERE w.n < 16)
+SELECT a AS ancestor_concept_id, d AS descendant_concept_id, min(n) AS min_levels_of_separation FROM w WHERE a <> d GROUP BY a, d UNION ALL SELECT c, c, 0 FROM (SELECT a AS c FROM e UNION SELECT d FROM e) x""")
+def concept_closure(spark, d):
+    return V.closure(view(spark, d, "concept_hierarchy"))
+
+
+@query("""WITH h AS (SELECT person_id, category, max(weight) AS w FROM condition_occurrence JOIN codeset ON condition_concept_id = concept_id GROUP BY 1, 2), s(severe, mild) AS (VALUES (1, 0), (3, 2), (3, 4), (5, 3)),
+k AS (SELECT * FROM h WHERE NOT EXISTS (SELECT 1 FROM s JOIN h o ON o.category = severe WHERE o.person_id = h.person_id AND mild = h.category)), t AS (SELECT person_id, sum(w) AS score FROM k GROUP BY 1)
+SELECT p.person_id, CAST(coalesce(score, 0) AS BIGINT) AS score FROM person p LEFT JOIN t ON p.person_id = t.person_id""")
+def score_hierarchy(spark, d):
+    """A severe category takes the place of its mild one; weights are tiers of a category."""
+    return H.score(view(spark, d, "person"), view(spark, d, "condition_occurrence"), "condition_concept_id", view(spark, d, "codeset"), supersedes=[(1, 0), (3, 2), (3, 4), (5, 3)])
+
+
+_SECRET = b"a site's secret"
+
+
+def _pads() -> str:
+    key = _SECRET.ljust(64, b"\0")
+    return ", ".join(f"unhex('{bytes(b ^ x for b in key).hex()}') AS {n}" for n, x in (("ipad", 0x36), ("opad", 0x5C)))
+
+
+def _noise(message: str, scale: float) -> str:
+    """SQL of the noise of a message: the keyed digest, and two draws from it."""
+    digest = f"(SELECT sha256(opad || unhex(sha256(ipad || encode({message})))) FROM pads)"
+    draw = lambda i: f"CAST(floor(-{scale} * ln((CAST('0x' || substr(h, {i}, 13) AS BIGINT) + 1) / {float(16**13 + 1)}::DOUBLE)) AS BIGINT)"
+    return f"(SELECT {draw(1)} - {draw(14)} FROM (SELECT {digest} AS h) x)"
+
+
+def _part(x: str) -> str:
+    return f"length({x}) || ':' || {x}"
+
+
+def _said(identity: str, statistic: str, *cell: str) -> str:
+    return " || ".join([f"'{len(identity)}:{identity}{len(statistic)}:{statistic}'", *map(_part, cell)])
+
+
+@query(f"""WITH pads AS (SELECT {_pads()}), n AS (SELECT CAST(sum(least(n, 5)) AS BIGINT) AS v FROM (SELECT count(*) AS n FROM condition_occurrence GROUP BY person_id) x) SELECT v + {_noise(_said("conditions by person", "value"), 10.0)} AS value FROM n""")
+def release_count(spark, d):
+    return D.release(D.bounded_count(view(spark, d, "condition_occurrence"), 5), [], {"value": 5}, _SECRET, "conditions by person", 0.5)
+
+
+@query(f"""WITH pads AS (SELECT {_pads()}), o AS (SELECT DISTINCT person_id, condition_concept_id AS level FROM condition_occurrence WHERE condition_concept_id IN (2001, 2002, 2003, 2999)), r AS (SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY level) AS rn FROM o),
+c AS (SELECT CAST(s.level AS INT) AS level, count(r.person_id) AS n FROM (VALUES (2001), (2002), (2003), (2999)) s(level) LEFT JOIN r ON s.level = r.level AND rn <= 2 GROUP BY s.level) SELECT level, n + {_noise(_said("levels", "n", "CAST(level AS VARCHAR)"), 4.0)} AS n FROM c""")
+def release_histogram(spark, d):
+    cells = D.categorical(view(spark, d, "condition_occurrence"), "condition_concept_id", [2001, 2002, 2003, 2999], 2)
+    return D.release(cells, ["level"], {"n": 2}, _SECRET, "levels", 0.5)
+
+
+@query(f"""WITH pads AS (SELECT {_pads()}), o AS (SELECT avg(days_supply) AS v FROM drug_exposure WHERE days_supply IS NOT NULL GROUP BY person_id),
+g AS (SELECT count(*) AS n, CAST(sum(floor((greatest(10.0, least(40.0, v)) - 10.0) / 30.0 * 1000 + 0.5)) AS BIGINT) AS s FROM o), r AS (SELECT n + {_noise(_said("supply", "n"), 2.0)} AS n, s + {_noise(_said("supply", "sum_grid"), 2000.0)} AS sum_grid FROM g)
+SELECT n, sum_grid, CASE WHEN n > 0 THEN round(greatest(10, least(40, 10 + 30.0 * sum_grid / (n * 1000))), 6) END AS value FROM r""")
+def release_mean(spark, d):
+    return D.released_mean(view(spark, d, "drug_exposure"), "days_supply", 10.0, 40.0, _SECRET, "supply", 1.0).select("n", "sum_grid", *rounded("value"))
+
+
+@query(f"""WITH pads AS (SELECT {_pads()}), g AS (SELECT count(CASE WHEN v THEN 1 END) AS num, count(*) AS den FROM (SELECT bool_or(days_supply > 45) AS v FROM drug_exposure GROUP BY person_id) x),
+r AS (SELECT num + {_noise(_said("long", "num"), 4.0)} AS num, den + {_noise(_said("long", "den"), 4.0)} AS den FROM g) SELECT num, den, CASE WHEN den > 0 THEN round(greatest(0.0, least(1.0, num / CAST(den AS DOUBLE))), 6) END AS value FROM r""")
+def release_rate(spark, d):
+    return D.released_rate(view(spark, d, "drug_exposure"), F.col("days_supply") > 45, _SECRET, "long", 0.5).select("num", "den", *rounded("value"))
+
+
+_GRIDS = {0: range(0, 100, 5), 1: range(0, 100, 10), 2: (0, 20, 40, 50, 55, 60, 80)}
+
+
+def _policy(name: str, bands: dict[int, int]) -> None:
+    def f(spark, d):
+        persons = view(spark, d, "person").select("site_id", (F.lit(2000) - F.col("year_of_birth")).alias("age"))
+        grids, own = N.grid_rows(spark, _GRIDS), spark.createDataFrame(list(bands.items()), "site_id int, band int")
+        return N.pooled_ages(N.site_counts(persons, "age", grids, own), grids, own, SITES)
+
+    f.__name__ = name
+    common = [0, 20, 40, 50, 60, 80]
+    rows = ", ".join(f"({a}, {b or 'NULL'})" for a, b in zip(common, [*common[1:], None], strict=True))
+    edges = ", ".join(f"({s}, {a}, {b or 'NULL'})" for s, g in _GRIDS.items() for a, b in zip(g, [*list(g)[1:], None], strict=True))
+    width = ", ".join(f"({s}, {b})" for s, b in bands.items())
+    n = "CASE WHEN count(DISTINCT site_id) = 3 THEN CAST(sum(n) AS BIGINT) END" if len(set(bands.values())) == 1 else "CAST(NULL AS BIGINT)"
+    query(f"""WITH own(site_id, f, t) AS (VALUES {edges}), w(site_id, band) AS (VALUES {width}), g(age_from, age_to) AS (VALUES {rows}),
+c AS (SELECT p.site_id, f, CAST(floor(count(*) / max(band)) * max(band) AS BIGINT) AS n FROM person p JOIN own ON own.site_id = p.site_id AND 2000 - year_of_birth >= f AND (t IS NULL OR 2000 - year_of_birth < t) JOIN w ON w.site_id = p.site_id GROUP BY 1, 2)
+SELECT age_from, age_to, {n} AS n FROM c JOIN g ON f >= age_from AND (age_to IS NULL OR f < age_to) GROUP BY 1, 2""")(f)
+
+
+_policy("policy_common_ages", {0: 5, 1: 5, 2: 5})
+_policy("policy_different_bands", {0: 5, 1: 10, 2: 5})

@@ -42,6 +42,9 @@ VIEWS = {
   UNION ALL SELECT DISTINCT CAST(2000 + p_partkey % 40 AS INT), CAST(2000 + p_partkey % 40 AS INT), 0 FROM part""",
     "concept_relationship": """SELECT DISTINCT CAST(9000 + p_partkey % 40 AS INT) AS concept_id_1, CAST(2000 + p_partkey % 40 AS INT) AS concept_id_2, 'Maps to' AS relationship_id FROM part
   UNION ALL SELECT DISTINCT CAST(2000 + p_partkey % 40 AS INT), CAST(9000 + p_partkey % 40 AS INT), 'Mapped from' FROM part""",
+    "concept_hierarchy": """SELECT DISTINCT CAST(20000 + p_partkey % 240 AS INT) AS concept_id_1, CAST(20000 + floor(p_partkey % 240 / 3) AS INT) AS concept_id_2, 'Is a' AS relationship_id FROM part WHERE p_partkey % 240 > 0
+  UNION ALL SELECT DISTINCT CAST(20000 + p_partkey % 240 AS INT), CAST(20001 + floor(p_partkey % 240 / 3) AS INT), 'Is a' FROM part WHERE p_partkey % 10 = 0 AND p_partkey % 240 > 2
+  UNION ALL SELECT DISTINCT 20000, 20080, 'Is a' FROM part WHERE p_partkey = 1 UNION ALL SELECT DISTINCT CAST(20000 + p_partkey % 240 AS INT), 20000, 'Maps to' FROM part""",
     "concept_synonym": """SELECT DISTINCT CAST(2000 + p_partkey % 40 AS INT) AS concept_id, concat('Also condition ', CAST(p_partkey % 40 AS VARCHAR(20))) AS concept_synonym_name FROM part""",
     "cdm_source": """SELECT 'Sales fixture' AS cdm_source_name, 'v5.4' AS cdm_version FROM nation WHERE n_nationkey = 0""",
     "codeset": """SELECT DISTINCT CAST(p_partkey % 40 AS INT) % 8 AS category, CAST(2000 + p_partkey % 40 AS INT) AS concept_id, CAST(1 + p_partkey % 40 % 3 AS INT) AS weight FROM part WHERE p_partkey % 40 < 24""",

@@ -56,15 +56,20 @@ def codes(codeset: DataFrame, ancestor: DataFrame | None = None, relationship: D
     return out.groupBy("category", "concept_id").agg(F.max("weight").alias("weight"))
 
 
-def score(persons: DataFrame, events: DataFrame, concept: str, codeset: DataFrame, extra: Column | None = None) -> DataFrame:
-    """(person_id, score): the largest weight of each category a person has, summed, and
-    ``extra``, an expression on the columns of ``persons``, such as points for age and sex.
+def score(persons: DataFrame, events: DataFrame, concept: str, codeset: DataFrame, extra: Column | None = None, supersedes: Sequence[tuple] = ()) -> DataFrame:
+    """(person_id, score): the largest weight (or tier) of each category a person has, summed,
+    and ``extra``, an expression on the columns of ``persons``, such as points for age and
+    sex. supersedes: pairs of a severe and a mild category; where a person has the severe
+    one, the mild one doesn't count, even if a third supersedes the severe one.
 
     One operator serves all weighted indices (comorbidity, stroke, complication tiers,
     frailty): they differ in code set and extra points, both given by the caller.
     """
     hit = events.select("person_id", F.col(concept).alias("concept_id")).join(codeset, "concept_id").groupBy("person_id", "category").agg(F.max("weight").alias("weight"))
-    sums = hit.groupBy("person_id").agg(F.sum("weight").alias("points"))
+    own = lambda m: F.max(F.when(F.col("category") == m, F.col("weight")))
+    has = lambda m: F.bool_or(F.col("category").isin([s for s, mild in supersedes if mild == m]))
+    less = [F.when(has(m), F.coalesce(own(m), F.lit(0))).otherwise(0) for m in dict.fromkeys(m for _, m in supersedes)]
+    sums = hit.groupBy("person_id").agg(reduce(lambda a, b: a - b, less, F.sum("weight")).alias("points"))
     points = F.coalesce(F.col("points"), F.lit(0))
     return persons.join(sums, "person_id", "left").select("person_id", (points + extra if extra is not None else points).alias("score"))
 

@@ -1,12 +1,9 @@
-"""Releases with bounded contributions: sufficient statistics, and deterministic noise on few cells."""
+"""Releases with bounded contributions: sufficient statistics, and keyed noise on them."""
 
 from __future__ import annotations
 
 import datetime
 import hashlib
-import hmac
-import json
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -90,13 +87,51 @@ def rate(df: DataFrame, test: Column, how: str = "any", order: Sequence[str] = (
     return g.withColumn("value", F.try_divide(F.col("num"), F.col("den")))
 
 
-def noise(secret: bytes, identity: dict, scale: float) -> int:
-    """Discrete Laplace noise, the same for the same secret and identity."""
-    digest = hmac.new(secret, json.dumps(identity, sort_keys=True).encode(), hashlib.sha256).digest()
-    draws = [(int.from_bytes(digest[i : i + 8], "big") + 1) / (2**64 + 1) for i in (0, 8)]
-    return math.floor(-scale * math.log(draws[0])) - math.floor(-scale * math.log(draws[1]))
+def keyed(secret: bytes, *message: Column) -> Column:
+    """The hex HMAC-SHA256 of the parts of a message under a secret, in the plan. A part is its
+    length and its text, so that different messages differ; null differs from every text.
+
+    The two pads that the secret gives are literals of the plan: keep plans and event logs
+    of such jobs where the secret may be.
+    """
+    key = (hashlib.sha256(secret).digest() if len(secret) > 64 else secret).ljust(64, b"\0")
+    inner, outer = (bytes(b ^ x for b in key) for x in (0x36, 0x5C))
+    text = [c.cast("string") for c in message]
+    whole = F.concat(*[F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("-")) for t in text])
+    first = F.sha2(F.concat(F.lit(inner), whole.cast("binary")), 256)
+    return F.sha2(F.concat(F.lit(outer), F.unhex(first)), 256)
+
+
+def laplace(digest: Column, scale: float) -> Column:
+    """Discrete Laplace noise of a scale, the difference of two geometric draws that the first
+    and the next 13 digits of a hex digest give."""
+    draw = lambda i: (F.conv(F.substring(digest, i, 13), 16, 10).cast("long") + 1) / float(16**13 + 1)
+    steps = lambda i: F.floor(-scale * F.log(draw(i)))
+    return (steps(1) - steps(14)).cast("long")
+
+
+def release(cells: DataFrame, keys: Sequence[str], sensitivity: dict[str, float], secret: bytes, identity: str, epsilon: float) -> DataFrame:
+    """cells with noise on the statistics that ``sensitivity`` names, epsilon being shared out
+    equally over them.
+
+    Noise is a function of the secret, the request's identity, the statistic and the cell's
+    keys: the same request gives the same noise, whatever the partitions, so asking again
+    doesn't average it away. All cells that the request lists must be there, with 0 where
+    none is: which cells exist isn't protected. Null statistics stay null.
+    """
+    scale = lambda s: s * len(sensitivity) / epsilon
+    draw = lambda c, s: laplace(keyed(secret, F.lit(identity), F.lit(c), *[F.col(k) for k in keys]), scale(s))
+    return cells.withColumns({c: F.col(c) + draw(c, s) for c, s in sensitivity.items()})
+
+
+def released_mean(df: DataFrame, column: str, lower: float, upper: float, secret: bytes, identity: str, epsilon: float, grid: int = 1000) -> DataFrame:
+    """(n, sum_grid, value): ``mean`` with half of epsilon on the count and half on the sum."""
+    g = release(mean(df, column, lower, upper, grid).select("n", F.coalesce("sum_grid", F.lit(0)).alias("sum_grid")), [], {"n": 1, "sum_grid": grid}, secret, identity, epsilon)
+    value = F.when(F.col("n") > 0, lower + (upper - lower) * F.col("sum_grid") / (F.col("n") * grid))
+    return g.withColumn("value", F.when(value.isNotNull(), F.greatest(F.lit(lower), F.least(F.lit(upper), value))))
 
 
-def release(cells: dict[str, int], secret: bytes, identity: dict, sensitivity: float, epsilon: float) -> dict[str, int]:
-    """Noisy values of a fixed list of cells on the driver; the list is part of the request."""
-    return {k: v + noise(secret, identity | {"cell": k}, sensitivity / epsilon) for k, v in cells.items()}
+def released_rate(df: DataFrame, test: Column, secret: bytes, identity: str, epsilon: float) -> DataFrame:
+    """(num, den, value): ``rate`` with half of epsilon on each count, kept between 0 and 1."""
+    g = release(rate(df, test).select("num", "den"), [], {"num": 1, "den": 1}, secret, identity, epsilon)
+    return g.withColumn("value", F.when(F.col("den") > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("num") / F.col("den")))))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -14,7 +15,7 @@ def censored(cohort: DataFrame, start_offset: int = 0, end_offset: int | None =
     c = cohort
     ends = [F.col("cohort_end_date"), F.col("obs_end")]
     if death is not None:
-        c = c.join(death.select(F.col("person_id").alias("subject_id"), "death_date"), "subject_id", "left")
+        c = c.join(death.groupBy(F.col("person_id").alias("subject_id")).agg(F.min("death_date").alias("death_date")), "subject_id", "left")
         ends.append(F.coalesce("death_date", "cohort_end_date"))
     if end_offset is not None:
         ends.append(F.date_add("cohort_start_date", end_offset))
@@ -69,18 +70,52 @@ def counting_process(risk: DataFrame, outcome: DataFrame, date: str) -> DataFram
     return out.withColumn("interval_number", F.row_number().over(w)).select("subject_id", "episode_id", "interval_number", "interval_start_days", F.col("day").alias("interval_end_days"), "event")
 
 
-def multi_state(cohort: DataFrame, events: DataFrame, states: Sequence[str], edges: Sequence[tuple[str, str]], ties: str = "priority", step_days: float = 0.01) -> DataFrame:
+def state_graph(states: Sequence[str], transitions: Sequence | dict) -> tuple[list[str], list[tuple[str, str]]]:
+    """The states, the first being where an episode begins, and the transitions as edges in
+    order. transitions: edges (from, to); or a dict of each state's targets, by name or by
+    number from 1; or a square matrix over the states with the transitions' numbers 1 to n,
+    None where there is none. An error: names that aren't states or come twice, no edge, an
+    edge twice, one from a state to itself, a state that the first doesn't reach.
+    """
+    states, n = list(states), len(states)
+    if n < 2 or len({s.lower() for s in states}) < n or not all(re.fullmatch(r"[A-Za-z][A-Za-z0-9_.-]*", s) for s in states):
+        raise ValueError("states need two or more names of letters, digits, _, . and -, different in lower case too")
+    if isinstance(transitions, dict):
+        named = lambda t: states[int(t) - 1] if str(t).isdigit() and 0 < int(t) <= n else t
+        edges = [(a, named(b)) for a, to in transitions.items() for b in to or ()]
+    elif len(transitions) and not isinstance(transitions[0][0], str):
+        if len(transitions) != n or any(len(row) != n for row in transitions):
+            raise ValueError("a matrix of transitions must have a row and a column for each state")
+        cells = sorted((x, states[i], states[j]) for i, row in enumerate(transitions) for j, x in enumerate(row) if x is not None)
+        if [x for x, _, _ in cells] != list(range(1, len(cells) + 1)):
+            raise ValueError("transitions of a matrix must be numbered from 1, each once")
+        edges = [(a, b) for _, a, b in cells]
+    else:
+        edges = [tuple(e) for e in transitions]
+    if not edges or len(set(edges)) < len(edges) or any(a not in states or b not in states or a == b for a, b in edges):
+        raise ValueError("transitions must be different edges between different states")
+    reached, front = set(), {states[0]}
+    while front:
+        reached |= front
+        front = {b for a, b in edges if a in front} - reached
+    if lost := [s for s in states if s not in reached]:
+        raise ValueError(f"states that the first doesn't reach: {lost}")
+    return states, edges
+
+
+def multi_state(cohort: DataFrame, events: DataFrame, states: Sequence[str], transitions: Sequence | dict, ties: str = "priority", step_days: float = 0.01) -> DataFrame:
     """Risk rows of a state graph: (subject_id, episode_id, from_state, to_state, t_start, t_stop, status).
 
     events: (subject_id, episode_id, day, state, exit_day). Events are walked in the order
     of days (ties by state order); one that the current state doesn't lead to is passed
     over. Each stay gives a row for each edge out of its state. With ties "priority" an
     episode moves once a day; with "sequential" it moves on within the day, each time
-    ``step_days`` later, and times are doubles. The walk is a fold over the days of an
+    ``step_days`` later, and times are doubles. transitions: see state_graph. The walk is a fold over the days of an
     episode, in the JVM.
     """
     if ties not in ("priority", "sequential"):
         raise ValueError(f"no such policy: {ties}")
+    states, edges = state_graph(states, transitions)
     time = "double" if ties == "sequential" else "int"
     spark = cohort.sparkSession
     code = {s: i for i, s in enumerate(states)}

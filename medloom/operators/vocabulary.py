@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sets import among
+from ..sources.tables import cut
 
 #: Most rows of a page; a higher limit of the caller counts as this one.
 PAGE = 1000
@@ -107,3 +108,29 @@ def levels(rows: DataFrame, column: str, most: int = 40) -> DataFrame:
     found = rows.where(F.col(column).isNotNull()).select(F.col(column).alias("level")).distinct().limit(most + 1)
     coded = found.agg(F.array_sort(F.collect_list("level")).alias("all")).where(F.size("all") <= most)
     return coded.select(F.posexplode("all").alias("code", "level")).select("level", (F.col("code") + 1).alias("code"))
+
+
+def closure(relationship: DataFrame, kind: str = "Is a", own: bool = True) -> DataFrame:
+    """(ancestor_concept_id, descendant_concept_id, min_levels_of_separation) of the hierarchy
+    that the relationships concept_id_1 ``kind`` concept_id_2 make, without a table of it.
+
+    From the pairs found last, one level further on, until nothing new comes: a pair is found
+    first at its least distance, and a pair that is known isn't followed again, so diamonds
+    count once and cycles end. A concept in a cycle isn't its own descendant; with ``own``
+    each concept of the hierarchy stands at distance 0 from itself. Each level is written to
+    the shared folder and read again, so the plan doesn't grow with the levels. Rows with a
+    null or with the same concept twice are left out.
+    """
+    a, d, n = "ancestor_concept_id", "descendant_concept_id", "min_levels_of_separation"
+    rows = relationship.where((F.col("relationship_id") == kind) & (F.col("concept_id_1") != F.col("concept_id_2")))
+    edges = cut(rows.select(F.col("concept_id_2").alias(a), F.col("concept_id_1").alias(d)).distinct(), "edges")
+    found = [edges.withColumn(n, F.lit(1))]
+    front = edges
+    while not front.isEmpty():
+        step = front.join(edges.toDF(d, "_next"), d).where(F.col(a) != F.col("_next")).select(a, F.col("_next").alias(d)).distinct()
+        front = cut(step.join(reduce(DataFrame.unionByName, found).select(a, d), [a, d], "left_anti"), "level")
+        found.append(front.withColumn(n, F.lit(len(found) + 1)))
+    if own:
+        every = edges.select(F.explode(F.array(a, d)).alias(a)).distinct()
+        found.append(every.select(a, F.col(a).alias(d), F.lit(0).alias(n)))
+    return reduce(DataFrame.unionByName, found)

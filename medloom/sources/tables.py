@@ -19,10 +19,20 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = os.environ.setdefault("MEDLOOM_LOCAL_STAGED", tempfile.mkdtemp(prefix="spark-"))
+        root = os.environ.get("MEDLOOM_LOCAL_STAGED")
+        if not root:
+            root = os.environ["MEDLOOM_LOCAL_STAGED"] = tempfile.mkdtemp(prefix="spark-")
     return root.rstrip("/")
 
 
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """df, written to the shared folder and read again: without its lineage, and safe from the
+    loss of an executor."""
+    path = f"{shared_root(df.sparkSession)}/medloom/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read(spark: SparkSession, path: str, form: str = "parquet", columns: list[str] | None = None, **options) -> DataFrame:
     """A table in parquet, orc, json or csv form, or over jdbc, with only the columns asked for."""
     reader = spark.read.options(**options)

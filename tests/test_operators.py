@@ -1,6 +1,8 @@
 """Operators on small tables made for their corner cases."""
 
 import datetime
+import hashlib
+import hmac
 
 import numpy as np
 import pytest
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 
 from medloom.functions import quantiles
 from medloom.functions.dates import complete_months
-from medloom.operators import disclosure, pooling, privacy, temporal, verbs
+from medloom.operators import disclosure, policy, pooling, privacy, survival, temporal, verbs, vocabulary
 from medloom.sources.tables import read, read_staged, shared_root, write_staged
 from medloom.streaming.events import sessions, window_counts
 
@@ -99,11 +101,51 @@ def test_pooled_moments_equal_those_of_all_rows(spark):
     assert got.mean == pytest.approx(want.m) and got.variance == pytest.approx(want.s)
 
 
-def test_noise_depends_on_secret_and_identity_alone():
-    draws = [privacy.noise(b"s", {"q": i}, 2.0) for i in range(4000)]
-    assert draws == [privacy.noise(b"s", {"q": i}, 2.0) for i in range(4000)]
-    assert abs(sum(draws) / len(draws)) < 0.3 and len(set(draws)) > 5
-    assert privacy.release({"a": 5}, b"s", {"q": 1}, 1, 1e9) == {"a": 5}
+def test_keyed_is_hmac(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2), ("é", None)], "s string, n int")
+    for secret in (b"s", b"x" * 64, b"y" * 100):
+        for r in df.withColumn("h", privacy.keyed(secret, F.lit("q"), F.col("s"), F.col("n"))).collect():
+            said = "1:q" + ("-" if r.s is None else f"1:{r.s}") + ("-" if r.n is None else f"1:{r.n}")
+            assert r.h == hmac.new(secret, said.encode(), hashlib.sha256).hexdigest()
+
+
+def test_noise_depends_on_secret_identity_and_cell_alone(spark):
+    cells = spark.range(20_000).select(F.col("id").alias("k"), F.lit(7).cast("long").alias("n"))
+    made = lambda secret=b"s", identity="q", e=0.5: {r.k: r.n - 7 for r in privacy.release(cells.repartition(5), ["k"], {"n": 1}, secret, identity, e).collect()}
+    first = made()
+    assert first == made() and first != made(identity="r") and first != made(secret=b"t")
+    draws = np.array(list(first.values()))
+    alpha = np.exp(-0.5)
+    assert abs(draws.mean()) < 0.1 and abs(draws.var() / (2 * alpha / (1 - alpha) ** 2) - 1) < 0.05
+    assert abs((draws == 0).mean() - (1 - alpha) / (1 + alpha)) < 0.02
+    assert set(made(e=1e9).values()) == {0}
+    two = privacy.release(cells.withColumn("m", F.col("n")), ["k"], {"n": 1, "m": 1}, b"s", "q", 0.5).select((F.col("n") - 7).alias("n"), (F.col("m") - 7).alias("m")).toPandas()
+    assert two.n.var() > 3 * draws.var() and abs(two.corr().iloc[0, 1]) < 0.05
+
+
+def test_state_graphs_in_three_forms():
+    states, edges = ["index", "ill", "dead"], [("index", "ill"), ("index", "dead"), ("ill", "dead")]
+    forms = [edges, {"index": ["ill", "dead"], "ill": ["dead"], "dead": None}, {"index": [2, 3], "ill": ["3"]}, [[None, 1, 2], [None, None, 3], [None, None, None]]]
+    assert all(survival.state_graph(states, f) == (states, edges) for f in forms)
+    wrong = [[], [("index", "index")], [("index", "ill")], [("ill", "dead"), ("dead", "ill")], [*edges, edges[0]], [*edges, ("ill", "gone")], [[None, 1], [None, None]], [[None, 1, 1], [None, None, 3], [None] * 3], [[None, 1, 3], [None, None, 4], [None] * 3], {"index": [2, 4]}]
+    for f in wrong:
+        with pytest.raises(ValueError):
+            survival.state_graph(states, f)
+    for names in (["index"], ["index", "Index"], ["index", "a b"]):
+        with pytest.raises(ValueError):
+            survival.state_graph(names, [("index", names[-1])])
+
+
+def test_the_earliest_death_counts_once(spark):
+    cohort = spark.createDataFrame([(1, 1, D(2024, 1, 1), D(2024, 12, 31), D(2024, 12, 31))], "subject_id int, episode_id int, cohort_start_date date, cohort_end_date date, obs_end date")
+    death = spark.createDataFrame([(1, D(2024, 3, 1)), (1, D(2024, 2, 1))], "person_id int, death_date date")
+    assert [r.exit_day for r in survival.censored(cohort, death=death).collect()] == [31]
+
+
+def test_closure_of_a_cycle_and_no_rows(spark):
+    rows = spark.createDataFrame([(1, 2, "Is a"), (2, 3, "Is a"), (3, 1, "Is a"), (3, 3, "Is a"), (None, 1, "Is a"), (9, 1, "Maps to")], "concept_id_1 int, concept_id_2 int, relationship_id string")
+    assert sorted(tuple(r) for r in vocabulary.closure(rows, own=False).collect()) == [(1, 2, 2), (1, 3, 1), (2, 1, 1), (2, 3, 2), (3, 1, 2), (3, 2, 1)]
+    assert vocabulary.closure(rows.limit(0)).count() == 0
 
 
 def test_predicates_and_merge_guard(spark):
@@ -169,3 +211,13 @@ def test_stream_equals_batch(spark, tmp_path):
     finally:
         q.stop()
     assert got == sorted(map(tuple, window_counts(events, "ts", "event_type").collect()))
+
+
+def test_policies_that_sites_agree_on(spark):
+    rows = [("a", "most_bins", 10.0), ("b", "most_bins", 7.0), ("a", "least_in_cell", 3.0), ("b", "least_in_cell", 5.0), ("a", "band", 5.0), ("b", "band", 10.0), ("a", "most_levels", 4.0)]
+    got = {r.setting: r.value for r in policy.agreed(spark.createDataFrame(rows, "site_id string, setting string, value double"), 2).collect()}
+    assert got == {"most_bins": 7.0, "least_in_cell": 5.0, "band": None, "most_levels": None}
+    grids = spark.createDataFrame([("a", x) for x in (0, 10, 20, 30)] + [("b", x) for x in (0, 5, 20)] + [("b", 20)], "site_id string, age_from int")
+    assert [tuple(r) for r in policy.common_grid(grids, 2).orderBy("age_from").collect()] == [(0, 20), (20, None)]
+    with pytest.raises(Exception, match="begin at 0"):
+        policy.common_grid(grids.where("age_from > 0"), 2).collect()
