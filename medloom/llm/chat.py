@@ -14,8 +14,6 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 Turn = dict[str, str]
 Template = Callable[[list[Turn]], str]
-#: Turns before a turn that are rendered with it. Up to twice as many, prefixes are whole.
-CONTEXT = 32
 START, STOP = "<|im_start|>", "<|im_end|>"
 
 
@@ -60,21 +58,32 @@ def _shared(a: str, b: str) -> int:
     return low
 
 
-def _render(template: Template, turns: list[Turn], context: int) -> Rendered | None:
-    """None: prefixes began later than the conversation, and a turn rewrote history or what
-    they gave differs from the whole prefix. That is rendered too, at growing distances."""
+def render(template: Template, turns: list[Turn], recent: int | None = None) -> Rendered:
+    """Render successive prefixes of the turns and compare consecutive results.
+
+    What the longer one adds is the turn's span; if the shorter one isn't its beginning,
+    the template rewrites history: such a turn has no content span, nor have earlier turns
+    whose text changes, and it counts in rewrites. Every prefix is rendered whole, so
+    nothing depends on the number of turns; the work grows with its square.
+
+    Where a turn's text stands in its span is found by rendering the turn, after the same
+    turns, with two other texts: what doesn't change is the frame.
+
+    recent: for templates that are known to add to each turn what the turn and the ``recent``
+    ones before it say, and to change nothing before. Then only these are rendered, with the
+    work in proportion to the turns; of a template that does otherwise, text, spans and
+    rewrites may be wrong, and that isn't seen.
+    """
     before = template([])
-    out, parts, at, first, check = Rendered(""), [before], len(before), 0, 2 * context
+    out, parts, at = Rendered(""), [before], len(before)
     for i, turn in enumerate(turns):
-        now = template(turns[first : i + 1])
-        if i - first + 1 > 2 * context and not out.rewrites:
-            short = template(turns[i - context : i + 1])
-            lead = template(turns[i - context : i])
-            if short.startswith(lead) and now.startswith(before) and short[len(lead) :] == now[len(before) :]:
-                first, before, now = i - context, lead, short
+        lead = turns[:i] if recent is None else turns[max(0, i - recent) : i]
+        if recent is not None and i > recent:
+            before = template(lead)
+        now = template([*lead, turn])
         if now.startswith(before):
             added = now[len(before) :]
-            a, b = (template([*turns[first:i], {"role": turn["role"], "text": x}]) for x in ("aXa", "ZyyZ"))
+            a, b = (template([*lead, {"role": turn["role"], "text": x}]) for x in ("aXa", "ZyyZ"))
             content = None
             if a.startswith(before) and b.startswith(before):
                 a, b = a[len(before) :], b[len(before) :]
@@ -86,8 +95,6 @@ def _render(template: Template, turns: list[Turn], context: int) -> Rendered | N
             out.contents.append(content)
             parts.append(added)
             at += len(added)
-        elif first:
-            return None
         else:
             same = _shared(before, now)
             for k in reversed(range(i)):
@@ -101,37 +108,10 @@ def _render(template: Template, turns: list[Turn], context: int) -> Rendered | N
             out.spans.append((at, at))
             out.contents.append(None)
         before = now
-        if first and i + 1 >= check:
-            check = check * 3 // 2
-            if "".join(parts) != template(turns[: i + 1]):
-                return None
     out.text = "".join(parts)
     return out
 
 
-def render(template: Template, turns: list[Turn], context: int = CONTEXT) -> Rendered:
-    """Render successive prefixes of the turns and compare consecutive results.
-
-    What the longer one adds is the turn's span; if the shorter one isn't its beginning,
-    the template rewrites history: such a turn has no content span, nor have earlier turns
-    whose text changes, and it counts in rewrites. Prefixes are whole up to 2 * context
-    turns; from there on they begin ``context`` turns before, as long as the turn at the
-    change adds the same text to the short prefix as to the long one. So the work grows
-    with the turns for templates that look back a little. If that doesn't give the text of
-    the whole conversation, and of prefixes each half as long again as the one before, all
-    is rendered again with whole prefixes. (A template that rewrites history and takes it
-    back between two of these is rendered right, but its rewrites aren't seen; context of
-    at least the number of turns renders whole prefixes.)
-
-    Where a turn's text stands in its span is found by rendering the turn, after the same
-    turns, with two other texts: what doesn't change is the frame.
-    """
-    out = _render(template, turns, context)
-    if out is None or out.text != template(turns):
-        out = _render(template, turns, len(turns))
-    return out
-
-
 def rewrites_history(template: Template, roles: tuple[str, ...] = ("system", "user", "assistant")) -> bool:
     """Whether the template changes earlier turns when one comes, on a conversation made
     to show it: all roles, fifty times, with white space and reasoning marks."""
@@ -139,14 +119,14 @@ def rewrites_history(template: Template, roles: tuple[str, ...] = ("system", "us
     return render(template, turns).rewrites > 0
 
 
-def formatted(conversations: DataFrame, template: Template = chatml, trained: str = "assistant", context: int = CONTEXT) -> DataFrame:
+def formatted(conversations: DataFrame, template: Template = chatml, trained: str = "assistant", recent: int | None = None) -> DataFrame:
     """One row per conversation: (conv_id, formatted, loss_spans, rewrites).
 
     Turns come by ``turn``, ties by role and text; a null text or role is empty, a null
     conv_id one conversation. loss_spans are (begin, end) code points of the formatted
     text: what the texts of the ``trained`` role became, each once, in order. Rows are
     dealt by conv_id and sorted, and stream through the task, which holds one
-    conversation at a time.
+    conversation at a time. recent: see render; without it each prefix is rendered whole.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +134,7 @@ def formatted(conversations: DataFrame, template: Template = chatml, trained: st
         now, turns, size = None, None, 0
 
         def close() -> None:
-            r = render(template, turns, context)
+            r = render(template, turns, recent)
             spans = [{"begin": c[0], "end": c[1]} for t, c in zip(turns, r.contents, strict=True) if c and t["role"] == trained]
             for k, v in (("conv_id", now), ("formatted", r.text), ("loss_spans", spans), ("rewrites", r.rewrites)):
                 out[k].append(v)

@@ -412,8 +412,57 @@ def test_rendering_equals_that_of_whole_prefixes():
     templates += [lambda t, n=n: "".join(f"[{x['text'] if i >= len(t) - n else x['text'][:3]}]" for i, x in enumerate(t)) for n in (66, 100)]
     templates.append(lambda t: ("late " if 96 <= len(t) < 140 else "") + "".join(x["text"] for x in t))
     for template, rewrites in zip(templates, (80, 70, 84, 50, 2), strict=True):
-        got, want = chat.render(template, turns), chat.render(template, turns, len(turns))
-        assert got == want and got.text == template(turns) and got.rewrites == rewrites
+        got = chat.render(template, turns)
+        assert got.text == template(turns) and got.rewrites == rewrites
+
+
+def plain_render(template, turns):
+    """Rewrites, and of each turn where its text stands in the last text, from whole prefixes."""
+    texts = [template(turns[:i]) for i in range(len(turns) + 1)]
+    rewrites, found = 0, []
+    for i, (a, b) in enumerate(zip(texts, texts[1:])):
+        if b.startswith(a):
+            found.append((len(a), len(b)))
+        else:
+            rewrites += 1
+            same = len(os.path.commonprefix([a, b]))
+            found = [(x, y) if y <= same else None for x, y in (s or (0, 1 << 60) for s in found)] + [None]
+    return rewrites, found
+
+
+def test_a_banner_that_comes_and_goes_is_seen():
+    turns = [{"role": ("user", "assistant")[i % 2], "text": f"text {i}"} for i in range(150)]
+    banner = lambda t: ("# banner\n" if 70 <= len(t) <= 75 else "") + "".join(f"<{x['text']}>" for x in t)
+    r = chat.render(banner, turns)
+    assert r.rewrites == 2 and r.text == banner(turns) and sum(c is None for c in r.contents) == 76
+
+
+def test_random_templates_equal_plain_comparison():
+    for seed in range(200):
+        g = np.random.default_rng(seed)
+        back, low = int(g.integers(1, 90)), int(g.integers(2, 100))
+        high, kind = low + int(g.integers(1, 30)), int(g.integers(0, 4))
+        turns = [{"role": str(g.choice(["user", "assistant", "tool"])), "text": f"t{i} {g.integers(0, 9)}"} for i in range(int(g.integers(1, 120)))]
+
+        def template(t, kind=kind, back=back, low=low, high=high):
+            if kind == 0:  # a frame that looks back
+                return "".join(f"[{x['role']}{t[i - back]['role'] if i >= back else ''}]{x['text']};" for i, x in enumerate(t))
+            if kind == 1:  # a mark that comes and goes
+                return ("!" if low <= len(t) < high else "") + "".join(f"<{x['text']}>" for x in t)
+            if kind == 2:  # only the last turns in full
+                return "".join(f"({x['text'] if i >= len(t) - back else ''})" for i, x in enumerate(t))
+            return "".join(f"{x['role']}:{x['text']}\n" for x in t)
+
+        r = chat.render(template, turns)
+        rewrites, found = plain_render(template, turns)
+        assert r.text == template(turns) and r.rewrites == rewrites
+        for turn, content, span in zip(turns, r.contents, found, strict=True):
+            assert (content is None) == (span is None)
+            assert content is None or span[0] <= content[0] and content[1] <= span[1] and r.text[content[0] : content[1]] == turn["text"]
+        if kind == 3:
+            assert chat.render(template, turns, 1) == r
+        if kind == 0:
+            assert chat.render(template, turns, back) == r
 
 
 def plain_fingerprint(text):
@@ -676,14 +725,33 @@ def test_reader_is_linear_in_the_archive():
     assert took(junk * 2) < 3 * max(0.05, took(junk))
 
 
-def test_pages_without_ids_are_spread_over_files(spark, tmp_path):
-    rows = [(None, None, "the same") for _ in range(400)] + [(None, "u", f"page {i}") for i in range(400)] + [(7, "u", "seven")] * 300
+@pytest.mark.parametrize("known", [warc.KNOWN, 2])
+def test_copies_are_spread_over_files(spark, tmp_path, known):
+    rows = [(None, None, "the same") for _ in range(400)] + [(None, "u", f"page {i}") for i in range(400)] + [(7, "u", "seven")] * 300 + [(100 + i, "u", f"few {i % 9}") for i in range(60)]
+    rows = [rows[i] for i in np.random.default_rng(1).permutation(len(rows))]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(8)
-    warc.write_archives(df, str(tmp_path / "w"))
+    warc.write_archives(df, str(tmp_path / "w"), known=known)
     sizes = sorted(f.stat().st_size for f in (tmp_path / "w").glob("part-*"))
     assert len(sizes) >= 8 and sizes[-1] < 3 * sizes[0]
     out = warc.read_archives(spark, str(tmp_path / "w")).collect()
-    assert len(out) == len(rows) and {r.record_type for r in out} == {"response"}
+    assert len(out) == len(rows) and sum(r.record_type == "revisit" for r in out) == 51
+    assert {r.refers_to for r in out if r.record_type == "revisit"} == set(range(100, 109))
+
+
+def test_revisits_lose_their_html_before_a_shuffle(spark):
+    rows = [(i, "u", f"page {i}") for i in range(4000)] + [(10_000 + i, "u", "x" * 5000) for i in range(4)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    plan = warc.with_roles(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    for known in (warc.KNOWN, 0):
+        got = warc.with_roles(df, known=known).where("first is not null").collect()
+        assert [(r.first, r.html, r.size) for r in got] == [(10_000, None, 5000)] * 3
+
+
+def test_page_ids_of_any_type(spark):
+    rows = [("a<b>/é", "u", "same"), ("b", "u", "same"), (None, "u", "same"), ("", "u", "other"), ("None", None, None)]
+    out = {(r.page_id, r.record_type, r.refers_to, r.payload_bytes) for r in warc.round_trip(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()}
+    assert out == {("a<b>/é", "response", None, 4), ("b", "revisit", "a<b>/é", 4), (None, "revisit", "a<b>/é", 4), ("", "response", None, 5), ("None", "response", None, 0)}
 
 
 def test_quarantine_log(spark, tmp_path):
