@@ -8,7 +8,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,12 +17,13 @@ from pyspark.sql import functions as F
 from .shared import new_path, stage
 
 GZIP, VERSION = b"\x1f\x8b\x08", b"WARC/1."
-#: Payload bytes of an archive file, and bytes that the writer hands on at once.
-ARCHIVE_BYTES, CHUNK_BYTES = 64 << 20, 4 << 20
+#: Bytes that the writer hands on at once.
+CHUNK_BYTES = 4 << 20
 #: Compressed bytes that the reader unpacks at once, to begin with.
 SLICE_BYTES = 4 << 10
-#: A payload with at least 1/HOT of all rows is looked up by broadcast: HOT payloads at most.
-HOT = 1_000
+#: Repeated payloads that are looked up by broadcast, those with most rows first: about 8 MB.
+#: Where there are more, pages of the others are joined with their payload's first page.
+KNOWN = 1 << 17
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -31,14 +32,20 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _name(page_id: int | None) -> str:
-    return f"<urn:page:{page_id}>"
+def _name(page_id) -> str:
+    return "<urn:page>" if page_id is None else f"<urn:page:{quote(str(page_id), safe='')}>"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, payload_digest: str, refers_to: int | None = None, revisit: bool = False) -> bytes:
+def _id(name: str | None) -> str | None:
+    """What _name was given, as text."""
+    m = re.fullmatch(r"<urn:page:([^<>]*)>", name or "")
+    return unquote(m[1]) if m else None
+
+
+def record(page_id, url: str | None, payload: bytes, payload_digest: str, refers_to=None, revisit: bool = False, size: int = 0) -> bytes:
     """One record, compressed as a gzip member of its own. A revisit has no payload, but
-    its HTTP header says how long that is."""
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    its HTTP header says how long (size) that is."""
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size if revisit else len(payload)}\r\n\r\n".encode()
     block = http if revisit else http + payload
     head = [
         "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {_name(page_id)}", f"WARC-Target-URI: {quote(url or '', safe=':/?#[]@!$&()*+,;=%~')}",
@@ -190,31 +197,50 @@ def repeated(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     return facts.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
 
 
-def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
-    """Write the records of pages (page_id, url, html) as .warc.gz parts under path.
+def with_roles(pages: DataFrame, least_bytes: int = 0, known: int = KNOWN) -> DataFrame:
+    """(page_id, url, html, sha1, size, first): pages with the hex digest and the size of their
+    payload, and, where they revisit it, its first page and no html.
+
+    The first pages of the ``known`` payloads with most rows go to all tasks, so their
+    revisits lose their html where they are read; if these are all repeated payloads,
+    nothing is shuffled. Of the others, which have few rows each, pages meet their payload's
+    first by a join on the digest; the rest is dealt at random there.
+    """
+    firsts = stage(repeated(pages, least_bytes), "repeated")
+    rows = pages.select("page_id", "url", "html", F.sha1(_payload()).alias("sha1"), F.octet_length(_payload()).cast("long").alias("size"))
+    again = lambda c: F.col(c).isNotNull() & ~F.col("page_id").eqNullSafe(F.col(c))
+    light = lambda c: [F.when(again(c), F.col(c)).alias("first"), F.when(~again(c), F.col("html")).alias("html")]
+    if firsts.count() <= known:
+        own = F.broadcast(firsts.select("sha1", F.col("first").alias("a")))
+        return rows.join(own, "sha1", "left").select("page_id", "url", "sha1", "size", *light("a"))
+    most = stage(firsts.orderBy(F.desc("n"), "sha1").limit(known), "most")
+    rows = rows.join(F.broadcast(most.select("sha1", F.col("first").alias("a"), F.lit(True).alias("met"))), "sha1", "left")
+    rows = rows.select("page_id", "url", "sha1", "size", "met", *light("a"))
+    dealt = F.concat(F.lit("-"), F.xxhash64(F.monotonically_increasing_id()).cast("string"))  # never a digest
+    rows = rows.withColumnRenamed("first", "a").withColumn("key", F.when(F.col("met"), dealt).otherwise(F.col("sha1")))
+    few = firsts.join(most.select("sha1"), "sha1", "left_anti").select(F.col("sha1").alias("key"), F.col("first").alias("b"))
+    rows = rows.join(few, "key", "left").withColumn("c", F.coalesce("a", "b"))
+    return rows.select("page_id", "url", "sha1", "size", *light("c"))
+
+
+def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, known: int = KNOWN) -> None:
+    """Write the records of pages (page_id of any plain type, url, html) as .warc.gz parts
+    under path.
 
     Of equal payloads of at least least_bytes, that of the smallest page_id is the
     response and others revisit it; rows that repeat its page_id are responses too, and so
-    is a payload of rows without a page_id. Spark's text writer carries the members, so
-    path can be in any file system of Spark's and a task that is run again leaves one
-    file; the line break that it adds after each few megabytes stands between members.
-
-    Pages are shuffled once, into files of about ARCHIVE_BYTES, by payload, which puts
-    them beside the repeated payloads. Pages whose payload makes a large share of all rows
-    learn their role by broadcast before, and are dealt evenly instead, whatever their
-    page_id, which may be null or the same.
+    is a payload of rows without a page_id. Each task writes the pages that it reads, so
+    files are as even as its input. Spark's text writer carries the members, so path can be
+    in any file system of Spark's and a task that is run again leaves one file; the line
+    break that it adds after each few megabytes stands between members.
     """
-    spark = pages.sparkSession
-    firsts = stage(repeated(pages, least_bytes), "repeated")
-    size = pages.agg(F.coalesce(F.sum(F.octet_length("html")), F.lit(0)).alias("bytes"), F.count("*").alias("rows")).first()
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size["bytes"] // ARCHIVE_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for b in batches:
-            for page, url, payload, first in zip(b.column("page_id").to_pylist(), b.column("url").to_pylist(), _bytes(b.column("html")), b.column("first").to_pylist(), strict=True):
-                again = first is not None and page != first
-                held.append(record(page, url, payload, digest(payload), first if again else None, again))
+            for page, url, sha1, long, first, payload in zip(*[b.column(c).to_pylist() for c in ("page_id", "url", "sha1", "size", "first")], _bytes(b.column("html")), strict=True):
+                said = base64.b32encode(bytes.fromhex(sha1)).decode()
+                held.append(record(page, url, payload, said, first, first is not None, long))
                 size += len(held[-1])
                 if size >= CHUNK_BYTES:
                     yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], ["value"])
@@ -222,32 +248,22 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
         if held:
             yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], ["value"])
 
-    hot = F.col("n") * HOT >= size["rows"]
-    known = F.broadcast(firsts.where(hot).select("sha1", F.col("first").alias("hot"), "n"))  # at most HOT rows
-    rows = pages.select("page_id", "url", "html", F.sha1(_payload()).alias("sha1")).join(known, "sha1", "left")
-    spread = F.concat(F.lit("-"), F.xxhash64(F.monotonically_increasing_id()).cast("string"))  # never a digest
-    rows = rows.withColumn("key", F.when(F.col("n").isNull(), F.col("sha1")).otherwise(spread)).select("key", "page_id", "url", "html", "hot").repartition(n, "key")
-    cold = firsts.where(~hot).select(F.col("sha1").alias("key"), F.col("first").alias("cold")).repartition(n, "key")
-    rows = rows.join(cold, "key", "left").select("page_id", "url", "html", F.coalesce("hot", "cold").alias("first"))
-    rows.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value")).write.text(path)
+    with_roles(pages, least_bytes, known).mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value")).write.text(path)
 
 
 def _archives(spark, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
-def read_archives(spark, path: str) -> DataFrame:
+def read_archives(spark, path: str, kind: str = "long") -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to, payload) of the
     records under path that pass their checks; a file at a time is read by a task. For a
-    response, size and digest are those of the payload that was read."""
-
-    def number(name: str | None) -> int | None:
-        m = re.fullmatch(r"<urn:page:(-?[0-9]+)>", name or "")
-        return int(m[1]) if m else None
+    response, size and digest are those of the payload that was read. kind: the type of
+    page_id; a record whose name isn't of that type gets null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary())
+        kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary())
         for b in batches:
             for content in b.column("content"):
                 rows = []
@@ -255,16 +271,17 @@ def read_archives(spark, path: str) -> DataFrame:
                     http, _, payload = r.block.partition(b"\r\n\r\n")
                     size = re.search(rb"(?im)^content-length: *([0-9]+)", http)
                     kind, said = r.headers.get("warc-type"), r.headers.get("warc-payload-digest", "").removeprefix("sha1:")
-                    page = number(r.headers.get("warc-record-id"))
+                    page = _id(r.headers.get("warc-record-id"))
                     if kind == "revisit":
-                        rows.append((page, int(size[1]) if size else None, said, kind, number(r.headers.get("warc-refers-to")), None))
+                        rows.append((page, int(size[1]) if size else None, said, kind, _id(r.headers.get("warc-refers-to")), None))
                     elif kind == "response":
                         rows.append((page, len(payload), digest(payload), kind, None, payload))
                 for i in range(0, len(rows), 256):
                     cols = list(zip(*rows[i : i + 256], strict=True))
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
-    return _archives(spark, path).mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
+    found = _archives(spark, path).mapInArrow(run, "page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string, payload binary")
+    return found.withColumns({c: F.col(c).try_cast(kind) for c in ("page_id", "refers_to")})
 
 
 def quarantined(spark, path: str) -> DataFrame:
@@ -284,7 +301,7 @@ def round_trip(pages: DataFrame) -> DataFrame:
     """Write pages to the shared folder and read the archives back."""
     path = new_path(pages.sparkSession, "warc")
     write_archives(pages, path)
-    return read_archives(pages.sparkSession, path)
+    return read_archives(pages.sparkSession, path, pages.schema["page_id"].dataType.simpleString())
 
 
 ORACLE = """
