@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stage
+from .shared import dropped, stage
 from .words import _SPACE, mix, slices, strings, words
 
 #: Most labelled rows that training uses (lowest hash of doc_id first), and rows that a
@@ -171,76 +171,126 @@ def _views(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return content(texts), metadata(b.column("source").to_pylist(), b.column("lang").to_pylist(), b.column("n_chars").to_pylist(), texts)
 
 
+def _packed(x: np.ndarray, kind) -> pa.Array:
+    return pa.array([r.tobytes() for r in x.astype(kind)], pa.binary())
+
+
+def _rows(t: pa.Table) -> Rows:
+    """Rows of t (rank, y, a, b), by rank and label: the same whatever order tasks ended in."""
+    t, n = t.combine_chunks(), t.num_rows
+    order = np.lexsort((t.column("y").to_numpy(), t.column("rank").to_numpy()))
+    raw = {c: b"".join(t.column(c).to_pylist()) for c in ("a", "b")}
+    a = np.frombuffer(raw["a"], np.float16).reshape(n, BUCKETS + DENSE)[order].astype(np.float32)
+    b = np.frombuffer(raw["b"], bool).reshape(n, 7 * FIELD)[order].astype(np.float32)
+    return Rows(a, b, t.column("y").to_numpy()[order].astype(float))
+
+
 def _fetched(chosen: DataFrame) -> Rows:
-    """The views of chosen (doc_id, y, text, lang, source, n_chars), by doc_id and label, then
-    in an order drawn once: the same whatever order the tasks ended in."""
+    """The views of chosen (doc_id, mark, y, text, lang, source, n_chars)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _parts(batches):
             x, y = _views(b)
-            yield pa.RecordBatch.from_arrays([b.column("rank"), b.column("y"), pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary()), pa.array([r.astype(bool).tobytes() for r in y], pa.binary())], ["rank", "y", "a", "b"])
+            yield pa.RecordBatch.from_arrays([b.column("rank"), b.column("y"), _packed(x, np.float16), _packed(y, bool)], ["rank", "y", "a", "b"])
 
-    t = chosen.select(F.xxhash64("doc_id", "mark").alias("rank"), "y", "text", "lang", "source", "n_chars").mapInArrow(run, "rank long, y int, a binary, b binary").toArrow().combine_chunks()
-    n = t.num_rows
-    order = np.lexsort((t.column("y").to_numpy(), t.column("rank").to_numpy()))
-    raw = {c: t.column(c).chunk(0).buffers()[2] if n else b"" for c in ("a", "b")}
-    a = np.frombuffer(raw["a"], np.float16, n * (BUCKETS + DENSE)).reshape(n, BUCKETS + DENSE)[order].astype(np.float32)
-    b = np.frombuffer(raw["b"], bool, n * 7 * FIELD).reshape(n, 7 * FIELD)[order].astype(np.float32)
-    return Rows(a, b, t.column("y").to_numpy()[order].astype(float))
+    return _rows(chosen.select(F.xxhash64("doc_id", "mark").alias("rank"), "y", "text", "lang", "source", "n_chars").mapInArrow(run, "rank long, y int, a binary, b binary").toArrow())
 
 
-def _one_each(docs: DataFrame, wanted: DataFrame, *on: str) -> DataFrame:
-    """Of the rows of docs that are wanted (a bounded table), one for each of its rows: that
-    with the smallest mark, the hash of what the views read. So at most as many rows come
-    to the driver, however often a doc_id is repeated."""
-    rows = docs.join(F.broadcast(wanted), list(on))
+def _one_each(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Of the rows of docs whose doc_id is wanted (a bounded table), one for each: that with
+    the smallest mark, the hash of what the views read. So at most as many rows come to
+    the driver, however often a doc_id is repeated."""
+    rows = docs.join(F.broadcast(wanted), "doc_id")
     first = rows.groupBy("doc_id", "y").agg(F.min_by(F.struct("mark", "text", "lang", "source", "n_chars"), "mark").alias("r"))
     return first.select("doc_id", "y", "r.*")
 
 
-def surest(margins: DataFrame, n: int, share: float) -> DataFrame:
-    """(doc_id, mark, y, view): the unlabelled rows of which either view's classifier is
-    surest, n of each in the classes' shares; margins: (doc_id, mark, m0, m1). Rows with
-    the same margin count once, so copies don't fill a class."""
-    out = None
-    for v in ("0", "1"):
-        own = F.col(f"m{v}")
-        for y, low, many in ((0, True, round(n * (1 - share))), (1, False, round(n * share))):
-            some = margins.where(own < 0 if low else own > 0).groupBy(own.alias("m")).agg(F.min(F.struct(F.xxhash64("doc_id").alias("h"), "doc_id", "mark")).alias("r"))
-            some = some.orderBy(F.col("m").asc() if low else F.col("m").desc(), "r").limit(many).select("r.doc_id", "r.mark", F.lit(y).alias("y"), F.lit(int(v)).alias("view"))
-            out = some if out is None else out.unionByName(some)
-    return out
+class Surest:
+    """The n rows of a class of which a view's classifier is surest, of all rows seen so far:
+    at most one of a margin, that with the smallest rank. low: the class of low margins."""
+
+    def __init__(self, n: int, low: bool):
+        self.n, self.sign = n, 1.0 if low else -1.0
+        self.rows: tuple[np.ndarray, ...] = ()
+
+    def add(self, margin: np.ndarray, *columns: np.ndarray) -> None:
+        """Rows of (margin, rank, others)."""
+        use = np.flatnonzero(self.sign * margin < 0)
+        if self.rows and len(self.rows[0]) >= self.n:
+            use = use[self.sign * margin[use] <= self.sign * self.rows[0][-1]]
+        if not self.n or not len(use):
+            return
+        new = [c[use] for c in (margin, *columns)]
+        if self.rows:
+            new = [np.concatenate(p) for p in zip(self.rows, new, strict=True)]
+        order = np.lexsort((new[1], self.sign * new[0]))
+        first = np.ones(len(order), bool)
+        first[1:] = np.diff(new[0][order]) != 0
+        self.rows = tuple(c[order[first][: self.n]] for c in new)
+
+
+def _limits(n: int, share: float) -> list[tuple[int, int, int]]:
+    """(view, class, rows): how many of each class a view hands over."""
+    return [(v, y, round(n * (share if y else 1 - share))) for v in (0, 1) for y in (0, 1)]
+
+
+def surest(docs: DataFrame, model: Model, n: int, share: float) -> list[Rows]:
+    """The rows of docs (text, lang, source, n_chars, rank) of which each view's classifier is
+    surest, n a view, in the classes' shares. Rows with the same margin count once, so
+    copies don't fill a class.
+
+    Rows are scored where they are, and each task keeps its own surest ones, at most 2 * n,
+    with their views; so texts are read once and stay where they are, and n rows a view
+    come to the driver.
+    """
+    limits = _limits(n, share)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = {(v, y): Surest(many, y == 0) for v, y, many in limits}
+        for b in _parts(batches):
+            x, z = _views(b)
+            m = model.margins(x, z).astype(float).round(4)  # sums differ in their last digits from batch to batch
+            rank = b.column("rank").to_numpy(zero_copy_only=False)
+            for (v, _), own in best.items():
+                own.add(m[:, v], rank, x.astype(np.float16), z.astype(bool))
+        for (v, y), own in best.items():
+            if own.rows:
+                margin, rank, x, z = own.rows
+                k = len(margin)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(k, v, np.int32)), pa.array(np.full(k, y, np.int32)), pa.array(margin), pa.array(rank), _packed(x, np.float16), _packed(z, bool)], ["view", "y", "m", "rank", "a", "b"])
+
+    kept = stage(docs.select("text", "lang", "source", "n_chars", "rank").mapInArrow(run, "view int, y int, m double, rank long, a binary, b binary"), "surest")
+    one = kept.groupBy("view", "y", "m").agg(F.min("rank").alias("rank"), F.min_by(F.struct("a", "b"), "rank").alias("r"))
+    parts = {}
+    for v, y, many in limits:
+        own = one.where((F.col("view") == v) & (F.col("y") == y))
+        parts[v, y] = own.orderBy(F.col("m").desc() if y else F.col("m").asc()).limit(many).select("rank", "y", "r.a", "r.b").toArrow()
+    dropped(kept)
+    return [_rows(pa.concat_tables([parts[v, 0], parts[v, 1]])) for v in (0, 1)]
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from labels (doc_id, quality) and docs, by co-training.
 
-    The views' classifiers learn from at most LABELLED_ROWS labelled rows. In each round
-    they score every unlabelled row where it is; the rows of which either is surest, up to
-    EXCHANGED of all of them, become labels of the other one. What comes to the driver is
-    the views of the labelled and of the exchanged rows, one row of a doc_id. Conflicting
-    labels: the lowest. A fifth of the labelled rows calibrates the views and weighs them.
+    The views' classifiers learn from at most LABELLED_ROWS labelled rows, one row of a
+    doc_id; all other rows count as unlabelled. In each round every unlabelled row is
+    scored where it is; the rows of which either view is surest, up to EXCHANGED of all of
+    them, become labels of the other one. What comes to the driver is the views of the
+    labelled and of the exchanged rows. Conflicting labels: the lowest. A fifth of the
+    labelled rows calibrates the views and weighs them. Texts are read once for the labelled
+    rows and once a round.
     """
     read = [F.col(c) for c in ("text", "lang", "source", "n_chars")]
     docs = docs.where("doc_id is not null").select("doc_id", *read, F.xxhash64(*read).alias("mark"))
-    marks = stage(labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min(F.col("quality").cast("int")).alias("y")), "marks")
+    marks = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min(F.col("quality").cast("int")).alias("y"))
     picked = stage(marks.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED_ROWS), "picked")
-    known = _fetched(_one_each(docs, picked, "doc_id"))
+    known = _fetched(_one_each(docs, picked))
     none = Rows(known.a[:0], known.b[:0], known.y[:0])
     model = learn(known, (none, none), None)
     share = float(known.y.mean()) if len(known.y) else 0.5
+    others = docs.join(F.broadcast(picked.select("doc_id")), "doc_id", "left_anti").withColumn("rank", F.xxhash64("doc_id", "mark"))  # LABELLED_ROWS ids at most
     for turn in range(ROUNDS if len(known.y) else 0):
-        now = model
-
-        def run(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
-            for b in _parts(batches):
-                m = now.margins(*_views(b)).astype(float).round(4)  # sums differ in their last digits from batch to batch
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("mark"), pa.array(m[:, 0]), pa.array(m[:, 1])], ["doc_id", "mark", "m0", "m1"])
-
-        kind = docs.schema["doc_id"].dataType.simpleString()
-        margins = stage(docs.mapInArrow(run, f"doc_id {kind}, mark long, m0 double, m1 double").join(marks, "doc_id", "left_anti"), "margins")
-        chosen = stage(surest(margins, EXCHANGED * (turn + 1) // ROUNDS, share), "surest")
-        given = [_fetched(_one_each(docs, chosen.where(F.col("view") == v).select("doc_id", "mark", "y"), "doc_id", "mark")) for v in (0, 1)]
+        given = surest(others, model, EXCHANGED * (turn + 1) // ROUNDS, share)
         model = learn(known, (given[1], given[0]), model)
     return calibrated(model, known)
 
