@@ -15,13 +15,16 @@ from .shared import fresh, row_hash, small, stage
 from .words import mix, slices, strings
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
-#: Parts of a fingerprint's bits, each with a tree of its own that shards the fingerprints.
-BLOCKS = 4
+#: Blocks of a fingerprint's bits in two groups. Two blocks of a group make a part, and each of
+#: the six parts has a tree of its own that shards the fingerprints.
+GROUPS = ((11, 11, 10), (11, 11, 10))
+PARTS = 6
 #: Fingerprints sampled to build these trees, and fingerprints aimed at in a shard.
 SAMPLE, SHARD = 65_536, 8_192
 #: Points of a leaf that are compared with all queries that reach it, and pairs compared at once.
 LEAF, BLOCK = 256, 1 << 21
-#: Fingerprints of one role that a task compares; larger shards are cut into tiles.
+#: Fingerprints of one role that a task compares; those of one value of a part, where they are
+#: more, are cut into tiles.
 TILE = 60_000
 
 
@@ -115,9 +118,22 @@ def route(tree: dict[int, tuple[int, int]], points: np.ndarray, radius: int, at:
 
 
 def parts(points: np.ndarray) -> list[np.ndarray]:
-    """The BLOCKS parts of each point's bits, as points of their own."""
-    width = 64 // BLOCKS
-    return [(points >> np.uint64(width * i)) & np.uint64((1 << width) - 1) for i in range(BLOCKS)]
+    """The six parts of each point's bits, as points of their own."""
+    out, low = [], 0
+    for group in GROUPS:
+        blocks = []
+        for width in group:
+            blocks.append((points >> np.uint64(low)) & np.uint64((1 << width) - 1))
+            low += width
+        out += [(blocks[i] << np.uint64(group[j])) | blocks[j] for i, j in ((0, 1), (0, 2), (1, 2))]
+    return out
+
+
+def part_radius(radius: int) -> int:
+    """Points within radius bits differ by at most so many in one of the parts: one group has
+    half of the bits at most, and the block with most of these is in one of its three
+    parts only by two others."""
+    return 2 * (radius // 2) // 3
 
 
 class Links:
@@ -160,46 +176,63 @@ def near(points: np.ndarray, living: np.ndarray, asking: np.ndarray, radius: int
     near(points, living[d > r], np.concatenate([cross, asking[q > r - radius]]), radius, links, 2 * turn + 1)
 
 
-def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Edges (src, dst) that connect what the links within ``radius`` bits connect.
-
-    fps: (fp), distinct. Points within ``radius`` bits differ by at most radius // BLOCKS
-    in one of the BLOCKS parts of their bits. A bounded sample (SAMPLE fingerprints, lowest
-    hash first) gives, for each part, the top of a vantage-point tree of about SHARD
-    fingerprints a leaf; every fingerprint goes to its leaf in each tree, and to those that
-    its ball of that smaller radius overlaps: none for the radius 3. (A ball of radius 3 in
-    all 64 bits overlaps most leaves: one tree gave each fingerprint 37 places at depth
-    10, half as many again at each further level.) A leaf above TILE is cut into tiles of living by
-    asking points. Each tile finds its pairs within ``radius`` exactly, by a tree of its
-    own over all bits, and returns a star for each group of linked points, never the pairs.
-    """
+def placed(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(leaf, sub, i, j, fp, home): where each of fps (fp) is compared, as links says."""
     total = fps.count()
     depth = max(0, int(np.ceil(np.log2(max(1, total) / SHARD))))
     trees: list[dict[int, tuple[int, int]]] = [{}]
     if depth:
         rows = fps.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()
         trees = [build(x, depth) for x in parts(np.array([r.fp for r in rows], np.int64).view(np.uint64))]
+    ball = part_radius(radius)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             p = b.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
             for i, (tree, x) in enumerate(zip(trees, parts(p), strict=False)):
-                for leaf, own, home in route(tree, x, radius // BLOCKS):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), leaf * BLOCKS + i, np.int64)), pa.array(p[own].view(np.int64)), pa.array(home)], ["leaf", "fp", "home"])
-
-    placed = fps.mapInArrow(spread, "leaf long, fp long, home boolean")
-    if total > TILE:
-        placed = stage(placed, "placed")
-        sizes = placed.groupBy("leaf").agg(F.ceil(F.sum(F.col("home").cast("int")) / TILE).cast("int").alias("rows"), F.ceil(F.count("*") / TILE).cast("int").alias("cols"))
-        placed = placed.join(F.broadcast(sizes), "leaf")  # at most as many rows as there are leaves: fewer than BLOCKS * SAMPLE / 4
-        own = F.xxhash64("fp")
-        as_home = F.when(F.col("home"), F.transform(F.sequence(F.lit(0), F.col("cols") - 1), lambda j: F.struct(F.pmod(own, "rows").cast("int").alias("i"), j.alias("j"), F.lit(True).alias("lives")))).otherwise(F.array())
-        as_query = F.transform(F.sequence(F.lit(0), F.col("rows") - 1), lambda i: F.struct(i.alias("i"), F.pmod(own, "cols").cast("int").alias("j"), F.lit(False).alias("lives")))
-        whole = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.col("home").alias("lives")))
-        tiles = F.when((F.col("rows") == 1) & (F.col("cols") == 1), whole).otherwise(F.concat(as_home, as_query))
-        placed = placed.select("leaf", "fp", F.explode(tiles).alias("x")).select("leaf", "x.i", "x.j", "fp", F.col("x.lives").alias("home"))
-    else:
-        placed = placed.select("leaf", F.lit(0).alias("i"), F.lit(0).alias("j"), "fp", "home")
+                for leaf, own, home in route(tree, x, ball):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), leaf * PARTS + i, np.int64)), pa.array(x[own].view(np.int64)), pa.array(p[own].view(np.int64)), pa.array(home)], ["leaf", "value", "fp", "home"])
+
+    none = F.lit(0)
+    if not depth:
+        return fps.select(none.cast("long").alias("leaf"), none.alias("sub"), none.alias("i"), none.alias("j"), "fp", F.lit(True).alias("home"))
+    rows = stage(fps.mapInArrow(spread, "leaf long, value long, fp long, home boolean"), "placed")
+    if ball:
+        rows = rows.withColumn("sub", none)
+    else:  # near points have the same value in a part, so a leaf may be dealt by it
+        many = rows.groupBy("leaf").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("subs"))
+        rows = rows.join(F.broadcast(many), "leaf")  # a row a leaf: fewer than PARTS * SAMPLE / 4
+        rows = rows.withColumn("sub", F.pmod(F.xxhash64("value"), "subs").cast("int"))
+    if total <= TILE:
+        return rows.select("leaf", "sub", none.alias("i"), none.alias("j"), "fp", "home")
+    sizes = rows.groupBy("leaf", "sub").agg(F.ceil(F.sum(F.col("home").cast("int")) / TILE).cast("int").alias("rows"), F.ceil(F.count("*") / TILE).cast("int").alias("cols"))
+    sizes = small(stage(sizes.where("rows > 1 or cols > 1"), "sizes"), 32)
+    rows = rows.join(sizes, ["leaf", "sub"], "left").withColumns({"rows": F.coalesce("rows", F.lit(1)), "cols": F.coalesce("cols", F.lit(1))})
+    own = F.xxhash64("fp")
+    as_home = F.when(F.col("home"), F.transform(F.sequence(none, F.col("cols") - 1), lambda j: F.struct(F.pmod(own, "rows").cast("int").alias("i"), j.alias("j"), F.lit(True).alias("lives")))).otherwise(F.array())
+    as_query = F.transform(F.sequence(none, F.col("rows") - 1), lambda i: F.struct(i.alias("i"), F.pmod(own, "cols").cast("int").alias("j"), F.lit(False).alias("lives")))
+    whole = F.array(F.struct(none.alias("i"), none.alias("j"), F.col("home").alias("lives")))
+    tiles = F.when((F.col("rows") == 1) & (F.col("cols") == 1), whole).otherwise(F.concat(as_home, as_query))
+    return rows.select("leaf", "sub", "fp", F.explode(tiles).alias("x")).select("leaf", "sub", "x.i", "x.j", "fp", F.col("x.lives").alias("home"))
+
+
+def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Edges (src, dst) that connect what the links within ``radius`` bits connect.
+
+    fps: (fp), distinct. Points within ``radius`` bits differ by at most part_radius in one
+    of the six parts of their bits: not at all for the radius 3. A bounded sample (SAMPLE
+    fingerprints, lowest hash first) gives, for each part, the top of a vantage-point tree of
+    about SHARD fingerprints a leaf; every fingerprint goes to its leaf in each tree, and to
+    those that its ball of that smaller radius overlaps. Where the tree ends, be it that the
+    sample is used up or that points stand at equal distances, a leaf of more than SHARD is
+    dealt on by the hash of the part's value, which near points share; so a fingerprint has
+    six places however many there are. (A ball of radius 3 in all 64 bits overlaps most
+    leaves: one tree gave each fingerprint 37 places at depth 10, half as many again at each
+    further level.) Only a value of a part that more than TILE fingerprints have is cut into
+    tiles of living by asking points. Each task finds its pairs within ``radius`` exactly, by
+    a tree of its own over all bits, and returns a star for each group of linked points,
+    never the pairs.
+    """
 
     def pairs(key: tuple, t: pa.Table) -> pa.Table:
         p = t.column("fp").to_numpy().view(np.uint64)
@@ -209,7 +242,7 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
         moved = np.flatnonzero(found.label != np.arange(len(p)))
         return pa.table({"src": p.view(np.int64)[moved], "dst": p.view(np.int64)[found.label[moved]]})
 
-    return placed.groupBy("leaf", "i", "j").applyInArrow(pairs, "src long, dst long").where("src <> dst")
+    return placed(fps, radius).groupBy("leaf", "sub", "i", "j").applyInArrow(pairs, "src long, dst long").where("src <> dst")
 
 
 def _classed(rows: DataFrame, least: Column, radius: int) -> DataFrame:

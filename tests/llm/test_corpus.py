@@ -551,8 +551,8 @@ def test_places_of_a_fingerprint():
     for x in simhash.parts(points):
         tree = simhash.build(x, 10)
         assert len(tree) > 500
-        places += sum(len(own) for _, own, _ in simhash.route(tree, x, simhash.RADIUS // simhash.BLOCKS))
-    assert places == simhash.BLOCKS * len(points)
+        places += sum(len(own) for _, own, _ in simhash.route(tree, x, simhash.part_radius(simhash.RADIUS)))
+    assert places == simhash.PARTS * len(points)
 
 
 @pytest.mark.parametrize("radius", [3, 6])
@@ -576,6 +576,31 @@ def test_vantage_tree_finds_all_links(spark, monkeypatch, radius):
     assert len(set(seen.values())) == len(seen)
 
 
+def test_parts_of_near_points_are_equal_or_near():
+    r = np.random.default_rng(6)
+    a = r.integers(0, 2**63, 20_000, dtype=np.uint64)
+    for radius in (1, 3, 4, 6, 9):
+        flips = np.zeros(len(a), np.uint64)
+        for _ in range(radius):
+            flips |= np.uint64(1) << r.integers(0, 64, len(a), dtype=np.uint64)
+        least = np.min([np.bitwise_count(x ^ y) for x, y in zip(simhash.parts(a), simhash.parts(a ^ flips), strict=True)], axis=0)
+        assert least.max() <= simhash.part_radius(radius)
+    assert simhash.part_radius(3) == 0 and all(x.max() < 1 << 22 for x in simhash.parts(a))
+
+
+def test_shards_stay_even_beyond_the_trees(spark, monkeypatch):
+    """Some 15 times as many fingerprints as the leaves of the sample's trees are meant for."""
+    for name, value in (("SAMPLE", 512), ("SHARD", 64), ("TILE", 200)):
+        monkeypatch.setattr(simhash, name, value)
+    points = np.random.default_rng(7).integers(-(2**63), 2**63, 100_000)
+    df = spark.createDataFrame([(int(p),) for p in points], "fp long").distinct()
+    n = df.count()
+    where = simhash.placed(df)
+    sizes = [r["count"] for r in where.groupBy("leaf", "sub", "i", "j").count().collect()]
+    assert sum(sizes) < 25 * n and sum(sizes) == simhash.PARTS * n
+    assert max(sizes) < 4 * np.mean(sizes) and where.select("leaf").distinct().count() * 10 * simhash.SHARD < simhash.PARTS * n
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5000, 5000)]
     out = {r.node: r.label for r in components(spark.createDataFrame(edges, "src long, dst long")).collect()}
