@@ -12,8 +12,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from .shared import stage
+from .shared import fresh, small, stage
 from .words import runs, slices, strings, whole_runs, words
 
 SHINGLE, LEAST, RADIUS = 5, 0.8, 15
@@ -23,9 +24,11 @@ BLOCKS, WIDTH = 4, 16
 _NEAR = np.flatnonzero(np.bitwise_count(np.arange(1 << WIDTH, dtype=np.uint32)) <= RADIUS // BLOCKS)
 #: Windows that look up their blocks at once, words that are fingerprinted at once, and pairs held at once.
 WINDOWS, SPAN, PAIRS = 512, 1 << 14, 1 << 21
-#: Bytes of different benchmark texts that are indexed and sent to the executors at once;
-#: a larger benchmark goes in parts, each over all documents.
+#: Bytes of different benchmark texts that are indexed and sent to the executors; a larger
+#: benchmark meets the documents by joins.
 PART_BYTES = 8 << 20
+#: Bits at most, 32 MB, of the map that says which shingles a larger benchmark may have.
+MOST_BITS = 1 << 28
 
 
 def blocks(prints: np.ndarray) -> list[np.ndarray]:
@@ -250,23 +253,127 @@ def _counted(texts: DataFrame) -> Weights:
     return Weights.of_counts(s.fill_null(0).to_numpy()[~items].astype(np.int64).view(np.uint64), n[~items], int(n[items].sum()))
 
 
-def _parts(benchmark: DataFrame) -> tuple[Weights, Iterator[Index]]:
-    """The weights over the whole benchmark and the indexes of its parts, of different
-    texts, each named by its MD5."""
-    texts = stage(benchmark.select(_text().alias("text")).groupBy("text").agg(F.count("*").alias("n")), "benchmark")
-    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    parts = max(1, -(-size // PART_BYTES))
+def _text() -> Column:
+    return F.coalesce("text", F.lit(""))
+
+
+def _different(benchmark: DataFrame) -> tuple[DataFrame, int]:
+    """(name, text, n) of the different texts, named by their MD5, and their bytes."""
+    texts = stage(benchmark.select(_text().alias("text")).groupBy("text").agg(F.count("*").alias("n")).withColumn("name", F.md5("text")), "benchmark")
+    return texts, texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+
+
+_FOUND = "name string, first_word long, end_word long, bits long, similarity double"
+_NAMES = ["name", "first_word", "end_word", "bits", "similarity"]
+
+
+def _columns(ix: Index, rows: list[tuple]) -> list[pa.Array]:
+    """What search found, without the texts' numbers."""
+    c = list(zip(*rows, strict=True)) or [()] * 6
+    return [pa.array([ix.ids[x] for x in c[1]], pa.string()), *(pa.array(x, pa.int64()) for x in c[2:5]), pa.array(c[5], pa.float64())]
+
+
+def _sent(texts: DataFrame) -> tuple:
+    """The index and the weights of a small benchmark, sent along with the tasks."""
+    sc = texts.sparkSession.sparkContext
     weights = _counted(texts)
+    ix = index([(r.name, r.text) for r in texts.select("name", "text").orderBy("name").collect()], weights)  # PART_BYTES at most
+    return sc.broadcast(ix), sc.broadcast(weights)
 
-    def held(part: int) -> list:
-        own = texts.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == part).select(F.md5("text").alias("name"), "text")
-        return [(r.name, r.text) for r in own.orderBy("name").collect()]
 
-    return weights, (index(held(part), weights) for part in range(parts))
+def _item_shingles(texts: DataFrame) -> DataFrame:
+    """(name, k, s, c): each item's different shingles, of k words, and how often it has them."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own, names = strings(b.column("text")), b.column("name")
+            for i, j in slices(own):
+                sizes = words(own[i:j]).counts()
+                pairs = [np.unique(x, return_counts=True) for x in _shingles(own[i:j])]
+                n = np.array([len(x) for x, _ in pairs])
+                s, c = (np.concatenate([p[q] for p in pairs]) for q in (0, 1))
+                yield pa.RecordBatch.from_arrays([names[i:j].take(pa.array(np.repeat(np.arange(j - i), n))), pa.array(np.repeat(np.minimum(SHINGLE, sizes), n).astype(np.int32)), pa.array(s.astype(np.uint64).view(np.int64)), pa.array(c.astype(np.int64))], ["name", "k", "s", "c"])
+
+    return texts.select("name", "text").mapInArrow(run, "name string, k int, s long, c long")
+
+
+def _bitmap(held: DataFrame) -> np.ndarray:
+    """Bits that are set at the last places of the shingles s of held, 16 bits for each
+    shingle up to MOST_BITS. Tasks make pieces of it."""
+    bits = min(MOST_BITS, max(1 << 20, 1 << int(16 * held.count()).bit_length()))
+    piece = 1 << 16
+
+    def run(key: tuple, t: pa.Table) -> pa.Table:
+        out = np.zeros(piece, np.uint8)
+        out[t.column("at").to_numpy()] = 1
+        return pa.table({"piece": pa.array([key[0].as_py()], pa.int64()), "raw": pa.array([np.packbits(out).tobytes()], pa.binary())})
+
+    at = held.select(F.col("s").bitwiseAND(F.lit(bits - 1)).alias("place")).distinct().select(F.shiftright("place", 16).alias("piece"), F.col("place").bitwiseAND(F.lit(piece - 1)).cast("int").alias("at"))
+    out = np.zeros(bits // 8, np.uint8)
+    for r in at.groupBy("piece").applyInArrow(run, "piece long, raw binary").toLocalIterator():
+        out[r.piece * piece // 8 : (r.piece + 1) * piece // 8] = np.frombuffer(r.raw, np.uint8)
+    return out
 
-def _text() -> Column:
-    return F.coalesce("text", F.lit(""))
+
+def _hits(docs: DataFrame, lengths: list[int], bitmap) -> DataFrame:
+    """(t, s): the different shingles of each text of docs (t, text) that the bitmap holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = bitmap.value
+        last = np.uint64(8 * len(bits) - 1)
+        for b in batches:
+            texts, t = strings(b.column("text")), b.column("t")
+            for i, j in slices(texts):
+                w = words(texts[i:j], lower=True)
+                h, owner = w.hashes(), w.owner()
+                for k in lengths:
+                    g = runs(h, k)
+                    low = g & last
+                    at = np.flatnonzero(((bits[(low >> np.uint64(3)).astype(np.int64)] >> (np.uint64(7) - (low & np.uint64(7))).astype(np.uint8)) & 1).astype(bool) & whole_runs(w.first, k)) if len(g) else np.zeros(0, np.int64)
+                    pairs = np.unique(np.stack([owner[at].astype(np.uint64), g[at]], axis=1), axis=0) if len(at) else np.zeros((0, 2), np.uint64)
+                    yield pa.RecordBatch.from_arrays([t[i:j].take(pa.array(pairs[:, 0].astype(np.int64))), pa.array(np.ascontiguousarray(pairs[:, 1]).view(np.int64))], ["t", "s"])
+
+    return docs.mapInArrow(run, "t string, s long")
+
+
+def _met(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(t, name, first_word, end_word, bits, similarity): what search finds in the texts of docs
+    (t, text), t being a text's MD5, for a benchmark of any size.
+
+    Shingles bring documents and items together. A window of similarity LEAST shares LEAST
+    of an item's weight, so it shares one of any shingles of the item that weigh more than
+    the rest of it; of each item those are taken that the fewest texts have. Only texts and
+    items that share one of these meet. A text is then searched for its own items, with the
+    weights of the whole benchmark.
+    """
+    sc = docs.sparkSession.sparkContext
+    own = stage(_item_shingles(texts), "shingles")
+    total = own.select("name").distinct().join(texts.select("name", "n"), "name").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    counted = stage(own.join(texts.select("name", "n"), "name").groupBy("s").agg(F.sum("n").alias("n")), "counts")
+    lengths = sorted(r.k for r in own.select("k").distinct().collect())  # SHINGLE at most
+    hits = stage(_hits(docs, lengths, sc.broadcast(_bitmap(counted))).join(counted.select("s"), "s", "left_semi"), "hits")
+    seen = hits.groupBy("s").agg(F.count("*").alias("texts"))
+    heavy = own.join(counted, "s").withColumn("weight", F.col("c") * F.log1p(F.lit(float(total)) / F.col("n"))).join(seen, "s", "left")
+    w = W.partitionBy("name").orderBy(F.coalesce("texts", F.lit(0)), "s")
+    before = F.coalesce(F.sum("weight").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
+    rare = heavy.withColumn("before", before).withColumn("all", F.sum("weight").over(W.partitionBy("name")))
+    rare = rare.where((F.col("before") <= (1 - LEAST) * (1 + 1e-9) * F.col("all")) & F.col("texts").isNotNull()).select("name", "s")
+    pairs = stage(rare.join(hits, "s").select("t", "name").distinct(), "pairs")
+    shared = counted.where("n > 1")
+    common = lambda rows, key: rows.join(shared, "s").groupBy(key).agg(F.collect_set(F.struct("s", "n")).alias("common"))
+    wanted = small(stage(pairs.select("t").distinct(), "wanted"), 64)
+    asked = docs.join(wanted, "t", "left_semi").groupBy("t").agg(F.first("text").alias("text")).join(common(hits.join(wanted, "t", "left_semi"), "t"), "t", "left")
+    items = pairs.join(texts.select("name", "text"), "name").join(common(own, "name"), "name", "left")
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        known = {x["s"]: x["n"] for t in (left, right) for row in t.column("common").to_pylist() for x in row or ()}
+        weights = Weights.of_counts(np.array(list(known), np.int64).view(np.uint64), np.array(list(known.values()), np.int64), total)
+        rows, ix = [], index(list(zip(right.column("name").to_pylist(), right.column("text").to_pylist(), strict=True)), weights)
+        if left.num_rows and len(ix.ids):
+            rows = list(search(ix, weights, strings(left.column("text"))))
+        return pa.table([left.column("t").combine_chunks().take(pa.array([x[0] for x in rows], pa.int64())), *_columns(ix, rows)], ["t", *_NAMES])
+
+    return asked.groupBy("t").cogroup(items.groupBy("t")).applyInArrow(run, f"t string, {_FOUND}")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -274,45 +381,47 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bits, similarity), similarity the weighted Jaccard similarity, at least 0.8, of the
     5-word shingles of the window and the item.
 
-    Words are those between ASCII white space, A-Z in lower case. A part of the benchmark
-    of about PART_BYTES is indexed and sent along with the tasks; documents are read once
-    a part and not shuffled. Weights count the items of the whole benchmark, whatever its
-    parts; those of shingles of more than one item go to all tasks. An item of fewer than
-    5 words is one shingle; items and documents without words (null texts too) match
-    nothing. Repeated rows give repeated matches, and equal items each match: a match names
-    the item's text, and is then joined with the rows that have it.
+    Words are those between ASCII white space, A-Z in lower case. A benchmark of at most
+    PART_BYTES is indexed and sent along with the tasks, which read the documents once and
+    don't shuffle them. A larger one meets the documents by joins on shingles, with the
+    same result; texts are read twice then, whatever its size, and those shuffled that
+    share a rare shingle with an item. Weights count the items of the whole benchmark. An
+    item of fewer than 5 words is one shingle; items and documents without words (null
+    texts too) match nothing. Repeated rows give repeated matches, and equal items each
+    match: a match names the item's text, and is then joined with the rows that have it.
     """
-    out = None
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    weights, parts = _parts(benchmark)
-    weights = docs.sparkSession.sparkContext.broadcast(weights)
-    names = ["doc_id", "name", "first_word", "end_word", "bits", "similarity"]
-    for ix in parts:
-        shared = docs.sparkSession.sparkContext.broadcast(ix)
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    texts, size = _different(benchmark)
+    if size <= PART_BYTES:
+        kind = docs.schema["doc_id"].dataType.simpleString()
+        shared, weights = _sent(texts)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                rows = list(zip(*search(shared.value, weights.value, strings(b.column("text"))), strict=True)) or [()] * 6
-                own = b.column("doc_id").take(pa.array(rows[0], pa.int64()))
-                yield pa.RecordBatch.from_arrays([own, pa.array([shared.value.ids[x] for x in rows[1]], pa.string()), *(pa.array(x, pa.int64()) for x in rows[2:5]), pa.array(rows[5], pa.float64())], names)
+                rows = list(search(shared.value, weights.value, strings(b.column("text"))))
+                own = b.column("doc_id").take(pa.array([x[0] for x in rows], pa.int64()))
+                yield pa.RecordBatch.from_arrays([own, *_columns(shared.value, rows)], ["doc_id", *_NAMES])
 
-        part = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, name string, first_word long, end_word long, bits long, similarity double")
-        out = part if out is None else out.unionByName(part)
-    return out.join(benchmark.select("item_id", F.md5(_text()).alias("name")), "name").select("doc_id", "item_id", *names[2:])
+        out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {_FOUND}")
+    else:
+        named = docs.select("doc_id", _text().alias("text"), F.md5(_text()).alias("t"))
+        found = small(stage(_met(named.select("t", "text"), texts), "found"), 128)
+        out = named.select("doc_id", "t").join(found, "t").drop("t")
+    return out.join(benchmark.select("item_id", F.md5(_text()).alias("name")), "name").select("doc_id", "item_id", *_NAMES[1:])
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs whose text holds no benchmark passage, with their columns."""
-    weights, parts = _parts(benchmark)
-    weights = docs.sparkSession.sparkContext.broadcast(weights)
-    for ix in parts:
-        shared = docs.sparkSession.sparkContext.broadcast(ix)
+    texts, size = _different(benchmark)
+    if size > PART_BYTES:
+        named = docs.withColumn(t := fresh(docs, "t"), F.md5(_text()))
+        found = _met(named.select(F.col(t).alias("t"), _text().alias("text")), texts).select(F.col("t").alias(t)).distinct()
+        return named.join(small(stage(found, "found"), 64), t, "left_anti").select(docs.columns)
+    shared, weights = _sent(texts)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                clean = np.ones(b.num_rows, bool)
-                clean[[x[0] for x in search(shared.value, weights.value, strings(b.column("text")))]] = False
-                yield b.filter(pa.array(clean))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            clean = np.ones(b.num_rows, bool)
+            clean[[x[0] for x in search(shared.value, weights.value, strings(b.column("text")))]] = False
+            yield b.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    return docs.mapInArrow(run, docs.schema)

@@ -272,9 +272,30 @@ def test_decontamination_does_not_depend_on_parts(spark, monkeypatch):
     clean = {x.doc_id for x in decontam.keep_clean(df, benchmark).collect()}
     assert 40 < len({x[0] for x in whole}) < 120 and len(clean) == 120 - len({x[0] for x in whole})
     assert Counter(x[1] for x in whole if x[0] == 3) == {3: 4, 50: 1, None: 1}
-    monkeypatch.setattr(decontam, "PART_BYTES", 2000)
-    assert sorted(map(tuple, decontam.matches(df, benchmark).collect()), key=repr) == whole
-    assert {x.doc_id for x in decontam.keep_clean(df, benchmark).collect()} == clean
+    near = lambda rows: [(*x[:5], round(x[5], 9)) for x in rows]
+    for part, bits in ((2000, decontam.MOST_BITS), (0, 1 << 20), (0, 1 << 16)):  # the smallest map is full of other shingles
+        monkeypatch.setattr(decontam, "PART_BYTES", part)
+        monkeypatch.setattr(decontam, "MOST_BITS", bits)
+        assert near(sorted(map(tuple, decontam.matches(df.union(df.where("doc_id = 3")), benchmark).collect()), key=repr)) == near(sorted([*whole, *[x for x in whole if x[0] == 3]], key=repr))
+        clash = df.withColumn("t", F.lit(1)).withColumn("name", F.lit("x"))
+        kept = decontam.keep_clean(clash, benchmark)
+        assert {x.doc_id for x in kept.collect()} == clean and kept.columns == clash.columns
+    assert decontam.matches(df.limit(0), benchmark).count() == 0 and decontam.keep_clean(df, benchmark.where("item_id = 51")).count() == 120
+
+
+def test_decontamination_reads_texts_twice_at_most(spark, monkeypatch, tmp_path):
+    spark.createDataFrame([(i, prose(60, i)) for i in range(40)], "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    benchmark = spark.createDataFrame([(i, prose(30, i)) for i in range(200)], "item_id long, text string")
+    plans, staged = [], decontam.stage
+    note = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(decontam, "stage", lambda df, name: (note(df), staged(df, name))[1])
+    for part, most in ((1 << 20, 1), (2000, 2)):
+        plans.clear()
+        monkeypatch.setattr(decontam, "PART_BYTES", part)
+        note(decontam.keep_clean(docs, benchmark))
+        scans = [x for p in plans for x in re.findall(r"FileScan parquet \[([^\]]*)\][^\n]*/d\]", p) if "text#" in x]
+        assert len(scans) <= most + 1  # and that which decides what stays
 
 
 def test_blocks_guarantee_all_within_the_radius(monkeypatch):
