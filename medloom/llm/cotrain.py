@@ -21,12 +21,15 @@ BUCKETS, FIELD = 1_024, 32
 #: Rows whose views a task holds at once.
 PART = 1_024
 ROUNDS = 3
-_SIGN = np.zeros(256, bool)
-_SIGN[list(b"#*$%&|<>!{}~^=_\\")] = True
-_UPPER = np.zeros(256, bool)
-_UPPER[65:91] = True
-_ALPHA = _UPPER.copy()
-_ALPHA[97:123] = True
+#: What a byte is: a bit for each class.
+_IS = np.zeros(256, np.uint8)
+SIGN, UPPER, OTHER, SPACE, DOT, HIGH = (1 << i for i in range(6))
+_IS[list(b"#*$%&|<>!{}~^=_\\")] |= SIGN
+_IS[65:91] |= UPPER
+_IS[[i for i in range(256) if not (65 <= i < 91 or 97 <= i < 123)]] |= OTHER
+_IS[_SPACE] |= SPACE
+_IS[ord(".")] |= DOT
+_IS[0x80:] |= HIGH
 DENSE = 12
 
 
@@ -42,21 +45,25 @@ def content(texts: pa.Array) -> np.ndarray:
         w = words(texts[i:j])
         n, owner, h = len(w.first) - 1, w.owner(), w.hashes()
         count = w.counts().astype(float)
-        bag = np.sqrt(np.bincount(owner * BUCKETS + (h >> np.uint64(54)).astype(np.int64), minlength=n * BUCKETS).reshape(n, BUCKETS))
-        bag /= np.maximum(1e-9, np.sqrt((bag**2).sum(axis=1, keepdims=True)))
+        bag = np.bincount(owner * BUCKETS + (h >> np.uint64(54)).astype(np.int64), minlength=n * BUCKETS).reshape(n, BUCKETS).astype(np.float32)
+        np.sqrt(bag, out=bag)
+        bag /= np.maximum(1e-9, np.sqrt(count))[:, None]  # squares of the roots add up to the words
         size = (w.end - w.start).astype(float)
+        what = _IS[w.data]
+        length = np.diff(w.text).astype(float)
         per_word = lambda v, owner=owner, n=n: np.bincount(owner, v, minlength=n)
-        per_byte = lambda mask, w=w: np.diff(np.append(0, np.cumsum(mask))[w.text]).astype(float)
-        data = w.data
-        solid = per_byte(~_SPACE[data])
+        per_byte = lambda c, w=w, what=what: np.diff(np.searchsorted(np.flatnonzero(what & c), w.text)).astype(float)
+        solid, alpha, signs = length - per_byte(SPACE), length - per_byte(OTHER), per_byte(SIGN)
+        ends, begins = (what[w.end - 1] & SIGN > 0, what[w.start] & SIGN > 0) if len(h) else (size > 0, size > 0)
         same = np.zeros(len(h), bool)
         same[1:] = (h[1:] == h[:-1]) & (owner[1:] == owner[:-1])
-        once = np.unique(mix(h ^ mix(owner.astype(np.uint64))), return_index=True)[1]
-        distinct = np.bincount(owner[once], minlength=n)
+        own = np.sort(owner.astype(np.uint64) << np.uint64(40) | mix(h) >> np.uint64(24))  # different words of a text differ in 40 bits
+        first = np.ones(len(own), bool)
+        first[1:] = own[1:] != own[:-1]
+        distinct = np.bincount((own[first] >> np.uint64(40)).astype(np.int64), minlength=n)
         dense = [
-            _rates(per_byte(_SIGN[data]), solid), _rates(per_byte(_UPPER[data]), per_byte(_ALPHA[data])), _rates(per_word(_SIGN[data[w.end - 1]] if len(h) else size), count),
-            _rates(per_word(same), count), _rates(distinct, count), np.minimum(1, _rates(per_word(size), count) / 20), _rates(per_word(size <= 3), count),
-            _rates(per_word((size == 1) & _SIGN[data[w.start]] if len(h) else size), count), _rates(per_word(size > 20), count), _rates(per_byte(data == ord(".")), count), _rates(per_byte(data >= 0x80), solid), (count == 0).astype(float),
+            _rates(signs, solid), _rates(per_byte(UPPER), alpha), _rates(per_word(ends), count), _rates(per_word(same), count), _rates(distinct, count), np.minimum(1, _rates(per_word(size), count) / 20),
+            _rates(per_word(size <= 3), count), _rates(per_word((size == 1) & begins), count), _rates(per_word(size > 20), count), _rates(per_byte(DOT), count), _rates(per_byte(HIGH), solid), (count == 0).astype(float),
         ]
         out.append(np.hstack([bag, 4 * np.stack(dense, axis=1)]).astype(np.float32))
     return np.concatenate(out) if out else np.zeros((0, BUCKETS + DENSE), np.float32)
@@ -252,7 +259,7 @@ def surest(docs: DataFrame, model: Model, n: int, share: float) -> list[Rows]:
             m = model.margins(x, z).astype(float).round(4)  # sums differ in their last digits from batch to batch
             rank = b.column("rank").to_numpy(zero_copy_only=False)
             for (v, _), own in best.items():
-                own.add(m[:, v], rank, x.astype(np.float16), z.astype(bool))
+                own.add(m[:, v], rank, x, z)
         for (v, y), own in best.items():
             if own.rows:
                 margin, rank, x, z = own.rows
