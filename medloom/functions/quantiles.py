@@ -12,6 +12,8 @@ from pyspark.sql.window import Window as W
 #: Accuracy of the sketch that brackets a quantile: between its bounds lie about 8/ACCURACY of
 #: the values; of fewer than ACCURACY values, all.
 ACCURACY = 10_000
+#: Equal parts of a bracket. Only values of the part in which a quantile lies are put in order.
+CELLS = 1_024
 
 
 def exact(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
@@ -20,8 +22,10 @@ def exact(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str]
     are null if there is no value.
 
     A sketch, which merges from all tasks, brackets each quantile. A second pass counts the
-    values below each bracket, and by value those within, about 8/ACCURACY of all; only
-    these are put in order. Groups are joined by their keys, null being one of them.
+    values below each bracket, and by value those within, about 8/ACCURACY of all. Each
+    bracket is parted in CELLS by value; running sums over these find the one or two that
+    hold the quantile, and only their values are put in order. Groups are joined by their
+    keys, null being one of them.
     """
     v = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
     spread = 4 / ACCURACY
@@ -44,14 +48,22 @@ def exact(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str]
     lo, hi = (lambda i: near("_lo", i, -1)), (lambda i: near("_hi", i, 1))
     # 2i: below bracket i; 2i + 1: within it
     where = F.concat(*[F.when(F.col("_v") < lo(i), F.array(F.lit(2 * i))).when(F.col("_v") <= hi(i), F.array(F.lit(2 * i + 1))).otherwise(F.array().cast("array<int>")) for i in range(len(probs))])
-    marked = with_bounds.select(*keys, "_n", "_v", F.explode(where).alias("_at"))
-    counted = marked.groupBy(*keys, "_n", "_at", F.when(F.col("_at") % 2 == 1, F.col("_v")).alias("_v")).agg(F.count("*").alias("_c"))
-    counted = counted.withColumn("_i", F.floor(F.col("_at") / 2).cast("int"))
-    order = W.partitionBy(*keys, "_i").orderBy("_at", "_v").rowsBetween(W.unboundedPreceding, 0)
-    upto = counted.withColumn("_upto", F.sum("_c").over(order)).where("_at % 2 = 1")
+    cell = lambda i: F.coalesce(F.floor(F.try_divide((F.col("_v") - lo(i)) * CELLS, hi(i) - lo(i))), F.lit(0))
+    inside = F.least(F.lit(CELLS - 1), F.element_at(F.array(*[cell(i) for i in range(len(probs))]), F.floor(F.col("_at") / 2).cast("int") + 1))
+    marked = with_bounds.select("*", F.explode(where).alias("_at"))
+    marked = marked.select(*keys, "_n", F.floor(F.col("_at") / 2).cast("int").alias("_i"), F.when(F.col("_at") % 2 == 0, -1).otherwise(inside).cast("int").alias("_cell"), F.when(F.col("_at") % 2 == 1, F.col("_v")).alias("_v"))
+    counted = marked.groupBy(*keys, "_n", "_i", "_cell", "_v").agg(F.count("*").alias("_c"))
     rank = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i") + 1) * (F.col("_n") - 1)
-    upto = upto.withColumn("_rank", rank)
-    nth = lambda r: F.min(F.when(F.col("_upto") > r, F.col("_v")))
+    cells = counted.groupBy(*keys, "_n", "_i", "_cell").agg(F.sum("_c").alias("_c"))
+    before = F.coalesce(F.sum("_c").over(W.partitionBy(*keys, "_i").orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # CELLS + 1 rows
+    holds = cells.withColumn("_before", before).withColumn("_rank", rank)
+    spans = lambda r: (F.col("_before") <= r) & (F.col("_before") + F.col("_c") > r)
+    holds = holds.where((F.col("_cell") >= 0) & (spans(F.floor("_rank")) | spans(F.ceil("_rank")))).select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_i").alias("_j"), F.col("_cell").alias("_held"), "_before", "_rank")
+    same = [counted[k].eqNullSafe(holds[f"_{k}"]) for k in keys] + [counted["_i"] == holds["_j"], counted["_cell"] == holds["_held"]]
+    order = W.partitionBy(*keys, "_i", "_cell").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
+    upto = counted.join(holds, reduce(lambda a, b: a & b, same)).withColumn("_upto", F.col("_before") + F.sum("_c").over(order))
+    # a rank may fall on the first value of a cell, or on the last one's successor in the next
+    nth = lambda r: F.min(F.when((F.col("_upto") > r) & (F.col("_before") <= r), F.col("_v")))
     pair = upto.groupBy(*keys, "_i").agg(nth(F.floor("_rank")).alias("_a"), nth(F.ceil("_rank")).alias("_b"), F.first("_rank").alias("_rank"))
     q = F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_rank") - F.floor("_rank"))
     listed = F.transform(F.array_sort(F.collect_list(F.struct("_i", q.alias("q")))), lambda x: x["q"]).alias("q")

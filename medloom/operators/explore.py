@@ -77,10 +77,17 @@ def histogram(df: DataFrame, value: str, bins: int = 20, low: float = 0.05, high
     v = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
     edge = exact(v, "v", (low, high)).select(pick(0).alias("lo"), pick(1).alias("hi")).withColumn("w", (F.col("hi") - F.col("lo")) / bins)
     put = F.greatest(F.lit(0), F.least(F.lit(bins - 1), F.coalesce(F.floor(F.try_divide(F.col("v") - F.col("lo"), F.col("w"))), F.lit(0)))).cast("int")
-    counts = v.crossJoin(F.broadcast(edge)).groupBy(put.alias("bin")).agg(F.count("*").alias("n"))  # one row of edges
-    spine = edge.select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "lo", "w")
-    out = spine.join(counts, "bin", "left")
-    return out.select("bin", (F.col("lo") + F.col("bin") * F.col("w")).alias("bin_start"), (F.col("lo") + (F.col("bin") + 1) * F.col("w")).alias("bin_end"), F.coalesce("n", F.lit(0)).alias("n"))
+    counts = v.crossJoin(F.broadcast(edge)).groupBy("lo", "w", put.alias("bin")).agg(F.count("*").alias("n"))  # one row of edges
+    return listed_bins(counts, [], bins)
+
+
+def listed_bins(counts: DataFrame, keys: Sequence[str], bins: int) -> DataFrame:
+    """(keys, bin, bin_start, bin_end, n) of counts (keys, lo, w, bin, n): all bins of each group."""
+    one = F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("found")  # ``bins`` entries at most
+    all_of = (counts.groupBy(*keys) if keys else counts.groupBy()).agg(F.first("lo").alias("lo"), F.first("w").alias("w"), one)
+    out = all_of.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    start = lambda i: F.col("lo") + (F.col("bin") + i) * F.col("w")
+    return out.select(*keys, "bin", start(0).alias("bin_start"), start(1).alias("bin_end"), F.coalesce(F.try_element_at("found", F.col("bin")), F.lit(0)).alias("n"))
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float] = (0.05, 0.25, 0.5, 0.75, 0.95), digits: int = 2) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions.quantiles import exact, pick
+from .explore import listed_bins
 
 Z = 1.959963984540054
 
@@ -165,10 +166,8 @@ def site_histograms(rows: DataFrame, site: str, value: str, bins: int = 20, low:
     own = exact(v, "v", (low, high), ["site"]).select("site", pick(0).alias("lo"), pick(1).alias("hi"))
     edge = own.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).select("lo", ((F.col("hi") - F.col("lo")) / bins).alias("w"))
     put = F.greatest(F.lit(0), F.least(F.lit(bins - 1), F.coalesce(F.floor(F.try_divide(F.col("v") - F.col("lo"), F.col("w"))), F.lit(0)))).cast("int")
-    found = v.crossJoin(F.broadcast(edge)).groupBy("site", put.alias("bin")).agg(F.count("*").alias("n"))  # one row of edges
-    spine = own.select("site", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")).crossJoin(F.broadcast(edge))
-    start = F.col("lo") + F.col("bin") * F.col("w")
-    return spine.join(found, ["site", "bin"], "left").select("site", "bin", start.alias("bin_start"), (start + F.col("w")).alias("bin_end"), F.coalesce("n", F.lit(0)).alias("n"))
+    found = v.crossJoin(F.broadcast(edge)).groupBy("site", "lo", "w", put.alias("bin")).agg(F.count("*").alias("n"))  # one row of edges
+    return listed_bins(found, ["site"], bins)
 
 
 def released_mean(rows: DataFrame, lower: float, upper: float, grid: int = 1000, site: str = SITE) -> DataFrame:

@@ -221,3 +221,26 @@ def test_policies_that_sites_agree_on(spark):
     assert [tuple(r) for r in policy.common_grid(grids, 2).orderBy("age_from").collect()] == [(0, 20), (20, None)]
     with pytest.raises(Exception, match="begin at 0"):
         policy.common_grid(grids.where("age_from > 0"), 2).collect()
+
+
+def test_quantiles_put_few_values_in_order(spark):
+    """Ten million different values: what a window task gets stays small."""
+    n, probs = 10_000_000, (0.05, 0.5, 0.95)
+    df = spark.range(n).select((F.col("id") * 7_654_321 % n).cast("double").alias("v"))  # every number below n, once
+    assert quantiles.exact(df, "v", probs).first().q == pytest.approx([p * (n - 1) for p in probs])
+    within = 8 / quantiles.ACCURACY * 10_000_000
+    assert 2 * within / quantiles.CELLS < 100_000 and within < 100_000
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 50, 30_000])
+def test_quantiles_of_ties_and_cells(spark, n, monkeypatch):
+    monkeypatch.setattr(quantiles, "ACCURACY", 100)
+    monkeypatch.setattr(quantiles, "CELLS", 4)
+    rng = np.random.default_rng(n)
+    v = rng.choice([0.0, 1.5, 1.5, -3.0, *rng.normal(0, 9, 20).tolist()], n) if n % 2 else rng.normal(0, 1, n)
+    df = spark.createDataFrame([("a" if i % 3 else None, float(x)) for i, x in enumerate(v)], "k string, v double")
+    probs = (0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0)
+    assert quantiles.exact(df, "v", probs).first().q == pytest.approx(np.quantile(v, probs).tolist())
+    for r in quantiles.exact(df, "v", probs, ["k"]).collect():
+        own = [x for i, x in enumerate(v) if (i % 3 == 0) == (r.k is None)]
+        assert r.q == pytest.approx(np.quantile(own, probs).tolist())
