@@ -22,11 +22,18 @@ def _delete(spark: SparkSession, path: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def clear(spark: SparkSession) -> None:
-    """Delete the tables that stage has written in this session. Results of operators read
-    them, so write those first."""
-    while _written:
-        _delete(spark, _written.popitem()[0])
+def written() -> frozenset[str]:
+    """The tables that stage has written in this session and that are still there."""
+    return frozenset(_written)
+
+
+def clear(spark: SparkSession, before: frozenset[str] = frozenset(), *keep: DataFrame) -> None:
+    """Delete the tables that stage has written in this session, but those that ``written`` gave
+    as before, and those to keep. Results of operators read them, so write those first."""
+    for path, df in list(_written.items()):
+        if path not in before and not any(df is k for k in keep):
+            del _written[path]
+            _delete(spark, path)
 
 
 def dropped(table: DataFrame) -> None:

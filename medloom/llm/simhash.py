@@ -15,6 +15,8 @@ from .shared import fresh, row_hash, small, stage
 from .words import mix, slices, strings
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
+#: Shingles whose hashes are held at once.
+HASHES = 1 << 18
 #: Blocks of a fingerprint's bits in two groups. Two blocks of a group make a part, and each of
 #: the six parts has a tree of its own that shards the fingerprints.
 GROUPS = ((11, 11, 10), (11, 11, 10))
@@ -28,29 +30,45 @@ LEAF, BLOCK = 256, 1 << 21
 TILE = 60_000
 
 
+def _ones(hashes: list[int], starts: np.ndarray) -> np.ndarray:
+    """How many of the hashes from each start to the next have each bit set."""
+    bits = np.unpackbits(np.array(hashes, np.uint64).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return np.add.reduceat(bits, starts, axis=0, dtype=np.int64)
+
+
 def _fingerprints(texts: pa.Array, shingle: int, seed: int) -> np.ndarray:
-    """Bit i of a text's fingerprint is 1 if set in over half of its shingles' hashes."""
-    out = np.zeros(len(texts), np.uint64)
+    """Bit i of a text's fingerprint is 1 if set in over half of its shingles' hashes. The
+    hashes of at most some HASHES shingles are held at once."""
+    sizes, ones = np.zeros(len(texts), np.int64), np.zeros((len(texts), 64), np.int64)
     digest, weights = xxhash.xxh64_intdigest, np.uint64(1) << np.arange(64, dtype=np.uint64)
     for begin, end in slices(texts):
-        hashes, sizes = [], []
-        for text in texts[begin:end].to_pylist():
+        hashes, starts, of = [], [], []
+
+        def count(hashes=hashes, starts=starts, of=of) -> None:
+            if of:
+                np.add.at(ones, of, _ones(hashes, np.array(starts)))
+            for held in (hashes, starts, of):
+                held.clear()
+
+        for i, text in enumerate(texts[begin:end].to_pylist(), begin):
             words = text.encode().lower().split()  # bytes: only A-Z change, only ASCII white space splits
-            line, n = b" ".join(words), len(words)
-            if n > shingle:
-                stops = np.cumsum([len(w) + 1 for w in words]) - 1
-                starts = [0, *(stops[: n - shingle] + 1).tolist()]
-                hashes += [digest(line[a:b], seed) for a, b in zip(starts, stops[shingle - 1 :].tolist(), strict=True)]
-            elif n:
-                hashes.append(digest(line, seed))
-            sizes.append(max(0, n - shingle) + 1 if n else 0)
-        sizes = np.array(sizes)
-        some = np.flatnonzero(sizes)
-        if len(some):
-            bits = np.unpackbits(np.array(hashes, np.uint64).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            ones = np.add.reduceat(bits, (np.cumsum(sizes) - sizes)[some], axis=0, dtype=np.int32)
-            out[begin + some] = ((2 * ones > sizes[some][:, None]) * weights).sum(axis=1, dtype=np.uint64)
-    return out
+            n, sizes[i] = len(words), max(1, len(words) - shingle + 1) if words else 0
+            if not n:
+                continue
+            line = b" ".join(words)
+            stops = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
+            del words
+            for at in range(0, int(sizes[i]), HASHES):
+                m = min(HASHES, int(sizes[i]) - at)
+                starts.append(len(hashes))
+                of.append(i)
+                a = [0, *(stops[: m - 1] + 1).tolist()] if not at else (stops[at - 1 : at - 1 + m] + 1).tolist()
+                b = stops[at + min(shingle, n) - 1 :][:m].tolist()
+                hashes += [digest(line[x:y], seed) for x, y in zip(a, b, strict=True)]
+                if len(hashes) >= HASHES:
+                    count()
+        count()
+    return ((2 * ones > sizes[:, None]) * weights).sum(axis=1, dtype=np.uint64)
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, *also: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import stage
-from .words import _table, mix, slices, strings, words
+from .words import mix, running, slices, strings, words
 
 #: Labelled rows fitted at most (those with the lowest hash of doc_id).
 TRAIN_ROWS = 20_000
@@ -33,16 +33,19 @@ def _terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         long = end - start > 1
         end -= _EDGE[w.data[end - 1]] & long
         start += _EDGE[w.data[start]] & (end - start > 1)
-    up, down = _table(len(w.data) + 1)
-    sums = np.zeros(len(w.data) + 1, np.uint64)
-    np.cumsum((w.data.astype(np.uint64) + np.uint64(1)) * up[: len(w.data)], out=sums[1:])
-    owner = w.owner()
-    found = [(owner, mix((sums[end] - sums[start]) * down[start]))]
-    for n in STEMS:
-        has = np.flatnonzero(end - start >= n)
-        s = start[has]
-        found.append((owner[has], mix((sums[s + n] - sums[s]) * down[s] + np.uint64(n))))
-    return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found]) >> np.uint64(64 - BITS)
+    whose, owners, buckets = w.owner(), [], []
+    for i, j in w.blocks():
+        base = w.start[i]
+        sums, down = running(w.data[base : w.end[j - 1]])
+        s, e, owner = start[i:j] - base, end[i:j] - base, whose[i:j]
+        found = [(owner, mix((sums[e] - sums[s]) * down[s]))]
+        for n in STEMS:
+            has = np.flatnonzero(e - s >= n)
+            a = s[has]
+            found.append((owner[has], mix((sums[a + n] - sums[a]) * down[a] + np.uint64(n))))
+        owners += [x for x, _ in found]
+        buckets += [(x >> np.uint64(64 - BITS)).astype(np.int32) for _, x in found]
+    return (np.concatenate(owners), np.concatenate(buckets)) if owners else (np.zeros(0, np.int64), np.zeros(0, np.int32))
 
 
 @dataclass

@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
+#: Bytes whose words are hashed at once.
+BLOCK_BYTES = 1 << 21
 WORD = r"[^\x20\x09-\x0D]+"
 
 _SPACE = np.zeros(256, bool)
@@ -57,12 +59,32 @@ class Words:
         """Number of the text of each word."""
         return np.repeat(np.arange(len(self.first) - 1), self.counts())
 
+    def blocks(self, most: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+        """Ranges of words that stand in about ``most`` bytes; a longer word is alone."""
+        at = 0
+        while at < len(self.start):
+            stop = max(at + 1, int(np.searchsorted(self.end, self.start[at] + most, "right")))
+            yield at, stop
+            at = stop
+
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word's bytes."""
-        up, down = _table(len(self.data) + 1)
-        sums = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[: len(self.data)], out=sums[1:])
-        return mix((sums[self.end] - sums[self.start]) * down[self.start])
+        out = np.empty(len(self.start), np.uint64)
+        for i, j in self.blocks():
+            base = self.start[i]
+            sums, down = running(self.data[base : self.end[j - 1]])
+            start, end = self.start[i:j] - base, self.end[i:j] - base
+            out[i:j] = mix((sums[end] - sums[start]) * down[start])
+        return out
+
+
+def running(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of bytes times powers of a base, and the inverse powers: what lies between
+    two places, times the inverse power of the first, doesn't depend on where it stands."""
+    up, down = _table(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    return sums, down
 
 
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
