@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medloom.llm import cotrain, decontam, mixing, pii, simhash
-from medloom.llm.shared import stage
+from medloom.llm.shared import clear, stage, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, step in STAGES[:-1]:
+    """The last stage's table. What stages leave on the way is deleted once the next is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), written()
+    for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), name)
-    return stage(STAGES[-1][1](spark, docs, sf_dir), STAGES[-1][0])
+        clear(spark, before, docs)
+    return docs
