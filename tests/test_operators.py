@@ -244,3 +244,13 @@ def test_quantiles_of_ties_and_cells(spark, n, monkeypatch):
     for r in quantiles.exact(df, "v", probs, ["k"]).collect():
         own = [x for i, x in enumerate(v) if (i % 3 == 0) == (r.k is None)]
         assert r.q == pytest.approx(np.quantile(own, probs).tolist())
+
+
+def test_read_over_jdbc(spark, tmp_path):
+    url = f"jdbc:derby:memory:{tmp_path.name};create=true"
+    driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    rows = [(1, "a", D(2024, 1, 1)), (2, None, None)]
+    spark.createDataFrame(rows, "id int, name string, d date").write.format("jdbc").options(url=url, dbtable="person", driver=driver).save()
+    got = read(spark, "person", "jdbc", ["id", "d"], url=url, driver=driver)
+    assert sorted(tuple(r) for r in got.collect()) == [(1, D(2024, 1, 1)), (2, None)] and got.columns == ["id", "d"]
+    assert read(spark, '(select "id" from person where "id" > 1) x', "jdbc", url=url, driver=driver).count() == 1
