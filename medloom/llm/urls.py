@@ -67,9 +67,11 @@ def _literals(pattern: Column) -> Column:
 
 
 def rules_table(spark: SparkSession, host_rules: Sequence[tuple[str, str]] = (), patterns: Sequence[tuple[str, str]] = ()) -> DataFrame:
-    """(rule, verdict, is_host) of two lists."""
+    """(rule, verdict, is_host) of two lists, as literals of the plan."""
     rows = [(r, v, True) for r, v in host_rules] + [(r, v, False) for r, v in patterns]
-    return spark.createDataFrame(rows, "rule string, verdict string, is_host boolean")
+    names, kind = ("rule", "verdict", "is_host"), "array<struct<rule:string,verdict:string,is_host:boolean>>"
+    listed = F.array(*[F.struct(*[F.lit(x).alias(n) for x, n in zip(row, names, strict=True)]) for row in rows]).cast(kind)
+    return spark.range(1).select(F.explode(listed).alias("r")).select("r.*")
 
 
 def index(rules: DataFrame, urls: DataFrame) -> DataFrame:

@@ -91,6 +91,13 @@ def test_periodic_query_equals_brute_force(spark):
     assert registry.queries()["op11_periodic"](spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()
 
 
+def test_loops_of_documents_without_words(spark):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0][:4]
+    rows = list(zip(ids, [None, "", " \n", "one"], strict=True))
+    got = sorted(map(tuple, columns(periodic.digests(periodic.find(periodic.with_loops(spark.createDataFrame(rows, "doc_id long, text string"))))).collect()))
+    assert got == [plain_row(*r) for r in rows]
+
+
 def test_periodic_odd_rows(spark):
     texts = [None, "", " \n\t ", "a", "a " * 5, "a " * 6, "a b " * 4, "a b c a b c a b c a b", "é\U0001f600 " * 9, "x y " * 30_000, "a a a a a a b b b b b b"]
     rows = [(i, t, "s", 1) for i, t in enumerate(texts)] + [(4, "a " * 5, "s", 1), (None, "q " * 7, "s", 1), (10**15, "w " * 40, None, None)]
