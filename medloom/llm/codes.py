@@ -18,8 +18,9 @@ from .shared import dropped, small, stage
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1_024
 #: Vectors whose distances to all entries a task holds at once.
 BLOCK = 2_048
-#: Components up to this size have exact distances as doubles and as longs.
-EXACT_DOUBLE, EXACT_LONG = 1 << 21, 1 << 28
+#: Whole-number components must be below the first, and a part not wider than the second, so
+#: that squared distances fit a long.
+LARGEST, WIDEST = 1 << 25, 1 << 11
 
 
 @dataclass
@@ -32,7 +33,7 @@ class Books:
 def squared(x: np.ndarray, entries: np.ndarray) -> np.ndarray:
     """Exact squared distances of rows to entries, both whole numbers."""
     most = max(np.abs(x).max(initial=0), np.abs(entries).max(initial=0))
-    kind = np.float64 if most <= EXACT_DOUBLE else np.int64
+    kind = np.float64 if 4 * x.shape[1] * int(most) ** 2 < 1 << 53 else np.int64  # doubles are exact up to there
     a, b = x.astype(kind), entries.astype(kind)
     return ((a * a).sum(axis=1)[:, None] - 2 * (a @ b.T) + (b * b).sum(axis=1)[None, :]).astype(np.int64)
 
@@ -88,11 +89,11 @@ def _lists(m: np.ndarray, kind: pa.DataType) -> pa.Array:
 def whole(embeddings: DataFrame) -> DataFrame:
     """(vec_id, label, x): the rows with a vector of finite components, each component as the
     integer below SCALE times it. Vectors of another length than most, or whose length PARTS
-    doesn't divide, and components beyond EXACT_LONG / SCALE are errors."""
+    doesn't divide, and components from LARGEST / SCALE on are errors."""
     v = F.col("embedding")
     ok = v.isNotNull() & F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    fits = F.forall(v, lambda c: F.abs(c) < EXACT_LONG // SCALE)
-    ints = F.when(fits, F.transform(v, lambda c: F.floor(c.cast("double") * SCALE).cast("int"))).otherwise(F.raise_error(F.lit(f"a component is not below {EXACT_LONG // SCALE}")).cast("array<int>"))
+    fits = F.forall(v, lambda c: F.abs(c) < LARGEST // SCALE)
+    ints = F.when(fits, F.transform(v, lambda c: F.floor(c.cast("double") * SCALE).cast("int"))).otherwise(F.raise_error(F.lit(f"a component is not below {LARGEST // SCALE}")).cast("array<int>"))
     return embeddings.where(F.coalesce(ok, F.lit(False))).select("vec_id", "label", ints.alias("x"))
 
 
@@ -152,8 +153,8 @@ def trained(embeddings: DataFrame, entries: int = ENTRIES, rounds: int = ROUNDS)
     first = stage(whole(embeddings), "vectors")
     start = first.orderBy(F.col("vec_id").asc_nulls_last(), "x").limit(entries).select("x").collect()
     width = len(start[0].x) if start else 0
-    if width % PARTS or not first.where(F.size("x") != width).isEmpty():
-        raise ValueError(f"vectors must have one length that {PARTS} divides")
+    if width % PARTS or width // PARTS > WIDEST or not first.where(F.size("x") != width).isEmpty():
+        raise ValueError(f"vectors must have one length that {PARTS} divides, up to {PARTS * WIDEST}")
     book = np.array([r.x for r in start], np.int64).reshape(len(start), PARTS, width // PARTS).transpose(1, 0, 2)
     books, now = Books(book, np.zeros(book.shape[:2])), first
     for turn in range(rounds + 1):

@@ -221,7 +221,7 @@ def test_codes_odd_rows(spark):
 
 def test_codes_of_large_components(spark):
     rng = np.random.default_rng(1)
-    rows = [(i, [float(c) for c in rng.integers(-200_000, 200_000, 4)], 0) for i in range(60)]
+    rows = [(i, [float(c) for c in rng.integers(-32_767, 32_768, 16)], 0) for i in range(60)]  # beyond exact doubles
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     got = codes.trained(df, 5, 3)[0].collect()
     assert sorted((r.vec_id, r.code, r.error) for r in got) == sorted(plain_codes(rows, 5, 3)[0])
