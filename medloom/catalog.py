@@ -429,4 +429,4 @@ def staged_round_trip(spark, d):
     return read_staged(spark, write_staged({"person": view(spark, d, "person")}, f"{shared_root(spark)}/medloom/staged"))["person"]
 
 
-from . import catalog_analyses, catalog_families  # noqa: E402, F401  (they build on the queries above)
+from . import catalog_analyses, catalog_characterise, catalog_families  # noqa: E402, F401  (they build on the queries above)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from medloom.operators import diagnostics, eras, pathways, performance, pooling
+from medloom.operators import characterise, diagnostics, eras, pathways, performance, pooling
 
 D = datetime.date
 START = D(2024, 1, 1)
@@ -135,3 +135,43 @@ def test_challenges(spark):
     got = {(r.subject_id, r.trial): (r.dechallenge, r.rechallenge) for r in eras.challenges(e, o).collect()}
     assert got == {(1, 1): (1, 1), (1, 2): (1, None), (2, 1): (0, None)}
     assert tuple(eras.challenge_counts(eras.challenges(e, o)).first()) == ("d", "r", 3, 2, 2, 1, 1, 1)
+
+
+def test_person_time_without_days_after_an_outcome(spark):
+    spans = [(1, D(2020, 12, 30), D(2021, 1, 5)), (1, D(2021, 1, 3), D(2021, 1, 20)), (2, D(2021, 2, 1), D(2021, 2, 10)), (3, D(2021, 3, 5), D(2021, 3, 1)), (4, D(2021, 4, 1), D(2021, 4, 3))]
+    risk = spark.createDataFrame([(*s, "x") for s in spans], "subject_id long, cohort_start_date date, cohort_end_date date, year string")
+    found = [(1, D(2020, 12, 31)), (1, D(2020, 12, 31)), (1, D(2021, 1, 8)), (1, D(2021, 1, 16)), (2, D(2021, 1, 30)), (2, D(2021, 2, 4)), (4, D(2021, 3, 31)), (4, None), (9, D(2021, 1, 1))]
+    o = spark.createDataFrame([(*r, 1) for r in found], "person_id long, when date, d int")
+    rows = lambda clean: sorted(map(tuple, characterise.person_time(risk, o, "when", clean).collect()))
+    assert rows(0) == [(1, 2020, 2, 1), (1, 2021, 20, 2), (2, 2021, 10, 1), (4, 2021, 3, 0)]
+    # 8 days after each: of person 1 1 to 8 January and 9 to 20 go (8 and 16 January are no new cases), of person 2 1 to 10 February, of person 4 all
+    assert rows(8) == [(1, 2020, 2, 1)]
+    assert rows(7) == [(1, 2020, 2, 1), (1, 2021, 20 - 7 - 7 - 4, 2)]
+    assert characterise.person_time(risk.limit(0), o, "when", 7).count() == 0 and sorted(map(tuple, characterise.person_time(risk, o.limit(0), "when", 7).collect())) == [(1, 2020, 2, 0), (1, 2021, 20, 0), (2, 2021, 10, 0), (4, 2021, 3, 0)]
+
+
+def test_strata_tell_a_null_sex_from_all(spark):
+    risk = spark.createDataFrame([(1, D(2020, 1, 1), D(2020, 1, 10)), (2, D(2020, 1, 1), D(2020, 1, 10))], "subject_id long, cohort_start_date date, cohort_end_date date")
+    person = spark.createDataFrame([(1, None, 1990), (2, 8532, None), (2, 8532, None)], "person_id long, gender_concept_id int, year_of_birth int")
+    o = spark.createDataFrame([(1, D(2020, 1, 2))], "person_id long, d date")
+    rows = {(r.strata, r.gender_concept_id, r.age_from, r.year): (r.persons_at_risk, r.person_days, r.outcomes, r.person_outcomes) for r in characterise.incidence_strata(risk, o, "d", person).collect()}
+    assert rows[7, None, None, None] == (2, 20, 1, 1) and rows[3, None, None, None] == (1, 10, 1, 1) and rows[3, 8532, None, None] == (1, 10, 0, 0)
+    assert rows[0, None, 30, 2020] == (1, 10, 1, 1) and rows[5, None, None, None] == (1, 10, 0, 0) and len(rows) == 14
+
+
+def test_outcomes_beside_exposure(spark):
+    eras_ = spark.createDataFrame([(1, D(2020, 1, 10), D(2020, 1, 20)), (1, D(2020, 3, 1), D(2020, 3, 1)), (2, D(2020, 1, 1), D(2020, 1, 1))], "subject_id long, era_start date, era_end date")
+    days = [(1, D(2020, 1, 9)), (1, D(2020, 1, 10)), (1, D(2020, 1, 20)), (1, D(2020, 1, 20)), (1, D(2020, 1, 21)), (1, D(2020, 3, 1)), (1, D(2020, 3, 2)), (2, D(2020, 1, 2)), (3, D(2020, 1, 1)), (1, None)]
+    o = spark.createDataFrame([(p, d, 7) for p, d in days], "person_id long, d date, kind int")
+    got = sorted(map(tuple, characterise.time_to_event(eras_, o, "d", "kind", (30,)).collect()))
+    assert got == sorted([(7, 1, "before", 30, -1, 1), (7, 0, "during first", 30, 0, 2), (7, 0, "between", 30, 0, 1), (7, 0, "during later", 30, 1, 1), (7, 0, "after", 30, 1, 1), (7, 1, "after", 30, 0, 1)])
+    assert characterise.time_to_event(eras_.limit(0), o, "d", "kind").count() == 0
+
+
+def test_visits_around_an_episode(spark):
+    cohort = spark.createDataFrame([(1, 1, D(2020, 6, 1)), (1, 2, D(2020, 6, 2))], "subject_id long, episode_id int, cohort_start_date date")
+    spans = [(D(2020, 6, 1), D(2020, 6, 3)), (D(2020, 5, 1), None), (D(2020, 5, 2), D(2020, 4, 1)), (D(2020, 7, 2), D(2020, 7, 3)), (None, None)]
+    visits = spark.createDataFrame([(1, 9201, a, b, 5) for a, b in spans], "person_id long, visit_concept_id int, visit_start_date date, visit_end_date date, episode_id int")
+    got = {r.context: (r.n_persons, r.n_episodes) for r in characterise.visit_context(cohort, visits).collect()}
+    # 2 May is 30 days before 1 June; 2 July is 30 days after 2 June
+    assert got == {"on": (1, 1), "during": (1, 1), "before": (1, 1), "after": (1, 1)}
