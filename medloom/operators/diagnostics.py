@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,36 +29,35 @@ class Criterion:
 def masks(cohort: DataFrame, sources: dict[str, tuple[DataFrame, str]], criteria: Sequence[Criterion]) -> DataFrame:
     """(subject_id, episode_id, mask): bit i is set if criterion i holds, of up to 63.
 
-    sources: {key: (events, date)}. Each source is joined with the episodes once and its
-    events counted for all of its criteria together; what they find is OR-ed by episode.
-    A criterion that holds without events (least 0) starts set, and events clear it.
+    sources: {key: (events, date)}. Events that no criterion asks for go where they are read;
+    the others of all sources meet the episodes in one join by person and are counted in
+    one aggregate, which needs no other shuffle. Episodes without any have counts of 0.
     """
     if len(criteria) > 63:
         raise ValueError("a mask has 63 bits")
-    bit = lambda i: F.lit(1 << i).cast("long")
-    set_ = lambda test, i: F.when(test, bit(i)).otherwise(F.lit(0).cast("long"))
-    total = lambda parts: sum(parts, F.lit(0).cast("long"))
-    base = sum(1 << i for i, c in enumerate(criteria) if c.source and c.least <= 0)
-    keys = ["subject_id", "episode_id"]
-    out = cohort.select(*keys, total(set_(c.test, i) for i, c in enumerate(criteria) if c.source is None).alias("mask"))
+    if unknown := {c.source for c in criteria} - {None, *sources}:
+        raise ValueError(f"no such source: {sorted(unknown)}")
+    keys, none = ["subject_id", "episode_id"], F.lit(False)
+    bits = lambda tests: sum((F.when(t, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")) for i, t in tests), F.lit(0).cast("long"))
+    asked = [(i, c) for i, c in enumerate(criteria) if c.source is not None]
+    out = cohort.select(*keys, "cohort_start_date", bits((i, c.test) for i, c in enumerate(criteria) if c.source is None).alias("_own"))
+    every = None
     for key, (events, date) in sources.items():
-        own = [(i, c) for i, c in enumerate(criteria) if c.source == key]
-        if not own:
+        if not any(c.source == key for _, c in asked):
             continue
-        e = events.withColumnRenamed("person_id", "subject_id")
-        day = F.datediff(date, "cohort_start_date")
-        fits = []
-        for i, c in own:
-            t = F.coalesce(c.test, F.lit(False))
-            t = t if c.start is None else t & (day >= c.start)
-            fits.append((t if c.end is None else t & (day <= c.end)).alias(f"_c{i}"))
-        j = cohort.select(*keys, "cohort_start_date").join(e, "subject_id").select(*keys, *fits)
-        any_of = F.greatest(*[F.col(f"_c{i}") for i, _ in own]) if len(own) > 1 else F.col(f"_c{own[0][0]}")
-        n = j.where(any_of).groupBy(*keys).agg(*[F.count_if(f"_c{i}").alias(f"_n{i}") for i, _ in own])
-        hold = lambda i, c: (F.col(f"_n{i}") >= c.least) & (F.lit(True) if c.most is None else F.col(f"_n{i}") <= c.most)
-        changed = total(set_(hold(i, c) if c.least > 0 else ~hold(i, c), i) for i, c in own)
-        out = out.unionByName(n.select(*keys, changed.alias("mask")))
-    return out.groupBy(*keys).agg(F.bit_or("mask").alias("mask")).withColumn("mask", F.col("mask").bitwiseXOR(F.lit(base).cast("long")))
+        flags = [(F.coalesce(c.test, none) if c.source == key else none).alias(f"_c{i}") for i, c in asked]
+        e = events.withColumnRenamed("person_id", "subject_id").select("subject_id", F.col(date).alias("_d"), *flags)
+        e = e.where(reduce(or_, [F.col(f"_c{i}") for i, c in asked if c.source == key]))
+        every = e if every is None else every.unionByName(e)
+    if every is None:
+        return out.groupBy(*keys).agg(F.bit_or("_own").alias("mask"))
+    day, counts = F.datediff("_d", "cohort_start_date"), []
+    for i, c in asked:
+        t = F.col(f"_c{i}") if c.start is None else F.col(f"_c{i}") & (day >= c.start)
+        counts.append(F.count_if(t if c.end is None else t & (day <= c.end)).alias(f"_n{i}"))
+    n = out.join(every, "subject_id", "left").groupBy(*keys).agg(F.bit_or("_own").alias("_own"), *counts)
+    holds = ((i, (F.col(f"_n{i}") >= c.least) & (F.lit(True) if c.most is None else F.col(f"_n{i}") <= c.most)) for i, c in asked)
+    return n.select(*keys, F.col("_own").bitwiseOR(bits(holds)).alias("mask"))
 
 
 def attrition(found: DataFrame, criteria: Sequence[Criterion]) -> DataFrame:
