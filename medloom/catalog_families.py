@@ -264,8 +264,10 @@ def pool_effects_repeated_site(spark, d):
     rows = view(spark, d, "drug_exposure").join(view(spark, d, "person").select("person_id", "site_id"), "person_id")
     g = rows.groupBy("site_id", (F.col("drug_concept_id") % 5).alias("stratum"))
     g = g.agg(F.log(F.avg("days_supply")).alias("log_estimate"), (F.stddev_samp("days_supply") / F.sqrt(F.count("*")) / F.avg("days_supply")).alias("se"))
-    again = g.where("site_id = 0 and stratum in (1, 2)").withColumn("log_estimate", F.col("log_estimate") + F.when(F.col("stratum") == 2, 1.0).otherwise(0.0))
-    return P.effects(g.unionByName(again), ["stratum"]).select("stratum", "k", *rounded("fixed"))
+    # the estimate is computed once, then given twice
+    given = F.when((F.col("site_id") == 0) & (F.col("stratum") == 1), F.array(F.lit(0.0), F.lit(0.0))).when((F.col("site_id") == 0) & (F.col("stratum") == 2), F.array(F.lit(0.0), F.lit(1.0))).otherwise(F.array(F.lit(0.0)))
+    g = g.select("*", F.explode(given).alias("more")).withColumn("log_estimate", F.col("log_estimate") + F.col("more"))
+    return P.effects(g, ["stratum"]).select("stratum", "k", *rounded("fixed"))
 
 
 @query("""WITH RECURSIVE e AS (SELECT DISTINCT concept_id_2 AS a, concept_id_1 AS d FROM concept_hierarchy WHERE relationship_id = 'Is a' AND concept_id_1 <> concept_id_2),

@@ -13,6 +13,9 @@ from ..functions.quantiles import exact, pick
 from .explore import listed_bins
 
 Z = 1.959963984540054
+#: Values that differ by no more than this part of them are the same one computed twice: sums of
+#: doubles depend in their last digits on the order in which tasks end.
+SAME = 1e-9
 
 
 SITE = "site_id"
@@ -71,11 +74,15 @@ def ratio(rows: DataFrame, keys: Sequence[str], numerator: str | Sequence[str],
 def effects(rows: DataFrame, keys: Sequence[str], estimate: str = "log_estimate", se: str = "se", strict: bool = True, site: str = SITE) -> DataFrame:
     """Inverse-variance meta-analysis with fixed and random effects of rows (site, keys,
     estimate, se). Rows without an estimate or with a standard error of 0 or none are left
-    out. A site may repeat its estimate of a key; if it gives different ones, none can stand
-    for it: strict, all of the key's results are null, else the site is left out of it."""
+    out. A site may repeat its estimate of a key, also one computed anew, whose last digits may
+    differ (by a part of 1e-9 at most); if it gives different ones, none can stand for it:
+    strict, all of the key's results are null, else the site is left out of it."""
     r = rows.where((F.col(se) > 0) & F.col(estimate).isNotNull())
-    pair = F.struct(F.col(estimate).cast("double").alias("y"), F.col(se).cast("double").alias("s"))
-    r = r.groupBy(*keys, F.col(site).alias("_site")).agg(F.min(pair).alias("p"), (F.count_distinct(pair) == 1).alias("one"))
+    y, s = F.col(estimate).cast("double"), F.col(se).cast("double")
+    pair = F.struct(y.alias("y"), s.alias("s"))
+    # an estimate may be 0 but for rounding, so its digits are told by its error too
+    near = (F.max(y) - F.min(y) <= SAME * F.greatest(F.max(F.abs(y)), F.min(s))) & (F.max(s) - F.min(s) <= SAME * F.min(s))
+    r = r.groupBy(*keys, F.col(site).alias("_site")).agg(F.min(pair).alias("p"), ((F.min(pair) == F.max(pair)) | near).alias("one"))
     y, s = F.when(F.col("one"), F.col("p.y")), F.when(F.col("one"), F.col("p.s"))
     w = 1 / (s * s)
     own = F.collect_list(F.when(F.col("one"), F.struct(y.alias("y"), (s * s).alias("v"))))  # one a site

@@ -129,6 +129,13 @@ def test_effects_of_a_site_with_several_estimates(spark):
     assert loose["y"].k == 1 and loose["y"].fixed == pytest.approx(0.3)
 
 
+def test_effects_of_an_estimate_computed_anew(spark):
+    """Means and deviations of the same rows in another order differ in their last digits."""
+    rows = [("a", "x", 0.1 + 0.2, 0.2), ("a", "x", 0.3, 0.2), ("a", "s", 0.3, 0.1 + 0.2), ("a", "s", 0.3, 0.3), ("a", "zero", 1e-17, 0.2), ("a", "zero", -1e-17, 0.2), ("a", "y", 0.3, 0.2), ("a", "y", 0.3 + 1e-6, 0.2), ("a", "e", 0.3, 0.2), ("a", "e", 0.3, 0.2 + 1e-6)]
+    df = spark.createDataFrame([*rows, *[("b", k, 0.3, 0.2) for k in {r[1] for r in rows}]], "site_id string, key string, log_estimate double, se double")
+    assert {r.key: r.k for r in pooling.effects(df, ["key"]).collect()} == {"x": 2, "s": 2, "zero": 2, "y": None, "e": None}
+
+
 def test_challenges(spark):
     e = spark.createDataFrame([(1, "d", day(0), day(20)), (1, "d", day(60), day(70)), (2, "d", day(0), day(20)), (3, "d", day(0), day(200))], "subject_id int, exposure_id string, era_start date, era_end date")
     o = spark.createDataFrame([(1, "r", day(5)), (1, "r", day(65)), (2, "r", day(20)), (2, "r", day(25)), (3, "r", day(1))], "subject_id int, outcome_id string, outcome_date date")
