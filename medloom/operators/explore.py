@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ..functions.quantiles import exact, pick
 from ..functions.sets import among
@@ -67,11 +68,33 @@ def comorbidity(df: DataFrame, concept: str, a: int, b: int, other: tuple[DataFr
     return flags.groupBy("has_a", "has_b").agg(F.count("*").alias("n_persons")).where(F.col("n_persons") >= least_persons)
 
 
-def prevalence(df: DataFrame, concept: str, metric: str = "persons", top: int = 50, offset: int = 0, least_persons: int = 3) -> DataFrame:
-    g = df.groupBy(F.col(concept).alias("concept_id")).agg(F.count_distinct("person_id").alias("n_persons"), F.count("*").alias("n_records")).where(F.col("n_persons") >= least_persons)
+def _numbered(df: DataFrame) -> bool:
+    """Whether persons are whole numbers."""
+    return isinstance(df.select("person_id").schema[0].dataType, IntegralType)
+
+
+def _marked(df: DataFrame, concept: str, numbered: bool) -> DataFrame:
+    """(concept_id, word, mask, n): rows with their person as a bit. 64 neighbouring numbers share
+    a word, so a group holds up to 64 persons; other ids are words of their own, of one bit."""
+    bit = F.expr("shiftleft(1L, cast(cast(person_id as long) & 63 as int))") if numbered else F.when(F.col("person_id").isNotNull(), F.lit(1).cast("long"))
+    word = F.shiftright(F.col("person_id").cast("long"), 6) if numbered else F.col("person_id")
+    return df.select(F.col(concept).alias("concept_id"), word.alias("word"), bit.alias("mask"), F.lit(1).cast("long").alias("n"))
+
+
+def _merged(marked: DataFrame) -> DataFrame:
+    return marked.groupBy("concept_id", "word").agg(F.bit_or("mask").alias("mask"), F.sum("n").alias("n"))
+
+
+def _most(merged: DataFrame, metric: str, top: int, offset: int, least_persons: int) -> DataFrame:
+    g = merged.groupBy("concept_id").agg(F.coalesce(F.sum(F.bit_count("mask")), F.lit(0)).alias("n_persons"), F.sum("n").alias("n_records")).where(F.col("n_persons") >= least_persons)
     return g.orderBy(F.desc(f"n_{metric}"), "concept_id").offset(offset).limit(top)
 
 
+def prevalence(df: DataFrame, concept: str, metric: str = "persons", top: int = 50, offset: int = 0, least_persons: int = 3) -> DataFrame:
+    """Records and distinct persons by concept, the most frequent ones."""
+    return _most(_merged(_marked(df, concept, _numbered(df))), metric, top, offset, least_persons)
+
+
 def histogram(df: DataFrame, value: str, bins: int = 20, low: float = 0.05, high: float = 0.95) -> DataFrame:
     """Equal bins between two quantiles; values beyond go to the outer bins; all bins are listed."""
     v = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
@@ -138,12 +161,15 @@ def summary(df: DataFrame, column: str) -> DataFrame:
 
 
 def prevalence_of_all(tables: dict[str, tuple[DataFrame, str]], metric: str = "persons", top: int = 50, offset: int = 0, least_persons: int = 3) -> DataFrame:
-    """Prevalence over several tables as one; tables maps a name to (rows, concept column)."""
-    parts = [df.select("person_id", F.col(column).alias("concept_id")) for df, column in tables.values()]
+    """Prevalence over several tables as one; tables maps a name to (rows, concept column).
+    Each table is merged by itself first: a stage that reads them all gets tasks as large as
+    the tables together ask for, and each holds a join and the groups."""
+    numbered = all(_numbered(df) for df, _ in tables.values())
+    parts = [_merged(_marked(df, column, numbered)) for df, column in tables.values()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return prevalence(out, "concept_id", metric, top, offset, least_persons)
+    return _most(_merged(out), metric, top, offset, least_persons)
 
 
 def crosstab_slices(df: DataFrame, row: str, col: str, stratum: str, by: str = "persons", least_persons: int = 3) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from medloom.functions import quantiles
 from medloom.functions.dates import complete_months
-from medloom.operators import disclosure, policy, pooling, privacy, survival, temporal, verbs, vocabulary
+from medloom.operators import disclosure, explore, policy, pooling, privacy, survival, temporal, verbs, vocabulary
 from medloom.sources.tables import read, read_staged, shared_root, write_staged
 from medloom.streaming.events import sessions, window_counts
 
@@ -246,6 +246,45 @@ def test_quantiles_of_ties_and_cells(spark, n, monkeypatch):
         assert r.q == pytest.approx(np.quantile(own, probs).tolist())
 
 
+@pytest.mark.parametrize("kind", ["long", "int", "string", "decimal(20,0)"])
+def test_prevalence_of_persons_by_any_id(spark, kind):
+    """Persons of a word's ends, below 0, twice, in two tables, none; concepts in both tables, none."""
+    big = 2**31 - 1
+    a = [(7, p) for p in (0, 63, 64, -1, -64, -65, big, -big - 1, 63, None)] + [(None, 1), (8, None), (8, None)]
+    b = [(7, 63), (7, 65), (9, 5), (9, 5), (None, 1), (None, 2)]
+    tables = {n: (spark.createDataFrame(rows, "c long, p long").select(F.col("c").alias(f"c_{n}"), F.col("p").cast(kind).alias("person_id")), f"c_{n}") for n, rows in (("a", a), ("b", b))}
+    plain = lambda rows: {c: (len({p for d, p in rows if d == c and p is not None}), sum(d == c for d, _ in rows)) for c in {c for c, _ in rows}}
+    got = lambda df: {r.concept_id: (r.n_persons, r.n_records) for r in df.collect()}
+    assert got(explore.prevalence_of_all(tables, least_persons=0)) == plain(a + b)
+    assert got(explore.prevalence(*tables["a"], least_persons=0)) == plain(a)
+    assert got(explore.prevalence_of_all(tables, least_persons=3)) == {7: plain(a + b)[7]}
+
+
+def test_prevalence_of_tables_whose_ids_differ_in_kind(spark):
+    a, b = spark.createDataFrame([(1, 5), (1, 6)], "c int, person_id int"), spark.createDataFrame([(1, "5"), (1, "7")], "c long, person_id string")
+    b = b.withColumn("person_id", F.col("person_id").cast("decimal(12,0)"))
+    assert [tuple(r) for r in explore.prevalence_of_all({"a": (a, "c"), "b": (b, "c")}).collect()] == [(1, 3, 4)]
+
+
+def _shuffled(plan) -> int:
+    """Rows that the exchanges of an executed plan wrote."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return _shuffled(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return _shuffled(plan.plan())
+    own = plan.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+    return own + sum(_shuffled(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+def test_prevalence_holds_a_row_for_64_persons(spark):
+    """Not one for each concept and person: 64,000 of them here."""
+    rows = spark.range(0, 64_000, 1, 4).select((F.col("id") % 2).alias("c"), F.floor(F.col("id") / 2).alias("person_id"))
+    for df, n in ((explore.prevalence(rows, "c"), 1), (explore.prevalence_of_all({"a": (rows, "c"), "b": (rows, "c")}), 2)):
+        assert [tuple(r) for r in df.collect()] == [(c, 32_000, n * 32_000) for c in (0, 1)]
+        assert 1_000 <= _shuffled(df._jdf.queryExecution().executedPlan()) < 5_000
+
+
 def test_read_over_jdbc(spark, tmp_path):
     url = f"jdbc:derby:memory:{tmp_path.name};create=true"
     driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
